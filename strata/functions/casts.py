@@ -25,7 +25,7 @@ def to_money(col: Column) -> Column:
 def to_day(col: Column, source_type: DataType) -> Column:
     """Text ``yyyy-MM-dd`` (zero padded) or timestamp -> date; bad -> NULL."""
     if isinstance(source_type, StringType):
-        return F.try_to_date(col, F.lit(DATE_FORMAT))
+        return F.try_to_date(col, DATE_FORMAT)
     if isinstance(source_type, DateType):
         return col
     return col.try_cast(DateType())

@@ -87,3 +87,101 @@ ORACLES: dict[str, str] = {
                 (ORDER BY total_revenue DESC NULLS LAST, customer_key) AS prev
               FROM {TOP10} t) x""",
 }
+
+# -- raw ingest and writes ----------------------------------------------------
+
+DIRTY = """(SELECT o_orderkey, o_custkey,
+    CASE WHEN o_orderkey % 11 = 5 THEN NULL
+         WHEN o_orderkey % 5 IN (0, 3) THEN NULL
+         WHEN o_orderkey % 5 = 2
+              THEN CAST(CAST(o_totalprice AS DECIMAL(15,2)) + 0.01 AS DECIMAL(15,2))
+         ELSE CAST(o_totalprice AS DECIMAL(15,2)) END AS o_totalprice,
+    CASE WHEN o_orderkey % 11 = 5 THEN NULL
+         WHEN o_orderkey % 5 = 4 THEN NULL
+         WHEN o_orderkey % 5 = 1 AND (month(o_orderdate) < 10 OR day(o_orderdate) < 10)
+              THEN NULL
+         ELSE CAST(o_orderdate AS DATE) END AS o_orderdate
+  FROM orders WHERE o_orderkey % 7 <> 0)"""
+
+UPDATES = f"""(SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus,
+        CAST(o_totalprice + 1 AS DECIMAL(15,2)) AS o_totalprice, o_orderdate,
+        o_orderpriority, order_year, order_month
+   FROM {SO} a WHERE o_orderkey % 10 = 0
+ UNION ALL
+ SELECT o_orderkey + 1000000000, o_custkey, 'N', o_totalprice, o_orderdate,
+        o_orderpriority, order_year, order_month
+   FROM {SO} b WHERE o_orderkey % 10 = 1)"""
+
+ORACLES.update({
+    "bronze_orders": """SELECT o_orderkey, o_custkey, o_orderstatus,
+        CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
+        strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders""",
+    "bronze_lineitem": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+        CAST(CAST(l_quantity AS DECIMAL(15,2)) AS VARCHAR) AS l_quantity,
+        CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) AS l_extendedprice,
+        CAST(CAST(l_discount AS DECIMAL(15,2)) AS VARCHAR) AS l_discount,
+        CAST(CAST(l_tax AS DECIMAL(15,2)) AS VARCHAR) AS l_tax,
+        l_returnflag, l_linestatus,
+        strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM lineitem""",
+    "bronze_dirty": """SELECT
+        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
+        o_custkey,
+        CASE WHEN o_orderkey % 11 = 5 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+        CASE WHEN o_orderkey % 11 = 5 THEN NULL ELSE o_orderpriority END AS o_orderpriority
+        FROM orders""",
+    "silver_key_gate": """SELECT 'orders' AS table_name, COUNT(*) AS rows_in,
+        COUNT(*) FILTER (WHERE o_orderkey % 7 <> 0) AS rows_kept,
+        COUNT(*) FILTER (WHERE o_orderkey % 7 = 0) AS rows_dropped FROM orders""",
+    "silver_dirty_casts": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+        CAST(year(o_orderdate) AS INTEGER) AS order_year,
+        CAST(month(o_orderdate) AS INTEGER) AS order_month FROM {DIRTY} d""",
+    "replace_idempotent": f"SELECT * FROM {R} r",
+    "partitioned_write": f"""SELECT order_year, COUNT(*) AS row_count,
+        MIN(o_orderdate) AS first_date, MAX(o_orderdate) AS last_date
+        FROM {SO} s GROUP BY order_year""",
+    "partition_overwrite": f"""SELECT * FROM {SO} a WHERE order_year <> 1996
+        UNION ALL SELECT * FROM {SO} b WHERE order_year = 1996 AND o_orderstatus = 'F'""",
+    "upsert_orders": f"""SELECT * FROM {SO} s
+        WHERE NOT EXISTS (SELECT 1 FROM {UPDATES} u WHERE u.o_orderkey = s.o_orderkey)
+        UNION ALL SELECT * FROM {UPDATES} u2""",
+    "snapshots_history": f"""
+        SELECT CAST(1 AS BIGINT) AS version, CAST(1 AS BIGINT) AS data_version,
+               (SELECT COUNT(*) FROM {SO} a) AS row_count, 'replace' AS operation
+        UNION ALL SELECT 2, 2, (SELECT COUNT(*) FROM {SO} b WHERE order_year >= 1997), 'replace'
+        UNION ALL SELECT 3, 1, (SELECT COUNT(*) FROM {SO} c), 'rollback'""",
+    "read_as_of_version": f"SELECT * FROM {SO} s WHERE order_year >= 1997",
+    "read_as_of_time": f"SELECT * FROM {SO} s",
+    "rollback": f"SELECT * FROM {SO} s",
+    "expire_candidates": f"""
+        WITH n AS (SELECT COUNT(*) AS c FROM {R} r)
+        SELECT CAST(v AS BIGINT) AS version, CAST(dv AS BIGINT) AS data_version,
+               n.c AS row_count, op AS operation, expired, deletable AS directory_deletable
+        FROM (VALUES (1, 1, 'replace', TRUE, TRUE), (2, 2, 'replace', TRUE, FALSE),
+                     (3, 3, 'replace', TRUE, TRUE), (4, 4, 'replace', TRUE, TRUE),
+                     (5, 5, 'replace', FALSE, FALSE), (6, 6, 'replace', FALSE, FALSE),
+                     (7, 2, 'rollback', FALSE, FALSE)) t(v, dv, op, expired, deletable), n""",
+    "orphan_files": f"""SELECT CAST(3 AS BIGINT) AS data_version, COUNT(*) AS orphan_rows
+        FROM {SO} s WHERE order_year = 1996""",
+    "compaction_same_rows": f"SELECT * FROM {SL} s",
+    "schema_add_column": f"SELECT *, CAST(NULL AS VARCHAR) AS o_note FROM {SO} s",
+    "schema_rename_drop": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+        o_orderpriority AS order_priority, order_year, order_month FROM {SO} s""",
+    "schema_widen": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+        o_orderpriority, order_year, CAST(order_month AS BIGINT) AS order_month FROM {SO} s""",
+    "run_metrics": f"""
+        SELECT 'bronze' AS phase, 'orders' AS table_name, COUNT(*) AS row_count FROM orders
+        UNION ALL SELECT 'bronze', 'lineitem', COUNT(*) FROM lineitem
+        UNION ALL SELECT 'silver', 'orders', COUNT(*) FROM {SO} a
+        UNION ALL SELECT 'silver', 'lineitem', COUNT(*) FROM {SL} b
+        UNION ALL SELECT 'gold', 'revenue_by_order_date', COUNT(*) FROM {R} c
+        UNION ALL SELECT 'gold', 'top_customers', COUNT(*) FROM {C} d""",
+    "copy_tables": f"""
+        SELECT layer, table_name, row_count AS source_rows, row_count AS copied_rows,
+               TRUE AS same_rows FROM (
+          SELECT 'bronze' AS layer, 'orders' AS table_name, COUNT(*) AS row_count FROM orders
+          UNION ALL SELECT 'bronze', 'lineitem', COUNT(*) FROM lineitem
+          UNION ALL SELECT 'silver', 'orders', COUNT(*) FROM {SO} a
+          UNION ALL SELECT 'silver', 'lineitem', COUNT(*) FROM {SL} b
+          UNION ALL SELECT 'gold', 'revenue_by_order_date', COUNT(*) FROM {R} c
+          UNION ALL SELECT 'gold', 'top_customers', COUNT(*) FROM {C} d) x""",
+})

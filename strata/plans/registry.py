@@ -127,3 +127,7 @@ def qc_revenue_positive(spark, sf_dir):
 def qc_top_sorted(spark, sf_dir):
     report = top_10_customers(spark, sf_dir)
     return checks.sorted_desc(report, "total_revenue", "customer_key")
+
+
+# Queries that ingest text or write tables register themselves on import.
+from strata.plans import table_queries  # noqa: E402,F401

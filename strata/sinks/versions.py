@@ -1,0 +1,259 @@
+"""Versioned tables on plain Parquet directories.
+
+Layout under a warehouse root::
+
+    <root>/<layer>/<table>/v=<n>/...     one directory per data version
+    <root>/_snapshots/                   commit log, one small file per commit
+
+A commit writes its data directory first and appends its ``_snapshots`` row
+last, so a job that dies half-way leaves only an uncommitted directory
+(found by ``orphan_files``) and readers keep seeing the previous version.
+``version`` rises by one per commit; ``data_version`` names the directory and
+differs from ``version`` after a rollback or a metadata-only schema change.
+Each commit also stores the read schema, so adding or dropping a column needs
+no data rewrite.  One writer per table is assumed; concurrent writers are not
+supported.
+
+History, expiry candidates and orphan lists are DataFrames; the only values
+brought to the driver are single version numbers and a commit's read schema.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import math
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    LongType, StringType, StructField, StructType, TimestampType,
+)
+
+from strata.sinks.writes import write_table
+
+SNAPSHOT_SCHEMA = StructType([
+    StructField("layer", StringType(), False),
+    StructField("table_name", StringType(), False),
+    StructField("version", LongType(), False),
+    StructField("data_version", LongType(), False),
+    StructField("committed_at", TimestampType(), False),
+    StructField("row_count", LongType(), True),
+    StructField("operation", StringType(), False),
+    StructField("partition_by", StringType(), True),
+    StructField("read_schema", StringType(), True),
+])
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
+def table_path(root: str, layer: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{layer}/{table}"
+
+
+def data_path(root: str, layer: str, table: str, data_version: int) -> str:
+    return f"{table_path(root, layer, table)}/v={data_version}"
+
+
+def snapshots_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_snapshots"
+
+
+def history(spark: SparkSession, root: str, layer: str | None = None,
+            table: str | None = None) -> DataFrame:
+    """The commit log (all tables, or one), as a DataFrame."""
+    try:
+        h = spark.read.schema(SNAPSHOT_SCHEMA).parquet(snapshots_path(root))
+    except AnalysisException:
+        h = spark.createDataFrame([], SNAPSHOT_SCHEMA)
+    if layer is not None:
+        h = h.filter(F.col("layer") == layer)
+    if table is not None:
+        h = h.filter(F.col("table_name") == table)
+    return h
+
+
+def latest_version(spark: SparkSession, root: str, layer: str, table: str) -> int:
+    """Highest committed version, 0 if none (one aggregate, one value)."""
+    v = history(spark, root, layer, table).agg(F.max("version")).first()[0]
+    return int(v or 0)
+
+
+def snapshot(spark: SparkSession, root: str, layer: str, table: str,
+             version: int | None = None) -> Row:
+    h = history(spark, root, layer, table)
+    if version is None:
+        version = latest_version(spark, root, layer, table)
+    row = h.filter(F.col("version") == version).first()
+    if row is None:
+        raise ValueError(f"{layer}.{table}: no version {version}")
+    return row
+
+
+def _append_commit(spark: SparkSession, root: str, row: dict) -> None:
+    (spark.createDataFrame([row], SNAPSHOT_SCHEMA)
+       .coalesce(1).write.mode("append").parquet(snapshots_path(root)))
+
+
+def commit(spark: SparkSession, root: str, layer: str, table: str, *, data_version: int,
+           row_count: int | None, operation: str, read_schema: str | None,
+           partition_by: str | None, committed_at: dt.datetime | None = None) -> int:
+    version = latest_version(spark, root, layer, table) + 1
+    _append_commit(spark, root, {
+        "layer": layer, "table_name": table, "version": version,
+        "data_version": data_version, "committed_at": committed_at or _now(),
+        "row_count": row_count, "operation": operation,
+        "partition_by": partition_by, "read_schema": read_schema,
+    })
+    return version
+
+
+def _next_data_version(spark: SparkSession, root: str, layer: str, table: str) -> int:
+    """A directory number never used by a commit of this table."""
+    h = history(spark, root, layer, table)
+    top = h.agg(F.greatest(F.max("version"), F.max("data_version"))).first()[0]
+    return int(top or 0) + 1
+
+
+def publish(spark: SparkSession, root: str, layer: str, table: str, df: DataFrame, *,
+            partition_by: str | None = None, operation: str = "replace",
+            committed_at: dt.datetime | None = None) -> int:
+    """Write ``df`` as a new version and commit it; returns the version.
+
+    The row count is observed during the write (no second scan).  If the
+    write fails nothing is committed.
+    """
+    data_version = _next_data_version(spark, root, layer, table)
+    # A directory left by a failed attempt with this number is never reused.
+    while _exists(spark, data_path(root, layer, table, data_version)):
+        data_version += 1
+    obs = Observation(f"{layer}.{table}.v{data_version}")
+    write_table(df, data_path(root, layer, table, data_version), partition_by, observe=obs)
+    rows = int(obs.get.get("rows", 0))
+    return commit(spark, root, layer, table, data_version=data_version, row_count=rows,
+                  operation=operation, read_schema=df.schema.json(),
+                  partition_by=partition_by, committed_at=committed_at)
+
+
+def _read(spark: SparkSession, root: str, snap: Row) -> DataFrame:
+    path = data_path(root, snap["layer"], snap["table_name"], snap["data_version"])
+    if snap["read_schema"]:
+        schema = StructType.fromJson(json.loads(snap["read_schema"]))
+        df = spark.read.schema(schema).parquet(path)
+        return df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return spark.read.parquet(path)
+
+
+def read_version(spark: SparkSession, root: str, layer: str, table: str,
+                 version: int | None = None) -> DataFrame:
+    """The table as of ``version`` (default: current)."""
+    return _read(spark, root, snapshot(spark, root, layer, table, version))
+
+
+def version_as_of(spark: SparkSession, root: str, layer: str, table: str,
+                  as_of: dt.datetime) -> int:
+    """Latest version committed at or before ``as_of``."""
+    v = (history(spark, root, layer, table)
+         .filter(F.col("committed_at") <= F.lit(as_of))
+         .agg(F.max("version")).first()[0])
+    if v is None:
+        raise ValueError(f"{layer}.{table}: nothing committed by {as_of}")
+    return int(v)
+
+
+def read_as_of(spark: SparkSession, root: str, layer: str, table: str,
+               as_of: dt.datetime) -> DataFrame:
+    return read_version(spark, root, layer, table,
+                        version_as_of(spark, root, layer, table, as_of))
+
+
+def rollback(spark: SparkSession, root: str, layer: str, table: str, to_version: int,
+             committed_at: dt.datetime | None = None) -> int:
+    """Make ``to_version`` current again by a new commit; history is kept."""
+    old = snapshot(spark, root, layer, table, to_version)
+    return commit(spark, root, layer, table, data_version=old["data_version"],
+                  row_count=old["row_count"], operation="rollback",
+                  read_schema=old["read_schema"], partition_by=old["partition_by"],
+                  committed_at=committed_at)
+
+
+def expire_candidates(spark: SparkSession, root: str, older_than: dt.datetime,
+                      retain_last: int = 5, layer: str | None = None,
+                      table: str | None = None) -> DataFrame:
+    """Every commit with ``expired`` and ``directory_deletable`` flags.
+
+    A commit expires when it is older than the cut **and** not among the
+    newest ``retain_last`` commits of its table.  Its directory may go only if
+    no kept commit still reads it (a rolled-back table needs its old one).
+    Nothing is deleted here.
+    """
+    h = history(spark, root, layer, table)
+    by_table = Window.partitionBy("layer", "table_name").orderBy(F.desc("version"))
+    ranked = h.withColumn("recency", F.row_number().over(by_table)).withColumn(
+        "expired", (F.col("committed_at") < F.lit(older_than))
+        & (F.col("recency") > F.lit(retain_last)))
+    still_read = (ranked.filter(~F.col("expired"))
+                  .select("layer", "table_name", "data_version").distinct()
+                  .withColumn("still_read", F.lit(True)))
+    return (
+        ranked.join(still_read, ["layer", "table_name", "data_version"], "left")
+        .withColumn("directory_deletable",
+                    F.col("expired") & F.col("still_read").isNull())
+        .select("layer", "table_name", "version", "data_version", "committed_at",
+                "operation", "expired", "directory_deletable")
+    )
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, modificationTime) of every data file under ``path``,
+    listed by Spark (parallel listing; the content column is never read)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .load(path).select("path", "length", "modificationTime"))
+
+
+def orphan_files(spark: SparkSession, root: str, layer: str, table: str,
+                 older_than: dt.datetime) -> DataFrame:
+    """Data files under the table that no commit references, older than the cut.
+
+    Files are matched to commits by their ``v=<n>`` directory number, so the
+    differing URI spellings of listings and plans never matter.
+    """
+    files = list_files(spark, table_path(root, layer, table)).withColumn(
+        "data_version",
+        F.regexp_extract("path", r"/v=(\d+)/", 1).try_cast(LongType()))
+    used = history(spark, root, layer, table).select("data_version").distinct()
+    return (files.join(used, "data_version", "left_anti")
+            .filter(F.col("modificationTime") < F.lit(older_than)))
+
+
+def directory_paths(root: str, layer: str, table: str, data_versions) -> list[str]:
+    return [data_path(root, layer, table, int(v)) for v in data_versions]
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Explicit delete step for expired directories or orphan files."""
+    n = 0
+    for path in dict.fromkeys(paths):
+        fs, p = _fs_path(spark, path)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n
+
+
+def files_to_target(total_bytes: int, target_bytes: int) -> int:
+    return max(1, math.ceil(total_bytes / max(1, target_bytes)))
