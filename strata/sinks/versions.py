@@ -24,7 +24,6 @@ import datetime as dt
 import json
 import math
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -65,9 +64,9 @@ def snapshots_path(root: str) -> str:
 def history(spark: SparkSession, root: str, layer: str | None = None,
             table: str | None = None) -> DataFrame:
     """The commit log (all tables, or one), as a DataFrame."""
-    try:
+    if _exists(spark, snapshots_path(root)):
         h = spark.read.schema(SNAPSHOT_SCHEMA).parquet(snapshots_path(root))
-    except AnalysisException:
+    else:
         h = spark.createDataFrame([], SNAPSHOT_SCHEMA)
     if layer is not None:
         h = h.filter(F.col("layer") == layer)

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DateType, StringType, StructType, TimestampNTZType, TimestampType,
+)
 
 from strata.functions.casts import to_money
 from strata.schemas import DATE_COLUMNS, MONEY_COLUMNS, SOURCE_TABLES, raw_schema
@@ -27,20 +29,21 @@ def source_path(base: str, table: str, suffix: str = ".csv") -> str:
 
 def read_delimited(spark: SparkSession, path: str, table: str, *, header: bool = True,
                    sep: str = DEFAULT_SEP, columns: list[str] | None = None,
-                   mode: str = "PERMISSIVE") -> DataFrame:
+                   mode: str = "PERMISSIVE", schema: StructType | None = None) -> DataFrame:
     """Raw table from delimited text under the table's declared schema.
 
     ``header`` is a parameter because real TPC-H ``.tbl`` files have none (and
     a trailing delimiter, whose empty extra field PERMISSIVE mode drops).
     ``columns`` restricts the schema to a leading subset of the declared
-    columns for files that carry only those.
+    columns for files that carry only those; ``schema`` overrides the
+    declared schema entirely (other raw tables).
     """
     return (
         spark.read
         .option("header", "true" if header else "false")
         .option("sep", sep)
         .option("mode", mode)
-        .schema(raw_schema(table, columns))
+        .schema(schema if schema is not None else raw_schema(table, columns))
         .csv(path)
     )
 
