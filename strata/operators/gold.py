@@ -6,11 +6,16 @@ Plan shape (production path):
    runs map-side, so the only lineitem shuffle carries at most one row per
    (map task, order) instead of every line; a key holding a third of all lines
    collapses before it is shuffled.
-2. ``order_facts``: orders (five columns, pruned at the scan) joined 1:1 to the
-   per-order totals.  The totals arrive hash-partitioned by order key, so only
-   orders is exchanged for the sort-merge join; when the orders side is small
-   at runtime AQE turns it into a broadcast join on measured size.
-3. Daily and customer aggregates from the facts.  Distinct orders are counted
+2. ``order_copies``: orders reduced to their distinct (key, customer, date)
+   rows with a ``copies`` count, again with map-side partial aggregation.  In
+   clean data every count is 1; when one key is copied across a large share
+   of the table, the copies collapse before any exchange, so no join or
+   aggregate task later receives the hot key's rows one by one.
+3. ``order_facts``: the distinct order rows joined 1:1 to the per-order totals
+   (sort-merge join on order key; AQE turns it into a broadcast join when it
+   measures the orders side small at runtime).  Revenue and line count are
+   weighted by ``copies``: each copy of an order joins every one of its lines.
+4. Daily and customer aggregates from the facts.  Distinct orders are counted
    in two levels: (group keys, order key) first — satisfied by the join's
    order-key partitioning, no extra exchange — then per group with a
    map-side partial aggregate, so a hot date or customer never lands in one
@@ -18,8 +23,7 @@ Plan shape (production path):
 
 The result equals the literal "join every line, then aggregate with a
 distinct count" formulation (kept below as ``*_direct``), including orders
-that appear more than once: each copy joins the same per-order totals just as
-it would join each line.
+that appear more than once.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.schemas import REVENUE_SUM
+
 FACT_COLUMNS = ("o_orderkey", "o_custkey", "o_orderdate", "order_year", "order_month")
 
 
@@ -39,9 +45,19 @@ def line_totals(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def order_copies(orders: DataFrame) -> DataFrame:
+    """Distinct order rows (fact columns only) with how often each occurs."""
+    return orders.groupBy(*FACT_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def order_facts(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One row per order row with at least one line (inner-join semantics)."""
-    return orders.select(*FACT_COLUMNS).join(line_totals(lineitem), "o_orderkey", "inner")
+    """One row per distinct order row with at least one line (inner join),
+    revenue and line count weighted by the row's copies."""
+    joined = order_copies(orders).join(line_totals(lineitem), "o_orderkey", "inner")
+    return joined.select(
+        *FACT_COLUMNS,
+        (F.col("revenue") * F.col("copies")).cast(REVENUE_SUM).alias("revenue"),
+        (F.col("line_count") * F.col("copies")).alias("line_count"))
 
 
 def revenue_by_order_date(facts: DataFrame) -> DataFrame:

@@ -53,11 +53,13 @@ def upsert(base: DataFrame, updates: DataFrame, key: str | list[str]) -> DataFra
 
     Columns are matched by name; columns missing on one side are NULL.  The
     anti join shuffles both sides on the key (or broadcasts ``updates`` when
-    AQE measures it small).  Duplicate keys in ``updates`` are an error:
-    check them with ``duplicate_keys`` before writing.
+    AQE measures it small); a hot key on the ``base`` side is split by AQE's
+    skew-join handling, since nothing downstream needs the key partitioning.
+    Duplicate keys in ``updates`` are an error: check them with
+    ``duplicate_keys`` before writing.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    kept = base.join(updates.select(*keys).distinct(), keys, "left_anti")
+    kept = base.join(updates.select(*keys), keys, "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
