@@ -44,7 +44,7 @@ def needs_compaction(spark: SparkSession, root: str, layer: str, table: str,
 
 def compact(spark: SparkSession, root: str, layer: str, table: str, *,
             target_file_bytes: int = TARGET_FILE_BYTES, cluster_by: list[str] | None = None,
-            committed_at: dt.datetime | None = None) -> int:
+            committed_at: dt.datetime | None = None) -> V.Commit:
     """Rewrite the current version into files of about ``target_file_bytes``.
 
     The file count comes from the on-disk size.  Rows are range-partitioned
@@ -79,7 +79,7 @@ def _metadata_commit(spark, root, layer, table, snap, schema: StructType, operat
 
 
 def add_column(spark: SparkSession, root: str, layer: str, table: str, name: str,
-               data_type: str | DataType, committed_at: dt.datetime | None = None) -> int:
+               data_type: str | DataType, committed_at: dt.datetime | None = None) -> V.Commit:
     """New nullable column; existing rows read NULL.  Metadata only."""
     snap = V.snapshot(spark, root, layer, table)
     schema = _schema(snap)
@@ -91,7 +91,7 @@ def add_column(spark: SparkSession, root: str, layer: str, table: str, name: str
 
 
 def drop_column(spark: SparkSession, root: str, layer: str, table: str, name: str,
-                committed_at: dt.datetime | None = None) -> int:
+                committed_at: dt.datetime | None = None) -> V.Commit:
     """Column no longer read.  Metadata only; the data stays for rollback."""
     snap = V.snapshot(spark, root, layer, table)
     if name == snap["partition_by"]:
@@ -105,7 +105,7 @@ def drop_column(spark: SparkSession, root: str, layer: str, table: str, name: st
 
 
 def rename_column(spark: SparkSession, root: str, layer: str, table: str, old: str,
-                  new: str, committed_at: dt.datetime | None = None) -> int:
+                  new: str, committed_at: dt.datetime | None = None) -> V.Commit:
     """Rename (Parquet binds columns by name, so this rewrites the data)."""
     snap = V.snapshot(spark, root, layer, table)
     df = V.read_version(spark, root, layer, table).withColumnRenamed(old, new)
@@ -134,7 +134,7 @@ def is_widening(src: DataType, dst: DataType) -> bool:
 
 
 def widen_column(spark: SparkSession, root: str, layer: str, table: str, name: str,
-                 data_type: str | DataType, committed_at: dt.datetime | None = None) -> int:
+                 data_type: str | DataType, committed_at: dt.datetime | None = None) -> V.Commit:
     """Promote a column to a wider type; narrowing is refused."""
     snap = V.snapshot(spark, root, layer, table)
     dtype = _parse_datatype_string(data_type) if isinstance(data_type, str) else data_type
@@ -152,7 +152,7 @@ def widen_column(spark: SparkSession, root: str, layer: str, table: str, name: s
 
 def upsert_table(spark: SparkSession, root: str, layer: str, table: str,
                  updates: DataFrame, key: str | list[str],
-                 committed_at: dt.datetime | None = None) -> int:
+                 committed_at: dt.datetime | None = None) -> V.Commit:
     """Keyed upsert into the current version, published as a new version.
 
     Duplicate keys in ``updates`` make the result ambiguous and are refused

@@ -23,6 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -75,20 +76,36 @@ def history(spark: SparkSession, root: str, layer: str | None = None,
     return h
 
 
+@dataclass(frozen=True)
+class Commit:
+    version: int
+    data_version: int
+    row_count: int | None
+
+
 def latest_version(spark: SparkSession, root: str, layer: str, table: str) -> int:
     """Highest committed version, 0 if none (one aggregate, one value)."""
     v = history(spark, root, layer, table).agg(F.max("version")).first()[0]
     return int(v or 0)
 
 
+def _numbers(spark: SparkSession, root: str, layer: str, table: str) -> tuple[int, int]:
+    """(latest version, highest number ever used for a version or directory)."""
+    r = history(spark, root, layer, table).agg(
+        F.max("version"), F.greatest(F.max("version"), F.max("data_version"))).first()
+    return int(r[0] or 0), int(r[1] or 0)
+
+
 def snapshot(spark: SparkSession, root: str, layer: str, table: str,
              version: int | None = None) -> Row:
+    """The commit row of ``version`` (default: the latest), one small job."""
     h = history(spark, root, layer, table)
     if version is None:
-        version = latest_version(spark, root, layer, table)
-    row = h.filter(F.col("version") == version).first()
+        row = h.orderBy(F.desc("version")).limit(1).first()
+    else:
+        row = h.filter(F.col("version") == version).first()
     if row is None:
-        raise ValueError(f"{layer}.{table}: no version {version}")
+        raise ValueError(f"{layer}.{table}: no version {version if version else 'committed'}")
     return row
 
 
@@ -99,33 +116,30 @@ def _append_commit(spark: SparkSession, root: str, row: dict) -> None:
 
 def commit(spark: SparkSession, root: str, layer: str, table: str, *, data_version: int,
            row_count: int | None, operation: str, read_schema: str | None,
-           partition_by: str | None, committed_at: dt.datetime | None = None) -> int:
-    version = latest_version(spark, root, layer, table) + 1
+           partition_by: str | None, committed_at: dt.datetime | None = None,
+           version: int | None = None) -> Commit:
+    """Append one commit row; ``version`` defaults to latest + 1."""
+    if version is None:
+        version = latest_version(spark, root, layer, table) + 1
     _append_commit(spark, root, {
         "layer": layer, "table_name": table, "version": version,
         "data_version": data_version, "committed_at": committed_at or _now(),
         "row_count": row_count, "operation": operation,
         "partition_by": partition_by, "read_schema": read_schema,
     })
-    return version
-
-
-def _next_data_version(spark: SparkSession, root: str, layer: str, table: str) -> int:
-    """A directory number never used by a commit of this table."""
-    h = history(spark, root, layer, table)
-    top = h.agg(F.greatest(F.max("version"), F.max("data_version"))).first()[0]
-    return int(top or 0) + 1
+    return Commit(version, data_version, row_count)
 
 
 def publish(spark: SparkSession, root: str, layer: str, table: str, df: DataFrame, *,
             partition_by: str | None = None, operation: str = "replace",
-            committed_at: dt.datetime | None = None) -> int:
-    """Write ``df`` as a new version and commit it; returns the version.
+            committed_at: dt.datetime | None = None) -> Commit:
+    """Write ``df`` as a new version and commit it.
 
     The row count is observed during the write (no second scan).  If the
     write fails nothing is committed.
     """
-    data_version = _next_data_version(spark, root, layer, table)
+    latest, used = _numbers(spark, root, layer, table)
+    data_version = used + 1
     # A directory left by a failed attempt with this number is never reused.
     while _exists(spark, data_path(root, layer, table, data_version)):
         data_version += 1
@@ -134,7 +148,8 @@ def publish(spark: SparkSession, root: str, layer: str, table: str, df: DataFram
     rows = int(obs.get.get("rows", 0))
     return commit(spark, root, layer, table, data_version=data_version, row_count=rows,
                   operation=operation, read_schema=df.schema.json(),
-                  partition_by=partition_by, committed_at=committed_at)
+                  partition_by=partition_by, committed_at=committed_at,
+                  version=latest + 1)
 
 
 def _read(spark: SparkSession, root: str, snap: Row) -> DataFrame:
@@ -170,7 +185,7 @@ def read_as_of(spark: SparkSession, root: str, layer: str, table: str,
 
 
 def rollback(spark: SparkSession, root: str, layer: str, table: str, to_version: int,
-             committed_at: dt.datetime | None = None) -> int:
+             committed_at: dt.datetime | None = None) -> Commit:
     """Make ``to_version`` current again by a new commit; history is kept."""
     old = snapshot(spark, root, layer, table, to_version)
     return commit(spark, root, layer, table, data_version=old["data_version"],

@@ -1,0 +1,136 @@
+"""Versioned publishing, as-of reads, rollback, expiry, orphans, compaction,
+schema evolution, upsert and warehouse copy."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from strata.plans.sources import clean_tables
+from strata.sinks import upkeep
+from strata.sinks import versions as V
+from strata.sinks.writes import write_table
+
+T0 = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+H = dt.timedelta(hours=1)
+
+
+@pytest.fixture()
+def orders(spark):
+    return clean_tables(spark, SF_SMALL)[0]
+
+
+def _same(a, b):
+    assert a.count() == b.count()
+    assert a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_publish_history_as_of_rollback(spark, tmp_path, orders):
+    root = str(tmp_path)
+    c1 = V.publish(spark, root, "silver", "orders", orders, partition_by="order_year",
+                   committed_at=T0)
+    recent = orders.filter(F.col("order_year") >= 1997)
+    c2 = V.publish(spark, root, "silver", "orders", recent, partition_by="order_year",
+                   committed_at=T0 + H)
+    assert (c1.version, c2.version) == (1, 2)
+    assert c1.row_count == orders.count() and c2.row_count == recent.count()
+    _same(V.read_version(spark, root, "silver", "orders"), recent)
+    _same(V.read_version(spark, root, "silver", "orders", 1), orders)
+    _same(V.read_as_of(spark, root, "silver", "orders", T0 + 0.5 * H), orders)
+    with pytest.raises(ValueError):
+        V.read_as_of(spark, root, "silver", "orders", T0 - H)
+    c3 = V.rollback(spark, root, "silver", "orders", 1, committed_at=T0 + 2 * H)
+    assert (c3.version, c3.data_version) == (3, 1)
+    _same(V.read_version(spark, root, "silver", "orders"), orders)
+    hist = [(r.version, r.data_version, r.operation) for r in
+            V.history(spark, root, "silver", "orders").orderBy("version").collect()]
+    assert hist == [(1, 1, "replace"), (2, 2, "replace"), (3, 1, "rollback")]
+    # column order of the published frame is kept on read (partition column included)
+    assert V.read_version(spark, root, "silver", "orders").columns == orders.columns
+
+
+def test_uncommitted_directory_is_orphan_and_never_reused(spark, tmp_path, orders):
+    root = str(tmp_path)
+    V.publish(spark, root, "silver", "orders", orders, partition_by="order_year",
+              committed_at=T0)
+    # a run that wrote v=2 and died before its commit
+    write_table(orders.limit(5), V.data_path(root, "silver", "orders", 2))
+    _same(V.read_version(spark, root, "silver", "orders"), orders)
+    found = V.orphan_files(spark, root, "silver", "orders", older_than=T0 + 10**6 * H)
+    assert {r.data_version for r in found.collect()} == {2}
+    assert V.orphan_files(spark, root, "silver", "orders", older_than=T0).count() == 0
+    c = V.publish(spark, root, "silver", "orders", orders, committed_at=T0 + H)
+    assert (c.version, c.data_version) == (2, 3)
+    assert V.delete_paths(spark, V.directory_paths(root, "silver", "orders", [2])) == 1
+    assert V.orphan_files(spark, root, "silver", "orders", T0 + 10**6 * H).count() == 0
+
+
+def test_expire_keeps_directories_still_read(spark, tmp_path, orders):
+    root = str(tmp_path)
+    small = orders.select("o_orderkey", "order_year")
+    for i in range(4):
+        V.publish(spark, root, "silver", "orders", small, committed_at=T0 + i * H)
+    V.rollback(spark, root, "silver", "orders", 1, committed_at=T0 + 4 * H)
+    got = {r.version: (r.expired, r.directory_deletable) for r in
+           V.expire_candidates(spark, root, T0 + 3 * H, retain_last=2).collect()}
+    assert got == {1: (True, False), 2: (True, True), 3: (True, True),
+                   4: (False, False), 5: (False, False)}
+
+
+def test_compaction_same_rows_fewer_files(spark, tmp_path, orders):
+    root = str(tmp_path)
+    V.publish(spark, root, "silver", "orders", orders.repartition(16),
+              partition_by="order_year", committed_at=T0)
+    before = upkeep.file_stats(spark, V.data_path(root, "silver", "orders", 1)).first()
+    assert upkeep.needs_compaction(spark, root, "silver", "orders")
+    c = upkeep.compact(spark, root, "silver", "orders", committed_at=T0 + H)
+    after = upkeep.file_stats(spark, V.data_path(root, "silver", "orders", c.data_version)).first()
+    assert after["files"] < before["files"]
+    _same(V.read_version(spark, root, "silver", "orders"), orders)
+
+
+def test_schema_evolution(spark, tmp_path, orders):
+    root = str(tmp_path)
+    V.publish(spark, root, "silver", "orders", orders, partition_by="order_year",
+              committed_at=T0)
+    c = upkeep.add_column(spark, root, "silver", "orders", "o_note", "string")
+    assert c.data_version == 1            # metadata only, no rewrite
+    df = V.read_version(spark, root, "silver", "orders")
+    assert df.columns[-1] == "o_note" and df.filter("o_note IS NOT NULL").count() == 0
+    upkeep.drop_column(spark, root, "silver", "orders", "o_orderstatus")
+    assert "o_orderstatus" not in V.read_version(spark, root, "silver", "orders").columns
+    with pytest.raises(ValueError):
+        upkeep.drop_column(spark, root, "silver", "orders", "order_year")
+    upkeep.widen_column(spark, root, "silver", "orders", "order_month", "bigint")
+    assert dict(V.read_version(spark, root, "silver", "orders").dtypes)["order_month"] == "bigint"
+    with pytest.raises(ValueError):
+        upkeep.widen_column(spark, root, "silver", "orders", "order_month", "int")
+    with pytest.raises(ValueError):
+        upkeep.widen_column(spark, root, "silver", "orders", "o_totalprice", "decimal(10,2)")
+    upkeep.rename_column(spark, root, "silver", "orders", "o_orderpriority", "priority")
+    out = V.read_version(spark, root, "silver", "orders")
+    assert "priority" in out.columns and out.count() == orders.count()
+    # every earlier version still reads as it was
+    _same(V.read_version(spark, root, "silver", "orders", 1), orders)
+
+
+def test_upsert_refuses_duplicate_keys(spark, tmp_path, orders):
+    root = str(tmp_path)
+    V.publish(spark, root, "silver", "orders", orders, committed_at=T0)
+    dup = orders.limit(3).unionByName(orders.limit(1))
+    with pytest.raises(ValueError):
+        upkeep.upsert_table(spark, root, "silver", "orders", dup, "o_orderkey")
+    assert V.latest_version(spark, root, "silver", "orders") == 1
+
+
+def test_widening_rules():
+    from pyspark.sql.types import DecimalType, IntegerType, LongType, ShortType
+    assert upkeep.is_widening(IntegerType(), LongType())
+    assert upkeep.is_widening(ShortType(), IntegerType())
+    assert not upkeep.is_widening(LongType(), IntegerType())
+    assert upkeep.is_widening(DecimalType(15, 2), DecimalType(20, 2))
+    assert not upkeep.is_widening(DecimalType(15, 2), DecimalType(15, 1))
+    assert upkeep.is_widening(IntegerType(), DecimalType(12, 2))
