@@ -58,8 +58,13 @@ def compact(spark: SparkSession, root: str, layer: str, table: str, *,
     stats = file_stats(spark, V.data_path(root, layer, table, snap["data_version"])).first()
     n = V.files_to_target(int(stats["total_bytes"]), target_file_bytes)
     part = snap["partition_by"]
-    keys = ([part] if part else []) + list(cluster_by or [df.columns[0]])
-    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    keys = [F.col(c) for c in ([part] if part else []) + list(cluster_by or [df.columns[0]])]
+    # A deterministic per-row hash breaks ties, so even one (partition, key)
+    # value holding a third of the rows spreads over several range
+    # partitions; being a pure function of the row, a retried task places
+    # every row exactly where the first attempt did.
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    out = df.repartitionByRange(n, *keys, tie).sortWithinPartitions(*keys)
     return V.publish(spark, root, layer, table, out, partition_by=part,
                      operation="compact", committed_at=committed_at)
 
