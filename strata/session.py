@@ -18,7 +18,8 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  driver_memory: str | None = None, app: str = "strata") -> SparkSession:
+                  driver_memory: str | None = None, app: str = "strata",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """Session used by tests and the bench (AQE on, UI off, UTC)."""
     builder = (
         SparkSession.builder.master(master).appName(app)
@@ -31,6 +32,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     )
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

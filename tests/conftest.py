@@ -15,8 +15,12 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from strata.session import build_session
-    session = build_session("local[4]", shuffle_partitions=4)
+    warehouse = tempfile.mkdtemp(prefix="strata-test-warehouse-")
+    session = build_session("local[4]", shuffle_partitions=4,
+                            extra={"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 
