@@ -277,3 +277,17 @@ def incremental_ingest(spark, sf_dir):
                          recursive=True)
     ingest_new_files(spark, raw, "orders", bronze, ck, columns=cols, recursive=True)
     return spark.read.parquet(bronze).select(*cols)
+
+
+@query
+def catalog_layers(spark, sf_dir):
+    """The job with catalog registration, then SQL over ``layer.table`` names."""
+    LayerJob(source=sf_dir, root=work_root(spark, "catalog"), register=True,
+             committed_at=T0).run(spark)
+    return spark.sql("""
+        SELECT 'bronze' AS layer, 'orders' AS table_name, count(*) AS row_count FROM bronze.orders
+        UNION ALL SELECT 'bronze', 'lineitem', count(*) FROM bronze.lineitem
+        UNION ALL SELECT 'silver', 'orders', count(*) FROM silver.orders
+        UNION ALL SELECT 'silver', 'lineitem', count(*) FROM silver.lineitem
+        UNION ALL SELECT 'gold', 'revenue_by_order_date', count(*) FROM gold.revenue_by_order_date
+        UNION ALL SELECT 'gold', 'top_customers', count(*) FROM gold.top_customers""")
