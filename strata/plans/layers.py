@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -23,6 +23,7 @@ from strata.operators import gold, silver
 from strata.schemas import PARTITION_COLUMNS, SOURCE_TABLES
 from strata.sinks import catalog
 from strata.sinks import versions as V
+from strata.sinks.writes import write_table
 from strata.sources.delimited import read_delimited, source_path
 from strata.sources.tables import read_parquet_table
 
@@ -98,17 +99,20 @@ class LayerJob:
     def gold(self, spark: SparkSession) -> None:
         orders = V.read_version(spark, self.root, "silver", "orders")
         lineitem = V.read_version(spark, self.root, "silver", "lineitem")
-        # Both business tables come from the same per-order facts: keep them
-        # (memory, spilling to disk) for the second write instead of joining
-        # twice.  A lost executor's blocks are recomputed from lineage.
-        facts = gold.order_facts(orders, lineitem).persist(StorageLevel.MEMORY_AND_DISK)
+        # Both business tables come from the same per-order facts.  They are
+        # written once to a staging table in the warehouse (shared storage),
+        # which cuts the lineage: a lost executor costs a re-read of staged
+        # files, not a recomputation of the join.  Removed after the commits.
+        staging = f"{self.root.rstrip('/')}/_staging/order_facts-{uuid.uuid4().hex[:12]}"
+        write_table(gold.order_facts(orders, lineitem), staging)
         try:
+            facts = spark.read.parquet(staging)
             self._publish(spark, "gold", "revenue_by_order_date",
                           gold.revenue_by_order_date(facts),
                           PARTITION_COLUMNS[("gold", "revenue_by_order_date")])
             self._publish(spark, "gold", "top_customers", gold.top_customers(facts))
         finally:
-            facts.unpersist()
+            V.delete_paths(spark, [staging])
 
     def run(self, spark: SparkSession) -> RunMetrics:
         self.bronze(spark)
