@@ -221,11 +221,40 @@ def expire_candidates(spark: SparkSession, root: str, older_than: dt.datetime,
     )
 
 
+LISTING_SCHEMA = StructType([
+    StructField("path", StringType(), False),
+    StructField("length", LongType(), False),
+    StructField("modificationTime", TimestampType(), False),
+])
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Visible entries directly under ``path`` (one directory listing)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for status in fs.listStatus(p):
+        child = status.getPath()
+        if not child.getName().startswith(("_", ".")):
+            out.append(child.toString())
+    return out
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, modificationTime) of every data file under ``path``,
-    listed by Spark (parallel listing; the content column is never read)."""
+    """(path, length, modificationTime) of every data file under ``path``.
+
+    The entries directly under ``path`` (one per version directory) are
+    passed as separate roots, so Spark lists them in parallel — as a
+    distributed job once there are more than
+    ``spark.sql.sources.parallelPartitionDiscovery.threshold`` of them.  The
+    file contents are never read.
+    """
+    roots = _children(spark, path)
+    if not roots:
+        return spark.createDataFrame([], LISTING_SCHEMA)
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .load(path).select("path", "length", "modificationTime"))
+            .load(roots).select("path", "length", "modificationTime"))
 
 
 def orphan_files(spark: SparkSession, root: str, layer: str, table: str,
