@@ -74,9 +74,11 @@ class LayerJob:
                          committed_at=self.committed_at)
         self.metrics.record(layer, table, done.row_count, time.monotonic() - start)
         if self.register:
-            catalog.register(spark, layer, table,
-                             V.data_path(self.root, layer, table, done.data_version),
-                             partitioned=partition_by is not None)
+            # Declared DDL from the published schema: the catalog states the
+            # exact types and never infers them from files.
+            catalog.declare_table(spark, f"{layer}.{table}", df.schema,
+                                  V.data_path(self.root, layer, table, done.data_version),
+                                  partition_by)
         return done
 
     def _raw(self, spark, table) -> DataFrame:

@@ -8,6 +8,7 @@ explicitly on a managed table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def _q(name: str) -> str:
@@ -31,6 +32,21 @@ def register(spark: SparkSession, layer: str, table: str, path: str,
     return fqn
 
 
+def declare_table(spark: SparkSession, fqn: str, schema: StructType, path: str,
+                  partition_by: str | None = None) -> str:
+    """Explicit DDL: ``CREATE TABLE fqn (typed columns) USING parquet
+    [PARTITIONED BY] LOCATION path`` from a declared ``StructType``, so the
+    catalog states the types instead of inferring them from files."""
+    create_layer(spark, fqn.split(".")[0])
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    part = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {_q(fqn)}")
+    spark.sql(f"CREATE TABLE {_q(fqn)} ({cols}) USING parquet{part} LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {_q(fqn)} RECOVER PARTITIONS")
+    return fqn
+
+
 def create_table_as(spark: SparkSession, fqn: str, select_sql: str,
                     partition_by: str | None = None) -> DataFrame:
     """CREATE TABLE .. USING parquet [PARTITIONED BY] AS SELECT (managed table)."""

@@ -45,3 +45,18 @@ def test_persona_views(spark):
     assert "customer_key" in spark.table("gold_top_customers").columns
     analyst.register_views(spark, tables)
     assert "line_count" in spark.table("gold_revenue_by_order_date").columns
+
+
+def test_declared_gold_ddl(spark, tmp_path):
+    from strata.schemas import REVENUE_BY_ORDER_DATE
+    daily = gold_tables(spark, SF_SMALL)["revenue_by_order_date"]
+    path = str(tmp_path / "daily")
+    write_table(daily, path, partition_by="order_year")
+    fqn = catalog.declare_table(spark, "gold_ddl.revenue_by_order_date", REVENUE_BY_ORDER_DATE,
+                                path, partition_by="order_year")
+    types = dict(spark.table(fqn).dtypes)
+    assert types["total_revenue"] == "decimal(38,4)" and types["order_date"] == "date"
+    assert spark.table(fqn).count() == daily.count()
+    assert spark.sql(f"SELECT count(*) FROM {fqn} WHERE order_year = 1996").first()[0] == \
+        daily.filter("order_year = 1996").count()
+    catalog.drop_layer(spark, "gold_ddl", cascade=True)
