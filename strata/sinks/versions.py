@@ -83,6 +83,14 @@ class Commit:
     row_count: int | None
 
 
+def register_history_view(spark: SparkSession, root: str,
+                          name: str = "table_snapshots") -> str:
+    """The commit log as a temp view, for SQL such as
+    ``SELECT * FROM table_snapshots WHERE table_name = 'top_customers'``."""
+    history(spark, root).createOrReplaceTempView(name)
+    return name
+
+
 def latest_version(spark: SparkSession, root: str, layer: str, table: str) -> int:
     """Highest committed version, 0 if none (one aggregate, one value)."""
     v = history(spark, root, layer, table).agg(F.max("version")).first()[0]
@@ -167,11 +175,19 @@ def read_version(spark: SparkSession, root: str, layer: str, table: str,
     return _read(spark, root, snapshot(spark, root, layer, table, version))
 
 
+def _instant(as_of: dt.datetime | str):
+    """A timezone-aware datetime, or a timestamp literal such as
+    ``'2025-01-15 00:00:00'`` read in the session time zone."""
+    if isinstance(as_of, str):
+        return F.lit(as_of).cast(TimestampType())
+    return F.lit(as_of)
+
+
 def version_as_of(spark: SparkSession, root: str, layer: str, table: str,
-                  as_of: dt.datetime) -> int:
+                  as_of: dt.datetime | str) -> int:
     """Latest version committed at or before ``as_of``."""
     v = (history(spark, root, layer, table)
-         .filter(F.col("committed_at") <= F.lit(as_of))
+         .filter(F.col("committed_at") <= _instant(as_of))
          .agg(F.max("version")).first()[0])
     if v is None:
         raise ValueError(f"{layer}.{table}: nothing committed by {as_of}")
@@ -179,7 +195,7 @@ def version_as_of(spark: SparkSession, root: str, layer: str, table: str,
 
 
 def read_as_of(spark: SparkSession, root: str, layer: str, table: str,
-               as_of: dt.datetime) -> DataFrame:
+               as_of: dt.datetime | str) -> DataFrame:
     return read_version(spark, root, layer, table,
                         version_as_of(spark, root, layer, table, as_of))
 
@@ -194,7 +210,7 @@ def rollback(spark: SparkSession, root: str, layer: str, table: str, to_version:
                   committed_at=committed_at)
 
 
-def expire_candidates(spark: SparkSession, root: str, older_than: dt.datetime,
+def expire_candidates(spark: SparkSession, root: str, older_than: dt.datetime | str,
                       retain_last: int = 5, layer: str | None = None,
                       table: str | None = None) -> DataFrame:
     """Every commit with ``expired`` and ``directory_deletable`` flags.
@@ -207,7 +223,7 @@ def expire_candidates(spark: SparkSession, root: str, older_than: dt.datetime,
     h = history(spark, root, layer, table)
     by_table = Window.partitionBy("layer", "table_name").orderBy(F.desc("version"))
     ranked = h.withColumn("recency", F.row_number().over(by_table)).withColumn(
-        "expired", (F.col("committed_at") < F.lit(older_than))
+        "expired", (F.col("committed_at") < _instant(older_than))
         & (F.col("recency") > F.lit(retain_last)))
     still_read = (ranked.filter(~F.col("expired"))
                   .select("layer", "table_name", "data_version").distinct()
@@ -258,7 +274,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def orphan_files(spark: SparkSession, root: str, layer: str, table: str,
-                 older_than: dt.datetime) -> DataFrame:
+                 older_than: dt.datetime | str) -> DataFrame:
     """Data files under the table that no commit references, older than the cut.
 
     Files are matched to commits by their ``v=<n>`` directory number, so the
@@ -269,7 +285,7 @@ def orphan_files(spark: SparkSession, root: str, layer: str, table: str,
         F.regexp_extract("path", r"/v=(\d+)/", 1).try_cast(LongType()))
     used = history(spark, root, layer, table).select("data_version").distinct()
     return (files.join(used, "data_version", "left_anti")
-            .filter(F.col("modificationTime") < F.lit(older_than)))
+            .filter(F.col("modificationTime") < _instant(older_than)))
 
 
 def directory_paths(root: str, layer: str, table: str, data_versions) -> list[str]:

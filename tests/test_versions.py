@@ -134,3 +134,23 @@ def test_widening_rules():
     assert upkeep.is_widening(DecimalType(15, 2), DecimalType(20, 2))
     assert not upkeep.is_widening(DecimalType(15, 2), DecimalType(15, 1))
     assert upkeep.is_widening(IntegerType(), DecimalType(12, 2))
+
+
+def test_as_of_timestamp_literal(spark, tmp_path, orders):
+    root = str(tmp_path)
+    V.publish(spark, root, "silver", "orders", orders, committed_at=T0)
+    V.publish(spark, root, "silver", "orders", orders.limit(7), committed_at=T0 + 24 * H)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert V.read_as_of(spark, root, "silver", "orders", "2025-01-01 12:00:00").count() == \
+        orders.count()
+    assert V.read_as_of(spark, root, "silver", "orders", "2025-01-02 00:00:00").count() == 7
+
+
+def test_history_sql_view(spark, tmp_path, orders):
+    root = str(tmp_path)
+    V.publish(spark, root, "silver", "orders", orders, committed_at=T0)
+    V.rollback(spark, root, "silver", "orders", 1, committed_at=T0 + H)
+    name = V.register_history_view(spark, root)
+    got = spark.sql(f"SELECT version, operation FROM {name} WHERE table_name = 'orders' "
+                    "ORDER BY version").collect()
+    assert [tuple(r) for r in got] == [(1, "replace"), (2, "rollback")]
