@@ -147,6 +147,9 @@ ORACLES.update({
     "upsert_orders": f"""SELECT * FROM {SO} s
         WHERE NOT EXISTS (SELECT 1 FROM {UPDATES} u WHERE u.o_orderkey = s.o_orderkey)
         UNION ALL SELECT * FROM {UPDATES} u2""",
+    "upsert_orders_by_partition": f"""SELECT * FROM {SO} s
+        WHERE NOT EXISTS (SELECT 1 FROM {UPDATES} u WHERE u.o_orderkey = s.o_orderkey)
+        UNION ALL SELECT * FROM {UPDATES} u2""",
     "snapshots_history": f"""
         SELECT CAST(1 AS BIGINT) AS version, CAST(1 AS BIGINT) AS data_version,
                (SELECT COUNT(*) FROM {SO} a) AS row_count, 'replace' AS operation

@@ -130,6 +130,25 @@ def upsert_orders(spark, sf_dir):
     return V.read_version(spark, root, "silver", "orders")
 
 
+@query
+def upsert_orders_by_partition(spark, sf_dir):
+    """The same upsert into a plain year-partitioned table, rewriting only
+    the partitions that hold or receive an updated key."""
+    from strata.sinks.writes import upsert_partitions
+    path = f"{work_root(spark, 'merge')}/silver/orders"
+    orders = clean_tables(spark, sf_dir)[0]
+    write_table(orders, path, partition_by="order_year")
+    k = F.col("o_orderkey")
+    changed = (orders.filter(k % 10 == 0)
+               .withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast(MONEY))
+               .withColumn("o_orderstatus", F.lit("U")))
+    added = (orders.filter(k % 10 == 1)
+             .withColumn("o_orderkey", k + F.lit(NEW_KEY_OFFSET))
+             .withColumn("o_orderstatus", F.lit("N")))
+    upsert_partitions(spark, path, changed.unionByName(added), "o_orderkey", "order_year")
+    return spark.read.parquet(path)
+
+
 def _history_scenario(spark, sf_dir):
     """v1 all orders, v2 orders from 1997 on, v3 rollback to v1."""
     root, orders = _orders_root(spark, sf_dir, "history")

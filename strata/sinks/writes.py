@@ -74,3 +74,40 @@ def checksum(df: DataFrame) -> DataFrame:
     64-bit hash of every row.  One scan, no shuffle beyond the final merge."""
     h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(h).alias("row_hash_sum"))
+
+
+def upsert_partitions(spark, path: str, updates: DataFrame, key: str | list[str],
+                      partition_by: str) -> list:
+    """Keyed upsert into a plain partitioned table, rewriting only the
+    partitions it touches (MERGE by partition).
+
+    Touched partitions are those holding a row whose key is updated (an order
+    whose year changes leaves its old partition) and those receiving an
+    update.  Their values are collected first — one value per partition
+    directory at most, a bound set by the table's layout, not its size — and
+    become a literal filter, so only those directories are read (partition
+    pruning), merged and written back with dynamic partition overwrite, which
+    stages the output and replaces just those directories when the job
+    commits.  Everything else is left untouched on disk.  Returns the touched
+    partition values.
+
+    Duplicate keys in ``updates`` are an error (check ``duplicate_keys``).  A
+    job that fails before its commit changes nothing; the commit itself
+    replaces directories one by one, so use ``versions`` where a table must
+    switch atomically.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    base = spark.read.parquet(path)
+    touched = [r[0] for r in
+               base.join(updates.select(*keys), keys, "left_semi").select(partition_by)
+               .unionByName(updates.select(partition_by)).distinct().collect()]
+    if not touched:
+        return []
+    col = F.col(partition_by)
+    in_touched = col.isin(*[v for v in touched if v is not None])
+    if any(v is None for v in touched):
+        in_touched = in_touched | col.isNull()
+    affected = base.filter(in_touched)
+    merged = upsert(affected, updates, keys).select(*base.columns)
+    overwrite_partitions(merged, path, partition_by)
+    return touched
