@@ -20,6 +20,28 @@ def row_counts(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def raw_rows(spark, path: str, header: bool = True) -> DataFrame:
+    """Data lines in delimited raw files: non-blank lines, minus one header
+    line per file when the files carry headers.  One scan of the text."""
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+             .filter(F.trim(F.col("value")) != ""))
+    files = F.count_distinct("file") if header else F.lit(0)
+    return lines.agg((F.count(F.lit(1)) - files).alias("raw_rows"))
+
+
+def bronze_matches_raw(spark, path: str, bronze: DataFrame, table: str,
+                       header: bool = True) -> DataFrame:
+    """(table_name, raw_rows, bronze_rows, equal) for one ingested table."""
+    r = raw_rows(spark, path, header)
+    b = bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))
+    both = (r.select(F.col("raw_rows").alias("n"), F.lit("raw").alias("side"))
+            .unionByName(b.select(F.col("bronze_rows").alias("n"), F.lit("bronze").alias("side"))))
+    raw_n = F.max(F.when(F.col("side") == "raw", F.col("n")))
+    bronze_n = F.max(F.when(F.col("side") == "bronze", F.col("n")))
+    return both.agg(F.lit(table).alias("table_name"), raw_n.alias("raw_rows"),
+                    bronze_n.alias("bronze_rows"), (raw_n == bronze_n).alias("equal"))
+
+
 def null_keys(df: DataFrame, key: str) -> DataFrame:
     """Rows and NULL-key rows (the SQL-text predicate form)."""
     return df.agg(

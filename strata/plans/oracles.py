@@ -138,6 +138,10 @@ ORACLES.update({
     "silver_dirty_casts": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
         CAST(year(o_orderdate) AS INTEGER) AS order_year,
         CAST(month(o_orderdate) AS INTEGER) AS order_month FROM {DIRTY} d""",
+    "qc_bronze_matches_raw": """
+        SELECT 'orders' AS table_name, COUNT(*) AS raw_rows, COUNT(*) AS bronze_rows,
+               TRUE AS equal FROM orders
+        UNION ALL SELECT 'lineitem', COUNT(*), COUNT(*), TRUE FROM lineitem""",
     "replace_idempotent": f"SELECT * FROM {R} r",
     "partitioned_write": f"""SELECT order_year, COUNT(*) AS row_count,
         MIN(o_orderdate) AS first_date, MAX(o_orderdate) AS last_date

@@ -74,6 +74,23 @@ def silver_dirty_casts(spark, sf_dir):
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "order_year", "order_month")
 
 
+@query
+def qc_bronze_matches_raw(spark, sf_dir):
+    """Both source tables as raw text, ingested into bronze by the layer job;
+    bronze row counts must equal the raw data lines."""
+    from strata.operators import checks
+    root = work_root(spark, "rawcheck")
+    raw = f"{root}/raw"
+    for table in ("orders", "lineitem"):
+        write_clean_text(spark, sf_dir, table, f"{raw}/{table}.csv")
+    job = LayerJob(source=raw, root=f"{root}/wh", source_format="text", committed_at=T0)
+    job.bronze(spark)
+    parts = [checks.bronze_matches_raw(spark, f"{raw}/{t}.csv",
+                                       V.read_version(spark, job.root, "bronze", t), t)
+             for t in ("orders", "lineitem")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # -- plain table writes -------------------------------------------------------
 
 @query

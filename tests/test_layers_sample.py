@@ -160,3 +160,13 @@ def test_rerun_gives_identical_tables(spark, tmp_path):
         b = V.read_version(spark, root, layer, table, 2).drop("_ingested_at")
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_bronze_matches_raw_lines(spark, sample_run):
+    import os
+
+    from conftest import DATA
+    for table, n in (("orders", 10), ("lineitem", 13)):
+        r = checks.bronze_matches_raw(spark, os.path.join(DATA, f"{table}.csv"),
+                                      _t(sample_run, spark, "bronze", table), table).first()
+        assert (r["raw_rows"], r["bronze_rows"], r["equal"]) == (n, n, True)
