@@ -170,3 +170,24 @@ def test_bronze_matches_raw_lines(spark, sample_run):
         r = checks.bronze_matches_raw(spark, os.path.join(DATA, f"{table}.csv"),
                                       _t(sample_run, spark, "bronze", table), table).first()
         assert (r["raw_rows"], r["bronze_rows"], r["equal"]) == (n, n, True)
+
+
+def test_step_retry_commits_once(spark, tmp_path, monkeypatch):
+    from conftest import DATA
+    from strata.plans.layers import LayerJob
+    calls = {"n": 0}
+    real = V.publish
+
+    def flaky(*args, **kwargs):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise OSError("transient storage error")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(V, "publish", flaky)
+    job = LayerJob(source=DATA, root=str(tmp_path), source_format="text", attempts=3,
+                   retry_delay_s=0.0, tables=("orders",))
+    job.bronze(spark)
+    assert calls["n"] == 2
+    assert V.latest_version(spark, job.root, "bronze", "orders") == 1
+    assert job.metrics.summary()["bronze.orders"]["row_count"] == 10
