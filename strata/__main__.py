@@ -30,6 +30,8 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--sep", default="|")
     run.add_argument("--register", action="store_true",
                      help="register bronze/silver/gold tables in the catalog")
+    run.add_argument("--attempts", type=int, default=3, help="tries per table step")
+    run.add_argument("--retry-delay", type=float, default=5.0, help="seconds between tries")
 
     for name in ("history", "compact", "rollback", "expire"):
         s = sub.add_parser(name)
@@ -57,7 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "run":
         from strata.plans.layers import LayerJob
         job = LayerJob(source=args.source, root=args.root, source_format=args.format,
-                       header=not args.no_header, sep=args.sep, register=args.register)
+                       header=not args.no_header, sep=args.sep, register=args.register,
+                       attempts=args.attempts, retry_delay_s=args.retry_delay)
         for entry in job.run(spark).summary().values():
             print(json.dumps(entry))
     elif args.command == "history":
