@@ -51,10 +51,8 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"strata-{args.command}").getOrCreate()
-    from strata.session import ensure_checkpoint_dir
     from strata.sinks import upkeep
     from strata.sinks import versions as V
-    ensure_checkpoint_dir(spark)
 
     if args.command == "run":
         from strata.plans.layers import LayerJob
