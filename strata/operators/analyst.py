@@ -33,7 +33,7 @@ def total_revenue(daily: DataFrame) -> DataFrame:
 
 def top_n_customers(customers: DataFrame, n: int = 10) -> DataFrame:
     return (
-        customers.orderBy(F.desc_nulls_last("total_revenue"), F.asc("customer_key"))
+        customers.orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("customer_key"))
         .limit(n)
         .select("customer_key", "total_revenue", "order_count")
     )
@@ -44,12 +44,18 @@ def top_days(daily: DataFrame, year: int, n: int = 10) -> DataFrame:
     ``daily`` is the stored, year-partitioned table."""
     return (
         daily.where(F.col("order_year") == F.lit(year))
-        .orderBy(F.desc_nulls_last("total_revenue"), F.asc("order_date"))
+        .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("order_date"))
         .limit(n)
         .select("order_date", "total_revenue", "order_count")
     )
 
 
+def preview(df: DataFrame, order_by: str, n: int = 10) -> DataFrame:
+    """``SELECT * .. LIMIT n`` made deterministic: the first ``n`` rows by
+    ``order_by`` (a per-task top-N, not a sort of the table)."""
+    return df.orderBy(F.asc_nulls_last(order_by)).limit(n)
+
+
 def restricted(df: DataFrame, persona: str, table: str) -> DataFrame:
     """Projection of the columns ``persona`` may see (column-level grant
     re-expressed as a view; enforcement itself is outside Spark)."""

@@ -64,7 +64,7 @@ def sorted_desc(report: DataFrame, value: str, tie: str) -> DataFrame:
 
     ``report`` must already be limited; the window runs over those N rows only.
     """
-    w = Window.orderBy(F.desc_nulls_last(value), F.asc(tie))
+    w = Window.orderBy(F.desc_nulls_last(value), F.asc_nulls_last(tie))
     ranked = report.withColumn("_prev", F.lag(value).over(w))
     return ranked.agg(
         F.count(F.lit(1)).alias("checked_rows"),

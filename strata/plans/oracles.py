@@ -44,7 +44,7 @@ C = f"""(SELECT o.o_custkey AS customer_key,
  GROUP BY o.o_custkey)"""
 
 TOP10 = f"""(SELECT customer_key, total_revenue, order_count FROM {C} c
- ORDER BY total_revenue DESC NULLS LAST, customer_key LIMIT 10)"""
+ ORDER BY total_revenue DESC NULLS LAST, customer_key ASC NULLS LAST LIMIT 10)"""
 
 YEARLY = f"""SELECT order_year, SUM(total_revenue) AS yearly_revenue,
        CAST(SUM(order_count) AS BIGINT) AS yearly_orders
@@ -63,7 +63,8 @@ ORACLES: dict[str, str] = {
     "top_10_customers": f"SELECT * FROM {TOP10} t",
     "top_days_1996": f"""SELECT order_date, total_revenue, order_count FROM {R} r
         WHERE order_year = 1996
-        ORDER BY total_revenue DESC NULLS LAST, order_date LIMIT 10""",
+        ORDER BY total_revenue DESC NULLS LAST, order_date ASC NULLS LAST LIMIT 10""",
+    "gold_preview": f"SELECT * FROM {R} r ORDER BY order_date ASC NULLS LAST LIMIT 10",
     "gold_view": f"SELECT * FROM {R} r",
     "analyst_view": f"SELECT order_year, total_revenue FROM {R} r",
     "row_counts": f"""
@@ -84,7 +85,7 @@ ORACLES: dict[str, str] = {
     "qc_top_sorted": f"""SELECT COUNT(*) AS checked_rows,
         COUNT(*) FILTER (WHERE prev < total_revenue) AS out_of_order
         FROM (SELECT total_revenue, LAG(total_revenue) OVER
-                (ORDER BY total_revenue DESC NULLS LAST, customer_key) AS prev
+                (ORDER BY total_revenue DESC NULLS LAST, customer_key ASC NULLS LAST) AS prev
               FROM {TOP10} t) x""",
 }
 

@@ -80,6 +80,11 @@ def top_days_1996(spark, sf_dir):
     return analyst.top_days(revenue_by_order_date(spark, sf_dir), 1996, 10)
 
 
+@query
+def gold_preview(spark, sf_dir):
+    return analyst.preview(revenue_by_order_date(spark, sf_dir), "order_date", 10)
+
+
 @query
 def gold_view(spark, sf_dir):
     analyst.register_views(spark, gold_tables(spark, sf_dir))
