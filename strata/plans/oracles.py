@@ -120,6 +120,7 @@ ORACLES.update({
     "incremental_ingest": """SELECT o_orderkey, o_custkey, o_orderstatus,
         CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
         strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders""",
+    "incremental_clean": f"SELECT * FROM {SO} s",
     "bronze_lineitem": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
         CAST(CAST(l_quantity AS DECIMAL(15,2)) AS VARCHAR) AS l_quantity,
         CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) AS l_extendedprice,

@@ -292,11 +292,9 @@ def copy_tables(spark, sf_dir):
 
 # -- incremental ingest -------------------------------------------------------
 
-@query
-def incremental_ingest(spark, sf_dir):
+def _incremental_bronze(spark, sf_dir):
     """Raw orders arrive in two drops; each available-now run ingests only
-    the new files, a third run finds nothing.  Bronze ends with every order
-    exactly once."""
+    the new files, a third run finds nothing.  Returns (root, bronze, cols)."""
     from strata.sources.delimited import as_raw_text, write_delimited
     from strata.sources.tables import read_parquet_table
     from strata.streaming import ingest_new_files
@@ -304,17 +302,35 @@ def incremental_ingest(spark, sf_dir):
     root = work_root(spark, "stream")
     orders = read_parquet_table(spark, sf_dir, "orders")
     cols = orders.columns
-    raw, bronze, ck = f"{root}/raw", f"{root}/bronze/orders", f"{root}/_checkpoints/orders"
+    raw, bronze, ck = f"{root}/raw", f"{root}/bronze/orders", f"{root}/_checkpoints/bronze"
     drops = [orders.filter(F.col("o_orderkey") % 2 == 0),
              orders.filter(F.col("o_orderkey") % 2 == 1)]
     for i, drop in enumerate(drops):
         write_delimited(as_raw_text(drop, "orders"), f"{raw}/drop{i}")
-        ingest_new_files(spark, raw, "orders", bronze, ck, columns=cols,
-                         recursive=True)
+        ingest_new_files(spark, raw, "orders", bronze, ck, columns=cols, recursive=True)
     ingest_new_files(spark, raw, "orders", bronze, ck, columns=cols, recursive=True)
+    return root, bronze, cols
+
+
+@query
+def incremental_ingest(spark, sf_dir):
+    """Bronze after incremental runs: every order exactly once."""
+    _, bronze, cols = _incremental_bronze(spark, sf_dir)
     return spark.read.parquet(bronze).select(*cols)
 
 
+@query
+def incremental_clean(spark, sf_dir):
+    """The clean layer streamed from the incremental bronze directory
+    (typed, derived, gated, year-partitioned), audit column left out."""
+    from strata.streaming import clean_new_rows
+    root, bronze, _ = _incremental_bronze(spark, sf_dir)
+    silver_path = f"{root}/silver/orders"
+    clean_new_rows(spark, bronze, "orders", silver_path, f"{root}/_checkpoints/silver")
+    clean_new_rows(spark, bronze, "orders", silver_path, f"{root}/_checkpoints/silver")
+    return spark.read.parquet(silver_path).drop("_ingested_at")
+
+
 @query
 def catalog_layers(spark, sf_dir):
     """The job with catalog registration, then SQL over ``layer.table`` names."""
