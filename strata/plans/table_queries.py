@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators import silver
+from strata.operators import checks, silver
 from strata.plans.fixtures import write_clean_text, write_dirty_orders
 from strata.plans.layers import LayerJob
 from strata.plans.registry import query
@@ -22,8 +22,10 @@ from strata.schemas import MONEY
 from strata.session import work_root
 from strata.sinks import upkeep
 from strata.sinks import versions as V
-from strata.sinks.writes import overwrite_partitions, write_table
-from strata.sources.delimited import read_delimited
+from strata.sinks.writes import overwrite_partitions, upsert_partitions, write_table
+from strata.sources.delimited import as_raw_text, read_delimited, write_delimited
+from strata.sources.tables import read_parquet_table
+from strata.streaming import clean_new_rows, ingest_new_files
 
 T0 = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
 NEW_KEY_OFFSET = 1_000_000_000
@@ -78,7 +80,6 @@ def silver_dirty_casts(spark, sf_dir):
 def qc_bronze_matches_raw(spark, sf_dir):
     """Both source tables as raw text, ingested into bronze by the layer job;
     bronze row counts must equal the raw data lines."""
-    from strata.operators import checks
     root = work_root(spark, "rawcheck")
     raw = f"{root}/raw"
     for table in ("orders", "lineitem"):
@@ -151,7 +152,6 @@ def upsert_orders(spark, sf_dir):
 def upsert_orders_by_partition(spark, sf_dir):
     """The same upsert into a plain year-partitioned table, rewriting only
     the partitions that hold or receive an updated key."""
-    from strata.sinks.writes import upsert_partitions
     path = f"{work_root(spark, 'merge')}/silver/orders"
     orders = clean_tables(spark, sf_dir)[0]
     write_table(orders, path, partition_by="order_year")
@@ -295,10 +295,6 @@ def copy_tables(spark, sf_dir):
 def _incremental_bronze(spark, sf_dir):
     """Raw orders arrive in two drops; each available-now run ingests only
     the new files, a third run finds nothing.  Returns (root, bronze, cols)."""
-    from strata.sources.delimited import as_raw_text, write_delimited
-    from strata.sources.tables import read_parquet_table
-    from strata.streaming import ingest_new_files
-
     root = work_root(spark, "stream")
     orders = read_parquet_table(spark, sf_dir, "orders")
     cols = orders.columns
@@ -323,7 +319,6 @@ def incremental_ingest(spark, sf_dir):
 def incremental_clean(spark, sf_dir):
     """The clean layer streamed from the incremental bronze directory
     (typed, derived, gated, year-partitioned), audit column left out."""
-    from strata.streaming import clean_new_rows
     root, bronze, _ = _incremental_bronze(spark, sf_dir)
     silver_path = f"{root}/silver/orders"
     clean_new_rows(spark, bronze, "orders", silver_path, f"{root}/_checkpoints/silver")
