@@ -68,6 +68,10 @@ class LayerJob:
     attempts: int = 1
     retry_delay_s: float = 5.0
     metrics: RunMetrics = field(default_factory=RunMetrics)
+    # What this run committed, and the commit-log numbers read once per run
+    # (one writer per table: nobody else moves them meanwhile).
+    commits: dict = field(default_factory=dict)
+    _numbers: dict | None = field(default=None, repr=False)
 
     # -- helpers -------------------------------------------------------------
     def _publish(self, spark, layer, table, df, partition_by=None) -> V.Commit:
@@ -76,16 +80,25 @@ class LayerJob:
         A failed attempt commits nothing (its directory stays uncommitted and
         is never reused), so a retry cannot duplicate or half-apply a table.
         """
+        if self._numbers is None:
+            self._numbers = V.table_numbers(spark, self.root)
         for attempt in range(1, self.attempts + 1):
             start = time.monotonic()
             try:
                 done = V.publish(spark, self.root, layer, table, df,
-                                 partition_by=partition_by, committed_at=self.committed_at)
+                                 partition_by=partition_by, committed_at=self.committed_at,
+                                 numbers=self._numbers.get((layer, table), (0, 0)))
                 break
             except Exception:  # noqa: BLE001 - any failure of the step is retried
+                # a failed attempt may have left a directory: re-read the numbers
+                self._numbers = V.table_numbers(spark, self.root)
                 if attempt == self.attempts:
                     raise
                 time.sleep(self.retry_delay_s)
+        self._numbers[(layer, table)] = (done.version, max(done.version, done.data_version,
+                                                           self._numbers.get((layer, table),
+                                                                             (0, 0))[1]))
+        self.commits[(layer, table)] = (done, df.schema)
         self.metrics.record(layer, table, done.row_count, time.monotonic() - start)
         if self.register:
             # Declared DDL from the published schema: the catalog states the
@@ -95,6 +108,14 @@ class LayerJob:
                                   partition_by)
         return done
 
+    def _current(self, spark, layer, table) -> DataFrame:
+        """A table this run published (no commit-log lookup), else the
+        table's current version."""
+        if (layer, table) in self.commits:
+            done, schema = self.commits[(layer, table)]
+            return V.read_commit(spark, self.root, layer, table, done, schema)
+        return V.read_version(spark, self.root, layer, table)
+
     def _raw(self, spark, table) -> DataFrame:
         if self.source_format == "text":
             return read_delimited(spark, source_path(self.source, table), table,
@@ -108,13 +129,12 @@ class LayerJob:
 
     def silver(self, spark: SparkSession) -> None:
         for table in self.tables:
-            df = silver.clean(V.read_version(spark, self.root, "bronze", table), table,
-                              audit=self.audit)
+            df = silver.clean(self._current(spark, "bronze", table), table, audit=self.audit)
             self._publish(spark, "silver", table, df, PARTITION_COLUMNS[("silver", table)])
 
     def gold(self, spark: SparkSession) -> None:
-        orders = V.read_version(spark, self.root, "silver", "orders")
-        lineitem = V.read_version(spark, self.root, "silver", "lineitem")
+        orders = self._current(spark, "silver", "orders")
+        lineitem = self._current(spark, "silver", "lineitem")
         # Both business tables come from the same per-order facts.  They are
         # written once to a staging table in the warehouse (shared storage),
         # which cuts the lineage: a lost executor costs a re-read of staged

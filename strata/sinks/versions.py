@@ -138,15 +138,27 @@ def commit(spark: SparkSession, root: str, layer: str, table: str, *, data_versi
     return Commit(version, data_version, row_count)
 
 
+def table_numbers(spark: SparkSession, root: str) -> dict[tuple[str, str], tuple[int, int]]:
+    """(latest version, highest number used) of every table, in one read of
+    the commit log (one row per table reaches the driver)."""
+    rows = history(spark, root).groupBy("layer", "table_name").agg(
+        F.max("version").alias("latest"),
+        F.greatest(F.max("version"), F.max("data_version")).alias("used")).collect()
+    return {(r["layer"], r["table_name"]): (int(r["latest"]), int(r["used"])) for r in rows}
+
+
 def publish(spark: SparkSession, root: str, layer: str, table: str, df: DataFrame, *,
             partition_by: str | None = None, operation: str = "replace",
-            committed_at: dt.datetime | None = None) -> Commit:
+            committed_at: dt.datetime | None = None,
+            numbers: tuple[int, int] | None = None) -> Commit:
     """Write ``df`` as a new version and commit it.
 
     The row count is observed during the write (no second scan).  If the
-    write fails nothing is committed.
+    write fails nothing is committed.  ``numbers`` — (latest version, highest
+    number used), as from ``table_numbers`` — spares the commit-log read when
+    the single writer already knows them.
     """
-    latest, used = _numbers(spark, root, layer, table)
+    latest, used = numbers if numbers is not None else _numbers(spark, root, layer, table)
     data_version = used + 1
     # A directory left by a failed attempt with this number is never reused.
     while _exists(spark, data_path(root, layer, table, data_version)):
@@ -175,6 +187,14 @@ def read_version(spark: SparkSession, root: str, layer: str, table: str,
     return _read(spark, root, snapshot(spark, root, layer, table, version))
 
 
+def read_commit(spark: SparkSession, root: str, layer: str, table: str, commit: Commit,
+                schema: StructType) -> DataFrame:
+    """A table its writer just committed, read without a commit-log lookup."""
+    return _read(spark, root, {"layer": layer, "table_name": table,
+                               "data_version": commit.data_version,
+                               "read_schema": schema.json()})
+
+
 def _instant(as_of: dt.datetime | str):
     """A timezone-aware datetime, or a timestamp literal such as
     ``'2025-01-15 00:00:00'`` read in the session time zone."""
