@@ -28,6 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--format", choices=["text", "parquet"], default="text")
     run.add_argument("--no-header", action="store_true")
     run.add_argument("--sep", default="|")
+    run.add_argument("--suffix", default=".csv", help="raw file suffix, e.g. .tbl")
     run.add_argument("--register", action="store_true",
                      help="register bronze/silver/gold tables in the catalog")
     run.add_argument("--attempts", type=int, default=3, help="tries per table step")
@@ -57,7 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "run":
         from strata.plans.layers import LayerJob
         job = LayerJob(source=args.source, root=args.root, source_format=args.format,
-                       header=not args.no_header, sep=args.sep, register=args.register,
+                       header=not args.no_header, sep=args.sep, suffix=args.suffix,
+                       register=args.register,
                        attempts=args.attempts, retry_delay_s=args.retry_delay)
         for entry in job.run(spark).summary().values():
             print(json.dumps(entry))

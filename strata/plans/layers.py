@@ -55,12 +55,14 @@ class RunMetrics:
 @dataclass
 class LayerJob:
     """Configuration of one run.  ``source_format`` is ``text`` (delimited
-    raw files ``<source>/<table>.csv``) or ``parquet`` (``<table>.parquet``)."""
+    raw files ``<source>/<table><suffix>``, e.g. ``orders.csv`` with a header
+    or ``orders.tbl`` without one) or ``parquet`` (``<table>.parquet``)."""
     source: str
     root: str
     source_format: str = "parquet"
     header: bool = True
     sep: str = "|"
+    suffix: str = ".csv"
     tables: tuple[str, ...] = SOURCE_TABLES
     register: bool = False
     audit: bool = True
@@ -118,7 +120,7 @@ class LayerJob:
 
     def _raw(self, spark, table) -> DataFrame:
         if self.source_format == "text":
-            return read_delimited(spark, source_path(self.source, table), table,
+            return read_delimited(spark, source_path(self.source, table, self.suffix), table,
                                   header=self.header, sep=self.sep)
         return read_parquet_table(spark, self.source, table)
 

@@ -63,3 +63,22 @@ def test_clean_accepts_typed_parquet(spark):
     types = dict(cleaned.dtypes)
     assert types["o_totalprice"] == "decimal(15,2)" and types["o_orderdate"] == "date"
     assert cleaned.count() == src.count()
+
+
+def test_job_reads_tbl_files(spark, tmp_path):
+    from strata.plans.layers import LayerJob
+    from strata.sinks import versions as V
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "orders.tbl").write_text(
+        "1|370|O|172799.49|1996-01-02|5-LOW|Clerk#1|0|c|\n"
+        "2|781|O|38426.09|1996-12-01|1-URGENT|Clerk#2|0|c|\n")
+    (raw / "lineitem.tbl").write_text(
+        "1|1552|93|1|17|24710.35|0.04|0.02|N|O|1996-03-13|1996-02-12|1996-03-22|D|T|c|\n"
+        "2|1061|62|1|38|34850.28|0.00|0.05|N|O|1997-01-28|1997-01-14|1997-02-02|D|T|c|\n")
+    job = LayerJob(source=str(raw), root=str(tmp_path / "wh"), source_format="text",
+                   header=False, suffix=".tbl")
+    job.run(spark)
+    daily = V.read_version(spark, job.root, "gold", "revenue_by_order_date")
+    assert daily.count() == 2
+    assert job.metrics.summary()["silver.lineitem"]["row_count"] == 2
