@@ -65,3 +65,41 @@ def test_dates(spark, cases):
         ok = not bad and (padded or (d.month >= 10 and d.day >= 10))
         want.append(d if ok else None)
     assert got == want
+
+
+# -- gold: production plan == literal formulation on random inputs -----------
+
+from strata.operators import gold  # noqa: E402
+from strata.schemas import REVENUE  # noqa: E402
+from pyspark.sql.types import DateType, IntegerType, LongType  # noqa: E402
+
+ORDER_SCHEMA = StructType([
+    StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
+    StructField("o_orderdate", DateType()), StructField("order_year", IntegerType()),
+    StructField("order_month", IntegerType())])
+LINE_SCHEMA = StructType([StructField("l_orderkey", LongType()),
+                          StructField("revenue", REVENUE)])
+
+order_rows = st.lists(st.tuples(st.integers(1, 8), st.one_of(st.none(), st.integers(1, 4)),
+                                st.one_of(st.none(), st.dates(dt.date(1995, 1, 1),
+                                                              dt.date(1995, 3, 31)))),
+                      max_size=25)
+line_rows = st.lists(st.tuples(st.integers(1, 9),
+                               st.one_of(st.none(), st.decimals("0", "999.9999", places=4))),
+                     max_size=40)
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(order_rows, line_rows)
+def test_gold_equals_direct(spark, orders, lines):
+    o = spark.createDataFrame(
+        [(k, c, d, d.year if d else None, d.month if d else None) for k, c, d in orders],
+        ORDER_SCHEMA)
+    li = spark.createDataFrame(lines, LINE_SCHEMA)
+    g = gold.build_gold(o, li)
+    assert _same(g["revenue_by_order_date"], gold.revenue_by_order_date_direct(o, li))
+    assert _same(g["top_customers"], gold.top_customers_direct(o, li))
