@@ -89,7 +89,8 @@ class LayerJob:
             try:
                 done = V.publish(spark, self.root, layer, table, df,
                                  partition_by=partition_by, committed_at=self.committed_at,
-                                 numbers=self._numbers.get((layer, table), (0, 0)))
+                                 numbers=self._numbers.get((layer, table), (0, 0)),
+                                 rebalance=partition_by is not None)
                 break
             except Exception:  # noqa: BLE001 - any failure of the step is retried
                 # a failed attempt may have left a directory: re-read the numbers

@@ -150,13 +150,14 @@ def table_numbers(spark: SparkSession, root: str) -> dict[tuple[str, str], tuple
 def publish(spark: SparkSession, root: str, layer: str, table: str, df: DataFrame, *,
             partition_by: str | None = None, operation: str = "replace",
             committed_at: dt.datetime | None = None,
-            numbers: tuple[int, int] | None = None) -> Commit:
+            numbers: tuple[int, int] | None = None, rebalance: bool = False) -> Commit:
     """Write ``df`` as a new version and commit it.
 
     The row count is observed during the write (no second scan).  If the
     write fails nothing is committed.  ``numbers`` — (latest version, highest
     number used), as from ``table_numbers`` — spares the commit-log read when
-    the single writer already knows them.
+    the single writer already knows them.  ``rebalance``: see
+    ``writes.write_table``.
     """
     latest, used = numbers if numbers is not None else _numbers(spark, root, layer, table)
     data_version = used + 1
@@ -164,7 +165,8 @@ def publish(spark: SparkSession, root: str, layer: str, table: str, df: DataFram
     while _exists(spark, data_path(root, layer, table, data_version)):
         data_version += 1
     obs = Observation(f"{layer}.{table}.v{data_version}")
-    write_table(df, data_path(root, layer, table, data_version), partition_by, observe=obs)
+    write_table(df, data_path(root, layer, table, data_version), partition_by, observe=obs,
+                rebalance=rebalance)
     rows = int(obs.get.get("rows", 0))
     return commit(spark, root, layer, table, data_version=data_version, row_count=rows,
                   operation=operation, read_schema=df.schema.json(),

@@ -17,23 +17,38 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None = None,
-                mode: str = "overwrite", observe: Observation | None = None) -> None:
+                mode: str = "overwrite", observe: Observation | None = None,
+                rebalance: bool = False) -> None:
     """Create-or-replace (default) or append a Parquet table at ``path``.
 
     No global sort before the write: order is applied by readers.  With a
     partition column, the planned write adds only a task-local sort by that
-    column, so each task writes one file per partition value it holds.
-    ``observe`` counts the written rows during the write itself.
+    column.  ``observe`` counts the written rows during the write itself.
+
+    ``rebalance`` (partitioned writes, adaptive execution on) adds one
+    shuffle by the partition column under Spark's REBALANCE hint: adaptive
+    execution splits each partition value's data into advisory-size chunks
+    (a year holding a third of the table becomes many tasks) and merges small
+    ones, so each directory gets a few right-sized files instead of one small
+    file per input task.  Without adaptive execution the hint would be a plain
+    hash repartition (one task per value), so it is skipped.
     """
+    cols = [] if not partition_by else (
+        [partition_by] if isinstance(partition_by, str) else list(partition_by))
+    if rebalance and cols and _adaptive(df):
+        df = df.hint("rebalance", *cols)
     if observe is not None:
         df = df.observe(observe, F.count(F.lit(1)).alias("rows"))
     writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str)
-                                      else partition_by))
+    if cols:
+        writer = writer.partitionBy(*cols)
     writer.parquet(path)
 
 
+def _adaptive(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str | list[str]) -> None:
     """Replace only the partitions present in ``df``; all others are kept.
 
