@@ -187,6 +187,11 @@ ORACLES.update({
         UNION ALL SELECT 'silver', 'lineitem', COUNT(*) FROM {SL} b
         UNION ALL SELECT 'gold', 'revenue_by_order_date', COUNT(*) FROM {R} c
         UNION ALL SELECT 'gold', 'top_customers', COUNT(*) FROM {C} d""",
+    "stored_top_days_1996": f"""SELECT order_date, total_revenue, order_count FROM {R} r
+        WHERE order_year = 1996
+        ORDER BY total_revenue DESC NULLS LAST, order_date ASC NULLS LAST LIMIT 10""",
+    "stored_yearly_revenue": YEARLY,
+    "stored_top_10_customers": f"SELECT * FROM {TOP10} t",
     "catalog_layers": f"""
         SELECT 'bronze' AS layer, 'orders' AS table_name, COUNT(*) AS row_count FROM orders
         UNION ALL SELECT 'bronze', 'lineitem', COUNT(*) FROM lineitem
