@@ -101,21 +101,30 @@ class LayerJob:
         self._numbers[(layer, table)] = (done.version, max(done.version, done.data_version,
                                                            self._numbers.get((layer, table),
                                                                              (0, 0))[1]))
-        self.commits[(layer, table)] = (done, df.schema)
+        self.commits[(layer, table)] = (done, df.schema, partition_by)
         self.metrics.record(layer, table, done.row_count, time.monotonic() - start)
         if self.register:
-            # Declared DDL from the published schema: the catalog states the
-            # exact types and never infers them from files.
-            catalog.declare_table(spark, f"{layer}.{table}", df.schema,
-                                  V.data_path(self.root, layer, table, done.data_version),
-                                  partition_by)
+            self._declare(spark, layer, table)
         return done
 
+    def _declare(self, spark, layer, table) -> None:
+        # Declared DDL from the published schema: the catalog states the
+        # exact types and never infers them from files.
+        done, schema, partition_by = self.commits[(layer, table)]
+        catalog.declare_table(spark, f"{layer}.{table}", schema,
+                              V.data_path(self.root, layer, table, done.data_version),
+                              partition_by)
+
+    def register_tables(self, spark: SparkSession) -> None:
+        """(Re-)point ``layer.table`` at every table this run committed."""
+        for layer, table in self.commits:
+            self._declare(spark, layer, table)
+
     def _current(self, spark, layer, table) -> DataFrame:
         """A table this run published (no commit-log lookup), else the
         table's current version."""
         if (layer, table) in self.commits:
-            done, schema = self.commits[(layer, table)]
+            done, schema, _ = self.commits[(layer, table)]
             return V.read_commit(spark, self.root, layer, table, done, schema)
         return V.read_version(spark, self.root, layer, table)
 

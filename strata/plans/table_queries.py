@@ -290,6 +290,8 @@ def _layer_run(spark, sf_dir) -> LayerJob:
                        committed_at=T0)
         job.run(spark)
         _RUNS[key] = job
+    else:
+        _RUNS[key].register_tables(spark)   # the names may have been re-pointed
     return _RUNS[key]
 
 

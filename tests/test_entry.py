@@ -49,3 +49,12 @@ def test_matches_duckdb(spark, name):
     srows = [tuple(r[c] for c in order) for r in df.collect()]
     drows = [tuple(r[dcols.index(c)] for c in order) for r in drows]
     assert _norm(srows) == _norm(drows)
+
+
+def test_stored_queries_survive_catalog_repointing(spark, sample_run):
+    """The shared job run re-points the catalog names before querying."""
+    q = entry.queries()
+    first = q["stored_yearly_revenue"](spark, SF_SMALL).collect()
+    sample_run.register_tables(spark)           # names now point at the sample
+    again = q["stored_yearly_revenue"](spark, SF_SMALL).collect()
+    assert first == again and len(first) > 1
