@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -108,6 +109,10 @@ class TestGold:
 
 
 class TestSQLQueries:
+    @pytest.fixture(autouse=True)
+    def _sample_names(self, spark, sample_run):
+        sample_run.register_tables(spark)     # other tests may re-point layer.table
+
     def test_yearly_rollup_on_catalog_table(self, spark, sample_run):
         got = analyst.yearly_revenue_sql(spark, "gold.revenue_by_order_date").collect()
         assert [(r[0], r[1], r[2]) for r in got] == [
