@@ -151,7 +151,11 @@ class LayerJob:
         # written once to a staging table in the warehouse (shared storage),
         # which cuts the lineage: a lost executor costs a re-read of staged
         # files, not a recomputation of the join.  Removed after the commits.
-        staging = f"{self.root.rstrip('/')}/_staging/order_facts-{uuid.uuid4().hex[:12]}"
+        staging_root = f"{self.root.rstrip('/')}/_staging"
+        # One writer per warehouse: staging left here belongs to a run that
+        # died before cleaning up.
+        V.delete_paths(spark, [staging_root])
+        staging = f"{staging_root}/order_facts-{uuid.uuid4().hex[:12]}"
         write_table(gold.order_facts(orders, lineitem), staging)
         try:
             facts = spark.read.parquet(staging)

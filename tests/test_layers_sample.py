@@ -196,3 +196,17 @@ def test_step_retry_commits_once(spark, tmp_path, monkeypatch):
     assert calls["n"] == 2
     assert V.latest_version(spark, job.root, "bronze", "orders") == 1
     assert job.metrics.summary()["bronze.orders"]["row_count"] == 10
+
+
+def test_gold_clears_dead_staging(spark, tmp_path):
+    import os
+
+    from conftest import DATA
+    from strata.plans.layers import LayerJob
+    root = str(tmp_path)
+    dead = os.path.join(root, "_staging", "order_facts-dead")
+    os.makedirs(dead)
+    open(os.path.join(dead, "part-0.parquet"), "w").close()
+    LayerJob(source=DATA, root=root, source_format="text").run(spark)
+    assert not os.path.exists(os.path.join(root, "_staging")) or \
+        os.listdir(os.path.join(root, "_staging")) == []
