@@ -98,9 +98,9 @@ class LayerJob:
                 if attempt == self.attempts:
                     raise
                 time.sleep(self.retry_delay_s)
-        self._numbers[(layer, table)] = (done.version, max(done.version, done.data_version,
-                                                           self._numbers.get((layer, table),
-                                                                             (0, 0))[1]))
+        _, used = self._numbers.get((layer, table), (0, 0))
+        self._numbers[(layer, table)] = (done.version,
+                                         max(used, done.version, done.data_version))
         self.commits[(layer, table)] = (done, df.schema, partition_by)
         self.metrics.record(layer, table, done.row_count, time.monotonic() - start)
         if self.register:
