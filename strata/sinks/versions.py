@@ -205,6 +205,20 @@ def _instant(as_of: dt.datetime | str):
     return F.lit(as_of)
 
 
+def register_version_view(spark: SparkSession, root: str, layer: str, table: str, *,
+                          version: int | None = None, as_of: dt.datetime | str | None = None,
+                          name: str | None = None) -> str:
+    """A temp view over one version (or the version current at ``as_of``),
+    for SQL time travel: ``SELECT * FROM top_customers_v3``."""
+    if as_of is not None:
+        version = version_as_of(spark, root, layer, table, as_of)
+    if version is None:
+        version = latest_version(spark, root, layer, table)
+    view = name or f"{table}_v{version}"
+    read_version(spark, root, layer, table, version).createOrReplaceTempView(view)
+    return view
+
+
 def version_as_of(spark: SparkSession, root: str, layer: str, table: str,
                   as_of: dt.datetime | str) -> int:
     """Latest version committed at or before ``as_of``."""

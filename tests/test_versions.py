@@ -183,3 +183,15 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path, orders):
         if d not in ("order_year=1996", "order_year=1997", "order_year=1998"):
             assert before[d] == after[d]       # untouched directories: same files
     _same(spark.read.parquet(path).select(*orders.columns), expected)
+
+
+def test_version_views(spark, tmp_path, orders):
+    root = str(tmp_path)
+    V.publish(spark, root, "silver", "orders", orders, committed_at=T0)
+    V.publish(spark, root, "silver", "orders", orders.limit(3), committed_at=T0 + H)
+    v1 = V.register_version_view(spark, root, "silver", "orders", version=1)
+    assert v1 == "orders_v1"
+    assert spark.sql("SELECT count(*) FROM orders_v1").first()[0] == orders.count()
+    name = V.register_version_view(spark, root, "silver", "orders",
+                                   as_of="2025-01-01 01:30:00", name="orders_then")
+    assert spark.sql(f"SELECT count(*) FROM {name}").first()[0] == 3
