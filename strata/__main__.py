@@ -1,6 +1,6 @@
 """Command line: run the three-layer job, or an upkeep step, on a warehouse root.
 
-    spark-submit -m strata run --source s3a://raw/tpch/ --root s3a://lake/wh --format text
+    spark-submit job.py run --source s3a://raw/tpch/ --root s3a://lake/wh --format text
     python -m strata history --root /lake/wh [--layer gold --table top_customers]
     python -m strata compact --root /lake/wh --layer silver --table lineitem
     python -m strata rollback --root /lake/wh --layer gold --table top_customers --version 3
