@@ -191,6 +191,7 @@ ORACLES.update({
         WHERE order_year = 1996
         ORDER BY total_revenue DESC NULLS LAST, order_date ASC NULLS LAST LIMIT 10""",
     "stored_yearly_revenue": YEARLY,
+    "ctas_yearly_revenue": YEARLY,
     "stored_top_10_customers": f"SELECT * FROM {TOP10} t",
     "catalog_layers": f"""
         SELECT 'bronze' AS layer, 'orders' AS table_name, COUNT(*) AS row_count FROM orders

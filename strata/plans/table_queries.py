@@ -20,7 +20,7 @@ from strata.plans.registry import query
 from strata.plans.sources import clean_tables, gold_tables
 from strata.schemas import MONEY
 from strata.session import work_root
-from strata.sinks import upkeep
+from strata.sinks import catalog, upkeep
 from strata.sinks import versions as V
 from strata.sinks.writes import overwrite_partitions, upsert_partitions, write_table
 from strata.sources.delimited import as_raw_text, read_delimited, write_delimited
@@ -319,6 +319,18 @@ def catalog_layers(spark, sf_dir):
         UNION ALL SELECT 'gold', 'top_customers', count(*) FROM gold.top_customers""")
 
 
+@query
+def ctas_yearly_revenue(spark, sf_dir):
+    """CREATE TABLE .. AS SELECT of the yearly roll-up over the stored gold
+    table, into the shared scratch folder; read back by name."""
+    _layer_run(spark, sf_dir)
+    return catalog.create_table_as(
+        spark, "gold.yearly_revenue",
+        "SELECT order_year, SUM(total_revenue) AS yearly_revenue, "
+        "SUM(order_count) AS yearly_orders FROM gold.revenue_by_order_date GROUP BY order_year",
+        location=f"{work_root(spark, 'ctas')}/gold/yearly_revenue")
+
+
 @query
 def stored_top_days_1996(spark, sf_dir):
     """Best 1996 days read from the stored, year-partitioned gold table (the

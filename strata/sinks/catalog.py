@@ -48,10 +48,15 @@ def declare_table(spark: SparkSession, fqn: str, schema: StructType, path: str,
 
 
 def create_table_as(spark: SparkSession, fqn: str, select_sql: str,
-                    partition_by: str | None = None) -> DataFrame:
-    """CREATE TABLE .. USING parquet [PARTITIONED BY] AS SELECT (managed table)."""
+                    partition_by: str | None = None, location: str | None = None) -> DataFrame:
+    """CREATE TABLE .. USING parquet [PARTITIONED BY] [LOCATION] AS SELECT.
+
+    Without ``location`` the table is managed (under the warehouse folder);
+    with it the data goes to that path (e.g. shared storage)."""
     part = f" PARTITIONED BY ({partition_by})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {_q(fqn)} USING parquet{part} AS {select_sql}")
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"DROP TABLE IF EXISTS {_q(fqn)}")
+    spark.sql(f"CREATE TABLE {_q(fqn)} USING parquet{part}{loc} AS {select_sql}")
     return spark.table(fqn)
 
 
