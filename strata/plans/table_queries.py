@@ -306,6 +306,13 @@ def copy_tables(spark, sf_dir):
     return upkeep.copy_tables(spark, src, work_root(spark, "copy-dst"), committed_at=_hours(1))
 
 
+@query
+def copy_tables_with_history(spark, sf_dir):
+    """The warehouse moved with every version and its commit log."""
+    src = _layer_run(spark, sf_dir).root
+    return upkeep.copy_tables(spark, src, work_root(spark, "copy-hist"), with_history=True)
+
+
 @query
 def catalog_layers(spark, sf_dir):
     """SQL over the ``layer.table`` names the job registered."""

@@ -19,7 +19,7 @@ from pyspark.sql.types import (
 )
 
 from strata.sinks import versions as V
-from strata.sinks.writes import checksum, duplicate_keys, upsert
+from strata.sinks.writes import checksum, duplicate_keys, upsert, write_table
 
 SMALL_FILE_BYTES = 64 * 1024 * 1024      # compaction trigger: average file below this
 TARGET_FILE_BYTES = 128 * 1024 * 1024    # compaction output size
@@ -181,16 +181,26 @@ def current_tables(spark: SparkSession, root: str) -> list[tuple[str, str]]:
 
 
 def copy_tables(spark: SparkSession, src_root: str, dst_root: str,
-                committed_at: dt.datetime | None = None) -> DataFrame:
-    """Copy each table's current version to a new root (as Spark jobs, not a
-    driver-side file copy), then validate: counts and an order-insensitive
-    row checksum, source against copy."""
+                committed_at: dt.datetime | None = None,
+                with_history: bool = False) -> DataFrame:
+    """Copy a warehouse to a new root as Spark jobs (not a driver-side file
+    copy), then validate each table's current version: counts and an
+    order-insensitive row checksum, source against copy.
+
+    By default each table's current version is copied as a fresh commit.
+    ``with_history`` copies every directory a commit references, under the
+    same number, and the commit log itself, so versions, rollback and as-of
+    reads work on the new root exactly as on the old one.
+    """
+    if with_history:
+        _copy_history(spark, src_root, dst_root)
     checks = []
     for layer, table in current_tables(spark, src_root):
         snap = V.snapshot(spark, src_root, layer, table)
         df = V.read_version(spark, src_root, layer, table)
-        V.publish(spark, dst_root, layer, table, df, partition_by=snap["partition_by"],
-                  operation="copy", committed_at=committed_at)
+        if not with_history:
+            V.publish(spark, dst_root, layer, table, df, partition_by=snap["partition_by"],
+                      operation="copy", committed_at=committed_at)
         copied = V.read_version(spark, dst_root, layer, table)
         both = (checksum(df).withColumn("side", F.lit("source"))
                 .unionByName(checksum(copied).withColumn("side", F.lit("copy"))))
@@ -205,3 +215,17 @@ def copy_tables(spark: SparkSession, src_root: str, dst_root: str,
     for c in checks[1:]:
         out = out.unionByName(c)
     return out
+
+
+def _copy_history(spark: SparkSession, src_root: str, dst_root: str) -> None:
+    """Every referenced data directory (its files as written, partitioning
+    kept), then the commit log as a table."""
+    dirs = (V.history(spark, src_root)
+            .groupBy("layer", "table_name", "data_version")
+            .agg(F.max("partition_by").alias("partition_by")).collect())
+    for r in dirs:
+        layer, table, dv = r["layer"], r["table_name"], int(r["data_version"])
+        data = spark.read.parquet(V.data_path(src_root, layer, table, dv))
+        write_table(data, V.data_path(dst_root, layer, table, dv), r["partition_by"])
+    (V.history(spark, src_root).write.mode("overwrite")
+       .parquet(V.snapshots_path(dst_root)))

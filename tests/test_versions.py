@@ -195,3 +195,18 @@ def test_version_views(spark, tmp_path, orders):
     name = V.register_version_view(spark, root, "silver", "orders",
                                    as_of="2025-01-01 01:30:00", name="orders_then")
     assert spark.sql(f"SELECT count(*) FROM {name}").first()[0] == 3
+
+
+def test_copy_with_history(spark, tmp_path, orders):
+    src, dst = str(tmp_path / "a"), str(tmp_path / "b")
+    V.publish(spark, src, "silver", "orders", orders, partition_by="order_year",
+              committed_at=T0)
+    V.publish(spark, src, "silver", "orders", orders.limit(9), partition_by="order_year",
+              committed_at=T0 + H)
+    V.rollback(spark, src, "silver", "orders", 1, committed_at=T0 + 2 * H)
+    checks = upkeep.copy_tables(spark, src, dst, with_history=True).collect()
+    assert [(r.source_rows, r.copied_rows, r.same_rows) for r in checks] == \
+        [(orders.count(), orders.count(), True)]
+    assert V.read_version(spark, dst, "silver", "orders", 2).count() == 9
+    assert V.read_as_of(spark, dst, "silver", "orders", T0 + 1.5 * H).count() == 9
+    assert [r.version for r in V.history(spark, dst).orderBy("version").collect()] == [1, 2, 3]
