@@ -113,6 +113,16 @@ UPDATES = f"""(SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus,
         o_orderpriority, order_year, order_month
    FROM {SO} b WHERE o_orderkey % 10 = 1)"""
 
+COPY_CHECK = f"""
+        SELECT layer, table_name, row_count AS source_rows, row_count AS copied_rows,
+               TRUE AS same_rows FROM (
+          SELECT 'bronze' AS layer, 'orders' AS table_name, COUNT(*) AS row_count FROM orders
+          UNION ALL SELECT 'bronze', 'lineitem', COUNT(*) FROM lineitem
+          UNION ALL SELECT 'silver', 'orders', COUNT(*) FROM {SO} a
+          UNION ALL SELECT 'silver', 'lineitem', COUNT(*) FROM {SL} b
+          UNION ALL SELECT 'gold', 'revenue_by_order_date', COUNT(*) FROM {R} c
+          UNION ALL SELECT 'gold', 'top_customers', COUNT(*) FROM {C} d) """
+
 ORACLES.update({
     "bronze_orders": """SELECT o_orderkey, o_custkey, o_orderstatus,
         CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
@@ -200,22 +210,7 @@ ORACLES.update({
         UNION ALL SELECT 'silver', 'lineitem', COUNT(*) FROM {SL} b
         UNION ALL SELECT 'gold', 'revenue_by_order_date', COUNT(*) FROM {R} c
         UNION ALL SELECT 'gold', 'top_customers', COUNT(*) FROM {C} d""",
-    "copy_tables": f"""
-        SELECT layer, table_name, row_count AS source_rows, row_count AS copied_rows,
-               TRUE AS same_rows FROM (
-          SELECT 'bronze' AS layer, 'orders' AS table_name, COUNT(*) AS row_count FROM orders
-          UNION ALL SELECT 'bronze', 'lineitem', COUNT(*) FROM lineitem
-          UNION ALL SELECT 'silver', 'orders', COUNT(*) FROM {SO} a
-          UNION ALL SELECT 'silver', 'lineitem', COUNT(*) FROM {SL} b
-          UNION ALL SELECT 'gold', 'revenue_by_order_date', COUNT(*) FROM {R} c
-          UNION ALL SELECT 'gold', 'top_customers', COUNT(*) FROM {C} d) x""",
-    "copy_tables_with_history": f"""
-        SELECT layer, table_name, row_count AS source_rows, row_count AS copied_rows,
-               TRUE AS same_rows FROM (
-          SELECT 'bronze' AS layer, 'orders' AS table_name, COUNT(*) AS row_count FROM orders
-          UNION ALL SELECT 'bronze', 'lineitem', COUNT(*) FROM lineitem
-          UNION ALL SELECT 'silver', 'orders', COUNT(*) FROM {SO} a
-          UNION ALL SELECT 'silver', 'lineitem', COUNT(*) FROM {SL} b
-          UNION ALL SELECT 'gold', 'revenue_by_order_date', COUNT(*) FROM {R} c
-          UNION ALL SELECT 'gold', 'top_customers', COUNT(*) FROM {C} d) x""",
+    "copy_tables": COPY_CHECK,
+    "copy_tables_with_history": COPY_CHECK,
+
 })
