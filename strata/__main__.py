@@ -72,16 +72,13 @@ def main(argv: list[str] | None = None) -> int:
         print(V.rollback(spark, args.root, args.layer, args.table, args.version))
     elif args.command == "expire":
         import datetime as dt
-        from pyspark.sql import functions as F
         cut = dt.datetime.fromisoformat(args.older_than).replace(tzinfo=dt.timezone.utc)
-        cands = V.expire_candidates(spark, args.root, cut, args.retain_last,
-                                    args.layer, args.table)
-        cands.orderBy("version").show(1000, truncate=False)
         if args.delete:
-            gone = [r["data_version"] for r in cands.filter(F.col("directory_deletable"))
-                    .select("data_version").distinct().collect()]
-            print(V.delete_paths(spark, V.directory_paths(args.root, args.layer, args.table,
-                                                          gone)))
+            upkeep.expire(spark, args.root, cut, args.retain_last, args.layer, args.table) \
+                .show(1000, truncate=False)
+        else:
+            V.expire_candidates(spark, args.root, cut, args.retain_last, args.layer,
+                                args.table).orderBy("version").show(1000, truncate=False)
     return 0
 
 

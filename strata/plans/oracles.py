@@ -182,6 +182,11 @@ ORACLES.update({
                      (3, 3, 'replace', TRUE, TRUE), (4, 4, 'replace', TRUE, TRUE),
                      (5, 5, 'replace', FALSE, FALSE), (6, 6, 'replace', FALSE, FALSE),
                      (7, 2, 'rollback', FALSE, FALSE)) t(v, dv, op, expired, deletable), n""",
+    "expire_commits": f"""
+        WITH n AS (SELECT COUNT(*) AS c FROM {R} r)
+        SELECT CAST(v AS BIGINT) AS version, CAST(dv AS BIGINT) AS data_version,
+               op AS operation, n.c AS current_rows
+        FROM (VALUES (5, 5, 'replace'), (6, 6, 'replace'), (7, 2, 'rollback')) t(v, dv, op), n""",
     "orphan_files": f"""SELECT CAST(3 AS BIGINT) AS data_version, COUNT(*) AS orphan_rows
         FROM {SO} s WHERE order_year = 1996""",
     "compaction_same_rows": f"SELECT * FROM {SL} s",

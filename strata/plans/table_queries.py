@@ -198,10 +198,8 @@ def rollback(spark, sf_dir):
     return V.read_version(spark, _history_scenario(spark, sf_dir), "silver", "orders")
 
 
-@query
-def expire_candidates(spark, sf_dir):
-    """Six daily commits of the daily-revenue table, then a rollback to v2;
-    expire what is older than day 4 beyond the newest two commits."""
+def _expiry_scenario(spark, sf_dir):
+    """Six daily commits of the daily-revenue table, then a rollback to v2."""
     root = work_root(spark, "expire")
     day = dt.timedelta(days=1)
     V.publish(spark, root, "gold", "revenue_by_order_date",
@@ -212,14 +210,34 @@ def expire_candidates(spark, sf_dir):
                   V.read_version(spark, root, "gold", "revenue_by_order_date", 1),
                   partition_by="order_year", committed_at=T0 + i * day)
     V.rollback(spark, root, "gold", "revenue_by_order_date", 2, committed_at=T0 + 6 * day)
+    return root, T0 + 4 * day
+
+
+@query
+def expire_candidates(spark, sf_dir):
+    """Expire what is older than day 4 beyond the newest two commits."""
+    root, cut = _expiry_scenario(spark, sf_dir)
     rows = V.history(spark, root, "gold", "revenue_by_order_date").select("version", "row_count")
-    return (V.expire_candidates(spark, root, T0 + 4 * day, retain_last=2,
+    return (V.expire_candidates(spark, root, cut, retain_last=2,
                                 layer="gold", table="revenue_by_order_date")
             .join(rows, "version")
             .select("version", "data_version", "row_count", "operation", "expired",
                     "directory_deletable"))
 
 
+@query
+def expire_commits(spark, sf_dir):
+    """The same expiry carried out: the history left, and the kept version
+    whose directory an expired commit shared still reads in full."""
+    root, cut = _expiry_scenario(spark, sf_dir)
+    upkeep.expire(spark, root, cut, retain_last=2, layer="gold",
+                  table="revenue_by_order_date")
+    current_rows = V.read_version(spark, root, "gold", "revenue_by_order_date").count()
+    return (V.history(spark, root, "gold", "revenue_by_order_date")
+            .select("version", "data_version", "operation",
+                    F.lit(current_rows).cast("bigint").alias("current_rows")))
+
+
 @query
 def orphan_files(spark, sf_dir):
     """Two commits, then a run that wrote data but died before committing."""

@@ -219,7 +219,8 @@ def copy_tables(spark: SparkSession, src_root: str, dst_root: str,
 
 def _copy_history(spark: SparkSession, src_root: str, dst_root: str) -> None:
     """Every referenced data directory (its files as written, partitioning
-    kept), then the commit log as a table."""
+    kept), then the commit log, one file per commit as the writer keeps it
+    (so ``expire`` can drop single commits)."""
     dirs = (V.history(spark, src_root)
             .groupBy("layer", "table_name", "data_version")
             .agg(F.max("partition_by").alias("partition_by")).collect())
@@ -227,5 +228,32 @@ def _copy_history(spark: SparkSession, src_root: str, dst_root: str) -> None:
         layer, table, dv = r["layer"], r["table_name"], int(r["data_version"])
         data = spark.read.parquet(V.data_path(src_root, layer, table, dv))
         write_table(data, V.data_path(dst_root, layer, table, dv), r["partition_by"])
-    (V.history(spark, src_root).write.mode("overwrite")
-       .parquet(V.snapshots_path(dst_root)))
+    for row in V.history(spark, src_root).orderBy("layer", "table_name", "version").collect():
+        V.append_commit_row(spark, dst_root, row.asDict())
+
+
+# -- expiry -------------------------------------------------------------------
+
+def expire(spark: SparkSession, root: str, older_than: dt.datetime | str,
+           retain_last: int = 5, layer: str | None = None,
+           table: str | None = None) -> DataFrame:
+    """Expire commits (see ``versions.expire_candidates``): delete the data
+    directories no kept commit reads, then drop the expired commits from the
+    commit log, so history, as-of reads and rollback no longer offer them.
+
+    Data goes first: a run that dies half-way leaves commits whose directory
+    is gone (still listed, no longer readable) rather than unlisted files.
+    Returns the expired commits.
+    """
+    cands = V.expire_candidates(spark, root, older_than, retain_last, layer, table)
+    expired = cands.filter(F.col("expired")).collect()      # bounded: commits
+    dirs = {(r["layer"], r["table_name"], int(r["data_version"]))
+            for r in expired if r["directory_deletable"]}
+    V.delete_paths(spark, [V.data_path(root, lay, tab, dv) for lay, tab, dv in dirs])
+    keys = {(r["layer"], r["table_name"], int(r["version"])) for r in expired}
+    log_files = [r["file"] for r in V.history_files(spark, root).collect()
+                 if (r["layer"], r["table_name"], int(r["version"])) in keys]
+    V.delete_paths(spark, log_files)
+    return spark.createDataFrame(
+        [(lay, tab, v) for lay, tab, v in sorted(keys)],
+        "layer string, table_name string, version long")

@@ -118,10 +118,23 @@ def snapshot(spark: SparkSession, root: str, layer: str, table: str,
 
 
 def _append_commit(spark: SparkSession, root: str, row: dict) -> None:
+    """One commit = one small file in the log (so single commits can expire)."""
     (spark.createDataFrame([row], SNAPSHOT_SCHEMA)
        .coalesce(1).write.mode("append").parquet(snapshots_path(root)))
 
 
+def append_commit_row(spark: SparkSession, root: str, row: dict) -> None:
+    """Append an existing commit row unchanged (used when copying history)."""
+    _append_commit(spark, root, {f.name: row[f.name] for f in SNAPSHOT_SCHEMA.fields})
+
+
+def history_files(spark: SparkSession, root: str) -> DataFrame:
+    """(layer, table_name, version, file): the log file holding each commit."""
+    return (history(spark, root)
+            .select("layer", "table_name", "version",
+                    F.col("_metadata.file_path").alias("file")))
+
+
 def commit(spark: SparkSession, root: str, layer: str, table: str, *, data_version: int,
            row_count: int | None, operation: str, read_schema: str | None,
            partition_by: str | None, committed_at: dt.datetime | None = None,

@@ -210,3 +210,21 @@ def test_copy_with_history(spark, tmp_path, orders):
     assert V.read_version(spark, dst, "silver", "orders", 2).count() == 9
     assert V.read_as_of(spark, dst, "silver", "orders", T0 + 1.5 * H).count() == 9
     assert [r.version for r in V.history(spark, dst).orderBy("version").collect()] == [1, 2, 3]
+
+
+def test_expire_drops_commits_and_directories(spark, tmp_path, orders):
+    import os
+    root = str(tmp_path)
+    small = orders.select("o_orderkey", "order_year")
+    for i in range(4):
+        V.publish(spark, root, "silver", "orders", small, committed_at=T0 + i * H)
+    V.rollback(spark, root, "silver", "orders", 1, committed_at=T0 + 4 * H)
+    gone = upkeep.expire(spark, root, T0 + 3 * H, retain_last=2)
+    assert sorted(r.version for r in gone.collect()) == [1, 2, 3]
+    assert [r.version for r in V.history(spark, root).orderBy("version").collect()] == [4, 5]
+    # v=1 is still read by the rollback commit; v=2 and v=3 are gone
+    names = set(os.listdir(os.path.join(root, "silver", "orders")))
+    assert "v=1" in names and "v=4" in names and "v=2" not in names and "v=3" not in names
+    assert V.read_version(spark, root, "silver", "orders").count() == orders.count()
+    with pytest.raises(ValueError):
+        V.read_version(spark, root, "silver", "orders", 2)
