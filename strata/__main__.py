@@ -34,13 +34,16 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--attempts", type=int, default=3, help="tries per table step")
     run.add_argument("--retry-delay", type=float, default=5.0, help="seconds between tries")
 
-    for name in ("history", "compact", "rollback", "expire"):
+    for name in ("history", "compact", "rollback", "expire", "orphans"):
         s = sub.add_parser(name)
         s.add_argument("--root", required=True)
         s.add_argument("--layer", required=name != "history")
         s.add_argument("--table", required=name != "history")
         if name == "rollback":
             s.add_argument("--version", type=int, required=True)
+        if name == "orphans":
+            s.add_argument("--older-than", required=True, help="ISO timestamp, UTC")
+            s.add_argument("--delete", action="store_true")
         if name == "expire":
             s.add_argument("--older-than", required=True, help="ISO timestamp, UTC")
             s.add_argument("--retain-last", type=int, default=5)
@@ -79,6 +82,13 @@ def main(argv: list[str] | None = None) -> int:
         else:
             V.expire_candidates(spark, args.root, cut, args.retain_last, args.layer,
                                 args.table).orderBy("version").show(1000, truncate=False)
+    elif args.command == "orphans":
+        import datetime as dt
+        cut = dt.datetime.fromisoformat(args.older_than).replace(tzinfo=dt.timezone.utc)
+        if args.delete:
+            upkeep.remove_orphans(spark, args.root, args.layer, args.table, cut).show()
+        else:
+            V.orphan_files(spark, args.root, args.layer, args.table, cut).show(1000, False)
     return 0
 
 

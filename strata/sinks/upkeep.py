@@ -257,3 +257,21 @@ def expire(spark: SparkSession, root: str, older_than: dt.datetime | str,
     return spark.createDataFrame(
         [(lay, tab, v) for lay, tab, v in sorted(keys)],
         "layer string, table_name string, version long")
+
+
+def remove_orphans(spark: SparkSession, root: str, layer: str, table: str,
+                   older_than: dt.datetime | str) -> DataFrame:
+    """Delete what ``versions.orphan_files`` finds: whole unreferenced version
+    directories (one delete each, however many files they hold) and stray
+    files outside any version directory.  Returns (data_version, files, bytes)
+    per removed directory (NULL version: stray files).  Run only when no
+    writer is active on the table."""
+    found = V.orphan_files(spark, root, layer, table, older_than)
+    summary = (found.groupBy("data_version")
+               .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
+    rows = summary.collect()                                    # bounded: directories
+    versions = [int(r["data_version"]) for r in rows if r["data_version"] is not None]
+    stray = [r["path"] for r in found.filter(F.col("data_version").isNull())
+             .select("path").collect()]
+    V.delete_paths(spark, V.directory_paths(root, layer, table, versions) + stray)
+    return spark.createDataFrame(rows, summary.schema)

@@ -26,5 +26,7 @@ def test_cli_run_and_upkeep(spark, tmp_path, capsys):
     assert main(["expire", "--root", root, "--layer", "silver", "--table", "orders",
                  "--older-than", "2999-01-01T00:00:00", "--retain-last", "1",
                  "--delete"]) == 0
+    assert main(["orphans", "--root", root, "--layer", "silver", "--table", "orders",
+                 "--older-than", "2999-01-01T00:00:00", "--delete"]) == 0
     # versions 1 and 2 expired; the current (compacted) one still reads
     assert V.read_version(spark, root, "silver", "orders").count() == 10

@@ -64,8 +64,10 @@ def test_uncommitted_directory_is_orphan_and_never_reused(spark, tmp_path, order
     assert V.orphan_files(spark, root, "silver", "orders", older_than=T0).count() == 0
     c = V.publish(spark, root, "silver", "orders", orders, committed_at=T0 + H)
     assert (c.version, c.data_version) == (2, 3)
-    assert V.delete_paths(spark, V.directory_paths(root, "silver", "orders", [2])) == 1
+    removed = upkeep.remove_orphans(spark, root, "silver", "orders", T0 + 10**6 * H)
+    assert [r.data_version for r in removed.collect()] == [2]
     assert V.orphan_files(spark, root, "silver", "orders", T0 + 10**6 * H).count() == 0
+    _same(V.read_version(spark, root, "silver", "orders"), orders)
 
 
 def test_expire_keeps_directories_still_read(spark, tmp_path, orders):
