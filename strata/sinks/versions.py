@@ -273,7 +273,7 @@ def expire_candidates(spark: SparkSession, root: str, older_than: dt.datetime |
     by_table = Window.partitionBy("layer", "table_name").orderBy(F.desc("version"))
     ranked = h.withColumn("recency", F.row_number().over(by_table)).withColumn(
         "expired", (F.col("committed_at") < _instant(older_than))
-        & (F.col("recency") > F.lit(retain_last)))
+        & (F.col("recency") > F.lit(max(1, retain_last))))   # never the current one
     still_read = (ranked.filter(~F.col("expired"))
                   .select("layer", "table_name", "data_version").distinct()
                   .withColumn("still_read", F.lit(True)))

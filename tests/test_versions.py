@@ -230,3 +230,13 @@ def test_expire_drops_commits_and_directories(spark, tmp_path, orders):
     assert V.read_version(spark, root, "silver", "orders").count() == orders.count()
     with pytest.raises(ValueError):
         V.read_version(spark, root, "silver", "orders", 2)
+
+
+def test_expire_never_drops_the_current_commit(spark, tmp_path, orders):
+    root = str(tmp_path)
+    small = orders.select("o_orderkey")
+    for i in range(3):
+        V.publish(spark, root, "silver", "orders", small, committed_at=T0 + i * H)
+    upkeep.expire(spark, root, T0 + 100 * H, retain_last=0)
+    assert [r.version for r in V.history(spark, root).collect()] == [3]
+    assert V.read_version(spark, root, "silver", "orders").count() == orders.count()
