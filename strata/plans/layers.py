@@ -151,7 +151,7 @@ class LayerJob:
         # written once to a staging table in the warehouse (shared storage),
         # which cuts the lineage: a lost executor costs a re-read of staged
         # files, not a recomputation of the join.  Removed after the commits.
-        staging_root = f"{self.root.rstrip('/')}/_staging"
+        staging_root = f"{self.root.rstrip('/')}/staging"
         # One writer per warehouse: staging left here belongs to a run that
         # died before cleaning up.
         V.delete_paths(spark, [staging_root])

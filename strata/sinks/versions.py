@@ -3,9 +3,9 @@
 Layout under a warehouse root::
 
     <root>/<layer>/<table>/v=<n>/...     one directory per data version
-    <root>/_snapshots/                   commit log, one small file per commit
+    <root>/snapshot_log/                 commit log, one small file per commit
 
-A commit writes its data directory first and appends its ``_snapshots`` row
+A commit writes its data directory first and appends its commit-log row
 last, so a job that dies half-way leaves only an uncommitted directory
 (found by ``orphan_files``) and readers keep seeing the previous version.
 ``version`` rises by one per commit; ``data_version`` names the directory and
@@ -59,7 +59,7 @@ def data_path(root: str, layer: str, table: str, data_version: int) -> str:
 
 
 def snapshots_path(root: str) -> str:
-    return f"{root.rstrip('/')}/_snapshots"
+    return f"{root.rstrip('/')}/snapshot_log"
 
 
 def history(spark: SparkSession, root: str, layer: str | None = None,

@@ -204,9 +204,9 @@ def test_gold_clears_dead_staging(spark, tmp_path):
     from conftest import DATA
     from strata.plans.layers import LayerJob
     root = str(tmp_path)
-    dead = os.path.join(root, "_staging", "order_facts-dead")
+    dead = os.path.join(root, "staging", "order_facts-dead")
     os.makedirs(dead)
     open(os.path.join(dead, "part-0.parquet"), "w").close()
     LayerJob(source=DATA, root=root, source_format="text").run(spark)
-    assert not os.path.exists(os.path.join(root, "_staging")) or \
-        os.listdir(os.path.join(root, "_staging")) == []
+    assert not os.path.exists(os.path.join(root, "staging")) or \
+        os.listdir(os.path.join(root, "staging")) == []
