@@ -72,6 +72,22 @@ def sorted_desc(report: DataFrame, value: str, tie: str) -> DataFrame:
     )
 
 
+def top_n_complete(full: DataFrame, report: DataFrame, value: str, key: str) -> DataFrame:
+    """(report_rows, missed): rows outside a top-N report that rank above its
+    last row.  Zero means the report really holds the top N.
+
+    One scalar (the report's lowest value) reaches the driver; the rest is an
+    anti join of the full table against the N report keys and one aggregate.
+    """
+    threshold = report.agg(F.min(value)).first()[0]
+    rows = report.count()
+    outside = full.join(report.select(key), key, "left_anti")
+    missed = (F.count_if(F.col(value) > F.lit(threshold)) if threshold is not None
+              else F.lit(0).cast("bigint"))
+    return outside.agg(F.lit(rows).cast("bigint").alias("report_rows"),
+                       missed.alias("missed"))
+
+
 def assert_check(result: DataFrame, **expected) -> None:
     """Collect the one-row check result and compare named fields."""
     row = result.first().asDict()

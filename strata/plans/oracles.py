@@ -82,6 +82,10 @@ ORACLES: dict[str, str] = {
     "qc_revenue_positive": f"""SELECT COUNT(*) AS row_count,
         COUNT(*) FILTER (WHERE total_revenue IS NULL OR total_revenue <= 0) AS non_positive
         FROM {R} r""",
+    "qc_top_complete": f"""SELECT (SELECT COUNT(*) FROM {TOP10} t1) AS report_rows,
+        COUNT(*) AS missed FROM {C} c
+        WHERE c.customer_key NOT IN (SELECT customer_key FROM {TOP10} t2)
+          AND c.total_revenue > (SELECT MIN(total_revenue) FROM {TOP10} t3)""",
     "qc_top_sorted": f"""SELECT COUNT(*) AS checked_rows,
         COUNT(*) FILTER (WHERE prev < total_revenue) AS out_of_order
         FROM (SELECT total_revenue, LAG(total_revenue) OVER

@@ -128,6 +128,13 @@ def qc_revenue_positive(spark, sf_dir):
     return checks.revenue_positive(revenue_by_order_date(spark, sf_dir))
 
 
+@query
+def qc_top_complete(spark, sf_dir):
+    customers = top_customers(spark, sf_dir)
+    report = analyst.top_n_customers(customers, 10)
+    return checks.top_n_complete(customers, report, "total_revenue", "customer_key")
+
+
 @query
 def qc_top_sorted(spark, sf_dir):
     report = top_10_customers(spark, sf_dir)

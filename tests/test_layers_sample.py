@@ -210,3 +210,13 @@ def test_gold_clears_dead_staging(spark, tmp_path):
     LayerJob(source=DATA, root=root, source_format="text").run(spark)
     assert not os.path.exists(os.path.join(root, "staging")) or \
         os.listdir(os.path.join(root, "staging")) == []
+
+
+def test_top_n_complete_detects_a_wrong_report(spark, sample_run):
+    top = _t(sample_run, spark, "gold", "top_customers")
+    good = analyst.top_n_customers(top, 3)
+    checks.assert_check(checks.top_n_complete(top, good, "total_revenue", "customer_key"),
+                        report_rows=3, missed=0)
+    wrong = top.orderBy("total_revenue").limit(3).select("customer_key", "total_revenue")
+    r = checks.top_n_complete(top, wrong, "total_revenue", "customer_key").first()
+    assert r["missed"] == 7
