@@ -194,6 +194,7 @@ ORACLES.update({
     "orphan_files": f"""SELECT CAST(3 AS BIGINT) AS data_version, COUNT(*) AS orphan_rows
         FROM {SO} s WHERE order_year = 1996""",
     "compaction_same_rows": f"SELECT * FROM {SL} s",
+    "compaction_in_place": f"SELECT * FROM {SL} s",
     "schema_add_column": f"SELECT *, CAST(NULL AS VARCHAR) AS o_note FROM {SO} s",
     "schema_rename_drop": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
         o_orderpriority AS order_priority, order_year, order_month FROM {SO} s""",

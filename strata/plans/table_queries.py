@@ -267,6 +267,16 @@ def compaction_same_rows(spark, sf_dir):
     return V.read_version(spark, root, "silver", "lineitem")
 
 
+@query
+def compaction_in_place(spark, sf_dir):
+    """A plain year-partitioned table with many small files, compacted in
+    place: only small-file partitions are rewritten; rows unchanged."""
+    path = f"{work_root(spark, 'compact-in-place')}/silver/lineitem"
+    write_table(clean_tables(spark, sf_dir)[1].repartition(64), path, partition_by="ship_year")
+    upkeep.compact_partitions(spark, path, "ship_year")
+    return spark.read.parquet(path)
+
+
 @query
 def schema_add_column(spark, sf_dir):
     root, _ = _orders_root(spark, sf_dir, "addcol")

@@ -19,7 +19,9 @@ from pyspark.sql.types import (
 )
 
 from strata.sinks import versions as V
-from strata.sinks.writes import checksum, duplicate_keys, upsert, write_table
+from strata.sinks.writes import (
+    checksum, duplicate_keys, overwrite_partitions, upsert, write_table,
+)
 
 SMALL_FILE_BYTES = 64 * 1024 * 1024      # compaction trigger: average file below this
 TARGET_FILE_BYTES = 128 * 1024 * 1024    # compaction output size
@@ -275,3 +277,38 @@ def remove_orphans(spark: SparkSession, root: str, layer: str, table: str,
              .select("path").collect()]
     V.delete_paths(spark, V.directory_paths(root, layer, table, versions) + stray)
     return spark.createDataFrame(rows, summary.schema)
+
+
+def compact_partitions(spark: SparkSession, path: str, partition_by: str, *,
+                       small_file_bytes: int = SMALL_FILE_BYTES,
+                       target_file_bytes: int = TARGET_FILE_BYTES) -> list[str]:
+    """Compact a plain partitioned table in place, rewriting only partitions
+    whose average file is under ``small_file_bytes`` (and that hold more than
+    one file); every other directory stays untouched on disk.
+
+    File statistics come from a listing (one row per partition reaches the
+    driver); the chosen partitions are read, range-partitioned into files of
+    about ``target_file_bytes`` (ties broken by a row hash, so one hot key
+    still spreads), and written back with dynamic partition overwrite.
+    Returns the rewritten partition values (as directory text).
+    """
+    value = F.regexp_extract("path", rf"/{partition_by}=([^/]+)/", 1)
+    stats = (V.list_files(spark, path).withColumn("value", value)
+             .groupBy("value").agg(F.count(F.lit(1)).alias("files"),
+                                   F.sum("length").alias("bytes"))
+             .filter((F.col("files") > 1)
+                     & (F.col("bytes") / F.col("files") < F.lit(small_file_bytes))))
+    chosen = stats.collect()                                   # bounded: partitions
+    if not chosen:
+        return []
+    values = [r["value"] for r in chosen]
+    total = sum(int(r["bytes"]) for r in chosen)
+    df = spark.read.parquet(path)
+    text = F.coalesce(F.col(partition_by).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    picked = df.filter(text.isin(values))
+    n = V.files_to_target(total, target_file_bytes)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    out = picked.repartitionByRange(n, F.col(partition_by), tie) \
+        .sortWithinPartitions(partition_by)
+    overwrite_partitions(out, path, partition_by)
+    return values

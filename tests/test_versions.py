@@ -240,3 +240,23 @@ def test_expire_never_drops_the_current_commit(spark, tmp_path, orders):
     upkeep.expire(spark, root, T0 + 100 * H, retain_last=0)
     assert [r.version for r in V.history(spark, root).collect()] == [3]
     assert V.read_version(spark, root, "silver", "orders").count() == orders.count()
+
+
+def test_compact_partitions_in_place(spark, tmp_path, orders):
+    import os
+    path = str(tmp_path / "t")
+    big = orders.filter(F.col("order_year") == 1996).coalesce(1)
+    small = orders.filter(F.col("order_year") != 1996).repartition(12)
+    write_table(big, path, partition_by="order_year")
+    write_table(small, path, partition_by="order_year", mode="append")
+
+    def files(d):
+        return sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
+
+    before_1996 = files("order_year=1996")
+    done = upkeep.compact_partitions(spark, path, "order_year")
+    assert "1996" not in done and len(done) >= 1
+    assert files("order_year=1996") == before_1996          # untouched
+    for v in done:
+        assert len(files(f"order_year={v}")) == 1
+    _same(spark.read.parquet(path).select(*orders.columns), orders)
