@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,7 @@ class LayerJob:
     committed_at: dt.datetime | None = None
     attempts: int = 1
     retry_delay_s: float = 5.0
+    parallel: bool = True
     metrics: RunMetrics = field(default_factory=RunMetrics)
     # What this run committed, and the commit-log numbers read once per run
     # (one writer per table: nobody else moves them meanwhile).
@@ -84,29 +86,43 @@ class LayerJob:
         """
         if self._numbers is None:
             self._numbers = V.table_numbers(spark, self.root)
+        numbers = self._numbers.get((layer, table), (0, 0))
         for attempt in range(1, self.attempts + 1):
             start = time.monotonic()
             try:
                 done = V.publish(spark, self.root, layer, table, df,
                                  partition_by=partition_by, committed_at=self.committed_at,
-                                 numbers=self._numbers.get((layer, table), (0, 0)),
-                                 rebalance=partition_by is not None)
+                                 numbers=numbers, rebalance=partition_by is not None)
                 break
             except Exception:  # noqa: BLE001 - any failure of the step is retried
-                # a failed attempt may have left a directory: re-read the numbers
-                self._numbers = V.table_numbers(spark, self.root)
                 if attempt == self.attempts:
                     raise
                 time.sleep(self.retry_delay_s)
-        _, used = self._numbers.get((layer, table), (0, 0))
+                # a failed attempt may have committed before failing: re-read
+                numbers = V.table_numbers(spark, self.root).get((layer, table), (0, 0))
         self._numbers[(layer, table)] = (done.version,
-                                         max(used, done.version, done.data_version))
+                                         max(numbers[1], done.version, done.data_version))
         self.commits[(layer, table)] = (done, df.schema, partition_by)
         self.metrics.record(layer, table, done.row_count, time.monotonic() - start)
-        if self.register:
-            self._declare(spark, layer, table)
         return done
 
+    def _publish_layer(self, spark, layer, items) -> None:
+        """Publish a layer's tables — independent jobs, submitted together when
+        ``parallel`` (the cluster shares its slots between them) — then
+        register them in the catalog from this thread."""
+        if self._numbers is None:
+            self._numbers = V.table_numbers(spark, self.root)
+        if self.parallel and len(items) > 1:
+            with ThreadPoolExecutor(max_workers=len(items)) as pool:
+                for f in [pool.submit(self._publish, spark, layer, *item) for item in items]:
+                    f.result()
+        else:
+            for item in items:
+                self._publish(spark, layer, *item)
+        if self.register:
+            for table, _, _ in items:
+                self._declare(spark, layer, table)
+
     def _declare(self, spark, layer, table) -> None:
         # Declared DDL from the published schema: the catalog states the
         # exact types and never infers them from files.
@@ -136,13 +152,13 @@ class LayerJob:
 
     # -- phases --------------------------------------------------------------
     def bronze(self, spark: SparkSession) -> None:
-        for table in self.tables:
-            self._publish(spark, "bronze", table, spread(spark, self._raw(spark, table)))
+        self._publish_layer(spark, "bronze", [
+            (t, spread(spark, self._raw(spark, t)), None) for t in self.tables])
 
     def silver(self, spark: SparkSession) -> None:
-        for table in self.tables:
-            df = silver.clean(self._current(spark, "bronze", table), table, audit=self.audit)
-            self._publish(spark, "silver", table, df, PARTITION_COLUMNS[("silver", table)])
+        self._publish_layer(spark, "silver", [
+            (t, silver.clean(self._current(spark, "bronze", t), t, audit=self.audit),
+             PARTITION_COLUMNS[("silver", t)]) for t in self.tables])
 
     def gold(self, spark: SparkSession) -> None:
         orders = self._current(spark, "silver", "orders")
@@ -159,10 +175,10 @@ class LayerJob:
         write_table(gold.order_facts(orders, lineitem), staging)
         try:
             facts = spark.read.parquet(staging)
-            self._publish(spark, "gold", "revenue_by_order_date",
-                          gold.revenue_by_order_date(facts),
-                          PARTITION_COLUMNS[("gold", "revenue_by_order_date")])
-            self._publish(spark, "gold", "top_customers", gold.top_customers(facts))
+            self._publish_layer(spark, "gold", [
+                ("revenue_by_order_date", gold.revenue_by_order_date(facts),
+                 PARTITION_COLUMNS[("gold", "revenue_by_order_date")]),
+                ("top_customers", gold.top_customers(facts), None)])
         finally:
             V.delete_paths(spark, [staging])
 

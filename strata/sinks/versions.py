@@ -23,6 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
@@ -117,10 +118,19 @@ def snapshot(spark: SparkSession, root: str, layer: str, table: str,
     return row
 
 
+_LOG_LOCK = threading.Lock()
+
+
 def _append_commit(spark: SparkSession, root: str, row: dict) -> None:
-    """One commit = one small file in the log (so single commits can expire)."""
-    (spark.createDataFrame([row], SNAPSHOT_SCHEMA)
-       .coalesce(1).write.mode("append").parquet(snapshots_path(root)))
+    """One commit = one small file in the log (so single commits can expire).
+
+    Appends to the log are serialized within the process: two jobs appending
+    to one directory at once would collide in the output committer's
+    temporary area.  (Writers in other processes are excluded by the
+    one-writer rule.)"""
+    with _LOG_LOCK:
+        (spark.createDataFrame([row], SNAPSHOT_SCHEMA)
+           .coalesce(1).write.mode("append").parquet(snapshots_path(root)))
 
 
 def append_commit_row(spark: SparkSession, root: str, row: dict) -> None:
