@@ -223,12 +223,18 @@ def _copy_history(spark: SparkSession, src_root: str, dst_root: str) -> None:
     """Every referenced data directory (its files as written, partitioning
     kept), then the commit log, one file per commit as the writer keeps it
     (so ``expire`` can drop single commits)."""
+    # The first commit of a directory is the one that wrote it: its schema is
+    # the files' schema (later metadata-only commits may add or drop columns).
     dirs = (V.history(spark, src_root)
             .groupBy("layer", "table_name", "data_version")
-            .agg(F.max("partition_by").alias("partition_by")).collect())
+            .agg(F.min_by("partition_by", "version").alias("partition_by"),
+                 F.min_by("read_schema", "version").alias("read_schema")).collect())
     for r in dirs:
         layer, table, dv = r["layer"], r["table_name"], int(r["data_version"])
-        data = spark.read.parquet(V.data_path(src_root, layer, table, dv))
+        reader = spark.read
+        if r["read_schema"]:
+            reader = reader.schema(StructType.fromJson(json.loads(r["read_schema"])))
+        data = reader.parquet(V.data_path(src_root, layer, table, dv))
         write_table(data, V.data_path(dst_root, layer, table, dv), r["partition_by"])
     for row in V.history(spark, src_root).orderBy("layer", "table_name", "version").collect():
         V.append_commit_row(spark, dst_root, row.asDict())

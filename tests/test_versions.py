@@ -260,3 +260,14 @@ def test_compact_partitions_in_place(spark, tmp_path, orders):
     for v in done:
         assert len(files(f"order_year={v}")) == 1
     _same(spark.read.parquet(path).select(*orders.columns), orders)
+
+
+def test_copy_with_history_keeps_dropped_columns_and_empty_tables(spark, tmp_path, orders):
+    src, dst = str(tmp_path / "a"), str(tmp_path / "b")
+    V.publish(spark, src, "silver", "orders", orders, committed_at=T0)
+    upkeep.drop_column(spark, src, "silver", "orders", "o_orderstatus", committed_at=T0 + H)
+    V.publish(spark, src, "silver", "empty", orders.limit(0), committed_at=T0)
+    upkeep.copy_tables(spark, src, dst, with_history=True).collect()
+    assert "o_orderstatus" in V.read_version(spark, dst, "silver", "orders", 1).columns
+    assert "o_orderstatus" not in V.read_version(spark, dst, "silver", "orders").columns
+    assert V.read_version(spark, dst, "silver", "empty").count() == 0
