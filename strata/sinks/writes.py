@@ -4,10 +4,11 @@ Parquet directories, optionally partitioned by one identity column.  Writes
 go through Spark's file commit protocol, so a lost executor's task is simply
 re-run; only committed task output becomes visible.
 
-Overwriting a path that the same query reads is unsafe with the path writer
-(it clears the target before the read happens).  Callers that rewrite a table
-from itself must use ``strata.sinks.versions`` instead, which always writes a
-new directory.
+A whole-table overwrite of a path that the same query reads is unsafe with
+the path writer (it clears the target before the read happens): rewrite such
+a table through ``strata.sinks.versions``, which always writes a new
+directory.  A dynamic partition overwrite may read its own target: output is
+staged and only the touched directories are replaced when the job commits.
 """
 
 from __future__ import annotations
@@ -53,7 +54,8 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: str | list[str]
     """Replace only the partitions present in ``df``; all others are kept.
 
     Uses Spark's dynamic partition-overwrite mode as a per-write option, so
-    the session setting is untouched.  ``df`` must not read from ``path``.
+    the session setting is untouched.  ``df`` may read from ``path``: output
+    is staged, and the touched directories are replaced at job commit.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     (df.write.mode("overwrite")
