@@ -220,6 +220,21 @@ ORACLES.update({
         UNION ALL SELECT 'silver', 'lineitem', COUNT(*) FROM {SL} b
         UNION ALL SELECT 'gold', 'revenue_by_order_date', COUNT(*) FROM {R} c
         UNION ALL SELECT 'gold', 'top_customers', COUNT(*) FROM {C} d""",
+    "acceptance_report": f"""
+        SELECT 'bronze_rows_match_source' AS check_name,
+               (SELECT COUNT(*) FROM orders) > 0 AND (SELECT COUNT(*) FROM lineitem) > 0
+               AS passed
+        UNION ALL SELECT 'silver_money_is_decimal_15_2', TRUE
+        UNION ALL SELECT 'silver_partitioned_by_year', TRUE
+        UNION ALL SELECT 'silver_no_null_keys',
+               (SELECT COUNT(*) FROM {SO} a WHERE o_orderkey IS NULL) = 0
+               AND (SELECT COUNT(*) FROM {SL} b WHERE l_orderkey IS NULL) = 0
+        UNION ALL SELECT 'gold_revenue_positive',
+               (SELECT COUNT(*) FROM {R} r WHERE total_revenue IS NULL OR total_revenue <= 0) = 0
+        UNION ALL SELECT 'gold_top_customers_sorted',
+               (SELECT COUNT(*) FROM (SELECT total_revenue, LAG(total_revenue) OVER
+                   (ORDER BY total_revenue DESC NULLS LAST, customer_key ASC NULLS LAST) AS prev
+                 FROM {TOP10} t) x WHERE prev < total_revenue) = 0""",
     "copy_tables": COPY_CHECK,
     "copy_tables_with_history": COPY_CHECK,
 

@@ -328,6 +328,13 @@ def run_metrics(spark, sf_dir):
     return _layer_run(spark, sf_dir).metrics.to_frame(spark).drop("duration_s")
 
 
+@query
+def acceptance_report(spark, sf_dir):
+    """The run's acceptance checklist: one (check_name, passed) row per check."""
+    from strata.plans.acceptance import acceptance, source_counts
+    return acceptance(spark, _layer_run(spark, sf_dir), source_counts(spark, sf_dir))
+
+
 @query
 def copy_tables(spark, sf_dir):
     src = _layer_run(spark, sf_dir).root

@@ -220,3 +220,13 @@ def test_top_n_complete_detects_a_wrong_report(spark, sample_run):
     wrong = top.orderBy("total_revenue").limit(3).select("customer_key", "total_revenue")
     r = checks.top_n_complete(top, wrong, "total_revenue", "customer_key").first()
     assert r["missed"] == 7
+
+
+def test_acceptance_report(spark, sample_run):
+    from strata.plans.acceptance import acceptance
+    got = {r.check_name: r.passed for r in
+           acceptance(spark, sample_run, {"orders": 10, "lineitem": 13}).collect()}
+    assert len(got) == 6 and all(got.values())
+    bad = {r.check_name: r.passed for r in
+           acceptance(spark, sample_run, {"orders": 11, "lineitem": 13}).collect()}
+    assert bad["bronze_rows_match_source"] is False
