@@ -82,3 +82,14 @@ def test_job_reads_tbl_files(spark, tmp_path):
     daily = V.read_version(spark, job.root, "gold", "revenue_by_order_date")
     assert daily.count() == 2
     assert job.metrics.summary()["silver.lineitem"]["row_count"] == 2
+
+
+def test_raw_rows_without_header(spark, tmp_path):
+    from strata.operators import checks
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "a.tbl").write_text("1|x|\n2|y|\n\n")
+    (d / "b.tbl").write_text("3|z|\n")
+    assert checks.raw_rows(spark, str(d), header=False).first()[0] == 3
+    (d / "c.csv").write_text("k|v\n4|w\n")
+    assert checks.raw_rows(spark, str(d / "c.csv"), header=True).first()[0] == 1
