@@ -15,6 +15,16 @@ be stated independently in SQL:
 * key % 5 = 1  -> date without zero padding          (NULL when month or day < 10)
 * key % 5 = 4  -> date ``<year>-13-40``              (NULL)
 
+``dirty_lineitem_lines`` does the same for lineitem, by r = (order key +
+line number) % 6:
+
+* r = 0 -> quantity ``abc``                           (NULL)
+* r = 1 -> extended price with a third decimal ``5``  (rounds half up: +0.01)
+* r = 2 -> discount empty                             (NULL, so revenue NULL)
+* r = 3 -> ship date without zero padding             (NULL when month or day < 10)
+* r = 4 -> tax ``12345678901234.00``                  (too large: NULL)
+* r = 5 -> clean
+
 These rules pick rows to *spoil*; every row is still written and read.
 """
 
@@ -72,3 +82,35 @@ def write_dirty_orders(spark: SparkSession, sf_dir: str, path: str) -> list[str]
     orders = read_parquet_table(spark, sf_dir, "orders")
     dirty_orders_lines(orders).write.mode("overwrite").text(path)
     return orders.columns
+
+
+# The spoiled text of the lineitem fixture.
+BAD_QUANTITY = "abc"
+
+
+def dirty_lineitem_lines(lineitem: DataFrame) -> DataFrame:
+    """One ``.tbl``-style line per line item, spoiled by the rules above."""
+    r = (F.col("l_orderkey") + F.col("l_linenumber")) % 6
+
+    def money(name):
+        return to_money(F.col(name)).cast("string")
+
+    fields = [
+        F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"),
+        F.col("l_suppkey").cast("string"), F.col("l_linenumber").cast("string"),
+        F.when(r == 0, F.lit(BAD_QUANTITY)).otherwise(money("l_quantity")),
+        F.when(r == 1, F.concat(money("l_extendedprice"), F.lit("5")))
+         .otherwise(money("l_extendedprice")),
+        F.when(r == 2, F.lit("")).otherwise(money("l_discount")),
+        F.when(r == 4, F.lit(OVERFLOW_PRICE)).otherwise(money("l_tax")),
+        F.col("l_returnflag"), F.col("l_linestatus"),
+        F.when(r == 3, F.date_format("l_shipdate", "yyyy-M-d"))
+         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")),
+    ]
+    return lineitem.select(F.concat(F.concat_ws("|", *fields), F.lit("|")).alias("value"))
+
+
+def write_dirty_lineitem(spark: SparkSession, sf_dir: str, path: str) -> list[str]:
+    lineitem = read_parquet_table(spark, sf_dir, "lineitem")
+    dirty_lineitem_lines(lineitem).write.mode("overwrite").text(path)
+    return lineitem.columns

@@ -108,6 +108,17 @@ DIRTY = """(SELECT o_orderkey, o_custkey,
          ELSE CAST(o_orderdate AS DATE) END AS o_orderdate
   FROM orders WHERE o_orderkey % 7 <> 0)"""
 
+DIRTY_LINES = """(SELECT l_orderkey, l_linenumber,
+    CASE WHEN r = 0 THEN NULL ELSE CAST(l_quantity AS DECIMAL(15,2)) END AS l_quantity,
+    CASE WHEN r = 1
+         THEN CAST(CAST(l_extendedprice AS DECIMAL(15,2)) + 0.01 AS DECIMAL(15,2))
+         ELSE CAST(l_extendedprice AS DECIMAL(15,2)) END AS l_extendedprice,
+    CASE WHEN r = 2 THEN NULL ELSE CAST(l_discount AS DECIMAL(15,2)) END AS l_discount,
+    CASE WHEN r = 4 THEN NULL ELSE CAST(l_tax AS DECIMAL(15,2)) END AS l_tax,
+    CASE WHEN r = 3 AND (month(l_shipdate) < 10 OR day(l_shipdate) < 10) THEN NULL
+         ELSE CAST(l_shipdate AS DATE) END AS l_shipdate
+  FROM (SELECT *, (l_orderkey + l_linenumber) % 6 AS r FROM lineitem) x)"""
+
 UPDATES = f"""(SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus,
         CAST(o_totalprice + 1 AS DECIMAL(15,2)) AS o_totalprice, o_orderdate,
         o_orderpriority, order_year, order_month
@@ -158,6 +169,10 @@ ORACLES.update({
         SELECT 'orders' AS table_name, COUNT(*) AS raw_rows, COUNT(*) AS bronze_rows,
                TRUE AS equal FROM orders
         UNION ALL SELECT 'lineitem', COUNT(*), COUNT(*), TRUE FROM lineitem""",
+    "silver_dirty_lineitem": f"""SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+        l_discount, l_tax, l_shipdate, CAST(year(l_shipdate) AS INTEGER) AS ship_year,
+        CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(32,4)) AS revenue
+        FROM {DIRTY_LINES} d""",
     "replace_idempotent": f"SELECT * FROM {R} r",
     "partitioned_write": f"""SELECT order_year, COUNT(*) AS row_count,
         MIN(o_orderdate) AS first_date, MAX(o_orderdate) AS last_date

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import analyst, checks, silver
-from strata.plans.fixtures import write_clean_text, write_dirty_orders
+from strata.plans.fixtures import write_clean_text, write_dirty_lineitem, write_dirty_orders
 from strata.plans.layers import LayerJob
 from strata.plans.registry import query
 from strata.plans.sources import clean_tables, gold_tables
@@ -92,6 +92,18 @@ def qc_bronze_matches_raw(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def silver_dirty_lineitem(spark, sf_dir):
+    """Every line item as spoiled ``.tbl`` text, read tolerantly and cleaned:
+    bad, empty, over-long and over-precise money, unpadded dates."""
+    path = f"{work_root(spark, 'dirty-lines')}/lineitem.tbl"
+    columns = write_dirty_lineitem(spark, sf_dir, path)
+    raw = read_delimited(spark, path, "lineitem", header=False, columns=columns)
+    return silver.clean_lineitem(raw, audit=False).select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_shipdate", "ship_year", "revenue")
+
+
 # -- plain table writes -------------------------------------------------------
 
 @query
