@@ -128,6 +128,18 @@ UPDATES = f"""(SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus,
         o_orderpriority, order_year, order_month
    FROM {SO} b WHERE o_orderkey % 10 = 1)"""
 
+ORDERS_TEXT = """SELECT o_orderkey, o_custkey, o_orderstatus,
+        CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
+        strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders"""
+
+LINEITEM_TEXT = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+        CAST(CAST(l_quantity AS DECIMAL(15,2)) AS VARCHAR) AS l_quantity,
+        CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) AS l_extendedprice,
+        CAST(CAST(l_discount AS DECIMAL(15,2)) AS VARCHAR) AS l_discount,
+        CAST(CAST(l_tax AS DECIMAL(15,2)) AS VARCHAR) AS l_tax,
+        l_returnflag, l_linestatus,
+        strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM lineitem"""
+
 COPY_CHECK = f"""
         SELECT layer, table_name, row_count AS source_rows, row_count AS copied_rows,
                TRUE AS same_rows FROM (
@@ -139,20 +151,15 @@ COPY_CHECK = f"""
           UNION ALL SELECT 'gold', 'top_customers', COUNT(*) FROM {C} d) """
 
 ORACLES.update({
-    "bronze_orders": """SELECT o_orderkey, o_custkey, o_orderstatus,
-        CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
-        strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders""",
-    "incremental_ingest": """SELECT o_orderkey, o_custkey, o_orderstatus,
-        CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
-        strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders""",
+    "bronze_orders": ORDERS_TEXT,
+
+    "incremental_ingest": ORDERS_TEXT,
+
     "incremental_clean": f"SELECT * FROM {SO} s",
-    "bronze_lineitem": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
-        CAST(CAST(l_quantity AS DECIMAL(15,2)) AS VARCHAR) AS l_quantity,
-        CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) AS l_extendedprice,
-        CAST(CAST(l_discount AS DECIMAL(15,2)) AS VARCHAR) AS l_discount,
-        CAST(CAST(l_tax AS DECIMAL(15,2)) AS VARCHAR) AS l_tax,
-        l_returnflag, l_linestatus,
-        strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM lineitem""",
+    "bronze_lineitem": LINEITEM_TEXT,
+
+    "incremental_ingest_lineitem": LINEITEM_TEXT,
+
     "bronze_dirty": """SELECT
         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
         o_custkey,

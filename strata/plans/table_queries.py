@@ -18,7 +18,7 @@ from strata.plans.fixtures import write_clean_text, write_dirty_lineitem, write_
 from strata.plans.layers import LayerJob
 from strata.plans.registry import query
 from strata.plans.sources import clean_tables, gold_tables
-from strata.schemas import MONEY
+from strata.schemas import KEY_COLUMNS, MONEY
 from strata.session import work_root
 from strata.sinks import catalog, upkeep
 from strata.sinks import versions as V
@@ -410,19 +410,20 @@ def stored_top_10_customers(spark, sf_dir):
 
 # -- incremental ingest -------------------------------------------------------
 
-def _incremental_bronze(spark, sf_dir):
-    """Raw orders arrive in two drops; each available-now run ingests only
-    the new files, a third run finds nothing.  Returns (root, bronze, cols)."""
+def _incremental_bronze(spark, sf_dir, table="orders"):
+    """Raw rows of ``table`` arrive in two drops; each available-now run
+    ingests only the new files, a third run finds nothing.  Returns (root,
+    bronze path, columns)."""
     root = work_root(spark, "stream")
-    orders = read_parquet_table(spark, sf_dir, "orders")
-    cols = orders.columns
-    raw, bronze, ck = f"{root}/raw", f"{root}/bronze/orders", f"{root}/_checkpoints/bronze"
-    drops = [orders.filter(F.col("o_orderkey") % 2 == 0),
-             orders.filter(F.col("o_orderkey") % 2 == 1)]
-    for i, drop in enumerate(drops):
-        write_delimited(as_raw_text(drop, "orders"), f"{raw}/drop{i}")
-        ingest_new_files(spark, raw, "orders", bronze, ck, columns=cols, recursive=True)
-    ingest_new_files(spark, raw, "orders", bronze, ck, columns=cols, recursive=True)
+    src = read_parquet_table(spark, sf_dir, table)
+    cols = src.columns
+    key = F.col(KEY_COLUMNS[table])
+    raw, bronze = f"{root}/raw", f"{root}/bronze/{table}"
+    ck = f"{root}/_checkpoints/bronze-{table}"
+    for i, drop in enumerate([src.filter(key % 2 == 0), src.filter(key % 2 == 1)]):
+        write_delimited(as_raw_text(drop, table), f"{raw}/drop{i}")
+        ingest_new_files(spark, raw, table, bronze, ck, columns=cols, recursive=True)
+    ingest_new_files(spark, raw, table, bronze, ck, columns=cols, recursive=True)
     return root, bronze, cols
 
 
@@ -433,6 +434,13 @@ def incremental_ingest(spark, sf_dir):
     return spark.read.parquet(bronze).select(*cols)
 
 
+@query
+def incremental_ingest_lineitem(spark, sf_dir):
+    """The same incremental ingest for line items."""
+    _, bronze, cols = _incremental_bronze(spark, sf_dir, "lineitem")
+    return spark.read.parquet(bronze).select(*cols)
+
+
 @query
 def incremental_clean(spark, sf_dir):
     """The clean layer streamed from the incremental bronze directory
