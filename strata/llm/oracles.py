@@ -3,3 +3,28 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op1_minhash_dedup"] = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'),
+                             lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+    range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words
+), items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM items a JOIN items b
+  ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+  WHERE 100 * n >= 75 * (len(p.s) + len(q.s) - n)
+), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, r) AS (
+  SELECT a, b FROM both_ways UNION SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a
+)
+, lowest AS (SELECT id, min(r) AS r FROM reach GROUP BY id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, r) AS component_id, doc_id = least(doc_id, r) AS kept
+FROM sets LEFT JOIN lowest ON id = doc_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import sentencepiece_codec
+from strata.llm import minhash_dedup, sentencepiece_codec
 from strata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_minhash_dedup(spark, sf_dir):
+    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op10_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.round_trip_digests(read(spark, sf_dir, "documents"), PIECE_MODEL)
