@@ -37,7 +37,13 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     lineage ends there and every executor sees the files."""
     spark = df.sparkSession
     path = work_root(spark, label)
-    df.write.parquet(path)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")  # the written table needs no shuffle files any more
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -28,3 +28,28 @@ reach(id, r) AS (
 SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, r) AS component_id, doc_id = least(doc_id, r) AS kept
 FROM sets LEFT JOIN lowest ON id = doc_id
 """
+
+ORACLES["op6_suffix_dedup"] = """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), windows AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT *, unnest(range(0, n - 99)) AS i FROM bytes)
+), again AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1
+), runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS z FROM (
+    SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+      SELECT doc_id, i, (i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) + 100)::INT AS new FROM again))
+  GROUP BY doc_id, run
+), edges AS (
+  SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM runs
+), cuts AS (
+  SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM edges JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN cuts USING (doc_id)
+"""
