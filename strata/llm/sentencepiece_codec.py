@@ -32,6 +32,7 @@ from collections.abc import Iterator
 from functools import lru_cache, partial
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from strata.llm.common import ready
 
 SPACE = "▁"
-#: Words remembered by one worker before it starts afresh.
+#: Words in each of a worker's two generations of remembered words.
 CACHE_WORDS = 300_000
 
 
@@ -69,17 +70,21 @@ class Codec:
         # Merges never cross a word start or a line end that no piece holds inside.
         whole = any(re.search(f"[^{SPACE}]{SPACE}|\\n", p) for p in self.ids)
         self.part = re.compile("(?s).+" if whole else f"{SPACE}*[^{SPACE}\\n]+|{SPACE}+|\\n")
-        # Pieces that merging really makes, and each one's next shorter prefix.
-        pieces = {p for p in self.ids if self.merge(p) == [p]}
-        self.shorter: dict[str, str | None] = {}
+        # Pieces that merging really makes, each one's next shorter prefix (-1: none).
+        made = {p: i for p, i in self.ids.items() if self.merge(p) == [p]}
+        self.made, self.length, self.shorter = {i: p for p, i in made.items()}, {}, {}
         self.automaton = ahocorasick.Automaton()
-        for p in pieces:
-            self.shorter[p] = next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in pieces), None)
-            self.automaton.add_word(p, (len(p) - 1, p))
+        for p, i in made.items():
+            self.length[i] = len(p)
+            self.shorter[i] = next((made[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in made), -1)
+            self.automaton.add_word(p, (len(p) - 1, i))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.kind = np.uint16 if len(self.surface) <= 2**16 else np.uint32
+        self.digits = [str(i) for i in range(len(self.surface))]
+        self.pairs: dict[int, bool] = {}
         self.cache_words = cache_words
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
         """Plain merging of a short string, for pieces and pairs of them."""
@@ -105,72 +110,82 @@ class Codec:
             offer(i, after[i])
         return [p for p in parts if p is not None]
 
-    def compatible(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
+    def compatible(self, left: int, right: int) -> bool:
+        pair = left << 32 | right
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= self.cache_words:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == [left, right]
+            a, b = self.made[left], self.made[right]
+            known = self.pairs[pair] = self.merge(a + b) == [a, b]
         return known
 
-    def split(self, text: str) -> list[str]:
-        """The pieces of ``text``; characters outside the vocabulary stand alone."""
+    def split(self, text: str) -> list[int]:
+        """The ids of ``text``; characters outside the vocabulary give byte ids."""
         # Matches come by rising end, so the last one of a start is its longest.
-        longest = {end - reach: piece for end, (reach, piece) in self.automaton.iter(text)}
-        size, at, failed, out = len(text), 0, bytearray(len(text) + 1), []
-        piece = longest.get(0)
+        longest = {end - reach: i for end, (reach, i) in self.automaton.iter(text)}
+        length, shorter, pairs = self.length, self.shorter, self.pairs
+        size, at, out, failed = len(text), 0, [], bytearray(len(text) + 1)
+        last, piece = -1, longest.get(0, -1)
         while at < size:
-            if piece is None and not failed[at] and at not in longest:
+            if piece < 0 and not failed[at] and at not in longest:
+                last = -1
                 out.append(text[at])  # unknown character: merges with nothing
                 at += 1
-                piece = longest.get(at)
+                piece = longest.get(at, -1)
                 continue
-            while piece is not None:
-                end = at + len(piece)
-                if not failed[end] and (not out or out[-1] not in self.shorter or self.compatible(out[-1], piece)):
+            while piece >= 0:
+                end = at + length[piece]
+                if not failed[end] and (last < 0 or pairs.get(last << 32 | piece) or self.compatible(last, piece)):
                     break
-                piece = self.shorter[piece]
-            if piece is not None:
+                piece = shorter[piece]
+            if piece >= 0:
                 out.append(piece)
-                at = end
-                piece = longest.get(at)
+                at, last = end, piece
+                piece = longest.get(at, -1)
             else:
                 failed[at] = 1
-                last = out.pop()
-                at -= len(last)
-                piece = self.shorter[last]
-        return out
-
-    def _word(self, word: str) -> tuple[tuple[int, ...], str]:
+                piece = out.pop()
+                at -= length[piece]
+                piece = shorter[piece]
+                last = out[-1] if out and isinstance(out[-1], int) else -1
         ids: list[int] = []
-        for p in self.split(word):
-            if p in self.ids:
-                ids.append(self.ids[p])
-            else:
-                ids.extend(self.byte_ids[b] for b in p.encode())
-        if len(self.words) >= self.cache_words:
-            self.words.clear()
-        known = self.words[word] = tuple(ids), ",".join(map(str, ids))
+        for x in out:
+            ids.extend((x,) if isinstance(x, int) else (self.byte_ids[b] for b in x.encode()))
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """A word's ids as bytes.  Two generations of words are remembered: what was
+        used since the last turn outlives the next one."""
+        known = self.old.get(word)
+        if known is None:
+            known = np.array(self.split(word), self.kind).tobytes()
+        if len(self.young) >= self.cache_words:
+            self.old, self.young = self.young, {}
+        self.young[word] = known
         return known
 
-    def encoded(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        """Ids, and their decimal text, of each word of ``text``."""
+    def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        text = SPACE + text.replace(" ", SPACE)
-        known, word = self.words.get, self._word
-        return [known(w) or word(w) for w in self.part.findall(text)]
+        known, word = self.young.get, self._word
+        parts = self.part.findall(SPACE + text.replace(" ", SPACE))
+        found = list(map(known, parts))
+        if None in found:
+            found = [f or self.young.get(w) or word(w) for f, w in zip(found, parts)]
+        return np.frombuffer(b"".join(found), self.kind).tolist()
 
-    def encode(self, text: str) -> list[int]:
-        return [i for ids, _ in self.encoded(text) for i in ids]
+    def listed(self, ids: list[int]) -> str:
+        """Decimal ids, joined by commas."""
+        return ",".join(map(self.digits.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
-        surface = self.surface
-        parts = [surface[i] for i in ids]
+        parts = list(map(self.surface.__getitem__, ids))
+        bare = bool(ids) and parts[0] is not None
         if None in parts:
             parts = self._with_bytes(ids, parts)
         text = b"".join(parts).decode()
-        return text[1:] if text.startswith(" ") and ids and self.surface[ids[0]] is not None else text
+        return text[1:] if bare and text.startswith(" ") else text
 
     def _with_bytes(self, ids: list[int], parts: list[bytes | None]) -> list[bytes]:
         """Runs of byte pieces as UTF-8; a byte that starts no character: U+FFFD."""
@@ -227,10 +242,8 @@ def _digests(model_file: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.Da
     for pdf in batches:
         rows = []
         for text in pdf["text"]:
-            words = c.encoded(text or "")
-            ids = [i for w, _ in words for i in w]
-            listed = ",".join([s for _, s in words])
-            rows.append((len(ids), hashlib.sha256(listed.encode()).hexdigest(),
+            ids = c.encode(text or "")
+            rows.append((len(ids), hashlib.sha256(c.listed(ids).encode()).hexdigest(),
                          hashlib.sha256(c.decode(ids).encode()).hexdigest()))
         yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [r[0] for r in rows],
                             "ids_sha256": [r[1] for r in rows],
