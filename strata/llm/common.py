@@ -74,3 +74,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def bucket_of(column, modulus: int):
     """crc32 of the value's decimal text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)
+
+
+def let(value, body):
+    """``body`` of a value that is worked out once a row.  (The optimiser may copy a
+    column's expression into a lambda, which then evaluates it for each element.)"""
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import minhash_dedup, sentencepiece_codec, suffix_dedup
+from strata.llm import decontamination, minhash_dedup, sentencepiece_codec, suffix_dedup
 from strata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op5_decontamination(spark, sf_dir):
+    return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup.report(read(spark, sf_dir, "documents"))
