@@ -80,3 +80,13 @@ def let(value, body):
     """``body`` of a value that is worked out once a row.  (The optimiser may copy a
     column's expression into a lambda, which then evaluates it for each element.)"""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def bounded_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """About ``rows`` rows of ``df``, by a hash of ``key``: for fitting a model on a
+    sample of stated size, never for results."""
+    total = df.count()
+    if total <= rows:
+        return df
+    share = F.pmod(F.xxhash64(*key), F.lit(2**32))
+    return df.where(share < int(rows / total * 2**32)).limit(2 * rows)

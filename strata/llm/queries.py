@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from strata.llm import (
     chat_format,
     decontamination,
+    language_id,
     minhash_dedup,
     sentencepiece_codec,
     suffix_dedup,
+    toxicity,
     url_filter,
 )
 from strata.llm.common import read
@@ -34,6 +36,11 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op2_language_id(spark, sf_dir):
+    return language_id.predictions(read(spark, sf_dir, "documents"))
+
+
 @query
 def op3_url_filter(spark, sf_dir):
     return url_filter.verdicts(read(spark, sf_dir, "pages"))
@@ -63,6 +70,11 @@ def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup.report(read(spark, sf_dir, "documents"))
 
 
+@query
+def op8_toxicity(spark, sf_dir):
+    return toxicity.predictions(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op10_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.round_trip_digests(read(spark, sf_dir, "documents"), PIECE_MODEL)
