@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from strata.llm import (
     chat_format,
     decontamination,
+    hamming_index,
     language_id,
     minhash_dedup,
+    quality,
     sentencepiece_codec,
     suffix_dedup,
     toxicity,
@@ -70,11 +72,22 @@ def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup.report(read(spark, sf_dir, "documents"))
 
 
+@query
+def op7_hamming_index(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings")
+    return hamming_index.nearest(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
 @query
 def op8_toxicity(spark, sf_dir):
     return toxicity.predictions(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op9_quality(spark, sf_dir):
+    return quality.predictions(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op10_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.round_trip_digests(read(spark, sf_dir, "documents"), PIECE_MODEL)
