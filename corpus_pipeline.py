@@ -1,21 +1,64 @@
-"""A small training-corpus pipeline over ``documents``: named stages in order."""
+"""A training corpus from ``documents``: language, copies, repeats, benchmark, tokens.
+
+STAGES are applied in order; each works on all rows that the one before kept, and
+all but the last return the columns of ``documents``:
+
+1. language: rows whose language the field can't tell (no letters, or no language
+   with LEAST_SHARE of the words) go;
+2. near_duplicates: of each group of near copies only the smallest doc_id stays;
+3. repeats: byte strings that occur earlier in what is left are cut out of the
+   texts (n_chars follows); rows stay, also those whose text gets empty;
+4. decontamination: rows that hold too much of the benchmark go;
+5. tokens: each row's number of ids and digests of the ids and the decoded text.
+
+Rows with a null doc_id go through every stage; each stage's own cases (nulls,
+empty texts, repeated rows, further columns) are those of its operator.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import sentencepiece_codec
+from strata.llm import decontamination, language_id, minhash_dedup, sentencepiece_codec, suffix_dedup
 from strata.llm.common import cut, read
 from strata.llm.queries import PIECE_MODEL
 
+#: Least share of a text's words in its language.
+LEAST_SHARE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language_id.train(docs.where(~language_id.held_out()))
+    return language_id.accepted(docs, model, LEAST_SHARE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = minhash_dedup.near_duplicates(docs)
+    return docs.join(judged.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.without_repeats(docs)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return cleaned
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.clean_documents(docs, read(spark, sf_dir, "benchmark"))
+
 
-def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every kept document with its tokens' number and digests."""
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip_digests(docs, PIECE_MODEL)
 
 
 STAGES = [
-    ("sentencepiece", tokenize),
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeats", repeats),
+    ("decontamination", decontaminated),
+    ("tokens", tokens),
 ]
 
 
@@ -23,9 +66,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    name, stage = STAGES[-1]
-    return stage(spark, docs, sf_dir)
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: No SQL for the learned and iterative stages; tests/llm holds brute-force versions.
+#: The language field is learned, which SQL can't express: tests/llm holds the
+#: stages against brute-force versions instead.
 ORACLE_SQL = None

@@ -116,10 +116,10 @@ def _windows(w: Column, laid: Column) -> Column:
     return F.filter(every, lambda x: F.size(x["places"]) > 0)
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text) and (item_id, text) -> doc_id, n_words, n_hit, n_items,
-    items_sha256, contaminated; one row per row of ``documents``."""
-    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+def _judged(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Each row of ``documents`` as ``row``, with what was found in its text."""
+    texts = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("row"),
+                             "doc_id", "text", F.xxhash64("text").alias("text_hash"))
     items = (benchmark.where("item_id is not null").select("item_id", words(F.col("text")).alias("words"))
              .distinct().withColumn("item", F.struct("item_id", F.xxhash64("words").alias("h"))))
 
@@ -131,14 +131,26 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             .agg(F.collect_list(F.struct("item_id", "item_words", "shift", "starts")).alias("laid")))
 
     found = texts.join(laid, texts["doc_id"].eqNullSafe(laid["d"]) & (texts["text_hash"] == laid["h"]), "left")
-    found = found.select("doc_id", let(words(F.col("text")), lambda w: F.struct(
+    found = found.select("row", let(words(F.col("text")), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), _windows(w, F.col("laid")).alias("laid"))).alias("f"))
-    found = found.select("doc_id", "f.n_words", "f.laid")
+    found = found.select("row", "f.n_words", "f.laid")
     hit = F.size(F.array_distinct(F.flatten(F.flatten(F.transform("laid", lambda x: x["places"])))))
     ids = F.sort_array(F.array_distinct(F.transform("laid", lambda x: x["item_id"].cast("string"))))
     return found.select(
-        "doc_id", "n_words",
+        "row", "n_words",
         F.when(F.col("laid").isNull(), 0).otherwise(hit).cast("long").alias("n_hit"),
         F.when(F.col("laid").isNull(), 0).otherwise(F.size(ids)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join(ids, ","), F.lit("")), 256).alias("items_sha256"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, text) and (item_id, text) -> doc_id, n_words, n_hit, n_items,
+    items_sha256, contaminated; one row per row of ``documents``."""
+    return _judged(documents.select("doc_id", "text"), benchmark).select(
+        "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that aren't contaminated, with all their columns."""
+    return _judged(documents, benchmark).where(~F.col("contaminated")).select("row.*")

@@ -29,6 +29,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -223,17 +224,23 @@ def label_chains(model: Field, chains: list[list[str]]) -> list[np.ndarray]:
     return out
 
 
+def judge(model: Field | None, texts: list[str | None]) -> list[tuple[str, float, list[float] | None]]:
+    """Language, score and shares of all languages of each text."""
+    told: list = [(UNKNOWN, 0.0, None)] * len(texts)
+    if model is not None:
+        chains = [WORD.findall(t.lower()) if t else [] for t in texts]
+        for i, p in enumerate(label_chains(model, chains)):
+            if p is not None:
+                mean = p.mean(axis=0)
+                told[i] = model.labels[int(mean.argmax())], min(1.0, float(mean.max())), mean.tolist()
+    return told
+
+
 def _label(model: Field | None, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for at in range(0, len(pdf), 2000):
             part = pdf.iloc[at:at + 2000]
-            told = [(UNKNOWN, 0.0, None)] * len(part)
-            if model is not None:
-                chains = [WORD.findall(t.lower()) if t else [] for t in part["text"]]
-                for i, p in enumerate(label_chains(model, chains)):
-                    if p is not None:
-                        mean = p.mean(axis=0)
-                        told[i] = model.labels[int(mean.argmax())], min(1.0, float(mean.max())), mean.tolist()
+            told = judge(model, part["text"].tolist())
             yield pd.DataFrame({"doc_id": part["doc_id"].array, "lang_pred": [x[0] for x in told],
                                 "score": [x[1] for x in told], "shares": [x[2] for x in told]})
 
@@ -252,6 +259,21 @@ def identify(docs: DataFrame, model: Field | None) -> DataFrame:
         partial(_label, model), "doc_id long, lang_pred string, score double, shares array<double>")
 
 
+def _accept(model: Field, least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2000):
+            part = batch.slice(at, 2000)
+            yield part.filter(pa.array([lang != UNKNOWN and score >= least
+                                        for lang, score, _ in judge(model, part.column("text").to_pylist())]))
+
+
+def accepted(docs: DataFrame, model: Field | None, least: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known with a
+    score of at least ``least``."""
+    ready(docs.sparkSession)
+    return docs.mapInArrow(partial(_accept, model, least), docs.schema)
+
+
 def held_out(column: str = "doc_id"):
     return F.coalesce(bucket_of(column, 4) == 2, F.lit(False))
 
