@@ -61,6 +61,10 @@ def _grams(w: Column, length: int) -> Column:
         lambda i: _placed(F.xxhash64(F.slice(w, i, length)), i.cast("long"))))
 
 
+def _grams_of(column: str, length: int) -> Column:
+    return let(F.col(column), lambda w: _grams(w, length))
+
+
 def _fingerprints(grams: Column) -> Column:
     """The smallest of each GRAMS neighbouring grams."""
     return F.when(F.size(grams) >= GRAMS, F.array_distinct(F.transform(
@@ -97,7 +101,7 @@ def _candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
             continue
         firsts = short.where(F.size("words").isin(own)).select(
             "item", F.shiftright(F.xxhash64(F.slice("words", 1, own[0])), PLACE_BITS).alias("hash"))
-        places = _rows(docs, keys, let(F.col("words"), lambda w, n=own[0]: _grams(w, n)))
+        places = _rows(docs, keys, _grams_of("words", own[0]))
         out = out.unionByName(places.join(firsts, "hash").select(
             *keys, "item", (F.col("place") - 1).alias("shift"), F.lit(1).alias("start")))
     return out.distinct()

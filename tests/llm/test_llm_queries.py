@@ -1,0 +1,95 @@
+"""Every training-data query against its SQL, or a brute-force version, on the smallest tables."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+import sentencepiece
+from conftest import SF_SMALL
+
+import __spark_entry__ as entry
+from strata.llm.oracles import ORACLES
+from strata.llm.queries import PIECE_MODEL, QUERIES
+
+TABLES = "documents embeddings pages benchmark labels conversations".split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
+    return con
+
+
+def test_all_are_registered():
+    names = entry.queries()
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and set(ORACLES) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(spark, duck, name):
+    got = QUERIES[name](spark, SF_SMALL)
+    cur = duck.execute(ORACLES[name])
+    columns = [d[0] for d in cur.description]
+    assert sorted(columns) == sorted(got.columns)
+    assert sorted(map(repr, cur.fetchall())) == sorted(repr(tuple(r)) for r in got.select(columns).collect())
+
+
+@pytest.mark.parametrize("name", ["op3_url_filter", "op4_chat_format", "op5_decontamination"])
+def test_native_plans(spark, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop") if x in plan]
+
+
+def test_language_on_held_out(spark, duck):
+    truth = dict(duck.execute("SELECT doc_id, lang FROM documents").fetchall())
+    rows = QUERIES["op2_language_id"](spark, SF_SMALL).collect()
+    assert len(rows) == len(truth)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) >= 0.95 * len(held)
+
+
+@pytest.mark.parametrize("name, label, cut, least", [("op8_toxicity", "toxic", 0.5, 0.9), ("op9_quality", "quality", 0.3, 0.95)])
+def test_labels_on_held_out(spark, duck, name, label, cut, least):
+    sf = SF_SMALL.replace("sf0.001", "sf0.01")
+    truth = dict(duck.execute(f"SELECT doc_id, {label} FROM '{sf}/labels.parquet'").fetchall())
+    rows = QUERIES[name](spark, sf).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= cut) for r in rows)
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in truth]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) >= least * len(held)
+
+
+def test_nearest_against_brute_force(spark, duck):
+    ids, x = zip(*duck.execute("SELECT vec_id, embedding FROM embeddings").fetchall())
+    ids, x = np.array(ids), np.array(x, float)
+    rows = QUERIES["op7_hamming_index"](spark, SF_SMALL).collect()
+    asked = ids[ids % 20 == 0]
+    found = {q: [r for r in rows if r["query_id"] == q] for q in asked}
+    hits = 0
+    for q in asked:
+        s = x @ x[ids == q][0]
+        own = sorted(found[q], key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == list(range(1, 21))
+        assert [(-r["score"], r["vec_id"]) for r in own] == sorted((-r["score"], r["vec_id"]) for r in own)
+        assert all(abs(s[ids == r["vec_id"]][0] - r["score"]) < 1e-12 for r in own)
+        best = sorted((-v, i) for v, i in zip(s, ids) if i != q)[:20]
+        hits += len({i for _, i in best} & {r["vec_id"] for r in own})
+    assert hits >= 0.9 * 20 * len(asked)
+
+
+def test_tokens_against_the_library(spark, duck):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = set()
+    for i, text in duck.execute("SELECT doc_id, text FROM documents").fetchall():
+        tokens = sp.encode(text or "")
+        want.add((i, len(tokens), sha(",".join(map(str, tokens))), sha(sp.decode(tokens))))
+    assert {tuple(r) for r in QUERIES["op10_sentencepiece"](spark, SF_SMALL).collect()} == want
