@@ -1,12 +1,12 @@
 """Command line: run the three-layer job, or an upkeep step, on a warehouse root.
 
     spark-submit job.py run --source s3a://raw/tpch/ --root s3a://lake/wh --format text
-    python -m strata history --root /lake/wh [--layer gold --table top_customers]
-    python -m strata compact --root /lake/wh --layer silver --table lineitem
-    python -m strata rollback --root /lake/wh --layer gold --table top_customers --version 3
+    python -m strata compact --root /lake/wh --layer silver --table lineitem --partition-by ship_year
+    python -m strata copy --root /lake/wh --to /backup/wh
 
 The session comes from ``spark-submit`` / the environment (``getOrCreate``);
-nothing here picks a master or a local folder.
+nothing here picks a master or a local folder.  Reports are printed whole, one
+JSON line for each row.
 """
 
 from __future__ import annotations
@@ -34,61 +34,39 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--attempts", type=int, default=3, help="tries per table step")
     run.add_argument("--retry-delay", type=float, default=5.0, help="seconds between tries")
 
-    for name in ("history", "compact", "rollback", "expire", "orphans"):
-        s = sub.add_parser(name)
-        s.add_argument("--root", required=True)
-        s.add_argument("--layer", required=name != "history")
-        s.add_argument("--table", required=name != "history")
-        if name == "rollback":
-            s.add_argument("--version", type=int, required=True)
-        if name == "orphans":
-            s.add_argument("--older-than", required=True, help="ISO timestamp, UTC")
-            s.add_argument("--delete", action="store_true")
-        if name == "expire":
-            s.add_argument("--older-than", required=True, help="ISO timestamp, UTC")
-            s.add_argument("--retain-last", type=int, default=5)
-            s.add_argument("--delete", action="store_true",
-                           help="delete the directories no kept commit reads")
+    run.add_argument("--bronze-tasks", type=int, help="deal raw rows out to so many tasks")
+
+    compact = sub.add_parser("compact", help="rewrite partitions of small files")
+    for name in ("root", "layer", "table", "partition-by"):
+        compact.add_argument(f"--{name}", required=True)
+
+    copy = sub.add_parser("copy", help="copy every table to another root and compare")
+    copy.add_argument("--root", required=True)
+    copy.add_argument("--to", required=True)
     return p
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"strata-{args.command}").getOrCreate()
-    from strata.sinks import upkeep
-    from strata.sinks import versions as V
-
     if args.command == "run":
         from strata.plans.layers import LayerJob
         job = LayerJob(source=args.source, root=args.root, source_format=args.format,
                        header=not args.no_header, sep=args.sep, suffix=args.suffix,
-                       register=args.register,
+                       register=args.register, bronze_tasks=args.bronze_tasks,
                        attempts=args.attempts, retry_delay_s=args.retry_delay)
-        for entry in job.run(spark).summary().values():
-            print(json.dumps(entry))
-    elif args.command == "history":
-        V.history(spark, args.root, args.layer, args.table) \
-            .orderBy("layer", "table_name", "version").show(1000, truncate=False)
+        for row in job.run(spark).stored:
+            print(json.dumps(row.asDict()))
     elif args.command == "compact":
-        print(upkeep.compact(spark, args.root, args.layer, args.table))
-    elif args.command == "rollback":
-        print(V.rollback(spark, args.root, args.layer, args.table, args.version))
-    elif args.command == "expire":
-        import datetime as dt
-        cut = dt.datetime.fromisoformat(args.older_than).replace(tzinfo=dt.timezone.utc)
-        if args.delete:
-            upkeep.expire(spark, args.root, cut, args.retain_last, args.layer, args.table) \
-                .show(1000, truncate=False)
-        else:
-            V.expire_candidates(spark, args.root, cut, args.retain_last, args.layer,
-                                args.table).orderBy("version").show(1000, truncate=False)
-    elif args.command == "orphans":
-        import datetime as dt
-        cut = dt.datetime.fromisoformat(args.older_than).replace(tzinfo=dt.timezone.utc)
-        if args.delete:
-            upkeep.remove_orphans(spark, args.root, args.layer, args.table, cut).show()
-        else:
-            V.orphan_files(spark, args.root, args.layer, args.table, cut).show(1000, False)
+        from strata.sinks import tables, upkeep
+        path = tables.current_path(spark, args.root, args.layer, args.table)
+        for value in upkeep.compact_partitions(spark, path, args.partition_by):
+            print(json.dumps({args.partition_by: value}, default=str))
+    elif args.command == "copy":
+        from strata.schemas import PARTITION_COLUMNS
+        from strata.sinks import upkeep
+        for row in upkeep.copy_tables(spark, args.root, args.to, PARTITION_COLUMNS).toLocalIterator():
+            print(json.dumps(row.asDict()))
     return 0
 
 

@@ -59,33 +59,43 @@ def revenue_positive(daily: DataFrame) -> DataFrame:
     )
 
 
-def sorted_desc(report: DataFrame, value: str, tie: str) -> DataFrame:
-    """Out-of-order neighbours in a top-N report (bounded: N rows).
+#: Rows of a report that one task may put in order.
+MAX_REPORT = 100_000
+
 
-    ``report`` must already be limited; the window runs over those N rows only.
+def sorted_desc(report: DataFrame, value: str, tie: str) -> DataFrame:
+    """(checked_rows, out_of_order): neighbours of a report, in the order in which it
+    returns its rows, that should stand the other way round: a smaller value (NULL
+    smallest) before a larger one, or on equal values a larger ``tie`` before a
+    smaller.
+
+    Rows are numbered as they come, and compared along these numbers; nothing is
+    sorted by the value.  A report is a bounded result: one of more than MAX_REPORT
+    rows fails.
     """
-    w = Window.orderBy(F.desc_nulls_last(value), F.asc_nulls_last(tie))
-    ranked = report.withColumn("_prev", F.lag(value).over(w))
-    return ranked.agg(
-        F.count(F.lit(1)).alias("checked_rows"),
-        F.count_if(F.col("_prev") < F.col(value)).alias("out_of_order"),
-    )
+    along = Window.orderBy("_at")
+    v, before = F.col(value), F.lag(value).over(along)
+    t, tie_before = F.col(tie), F.lag(tie).over(along)
+    numbered = report.withColumn("_at", F.monotonically_increasing_id())
+    wrong = (before < v) | (before.isNull() & v.isNotNull()) | (before.eqNullSafe(v) & (tie_before > t))
+    marked = numbered.withColumn("_wrong", wrong & (F.row_number().over(along) > 1))
+    n = F.count(F.lit(1))
+    too_many = F.raise_error(F.lit(f"a report of more than {MAX_REPORT} rows")).cast("bigint")
+    return marked.agg(F.when(n > MAX_REPORT, too_many).otherwise(n).alias("checked_rows"),
+                      F.count_if("_wrong").alias("out_of_order"))
 
 
 def top_n_complete(full: DataFrame, report: DataFrame, value: str, key: str) -> DataFrame:
     """(report_rows, missed): rows outside a top-N report that rank above its
     last row.  Zero means the report really holds the top N.
 
-    One scalar (the report's lowest value) reaches the driver; the rest is an
-    anti join of the full table against the N report keys and one aggregate.
+    The report's size and lowest value are scalar subqueries of one plan; no job
+    starts before the check does.
     """
-    threshold = report.agg(F.min(value)).first()[0]
-    rows = report.count()
-    outside = full.join(report.select(key), key, "left_anti")
-    missed = (F.count_if(F.col(value) > F.lit(threshold)) if threshold is not None
-              else F.lit(0).cast("bigint"))
-    return outside.agg(F.lit(rows).cast("bigint").alias("report_rows"),
-                       missed.alias("missed"))
+    lowest = report.agg(F.min(value)).scalar()
+    rows = report.agg(F.count(F.lit(1))).scalar()
+    outside = full.join(report.select(key), key, "left_anti").select(value)
+    return outside.agg(rows.alias("report_rows"), F.count_if(F.col(value) > lowest).alias("missed"))
 
 
 def assert_check(result: DataFrame, **expected) -> None:

@@ -1,8 +1,9 @@
-"""The acceptance checklist of a run, evaluated on the tables it committed.
+"""The acceptance checklist of a run, evaluated on the tables it stored.
 
-Each check is one aggregate (or a schema/commit lookup); only its one-row
-result reaches the driver, and the report is a small DataFrame of
-(check_name, passed).
+Every check reads what was written: rows are counted in the stored table, types are
+those of its files, and partitioning is that of its directories.  Each is one
+aggregate or a schema lookup; only its one-row result reaches the driver, and the
+report is a small DataFrame of (check_name, passed).
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 
 from strata.operators import analyst, checks
 from strata.plans.layers import LayerJob
-from strata.sinks import versions as V
 
 # The checklist, in the order it is reported.
 CHECKS = (
@@ -24,37 +24,39 @@ CHECKS = (
     "gold_top_customers_sorted",
 )
 
+MONEY = {"orders": ("o_totalprice",), "lineitem": ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}
+YEARS = {"orders": "order_year", "lineitem": "ship_year"}
+KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
 
-def acceptance(spark: SparkSession, job: LayerJob, source_counts: dict[str, int]
-               ) -> DataFrame:
-    """(check_name, passed) for a finished run.  ``source_counts`` are the
-    row counts of the raw inputs (data lines or source-table rows)."""
-    def table(layer, name):
-        return V.read_version(spark, job.root, layer, name)
 
-    bronze_ok = all(job.metrics.summary()[f"bronze.{t}"]["row_count"] == n
-                    for t, n in source_counts.items())
-    so, sl = table("silver", "orders"), table("silver", "lineitem")
-    money_ok = dict(so.dtypes)["o_totalprice"] == "decimal(15,2)" and all(
-        dict(sl.dtypes)[c] == "decimal(15,2)"
-        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax") if c in sl.columns)
-    part_ok = (V.snapshot(spark, job.root, "silver", "orders")["partition_by"] == "order_year"
-               and V.snapshot(spark, job.root, "silver", "lineitem")["partition_by"]
-               == "ship_year")
-    keys_ok = (checks.null_keys(so, "o_orderkey").first()["null_keys"] == 0
-               and checks.null_keys(sl, "l_orderkey").first()["null_keys"] == 0)
-    daily = table("gold", "revenue_by_order_date")
-    positive_ok = checks.revenue_positive(daily).first()["non_positive"] == 0
-    top = table("gold", "top_customers")
+def partitioned_by(df: DataFrame, column: str) -> bool:
+    """Whether the stored rows lie in directories of ``column``'s values."""
+    value = F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    inside = F.contains(F.col("_metadata.file_path"), F.concat(F.lit(f"/{column}="), value, F.lit("/")))
+    found = df.select(inside.alias("inside")).agg(F.count(F.lit(1)).alias("n"), F.count_if("inside").alias("inside")).first()
+    return found["n"] == found["inside"]
+
+
+def acceptance(spark: SparkSession, job: LayerJob, source_counts: dict[str, int],
+               money: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """(check_name, passed) for a finished run.  ``source_counts`` are the
+    row counts of the raw inputs (data lines or source-table rows), ``money`` the
+    money columns that its sources carry (default: all; a missing one fails)."""
+    counted = {t: job.read(spark, "bronze", t).count() for t in source_counts}
+    silver = {t: job.read(spark, "silver", t) for t in YEARS}
+    types = {t: dict(df.dtypes) for t, df in silver.items()}
+    daily, top = (job.read(spark, "gold", t) for t in ("revenue_by_order_date", "top_customers"))
     report = analyst.top_n_customers(top, 10)
-    sorted_ok = (checks.sorted_desc(report, "total_revenue", "customer_key")
-                 .first()["out_of_order"] == 0
-                 and checks.top_n_complete(top, report, "total_revenue", "customer_key")
-                 .first()["missed"] == 0)
-    results = dict(zip(CHECKS, (bronze_ok, money_ok, part_ok, keys_ok, positive_ok,
-                                sorted_ok)))
-    return spark.createDataFrame([(name, bool(results[name])) for name in CHECKS],
-                                 "check_name string, passed boolean")
+    passed = (
+        counted == source_counts,
+        all(types[t].get(c) == "decimal(15,2)" for t, cs in (money or MONEY).items() for c in cs),
+        all(partitioned_by(df, YEARS[t]) for t, df in silver.items()),
+        all(checks.null_keys(df, KEYS[t]).first()["null_keys"] == 0 for t, df in silver.items()),
+        checks.revenue_positive(daily).first()["non_positive"] == 0,
+        checks.sorted_desc(report, "total_revenue", "customer_key").first()["out_of_order"] == 0
+        and checks.top_n_complete(top, report, "total_revenue", "customer_key").first()["missed"] == 0,
+    )
+    return spark.createDataFrame(list(zip(CHECKS, passed)), "check_name string, passed boolean")
 
 
 def source_counts(spark: SparkSession, sf_dir: str, tables=("orders", "lineitem")

@@ -1,29 +1,28 @@
-"""The three-layer job: raw -> bronze -> silver -> gold, as versioned tables.
+"""The three-layer job: raw -> bronze -> silver -> gold, as stored tables.
 
-Each layer is materialized (published as a new version) before the next one
-reads it back, so no plan spans layers, lineage stays short, and a rerun or a
-retry after a lost executor starts from committed data.  Row counts come
+Each layer is written (a fresh directory that readers then switch to) before the
+next one reads it back, so no plan spans layers, lineage stays short, and a rerun
+or a retry after a lost executor starts from finished tables.  Row counts come
 from ``Observation``s attached to the writes (no recount scans).
 
-Reruns are safe: every run publishes new versions; an interrupted run leaves
-only uncommitted directories.
+Reruns are safe: every run writes new directories; an interrupted run leaves
+only unfinished ones, which nobody reads.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from strata.operators import gold, silver
 from strata.schemas import PARTITION_COLUMNS, SOURCE_TABLES
 from strata.sinks import catalog
-from strata.sinks import versions as V
+from strata.sinks import tables as T
 from strata.sinks.writes import write_table
 from strata.sources.delimited import read_delimited, source_path
 from strata.sources.tables import read_parquet_table
@@ -36,28 +35,15 @@ METRICS_SCHEMA = StructType([
 ])
 
 
-@dataclass
-class RunMetrics:
-    """Rows and seconds per ``phase.table``; recording a key again replaces it."""
-    entries: dict[str, dict] = field(default_factory=dict)
-
-    def record(self, phase: str, table: str, rows: int, duration_s: float) -> None:
-        self.entries[f"{phase}.{table}"] = {
-            "phase": phase, "table_name": table, "row_count": int(rows),
-            "duration_s": round(float(duration_s), 3)}
-
-    def summary(self) -> dict[str, dict]:
-        return dict(self.entries)
-
-    def to_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.entries.values()), METRICS_SCHEMA)
-
-
 @dataclass
 class LayerJob:
     """Configuration of one run.  ``source_format`` is ``text`` (delimited
     raw files ``<source>/<table><suffix>``, e.g. ``orders.csv`` with a header
-    or ``orders.tbl`` without one) or ``parquet`` (``<table>.parquet``)."""
+    or ``orders.tbl`` without one) or ``parquet`` (``<table>.parquet``).
+
+    ``bronze_tasks`` deals raw rows out to so many tasks before they are stored:
+    for inputs that Spark can't split (one huge compressed file).  Without it they
+    are stored as they are read."""
     source: str
     root: str
     source_format: str = "parquet"
@@ -67,143 +53,122 @@ class LayerJob:
     tables: tuple[str, ...] = SOURCE_TABLES
     register: bool = False
     audit: bool = True
-    committed_at: dt.datetime | None = None
     attempts: int = 1
     retry_delay_s: float = 5.0
     parallel: bool = True
-    metrics: RunMetrics = field(default_factory=RunMetrics)
-    # What this run committed, and the commit-log numbers read once per run
-    # (one writer per table: nobody else moves them meanwhile).
-    commits: dict = field(default_factory=dict)
-    _numbers: dict | None = field(default=None, repr=False)
-
-    # -- helpers -------------------------------------------------------------
-    def _publish(self, spark, layer, table, df, partition_by=None) -> V.Commit:
-        """Publish one table, retrying the whole step up to ``attempts`` times.
-
-        A failed attempt commits nothing (its directory stays uncommitted and
-        is never reused), so a retry cannot duplicate or half-apply a table.
-        """
-        if self._numbers is None:
-            self._numbers = V.table_numbers(spark, self.root)
-        numbers = self._numbers.get((layer, table), (0, 0))
-        for attempt in range(1, self.attempts + 1):
-            start = time.monotonic()
+    bronze_tasks: int | None = None
+    #: One row for each table stored by this run, and where it was stored.
+    stored: list[Row] = field(default_factory=list)
+    paths: dict[tuple[str, str], str] = field(default_factory=dict)
+    #: The order of columns in which each path was written.
+    columns: dict[str, list[str]] = field(default_factory=dict)
+
+    # -- storing -------------------------------------------------------------
+    def _store(self, spark, layer, table, df) -> None:
+        """Store one table.  A failed try leaves an unfinished directory that nobody
+        reads, so trying again can't duplicate or half-apply anything."""
+        partition_by = PARTITION_COLUMNS.get((layer, table))
+        began = time.monotonic()
+        for left in reversed(range(max(1, self.attempts))):
             try:
-                done = V.publish(spark, self.root, layer, table, df,
-                                 partition_by=partition_by, committed_at=self.committed_at,
-                                 numbers=numbers, rebalance=partition_by is not None)
-                break
-            except Exception:  # noqa: BLE001 - any failure of the step is retried
-                if attempt == self.attempts:
+                done = T.publish(spark, self.root, layer, table, df, partition_by,
+                                 rebalance=partition_by is not None)
+            except Exception:  # noqa: BLE001 - whatever made the try fail
+                if not left:
                     raise
                 time.sleep(self.retry_delay_s)
-                # a failed attempt may have committed before failing: re-read
-                numbers = V.table_numbers(spark, self.root).get((layer, table), (0, 0))
-        self._numbers[(layer, table)] = (done.version,
-                                         max(numbers[1], done.version, done.data_version))
-        self.commits[(layer, table)] = (done, df.schema, partition_by)
-        self.metrics.record(layer, table, done.row_count, time.monotonic() - start)
-        return done
-
-    def _publish_layer(self, spark, layer, items) -> None:
-        """Publish a layer's tables — independent jobs, submitted together when
-        ``parallel`` (the cluster shares its slots between them) — then
-        register them in the catalog from this thread."""
-        if self._numbers is None:
-            self._numbers = V.table_numbers(spark, self.root)
-        if self.parallel and len(items) > 1:
-            with ThreadPoolExecutor(max_workers=len(items)) as pool:
-                for f in [pool.submit(self._publish, spark, layer, *item) for item in items]:
-                    f.result()
-        else:
-            for item in items:
-                self._publish(spark, layer, *item)
+            else:
+                break
+        self.paths[layer, table] = done.path
+        self.columns[done.path] = df.columns
+        seconds = round(time.monotonic() - began, 3)
+        self.stored = [r for r in self.stored if (r["phase"], r["table_name"]) != (layer, table)]
+        self.stored.append(Row(phase=layer, table_name=table, row_count=done.row_count, duration_s=seconds))
+
+    def _store_layer(self, spark, layer, frames: dict[str, DataFrame]) -> None:
+        """Store a layer's tables (independent jobs, submitted together when
+        ``parallel``), then register them from this thread."""
+        workers = len(frames) if self.parallel else 1
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            for job in [pool.submit(self._store, spark, layer, t, df) for t, df in frames.items()]:
+                job.result()
         if self.register:
-            for table, _, _ in items:
+            for table in frames:
                 self._declare(spark, layer, table)
 
     def _declare(self, spark, layer, table) -> None:
-        # Declared DDL from the published schema: the catalog states the
-        # exact types and never infers them from files.
-        done, schema, partition_by = self.commits[(layer, table)]
-        catalog.declare_table(spark, f"{layer}.{table}", schema,
-                              V.data_path(self.root, layer, table, done.data_version),
-                              partition_by)
+        path = self.paths[layer, table]
+        catalog.create_layer(spark, layer, T.table_path(self.root, layer, "").rstrip("/"))
+        catalog.declare_table(spark, f"{layer}.{table}", spark.read.parquet(path).schema, path,
+                              PARTITION_COLUMNS.get((layer, table)))
 
     def register_tables(self, spark: SparkSession) -> None:
-        """(Re-)point ``layer.table`` at every table this run committed."""
-        for layer, table in self.commits:
+        """(Re-)point ``layer.table`` at every table this run stored."""
+        for layer, table in self.paths:
             self._declare(spark, layer, table)
 
-    def _current(self, spark, layer, table) -> DataFrame:
-        """A table this run published (no commit-log lookup), else the
-        table's current version."""
-        if (layer, table) in self.commits:
-            done, schema, _ = self.commits[(layer, table)]
-            return V.read_commit(spark, self.root, layer, table, done, schema)
-        return V.read_version(spark, self.root, layer, table)
+    def drop_tables(self, spark: SparkSession, with_data: bool = False) -> None:
+        """Take this run's tables and their (then empty) databases out of the catalog;
+        ``with_data`` also deletes the directories this run wrote."""
+        for (layer, table), path in self.paths.items():
+            catalog.drop_table(spark, f"{layer}.{table}")
+            if with_data:
+                T.remove_own(spark, path)
+        for layer in {layer for layer, _ in self.paths}:
+            if catalog.is_empty(spark, layer):
+                catalog.drop_layer(spark, layer)
+
+    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+        """A table as this run stored it, or else its current content."""
+        path = self.paths.get((layer, table)) or T.current_path(spark, self.root, layer, table)
+        stored = spark.read.parquet(path)
+        return stored.select(self.columns.get(path, stored.columns))
+
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """(phase, table_name, row_count, duration_s) of what this run stored."""
+        return spark.createDataFrame(self.stored, METRICS_SCHEMA)
+
+    def row_count(self, layer: str, table: str) -> int:
+        return next(r["row_count"] for r in self.stored if (r["phase"], r["table_name"]) == (layer, table))
 
     def _raw(self, spark, table) -> DataFrame:
         if self.source_format == "text":
-            return read_delimited(spark, source_path(self.source, table, self.suffix), table,
-                                  header=self.header, sep=self.sep)
-        return read_parquet_table(spark, self.source, table)
+            raw = read_delimited(spark, source_path(self.source, table, self.suffix), table,
+                                 header=self.header, sep=self.sep)
+        else:
+            raw = read_parquet_table(spark, self.source, table)
+        return raw.repartition(self.bronze_tasks) if self.bronze_tasks else raw
 
     # -- phases --------------------------------------------------------------
     def bronze(self, spark: SparkSession) -> None:
-        self._publish_layer(spark, "bronze", [
-            (t, spread(spark, self._raw(spark, t)), None) for t in self.tables])
+        self._store_layer(spark, "bronze", {t: self._raw(spark, t) for t in self.tables})
 
     def silver(self, spark: SparkSession) -> None:
-        self._publish_layer(spark, "silver", [
-            (t, silver.clean(self._current(spark, "bronze", t), t, audit=self.audit),
-             PARTITION_COLUMNS[("silver", t)]) for t in self.tables])
+        self._store_layer(spark, "silver", {
+            t: silver.clean(self.read(spark, "bronze", t), t, audit=self.audit) for t in self.tables})
 
     def gold(self, spark: SparkSession) -> None:
-        orders = self._current(spark, "silver", "orders")
-        lineitem = self._current(spark, "silver", "lineitem")
         # Both business tables come from the same per-order facts.  They are
-        # written once to a staging table in the warehouse (shared storage),
-        # which cuts the lineage: a lost executor costs a re-read of staged
-        # files, not a recomputation of the join.  Removed after the commits.
-        staging_root = f"{self.root.rstrip('/')}/staging"
-        # One writer per warehouse: staging left here belongs to a run that
-        # died before cleaning up.
-        V.delete_paths(spark, [staging_root])
-        staging = f"{staging_root}/order_facts-{uuid.uuid4().hex[:12]}"
-        write_table(gold.order_facts(orders, lineitem), staging)
+        # written once to a staging table under the root (shared storage), which
+        # cuts the lineage: a lost executor costs a re-read of staged files, not a
+        # recomputation of the join.  Removed once both are stored.
+        staging = f"{self.root.rstrip('/')}/staging/order_facts-{uuid.uuid4().hex[:12]}"
+        write_table(gold.order_facts(self.read(spark, "silver", "orders"),
+                                     self.read(spark, "silver", "lineitem")), staging)
         try:
             facts = spark.read.parquet(staging)
-            self._publish_layer(spark, "gold", [
-                ("revenue_by_order_date", gold.revenue_by_order_date(facts),
-                 PARTITION_COLUMNS[("gold", "revenue_by_order_date")]),
-                ("top_customers", gold.top_customers(facts), None)])
+            self._store_layer(spark, "gold", {
+                "revenue_by_order_date": gold.revenue_by_order_date(facts),
+                "top_customers": gold.top_customers(facts)})
         finally:
-            V.delete_paths(spark, [staging])
+            T.remove_own(spark, staging)
 
-    def run(self, spark: SparkSession) -> RunMetrics:
+    def run(self, spark: SparkSession) -> "LayerJob":
         self.bronze(spark)
         self.silver(spark)
         self.gold(spark)
-        return self.metrics
-
-
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Spread a raw input that arrives in fewer splits than the cluster has
-    cores (a single non-splittable compressed file, one huge row group) so the
-    bronze files — and every layer reading them — are processed in parallel.
-
-    At scale, inputs of many files already have far more splits than cores
-    and this adds nothing; the round-robin exchange is only inserted below
-    that bound.  Spark sorts locally before a round-robin exchange, so a
-    retried task re-sends identical rows to identical partitions.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+        return self
 
 
-def run_layers(spark: SparkSession, source: str, root: str, **options) -> RunMetrics:
+def run_layers(spark: SparkSession, source: str, root: str, **options) -> LayerJob:
     return LayerJob(source=source, root=root, **options).run(spark)

@@ -54,9 +54,7 @@ ORACLES: dict[str, str] = {
     "silver_orders": f"SELECT * FROM {SO} s",
     "silver_lineitem": f"SELECT * FROM {SL} s",
     "revenue_by_order_date": f"SELECT * FROM {R} r",
-    "revenue_join_then_aggregate": f"SELECT * FROM {R} r",
     "top_customers": f"SELECT * FROM {C} c",
-    "top_customers_join_then_aggregate": f"SELECT * FROM {C} c",
     "total_revenue": f"SELECT SUM(total_revenue) AS total_revenue FROM {R} r",
     "yearly_revenue": YEARLY,
     "yearly_revenue_sql": YEARLY,
@@ -70,6 +68,8 @@ ORACLES: dict[str, str] = {
     "row_counts": f"""
         SELECT 'source' AS layer, 'orders' AS table_name, COUNT(*) AS row_count FROM orders
         UNION ALL SELECT 'source', 'lineitem', COUNT(*) FROM lineitem
+        UNION ALL SELECT 'bronze', 'orders', COUNT(*) FROM orders
+        UNION ALL SELECT 'bronze', 'lineitem', COUNT(*) FROM lineitem
         UNION ALL SELECT 'silver', 'orders', COUNT(*) FROM {SO} a
         UNION ALL SELECT 'silver', 'lineitem', COUNT(*) FROM {SL} b
         UNION ALL SELECT 'gold', 'revenue_by_order_date', COUNT(*) FROM {R} c
@@ -86,11 +86,19 @@ ORACLES: dict[str, str] = {
         COUNT(*) AS missed FROM {C} c
         WHERE c.customer_key NOT IN (SELECT customer_key FROM {TOP10} t2)
           AND c.total_revenue > (SELECT MIN(total_revenue) FROM {TOP10} t3)""",
-    "qc_top_sorted": f"""SELECT COUNT(*) AS checked_rows,
-        COUNT(*) FILTER (WHERE prev < total_revenue) AS out_of_order
-        FROM (SELECT total_revenue, LAG(total_revenue) OVER
-                (ORDER BY total_revenue DESC NULLS LAST, customer_key ASC NULLS LAST) AS prev
-              FROM {TOP10} t) x""",
+    "qc_top_sorted": f"""
+        WITH t AS (SELECT customer_key, total_revenue FROM {TOP10} x),
+        pairs AS (
+          SELECT 'as_returned' AS report, total_revenue, customer_key,
+                 LAG(total_revenue) OVER w AS prev, LAG(customer_key) OVER w AS prev_key
+          FROM t WINDOW w AS (ORDER BY total_revenue DESC NULLS LAST, customer_key ASC NULLS LAST)
+          UNION ALL
+          SELECT 'by_customer', total_revenue, customer_key,
+                 LAG(total_revenue) OVER w, LAG(customer_key) OVER w FROM t WINDOW w AS (ORDER BY customer_key))
+        SELECT report, COUNT(*) AS checked_rows,
+               COUNT(*) FILTER (WHERE prev < total_revenue OR (prev = total_revenue AND prev_key > customer_key))
+                 AS out_of_order
+        FROM pairs GROUP BY report""",
 }
 
 # -- raw ingest and writes ----------------------------------------------------
@@ -158,7 +166,6 @@ ORACLES.update({
     "incremental_clean": f"SELECT * FROM {SO} s",
     "bronze_lineitem": LINEITEM_TEXT,
 
-    "incremental_ingest_lineitem": LINEITEM_TEXT,
 
     "bronze_dirty": """SELECT
         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
@@ -189,35 +196,16 @@ ORACLES.update({
     "upsert_orders": f"""SELECT * FROM {SO} s
         WHERE NOT EXISTS (SELECT 1 FROM {UPDATES} u WHERE u.o_orderkey = s.o_orderkey)
         UNION ALL SELECT * FROM {UPDATES} u2""",
-    "upsert_orders_by_partition": f"""SELECT * FROM {SO} s
-        WHERE NOT EXISTS (SELECT 1 FROM {UPDATES} u WHERE u.o_orderkey = s.o_orderkey)
-        UNION ALL SELECT * FROM {UPDATES} u2""",
-    "snapshots_history": f"""
-        SELECT CAST(1 AS BIGINT) AS version, CAST(1 AS BIGINT) AS data_version,
-               (SELECT COUNT(*) FROM {SO} a) AS row_count, 'replace' AS operation
-        UNION ALL SELECT 2, 2, (SELECT COUNT(*) FROM {SO} b WHERE order_year >= 1997), 'replace'
-        UNION ALL SELECT 3, 1, (SELECT COUNT(*) FROM {SO} c), 'rollback'""",
-    "read_as_of_version": f"SELECT * FROM {SO} s WHERE order_year >= 1997",
-    "read_as_of_time": f"SELECT * FROM {SO} s",
-    "rollback": f"SELECT * FROM {SO} s",
-    "expire_candidates": f"""
-        WITH n AS (SELECT COUNT(*) AS c FROM {R} r)
-        SELECT CAST(v AS BIGINT) AS version, CAST(dv AS BIGINT) AS data_version,
-               n.c AS row_count, op AS operation, expired, deletable AS directory_deletable
-        FROM (VALUES (1, 1, 'replace', TRUE, TRUE), (2, 2, 'replace', TRUE, FALSE),
-                     (3, 3, 'replace', TRUE, TRUE), (4, 4, 'replace', TRUE, TRUE),
-                     (5, 5, 'replace', FALSE, FALSE), (6, 6, 'replace', FALSE, FALSE),
-                     (7, 2, 'rollback', FALSE, FALSE)) t(v, dv, op, expired, deletable), n""",
-    "expire_commits": f"""
-        WITH n AS (SELECT COUNT(*) AS c FROM {R} r)
-        SELECT CAST(v AS BIGINT) AS version, CAST(dv AS BIGINT) AS data_version,
-               op AS operation, n.c AS current_rows
-        FROM (VALUES (5, 5, 'replace'), (6, 6, 'replace'), (7, 2, 'rollback')) t(v, dv, op), n""",
-    "orphan_files": f"""SELECT CAST(3 AS BIGINT) AS data_version, COUNT(*) AS orphan_rows
-        FROM {SO} s WHERE order_year = 1996""",
+    "upsert_orders_by_partition": f"""
+        SELECT * REPLACE (CASE WHEN order_year = 1993 THEN 1994 ELSE order_year END AS order_year)
+        FROM (SELECT * FROM {SO} s
+              WHERE NOT EXISTS (SELECT 1 FROM {UPDATES} u WHERE u.o_orderkey = s.o_orderkey)
+              UNION ALL SELECT * FROM {UPDATES} u2) merged""",
     "compaction_same_rows": f"SELECT * FROM {SL} s",
-    "compaction_in_place": f"SELECT * FROM {SL} s",
+    "compaction_in_place": f"""SELECT ship_year, COUNT(*) AS row_count, CAST(SUM(l_orderkey) AS BIGINT) AS key_sum,
+        SUM(revenue) AS revenue, TRUE AS fewer_files FROM {SL} s GROUP BY ship_year""",
     "schema_add_column": f"SELECT *, CAST(NULL AS VARCHAR) AS o_note FROM {SO} s",
+    "schema_drop_then_add": f"SELECT * REPLACE (CAST(NULL AS VARCHAR) AS o_orderstatus) FROM {SO} s",
     "schema_rename_drop": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
         o_orderpriority AS order_priority, order_year, order_month FROM {SO} s""",
     "schema_widen": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
@@ -258,6 +246,5 @@ ORACLES.update({
                    (ORDER BY total_revenue DESC NULLS LAST, customer_key ASC NULLS LAST) AS prev
                  FROM {TOP10} t) x WHERE prev < total_revenue) = 0""",
     "copy_tables": COPY_CHECK,
-    "copy_tables_with_history": COPY_CHECK,
 
 })

@@ -2,39 +2,34 @@
 
 Each call writes under a fresh directory in the shared checkpoint folder
 (``strata.session.work_root``) and returns a DataFrame that reads what was
-written.  Commit timestamps are fixed so that histories repeat.
+written.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators import analyst, checks, silver
+from strata.operators import analyst, checks, evolution, silver
 from strata.plans.fixtures import write_clean_text, write_dirty_lineitem, write_dirty_orders
 from strata.plans.layers import LayerJob
 from strata.plans.registry import query
 from strata.plans.sources import clean_tables, gold_tables
-from strata.schemas import KEY_COLUMNS, MONEY
+from strata.schemas import KEY_COLUMNS, MONEY, PARTITION_COLUMNS
 from strata.session import work_root
 from strata.sinks import catalog, upkeep
-from strata.sinks import versions as V
+from strata.sinks import tables as T
 from strata.sinks.writes import overwrite_partitions, upsert_partitions, write_table
 from strata.sources.delimited import as_raw_text, read_delimited, write_delimited
 from strata.sources.tables import read_parquet_table
 from strata.streaming import clean_new_rows, ingest_new_files
 
-T0 = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
 NEW_KEY_OFFSET = 1_000_000_000
 
 
-def _hours(h: float) -> dt.datetime:
-    return T0 + dt.timedelta(hours=h)
-
-
 # -- raw ingest ---------------------------------------------------------------
 
 def _text_round_trip(spark, sf_dir, table):
@@ -84,10 +79,10 @@ def qc_bronze_matches_raw(spark, sf_dir):
     raw = f"{root}/raw"
     for table in ("orders", "lineitem"):
         write_clean_text(spark, sf_dir, table, f"{raw}/{table}.csv")
-    job = LayerJob(source=raw, root=f"{root}/wh", source_format="text", committed_at=T0)
+    job = LayerJob(source=raw, root=f"{root}/wh", source_format="text")
     job.bronze(spark)
     parts = [checks.bronze_matches_raw(spark, f"{raw}/{t}.csv",
-                                       V.read_version(spark, job.root, "bronze", t), t)
+                                       job.read(spark, "bronze", t), t)
              for t in ("orders", "lineitem")]
     return reduce(DataFrame.unionByName, parts)
 
@@ -135,19 +130,17 @@ def partition_overwrite(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-# -- versioned tables ---------------------------------------------------------
+# -- stored tables ------------------------------------------------------------
 
-def _orders_root(spark, sf_dir, label):
+def _stored_orders(spark, sf_dir, label):
     root = work_root(spark, label)
     orders = clean_tables(spark, sf_dir)[0]
-    V.publish(spark, root, "silver", "orders", orders, partition_by="order_year",
-              committed_at=_hours(0))
-    return root, orders
+    T.publish(spark, root, "silver", "orders", orders, "order_year")
+    return root, T.read_current(spark, root, "silver", "orders").select(orders.columns)
 
 
-@query
-def upsert_orders(spark, sf_dir):
-    root, orders = _orders_root(spark, sf_dir, "upsert")
+def _order_updates(orders):
+    """Every tenth order changed, every tenth added again under a new key."""
     k = F.col("o_orderkey")
     changed = (orders.filter(k % 10 == 0)
                .withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast(MONEY))
@@ -155,164 +148,82 @@ def upsert_orders(spark, sf_dir):
     added = (orders.filter(k % 10 == 1)
              .withColumn("o_orderkey", k + F.lit(NEW_KEY_OFFSET))
              .withColumn("o_orderstatus", F.lit("N")))
-    upkeep.upsert_table(spark, root, "silver", "orders", changed.unionByName(added),
-                        "o_orderkey", committed_at=_hours(1))
-    return V.read_version(spark, root, "silver", "orders")
+    return changed.unionByName(added)
+
+
+@query
+def upsert_orders(spark, sf_dir):
+    root, orders = _stored_orders(spark, sf_dir, "upsert")
+    upkeep.upsert_table(spark, root, "silver", "orders", _order_updates(orders), "o_orderkey", "order_year")
+    return T.read_current(spark, root, "silver", "orders")
 
 
 @query
 def upsert_orders_by_partition(spark, sf_dir):
-    """The same upsert into a plain year-partitioned table, rewriting only
-    the partitions that hold or receive an updated key."""
+    """The same upsert into a plain year-partitioned table, rewriting only the
+    partitions that hold or receive an updated key; then *all* orders of one year
+    move to another, which leaves an empty partition."""
     path = f"{work_root(spark, 'merge')}/silver/orders"
     orders = clean_tables(spark, sf_dir)[0]
     write_table(orders, path, partition_by="order_year")
-    k = F.col("o_orderkey")
-    changed = (orders.filter(k % 10 == 0)
-               .withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast(MONEY))
-               .withColumn("o_orderstatus", F.lit("U")))
-    added = (orders.filter(k % 10 == 1)
-             .withColumn("o_orderkey", k + F.lit(NEW_KEY_OFFSET))
-             .withColumn("o_orderstatus", F.lit("N")))
-    upsert_partitions(spark, path, changed.unionByName(added), "o_orderkey", "order_year")
+    upsert_partitions(spark, path, _order_updates(orders), "o_orderkey", "order_year")
+    moved = (spark.read.parquet(path).filter(F.col("order_year") == 1993).select(orders.columns)
+             .withColumn("order_year", F.lit(1994)))
+    upsert_partitions(spark, path, moved, "o_orderkey", "order_year")
     return spark.read.parquet(path)
 
 
-def _history_scenario(spark, sf_dir):
-    """v1 all orders, v2 orders from 1997 on, v3 rollback to v1."""
-    root, orders = _orders_root(spark, sf_dir, "history")
-    V.publish(spark, root, "silver", "orders", orders.filter(F.col("order_year") >= 1997),
-              partition_by="order_year", committed_at=_hours(1))
-    V.rollback(spark, root, "silver", "orders", 1, committed_at=_hours(2))
-    return root
-
-
-@query
-def snapshots_history(spark, sf_dir):
-    root = _history_scenario(spark, sf_dir)
-    return V.history(spark, root, "silver", "orders").select(
-        "version", "data_version", "row_count", "operation")
-
-
-@query
-def read_as_of_version(spark, sf_dir):
-    return V.read_version(spark, _history_scenario(spark, sf_dir), "silver", "orders", 2)
-
-
-@query
-def read_as_of_time(spark, sf_dir):
-    return V.read_as_of(spark, _history_scenario(spark, sf_dir), "silver", "orders",
-                        _hours(0.5))
-
-
-@query
-def rollback(spark, sf_dir):
-    return V.read_version(spark, _history_scenario(spark, sf_dir), "silver", "orders")
-
-
-def _expiry_scenario(spark, sf_dir):
-    """Six daily commits of the daily-revenue table, then a rollback to v2."""
-    root = work_root(spark, "expire")
-    day = dt.timedelta(days=1)
-    V.publish(spark, root, "gold", "revenue_by_order_date",
-              gold_tables(spark, sf_dir)["revenue_by_order_date"],
-              partition_by="order_year", committed_at=T0)
-    for i in range(1, 6):
-        V.publish(spark, root, "gold", "revenue_by_order_date",
-                  V.read_version(spark, root, "gold", "revenue_by_order_date", 1),
-                  partition_by="order_year", committed_at=T0 + i * day)
-    V.rollback(spark, root, "gold", "revenue_by_order_date", 2, committed_at=T0 + 6 * day)
-    return root, T0 + 4 * day
-
-
 @query
-def expire_candidates(spark, sf_dir):
-    """Expire what is older than day 4 beyond the newest two commits."""
-    root, cut = _expiry_scenario(spark, sf_dir)
-    rows = V.history(spark, root, "gold", "revenue_by_order_date").select("version", "row_count")
-    return (V.expire_candidates(spark, root, cut, retain_last=2,
-                                layer="gold", table="revenue_by_order_date")
-            .join(rows, "version")
-            .select("version", "data_version", "row_count", "operation", "expired",
-                    "directory_deletable"))
-
-
-@query
-def expire_commits(spark, sf_dir):
-    """The same expiry carried out: the history left, and the kept version
-    whose directory an expired commit shared still reads in full."""
-    root, cut = _expiry_scenario(spark, sf_dir)
-    upkeep.expire(spark, root, cut, retain_last=2, layer="gold",
-                  table="revenue_by_order_date")
-    current_rows = V.read_version(spark, root, "gold", "revenue_by_order_date").count()
-    return (V.history(spark, root, "gold", "revenue_by_order_date")
-            .select("version", "data_version", "operation",
-                    F.lit(current_rows).cast("bigint").alias("current_rows")))
-
-
-@query
-def orphan_files(spark, sf_dir):
-    """Two commits, then a run that wrote data but died before committing."""
-    root, orders = _orders_root(spark, sf_dir, "orphans")
-    V.publish(spark, root, "silver", "orders", orders, partition_by="order_year",
-              committed_at=_hours(1))
-    uncommitted = V.data_path(root, "silver", "orders", 3)
-    write_table(orders.filter(F.col("order_year") == 1996), uncommitted, "order_year")
-    orphans = V.orphan_files(spark, root, "silver", "orders", older_than=_hours(10**6))
-    found = [r["data_version"] for r in orphans.select("data_version").distinct().collect()]
-    parts = [
-        spark.read.parquet(p).agg(F.count(F.lit(1)).alias("orphan_rows"))
-        .select(F.lit(int(v)).cast("bigint").alias("data_version"), "orphan_rows")
-        for v, p in zip(found, V.directory_paths(root, "silver", "orders", found))
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def compaction_in_place(spark, sf_dir):
+    """A year-partitioned table of many small files, compacted in place: rows by
+    year, unchanged, and whether the year's files got fewer."""
+    path = f"{work_root(spark, 'compact-in-place')}/silver/lineitem"
+    write_table(clean_tables(spark, sf_dir)[1].repartition(64), path, partition_by="ship_year")
+    before = upkeep.partition_files(spark, path, "ship_year").collect()
+    upkeep.compact_partitions(spark, path, "ship_year")
+    files = spark.createDataFrame([(r["value"], r["files"]) for r in before], "ship_year int, files_before long")
+    after = upkeep.partition_files(spark, path, "ship_year").select(F.col("value").alias("ship_year"), "files")
+    fewer = files.join(after, files["ship_year"].eqNullSafe(after["ship_year"])).select(
+        files["ship_year"], (F.col("files") < F.col("files_before")).alias("fewer_files"))
+    rows = spark.read.parquet(path).groupBy(F.col("ship_year").alias("y")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("l_orderkey").alias("key_sum"), F.sum("revenue").alias("revenue"))
+    return rows.join(fewer, rows["y"].eqNullSafe(fewer["ship_year"])).drop("y")
 
 
 @query
 def compaction_same_rows(spark, sf_dir):
-    root = work_root(spark, "compact")
+    """Every row of a compacted table."""
+    path = f"{work_root(spark, 'compact')}/silver/lineitem"
     lineitem = clean_tables(spark, sf_dir)[1]
-    # Many small files per year, as left by many small loads.
-    V.publish(spark, root, "silver", "lineitem", lineitem.repartition(64),
-              partition_by="ship_year", committed_at=_hours(0))
-    upkeep.compact(spark, root, "silver", "lineitem", committed_at=_hours(1))
-    return V.read_version(spark, root, "silver", "lineitem")
+    write_table(lineitem.repartition(16), path, partition_by="ship_year")
+    upkeep.compact_partitions(spark, path, "ship_year")
+    return spark.read.parquet(path).select(lineitem.columns)
 
 
 @query
-def compaction_in_place(spark, sf_dir):
-    """A plain year-partitioned table with many small files, compacted in
-    place: only small-file partitions are rewritten; rows unchanged."""
-    path = f"{work_root(spark, 'compact-in-place')}/silver/lineitem"
-    write_table(clean_tables(spark, sf_dir)[1].repartition(64), path, partition_by="ship_year")
-    upkeep.compact_partitions(spark, path, "ship_year")
-    return spark.read.parquet(path)
+def schema_add_column(spark, sf_dir):
+    _, orders = _stored_orders(spark, sf_dir, "addcol")
+    return evolution.add_column(orders, "o_note", "string")
 
 
 @query
-def schema_add_column(spark, sf_dir):
-    root, _ = _orders_root(spark, sf_dir, "addcol")
-    upkeep.add_column(spark, root, "silver", "orders", "o_note", "string",
-                      committed_at=_hours(1))
-    return V.read_version(spark, root, "silver", "orders")
+def schema_drop_then_add(spark, sf_dir):
+    """A column dropped and added again: NULL for every row, whatever the files hold."""
+    _, orders = _stored_orders(spark, sf_dir, "dropadd")
+    return evolution.add_column(evolution.drop_column(orders, "o_orderstatus", "order_year"), "o_orderstatus", "string")
 
 
 @query
 def schema_rename_drop(spark, sf_dir):
-    root, _ = _orders_root(spark, sf_dir, "renamecol")
-    upkeep.rename_column(spark, root, "silver", "orders", "o_orderpriority", "order_priority",
-                         committed_at=_hours(1))
-    upkeep.drop_column(spark, root, "silver", "orders", "o_orderstatus",
-                       committed_at=_hours(2))
-    return V.read_version(spark, root, "silver", "orders")
+    _, orders = _stored_orders(spark, sf_dir, "renamecol")
+    renamed = evolution.rename_column(orders, "o_orderpriority", "order_priority", "order_year")
+    return evolution.drop_column(renamed, "O_ORDERSTATUS", "order_year")
 
 
 @query
 def schema_widen(spark, sf_dir):
-    root, _ = _orders_root(spark, sf_dir, "widen")
-    upkeep.widen_column(spark, root, "silver", "orders", "order_month", "bigint",
-                        committed_at=_hours(1))
-    return V.read_version(spark, root, "silver", "orders")
+    _, orders = _stored_orders(spark, sf_dir, "widen")
+    return evolution.widen_column(orders, "order_month", "bigint")
 
 
 # -- whole job ----------------------------------------------------------------
@@ -322,14 +233,11 @@ _RUNS: dict[tuple[str, str], LayerJob] = {}
 
 def _layer_run(spark, sf_dir) -> LayerJob:
     """The three-layer job over ``sf_dir``, run once per Spark application
-    and shared by the queries that read its committed tables (committed
-    versions never change).  Tables are registered as ``layer.table``."""
+    and shared by the queries that read its tables (what is stored never
+    changes).  Tables are registered as ``layer.table``."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
-        job = LayerJob(source=sf_dir, root=work_root(spark, "layers"), register=True,
-                       committed_at=T0)
-        job.run(spark)
-        _RUNS[key] = job
+        _RUNS[key] = LayerJob(source=sf_dir, root=work_root(spark, "layers"), register=True).run(spark)
     else:
         _RUNS[key].register_tables(spark)   # the names may have been re-pointed
     return _RUNS[key]
@@ -337,7 +245,7 @@ def _layer_run(spark, sf_dir) -> LayerJob:
 
 @query
 def run_metrics(spark, sf_dir):
-    return _layer_run(spark, sf_dir).metrics.to_frame(spark).drop("duration_s")
+    return _layer_run(spark, sf_dir).metrics(spark).drop("duration_s")
 
 
 @query
@@ -350,14 +258,24 @@ def acceptance_report(spark, sf_dir):
 @query
 def copy_tables(spark, sf_dir):
     src = _layer_run(spark, sf_dir).root
-    return upkeep.copy_tables(spark, src, work_root(spark, "copy-dst"), committed_at=_hours(1))
+    return upkeep.copy_tables(spark, src, work_root(spark, "copy-dst"), PARTITION_COLUMNS)
 
 
 @query
-def copy_tables_with_history(spark, sf_dir):
-    """The warehouse moved with every version and its commit log."""
-    src = _layer_run(spark, sf_dir).root
-    return upkeep.copy_tables(spark, src, work_root(spark, "copy-hist"), with_history=True)
+def row_counts(spark, sf_dir):
+    """(layer, table_name, row_count) of the source tables and of every stored one."""
+    job = _layer_run(spark, sf_dir)
+    tables = {("source", t): read_parquet_table(spark, sf_dir, t) for t in job.tables}
+    return checks.row_counts(tables | {k: job.read(spark, *k) for k in job.paths})
+
+
+@query
+def qc_null_keys(spark, sf_dir):
+    """NULL keys in the silver tables as stored."""
+    job = _layer_run(spark, sf_dir)
+    parts = [checks.null_keys(job.read(spark, "silver", t), KEY_COLUMNS[t]).select(F.lit(t).alias("table_name"), "*")
+             for t in job.tables]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -410,9 +328,19 @@ def stored_top_10_customers(spark, sf_dir):
 
 # -- incremental ingest -------------------------------------------------------
 
+def _age(spark, folder: str, days: int) -> None:
+    """Give the files in ``folder`` time stamps of some days ago."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stamp = int((time.time() - days * 86_400) * 1000)
+    for status in fs.listStatus(path):
+        fs.setTimes(status.getPath(), stamp, -1)
+
+
 def _incremental_bronze(spark, sf_dir, table="orders"):
-    """Raw rows of ``table`` arrive in two drops; each available-now run
-    ingests only the new files, a third run finds nothing.  Returns (root,
+    """Raw rows of ``table`` arrive in two drops, the second of files 30 days
+    older than the first; each available-now run ingests only the new files, a
+    third run finds nothing.  Returns (root,
     bronze path, columns)."""
     root = work_root(spark, "stream")
     src = read_parquet_table(spark, sf_dir, table)
@@ -422,6 +350,8 @@ def _incremental_bronze(spark, sf_dir, table="orders"):
     ck = f"{root}/_checkpoints/bronze-{table}"
     for i, drop in enumerate([src.filter(key % 2 == 0), src.filter(key % 2 == 1)]):
         write_delimited(as_raw_text(drop, table), f"{raw}/drop{i}")
+        if i:
+            _age(spark, f"{raw}/drop{i}", days=30)
         ingest_new_files(spark, raw, table, bronze, ck, columns=cols, recursive=True)
     ingest_new_files(spark, raw, table, bronze, ck, columns=cols, recursive=True)
     return root, bronze, cols
@@ -434,13 +364,6 @@ def incremental_ingest(spark, sf_dir):
     return spark.read.parquet(bronze).select(*cols)
 
 
-@query
-def incremental_ingest_lineitem(spark, sf_dir):
-    """The same incremental ingest for line items."""
-    _, bronze, cols = _incremental_bronze(spark, sf_dir, "lineitem")
-    return spark.read.parquet(bronze).select(*cols)
-
-
 @query
 def incremental_clean(spark, sf_dir):
     """The clean layer streamed from the incremental bronze directory

@@ -50,7 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             current = None
     if not current:
-        # Bare test session only: nothing names a shared folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
+        # A local session has one machine: nothing names a shared folder.
         current = tempfile.mkdtemp(prefix="strata-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

@@ -1 +1 @@
-"""Writers: table replace, partitioned writes, upsert, versioned publishing and upkeep."""
+"""Writers: table replace, partitioned writes, upsert, fresh-directory publishing and upkeep."""

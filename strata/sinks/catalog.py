@@ -1,8 +1,10 @@
 """Session-catalog registration of stored tables (``layer.table``).
 
-Tables are EXTERNAL Parquet tables whose location is a data directory we
-wrote; dropping one never deletes data unless ``purge`` is asked for
-explicitly on a managed table.
+Layer tables are EXTERNAL Parquet tables over a directory that a job wrote:
+dropping one leaves its files (``LayerJob.drop_tables(with_data=True)`` deletes
+those of its own run).  Managed tables lie in their database's location, and go
+with ``purge``.  Databases get a location under the warehouse root, never the
+driver's working folder.
 """
 
 from __future__ import annotations
@@ -15,33 +17,29 @@ def _q(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
-def create_layer(spark: SparkSession, layer: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(layer)}")
+def create_layer(spark: SparkSession, layer: str, location: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(layer)} LOCATION '{_text(location)}'")
 
 
-def register(spark: SparkSession, layer: str, table: str, path: str,
-             partitioned: bool = False) -> str:
-    """Point ``layer.table`` at ``path`` (re-created, so no stale partition
-    entries survive a move to a new directory)."""
-    create_layer(spark, layer)
-    fqn = f"{layer}.{table}"
-    spark.sql(f"DROP TABLE IF EXISTS {_q(fqn)}")
-    spark.sql(f"CREATE TABLE {_q(fqn)} USING parquet LOCATION '{path}'")
-    if partitioned:
-        spark.sql(f"ALTER TABLE {_q(fqn)} RECOVER PARTITIONS")
-    return fqn
+def _text(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def is_empty(spark: SparkSession, layer: str) -> bool:
+    return spark.catalog.databaseExists(layer) and all(
+        t.isTemporary for t in spark.catalog.listTables(layer))
 
 
 def declare_table(spark: SparkSession, fqn: str, schema: StructType, path: str,
                   partition_by: str | None = None) -> str:
     """Explicit DDL: ``CREATE TABLE fqn (typed columns) USING parquet
     [PARTITIONED BY] LOCATION path`` from a declared ``StructType``, so the
-    catalog states the types instead of inferring them from files."""
-    create_layer(spark, fqn.split(".")[0])
+    catalog states the types instead of inferring them from files.  The database
+    must exist (``create_layer``)."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     part = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {_q(fqn)}")
-    spark.sql(f"CREATE TABLE {_q(fqn)} ({cols}) USING parquet{part} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {_q(fqn)} ({cols}) USING parquet{part} LOCATION '{_text(path)}'")
     if partition_by:
         spark.sql(f"ALTER TABLE {_q(fqn)} RECOVER PARTITIONS")
     return fqn
@@ -54,7 +52,7 @@ def create_table_as(spark: SparkSession, fqn: str, select_sql: str,
     Without ``location`` the table is managed (under the warehouse folder);
     with it the data goes to that path (e.g. shared storage)."""
     part = f" PARTITIONED BY ({partition_by})" if partition_by else ""
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = f" LOCATION '{_text(location)}'" if location else ""
     spark.sql(f"DROP TABLE IF EXISTS {_q(fqn)}")
     spark.sql(f"CREATE TABLE {_q(fqn)} USING parquet{part}{loc} AS {select_sql}")
     return spark.table(fqn)

@@ -1,320 +1,116 @@
-"""Table upkeep as ordinary Spark jobs over versioned tables: compaction,
-schema evolution, upsert and copying a warehouse to a new root.
-
-Every operation publishes a new version (never rewrites in place), so a
-failed run leaves the current version untouched and any step can be undone
-with ``versions.rollback``.
-"""
+"""Table upkeep as ordinary Spark jobs: compaction, keyed upsert, copying a warehouse."""
 
 from __future__ import annotations
 
-import datetime as dt
-import json
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
-    ShortType, StructField, StructType, _parse_datatype_string,
-)
 
-from strata.sinks import versions as V
-from strata.sinks.writes import (
-    checksum, duplicate_keys, overwrite_partitions, upsert, write_table,
-)
+from strata.sinks import tables as T
+from strata.sinks.writes import checksum, overwrite_partitions, refuse_duplicate_keys, upsert
 
-SMALL_FILE_BYTES = 64 * 1024 * 1024      # compaction trigger: average file below this
-TARGET_FILE_BYTES = 128 * 1024 * 1024    # compaction output size
+SMALL_FILE_BYTES = 64 * 1024 * 1024      # a partition whose files average less is compacted
+TARGET_FILE_BYTES = 128 * 1024 * 1024    # size of a compacted file
+MAX_TASKS = 2000                         # output files of one compaction job
 
 
 # -- compaction ---------------------------------------------------------------
 
-def file_stats(spark: SparkSession, path: str) -> DataFrame:
-    """files, total_bytes, avg_bytes of the data files under ``path``."""
-    return V.list_files(spark, path).agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"),
-        F.coalesce(F.avg("length"), F.lit(0.0)).alias("avg_bytes"))
-
-
-def needs_compaction(spark: SparkSession, root: str, layer: str, table: str,
-                     small_file_bytes: int = SMALL_FILE_BYTES) -> bool:
-    snap = V.snapshot(spark, root, layer, table)
-    stats = file_stats(spark, V.data_path(root, layer, table, snap["data_version"])).first()
-    return stats["files"] > 1 and stats["avg_bytes"] < small_file_bytes
+def partition_files(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
+    """(partition value, files, bytes) of every partition, from the files that its
+    rows lie in.  The value has the column's type; only file metadata is read."""
+    files = spark.read.parquet(path).select(
+        F.col(f"`{partition_by}`").alias("value"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size")).groupBy("value", "file").agg(F.first("size").alias("size"))
+    return files.groupBy("value").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
 
 
-def compact(spark: SparkSession, root: str, layer: str, table: str, *,
-            target_file_bytes: int = TARGET_FILE_BYTES, cluster_by: list[str] | None = None,
-            committed_at: dt.datetime | None = None) -> V.Commit:
-    """Rewrite the current version into files of about ``target_file_bytes``.
-
-    The file count comes from the on-disk size.  Rows are range-partitioned
-    by (partition column, cluster keys): a partition value holding a third
-    of the table is split across many tasks instead of landing in one, and
-    each output file covers a narrow key range (tight min/max statistics for
-    later pushed filters).  Same rows, new version.
+def compact_partitions(spark: SparkSession, path: str, partition_by: str, *,
+                       small_file_bytes: int = SMALL_FILE_BYTES,
+                       target_file_bytes: int = TARGET_FILE_BYTES,
+                       max_tasks: int = MAX_TASKS) -> list:
+    """Compact a partitioned table in place, rewriting only partitions of more than
+    one file whose files average under ``small_file_bytes``.
+
+    Partitions are taken together into jobs of at most ``max_tasks`` output files (a
+    larger partition is a job of its own), so the width of a job doesn't grow with
+    the table.  Rows go to files by a hash of the row: one value however hot spreads
+    over its partition's files, and a repeated task sends every row where it went
+    before.  Each job replaces its directories when it commits.  Returns the
+    rewritten partition values.
     """
-    snap = V.snapshot(spark, root, layer, table)
-    df = V.read_version(spark, root, layer, table)
-    stats = file_stats(spark, V.data_path(root, layer, table, snap["data_version"])).first()
-    n = V.files_to_target(int(stats["total_bytes"]), target_file_bytes)
-    part = snap["partition_by"]
-    keys = [F.col(c) for c in ([part] if part else []) + list(cluster_by or [df.columns[0]])]
-    # A deterministic per-row hash breaks ties, so even one (partition, key)
-    # value holding a third of the rows spreads over several range
-    # partitions; being a pure function of the row, a retried task places
-    # every row exactly where the first attempt did.
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    out = df.repartitionByRange(n, *keys, tie).sortWithinPartitions(*keys)
-    return V.publish(spark, root, layer, table, out, partition_by=part,
-                     operation="compact", committed_at=committed_at)
-
-
-# -- schema evolution ---------------------------------------------------------
-
-def _schema(snap) -> StructType:
-    return StructType.fromJson(json.loads(snap["read_schema"]))
-
-
-def _metadata_commit(spark, root, layer, table, snap, schema: StructType, operation,
-                     committed_at):
-    return V.commit(spark, root, layer, table, data_version=snap["data_version"],
-                    row_count=snap["row_count"], operation=operation,
-                    read_schema=schema.json(), partition_by=snap["partition_by"],
-                    committed_at=committed_at)
-
-
-def add_column(spark: SparkSession, root: str, layer: str, table: str, name: str,
-               data_type: str | DataType, committed_at: dt.datetime | None = None) -> V.Commit:
-    """New nullable column; existing rows read NULL.  Metadata only."""
-    snap = V.snapshot(spark, root, layer, table)
-    schema = _schema(snap)
-    if name.lower() in {f.name.lower() for f in schema.fields}:
-        raise ValueError(f"column {name} already exists")
-    dtype = _parse_datatype_string(data_type) if isinstance(data_type, str) else data_type
-    new = StructType(schema.fields + [StructField(name, dtype, True)])
-    return _metadata_commit(spark, root, layer, table, snap, new, "add_column", committed_at)
-
-
-def drop_column(spark: SparkSession, root: str, layer: str, table: str, name: str,
-                committed_at: dt.datetime | None = None) -> V.Commit:
-    """Column no longer read.  Metadata only; the data stays for rollback."""
-    snap = V.snapshot(spark, root, layer, table)
-    if name == snap["partition_by"]:
-        raise ValueError("cannot drop the partition column")
-    schema = _schema(snap)
-    kept = [f for f in schema.fields if f.name.lower() != name.lower()]
-    if len(kept) == len(schema.fields):
-        raise ValueError(f"no column {name}")
-    return _metadata_commit(spark, root, layer, table, snap, StructType(kept),
-                            "drop_column", committed_at)
-
-
-def rename_column(spark: SparkSession, root: str, layer: str, table: str, old: str,
-                  new: str, committed_at: dt.datetime | None = None) -> V.Commit:
-    """Rename (Parquet binds columns by name, so this rewrites the data)."""
-    snap = V.snapshot(spark, root, layer, table)
-    df = V.read_version(spark, root, layer, table).withColumnRenamed(old, new)
-    part = snap["partition_by"]
-    part = new if part == old else part
-    return V.publish(spark, root, layer, table, df, partition_by=part,
-                     operation="rename_column", committed_at=committed_at)
-
-
-_INTEGRAL_RANK = {ByteType: 1, ShortType: 2, IntegerType: 3, LongType: 4}
-
-
-def is_widening(src: DataType, dst: DataType) -> bool:
-    """int-family to a wider int, float to double, or a decimal/integer to a
-    decimal that holds every value of the source."""
-    if type(src) in _INTEGRAL_RANK and type(dst) in _INTEGRAL_RANK:
-        return _INTEGRAL_RANK[type(dst)] > _INTEGRAL_RANK[type(src)]
-    if isinstance(src, FloatType) and isinstance(dst, DoubleType):
-        return True
-    if isinstance(src, DecimalType) and isinstance(dst, DecimalType):
-        return dst.scale >= src.scale and (dst.precision - dst.scale) >= (src.precision - src.scale)
-    if type(src) in _INTEGRAL_RANK and isinstance(dst, DecimalType):
-        digits = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 20}[type(src)]
-        return dst.precision - dst.scale >= digits
-    return False
-
-
-def widen_column(spark: SparkSession, root: str, layer: str, table: str, name: str,
-                 data_type: str | DataType, committed_at: dt.datetime | None = None) -> V.Commit:
-    """Promote a column to a wider type; narrowing is refused."""
-    snap = V.snapshot(spark, root, layer, table)
-    dtype = _parse_datatype_string(data_type) if isinstance(data_type, str) else data_type
-    src = {f.name.lower(): f.dataType for f in _schema(snap).fields}.get(name.lower())
-    if src is None:
-        raise ValueError(f"no column {name}")
-    if not is_widening(src, dtype):
-        raise ValueError(f"{name}: {src.simpleString()} -> {dtype.simpleString()} is not widening")
-    df = V.read_version(spark, root, layer, table).withColumn(name, F.col(name).cast(dtype))
-    return V.publish(spark, root, layer, table, df, partition_by=snap["partition_by"],
-                     operation="widen_column", committed_at=committed_at)
+    small = partition_files(spark, path, partition_by).where(
+        (F.col("files") > 1) & (F.col("bytes") / F.col("files") < small_file_bytes))
+    chosen = [(r["value"], max(1, math.ceil(r["bytes"] / target_file_bytes)))
+              for r in small.collect()]                        # one row per small partition
+    jobs: list[list] = []
+    width = max_tasks
+    for value, n in sorted(chosen, key=lambda c: c[1]):
+        if width + n > max_tasks:
+            jobs.append([])
+            width = 0
+        jobs[-1].append((value, n))
+        width += n
+    for job in jobs:
+        _rewrite(spark, path, partition_by, job)
+    return [value for value, _ in chosen]
+
+
+def _rewrite(spark: SparkSession, path: str, partition_by: str, job: list) -> None:
+    df = spark.read.parquet(path)
+    col = F.col(f"`{partition_by}`")
+    mine = lambda v: col.isNull() if v is None else col == F.lit(v)
+    wanted, files, before = F.lit(False), F.lit(None).cast("int"), 0
+    for value, n in job:
+        wanted = wanted | mine(value)
+        # Output task of each row: the partition's first, and a share by the row's hash.
+        share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n)).cast("int")
+        files = F.when(mine(value), F.lit(before) + share).otherwise(files)
+        before += n
+    name = "_task"
+    out = (df.where(wanted).withColumn(name, files).repartitionByRange(before, name)
+           .drop(name).select(*[F.col(f"`{c}`") for c in df.columns]))
+    overwrite_partitions(out, path, partition_by)
 
 
 # -- upsert -------------------------------------------------------------------
 
-def upsert_table(spark: SparkSession, root: str, layer: str, table: str,
-                 updates: DataFrame, key: str | list[str],
-                 committed_at: dt.datetime | None = None) -> V.Commit:
-    """Keyed upsert into the current version, published as a new version.
+def upsert_table(spark: SparkSession, root: str, layer: str, table: str, updates: DataFrame,
+                 key: str | list[str], partition_by: str | None = None) -> T.Published:
+    """Keyed upsert into the whole table, written as its new content.  For large
+    tables ``writes.upsert_partitions`` rewrites only what it touches.
 
-    Duplicate keys in ``updates`` make the result ambiguous and are refused
-    before anything is written.
+    Updates that repeat a key, or whose columns or types are not the table's, are
+    refused before anything is written.
     """
-    if duplicate_keys(updates, key).limit(1).count():
-        raise ValueError(f"updates for {layer}.{table} repeat a key")
-    snap = V.snapshot(spark, root, layer, table)
-    base = V.read_version(spark, root, layer, table)
-    merged = upsert(base, updates, key).select(*base.columns)
-    return V.publish(spark, root, layer, table, merged, partition_by=snap["partition_by"],
-                     operation="upsert", committed_at=committed_at)
+    base = T.read_current(spark, root, layer, table)
+    refuse_duplicate_keys(updates, key)
+    return T.publish(spark, root, layer, table, upsert(base, updates, key), partition_by)
 
 
 # -- copy a warehouse ---------------------------------------------------------
 
-def current_tables(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    """(layer, table) pairs that have commits (a handful of rows)."""
-    rows = V.history(spark, root).select("layer", "table_name").distinct().collect()
-    return sorted((r["layer"], r["table_name"]) for r in rows)
-
-
 def copy_tables(spark: SparkSession, src_root: str, dst_root: str,
-                committed_at: dt.datetime | None = None,
-                with_history: bool = False) -> DataFrame:
-    """Copy a warehouse to a new root as Spark jobs (not a driver-side file
-    copy), then validate each table's current version: counts and an
-    order-insensitive row checksum, source against copy.
-
-    By default each table's current version is copied as a fresh commit.
-    ``with_history`` copies every directory a commit references, under the
-    same number, and the commit log itself, so versions, rollback and as-of
-    reads work on the new root exactly as on the old one.
-    """
-    if with_history:
-        _copy_history(spark, src_root, dst_root)
+                partition_by: dict[tuple[str, str], str | None] | None = None) -> DataFrame:
+    """Copy every table's current content to a new root as Spark jobs, then compare:
+    counts and an order-insensitive row checksum, source against copy."""
     checks = []
-    for layer, table in current_tables(spark, src_root):
-        snap = V.snapshot(spark, src_root, layer, table)
-        df = V.read_version(spark, src_root, layer, table)
-        if not with_history:
-            V.publish(spark, dst_root, layer, table, df, partition_by=snap["partition_by"],
-                      operation="copy", committed_at=committed_at)
-        copied = V.read_version(spark, dst_root, layer, table)
-        both = (checksum(df).withColumn("side", F.lit("source"))
-                .unionByName(checksum(copied).withColumn("side", F.lit("copy"))))
+    for layer, table in T.tables_under(spark, src_root):
+        df = T.read_current(spark, src_root, layer, table)
+        T.publish(spark, dst_root, layer, table, df, (partition_by or {}).get((layer, table)))
+        both = (checksum(df).withColumn("side", F.lit("source")).unionByName(
+            checksum(T.read_current(spark, dst_root, layer, table).select(df.columns)).withColumn("side", F.lit("copy"))))
         src, dst = F.col("side") == "source", F.col("side") == "copy"
         checks.append(both.agg(
             F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
             F.max(F.when(src, F.col("row_count"))).alias("source_rows"),
             F.max(F.when(dst, F.col("row_count"))).alias("copied_rows"),
-            (F.max(F.when(src, F.col("row_hash_sum")))
-             == F.max(F.when(dst, F.col("row_hash_sum")))).alias("same_rows")))
+            F.max(F.when(src, F.col("row_hash_sum"))).eqNullSafe(
+                F.max(F.when(dst, F.col("row_hash_sum")))).alias("same_rows")))
+    if not checks:
+        raise ValueError(f"no tables under {src_root}")
     out = checks[0]
     for c in checks[1:]:
         out = out.unionByName(c)
     return out
-
-
-def _copy_history(spark: SparkSession, src_root: str, dst_root: str) -> None:
-    """Every referenced data directory (its files as written, partitioning
-    kept), then the commit log, one file per commit as the writer keeps it
-    (so ``expire`` can drop single commits)."""
-    # The first commit of a directory is the one that wrote it: its schema is
-    # the files' schema (later metadata-only commits may add or drop columns).
-    dirs = (V.history(spark, src_root)
-            .groupBy("layer", "table_name", "data_version")
-            .agg(F.min_by("partition_by", "version").alias("partition_by"),
-                 F.min_by("read_schema", "version").alias("read_schema")).collect())
-    for r in dirs:
-        layer, table, dv = r["layer"], r["table_name"], int(r["data_version"])
-        reader = spark.read
-        if r["read_schema"]:
-            reader = reader.schema(StructType.fromJson(json.loads(r["read_schema"])))
-        data = reader.parquet(V.data_path(src_root, layer, table, dv))
-        write_table(data, V.data_path(dst_root, layer, table, dv), r["partition_by"])
-    for row in V.history(spark, src_root).orderBy("layer", "table_name", "version").collect():
-        V.append_commit_row(spark, dst_root, row.asDict())
-
-
-# -- expiry -------------------------------------------------------------------
-
-def expire(spark: SparkSession, root: str, older_than: dt.datetime | str,
-           retain_last: int = 5, layer: str | None = None,
-           table: str | None = None) -> DataFrame:
-    """Expire commits (see ``versions.expire_candidates``): delete the data
-    directories no kept commit reads, then drop the expired commits from the
-    commit log, so history, as-of reads and rollback no longer offer them.
-
-    Data goes first: a run that dies half-way leaves commits whose directory
-    is gone (still listed, no longer readable) rather than unlisted files.
-    Returns the expired commits.
-    """
-    cands = V.expire_candidates(spark, root, older_than, retain_last, layer, table)
-    expired = cands.filter(F.col("expired")).collect()      # bounded: commits
-    dirs = {(r["layer"], r["table_name"], int(r["data_version"]))
-            for r in expired if r["directory_deletable"]}
-    V.delete_paths(spark, [V.data_path(root, lay, tab, dv) for lay, tab, dv in dirs])
-    keys = {(r["layer"], r["table_name"], int(r["version"])) for r in expired}
-    log_files = [r["file"] for r in V.history_files(spark, root).collect()
-                 if (r["layer"], r["table_name"], int(r["version"])) in keys]
-    V.delete_paths(spark, log_files)
-    return spark.createDataFrame(
-        [(lay, tab, v) for lay, tab, v in sorted(keys)],
-        "layer string, table_name string, version long")
-
-
-def remove_orphans(spark: SparkSession, root: str, layer: str, table: str,
-                   older_than: dt.datetime | str) -> DataFrame:
-    """Delete what ``versions.orphan_files`` finds: whole unreferenced version
-    directories (one delete each, however many files they hold) and stray
-    files outside any version directory.  Returns (data_version, files, bytes)
-    per removed directory (NULL version: stray files).  Run only when no
-    writer is active on the table."""
-    found = V.orphan_files(spark, root, layer, table, older_than)
-    summary = (found.groupBy("data_version")
-               .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
-    rows = summary.collect()                                    # bounded: directories
-    versions = [int(r["data_version"]) for r in rows if r["data_version"] is not None]
-    stray = [r["path"] for r in found.filter(F.col("data_version").isNull())
-             .select("path").collect()]
-    V.delete_paths(spark, V.directory_paths(root, layer, table, versions) + stray)
-    return spark.createDataFrame(rows, summary.schema)
-
-
-def compact_partitions(spark: SparkSession, path: str, partition_by: str, *,
-                       small_file_bytes: int = SMALL_FILE_BYTES,
-                       target_file_bytes: int = TARGET_FILE_BYTES) -> list[str]:
-    """Compact a plain partitioned table in place, rewriting only partitions
-    whose average file is under ``small_file_bytes`` (and that hold more than
-    one file); every other directory stays untouched on disk.
-
-    File statistics come from a listing (one row per partition reaches the
-    driver); the chosen partitions are read, range-partitioned into files of
-    about ``target_file_bytes`` (ties broken by a row hash, so one hot key
-    still spreads), and written back with dynamic partition overwrite.
-    Returns the rewritten partition values (as directory text).
-    """
-    value = F.regexp_extract("path", rf"/{partition_by}=([^/]+)/", 1)
-    stats = (V.list_files(spark, path).withColumn("value", value)
-             .groupBy("value").agg(F.count(F.lit(1)).alias("files"),
-                                   F.sum("length").alias("bytes"))
-             .filter((F.col("files") > 1)
-                     & (F.col("bytes") / F.col("files") < F.lit(small_file_bytes))))
-    chosen = stats.collect()                                   # bounded: partitions
-    if not chosen:
-        return []
-    values = [r["value"] for r in chosen]
-    total = sum(int(r["bytes"]) for r in chosen)
-    df = spark.read.parquet(path)
-    text = F.coalesce(F.col(partition_by).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
-    picked = df.filter(text.isin(values))
-    n = V.files_to_target(total, target_file_bytes)
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    out = picked.repartitionByRange(n, F.col(partition_by), tie) \
-        .sortWithinPartitions(partition_by)
-    overwrite_partitions(out, path, partition_by)
-    return values

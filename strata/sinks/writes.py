@@ -6,13 +6,14 @@ re-run; only committed task output becomes visible.
 
 A whole-table overwrite of a path that the same query reads is unsafe with
 the path writer (it clears the target before the read happens): rewrite such
-a table through ``strata.sinks.versions``, which always writes a new
-directory.  A dynamic partition overwrite may read its own target: output is
+a table through ``strata.sinks.tables``, which always writes a new directory.  A dynamic partition overwrite may read its own target: output is
 staged and only the touched directories are replaced when the job commits.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -26,17 +27,17 @@ def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None =
     partition column, the planned write adds only a task-local sort by that
     column.  ``observe`` counts the written rows during the write itself.
 
-    ``rebalance`` (partitioned writes, adaptive execution on) adds one
-    shuffle by the partition column under Spark's REBALANCE hint: adaptive
-    execution splits each partition value's data into advisory-size chunks
-    (a year holding a third of the table becomes many tasks) and merges small
-    ones, so each directory gets a few right-sized files instead of one small
-    file per input task.  Without adaptive execution the hint would be a plain
-    hash repartition (one task per value), so it is skipped.
+    ``rebalance`` (partitioned writes) adds one shuffle by the partition
+    column under Spark's REBALANCE hint: adaptive execution splits each
+    partition value's data into advisory-size chunks (a year holding a third
+    of the table becomes many tasks) and merges small ones, so each directory
+    gets a few right-sized files instead of one small file per input task.
+    The plan asks for it wherever the caller does; a session that turns
+    adaptive execution off gets one task per value.
     """
     cols = [] if not partition_by else (
         [partition_by] if isinstance(partition_by, str) else list(partition_by))
-    if rebalance and cols and _adaptive(df):
+    if rebalance and cols:
         df = df.hint("rebalance", *cols)
     if observe is not None:
         df = df.observe(observe, F.count(F.lit(1)).alias("rows"))
@@ -46,10 +47,6 @@ def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None =
     writer.parquet(path)
 
 
-def _adaptive(df: DataFrame) -> bool:
-    return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-
-
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str | list[str]) -> None:
     """Replace only the partitions present in ``df``; all others are kept.
 
@@ -68,16 +65,25 @@ def upsert(base: DataFrame, updates: DataFrame, key: str | list[str]) -> DataFra
     """Keyed upsert as a DataFrame: rows of ``base`` whose key is not in
     ``updates``, plus every row of ``updates``.
 
-    Columns are matched by name; columns missing on one side are NULL.  The
-    anti join shuffles both sides on the key (or broadcasts ``updates`` when
-    AQE measures it small); a hot key on the ``base`` side is split by AQE's
-    skew-join handling, since nothing downstream needs the key partitioning.
-    Duplicate keys in ``updates`` are an error: check them with
-    ``duplicate_keys`` before writing.
+    Columns are matched by name and must be the table's, with its types: a
+    column too many or too few, or of another type, is refused.  The anti join
+    shuffles both sides on the key (or broadcasts ``updates`` when AQE measures it
+    small); a hot key on the ``base`` side is split by AQE's skew-join handling,
+    since nothing downstream needs the key partitioning.  Updates that repeat a key
+    make the result ambiguous: ``refuse_duplicate_keys`` before writing.
     """
+    types = dict(base.dtypes)
+    if dict(updates.dtypes) != types:
+        odd = sorted(set(types.items()) ^ set(dict(updates.dtypes).items()))
+        raise ValueError(f"updates differ from the table in {odd}")
     keys = [key] if isinstance(key, str) else list(key)
-    kept = base.join(updates.select(*keys), keys, "left_anti")
-    return kept.unionByName(updates, allowMissingColumns=True)
+    kept = base.join(updates.select(*keys), keys, "left_anti").select(*base.columns)
+    return kept.unionByName(updates)
+
+
+def refuse_duplicate_keys(df: DataFrame, key: str | list[str]) -> None:
+    if not duplicate_keys(df, key).isEmpty():
+        raise ValueError(f"updates repeat a value of {key}")
 
 
 def duplicate_keys(df: DataFrame, key: str | list[str]) -> DataFrame:
@@ -100,31 +106,39 @@ def upsert_partitions(spark, path: str, updates: DataFrame, key: str | list[str]
 
     Touched partitions are those holding a row whose key is updated (an order
     whose year changes leaves its old partition) and those receiving an
-    update.  Their values are collected first — one value per partition
-    directory at most, a bound set by the table's layout, not its size — and
-    become a literal filter, so only those directories are read (partition
-    pruning), merged and written back with dynamic partition overwrite, which
-    stages the output and replaces just those directories when the job
-    commits.  Everything else is left untouched on disk.  Returns the touched
-    partition values.
-
-    Duplicate keys in ``updates`` are an error (check ``duplicate_keys``).  A
-    job that fails before its commit changes nothing; the commit itself
-    replaces directories one by one, so use ``versions`` where a table must
-    switch atomically.
+    update.  Their values are collected first (one value per partition
+    directory at most, a bound set by the table's layout, not its size) and
+    become a literal filter, so only those directories are read, merged and
+    written back with dynamic partition overwrite, which stages the output and
+    replaces just those directories when the job commits.  A partition that loses
+    all its rows is no part of that output: it is then overwritten with an empty
+    one of its own.  Everything else is left untouched on disk.  Returns the
+    touched partition values.
+
+    Updates that repeat a key, or differ from the table's columns, raise before
+    anything is written.  A job that fails before its commit changes nothing;
+    run again after a later failure, it finds the emptied partitions' old rows
+    still updated elsewhere and empties them then.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    refuse_duplicate_keys(updates, keys)
     base = spark.read.parquet(path)
-    touched = [r[0] for r in
-               base.join(updates.select(*keys), keys, "left_semi").select(partition_by)
-               .unionByName(updates.select(partition_by)).distinct().collect()]
+    col = F.col(partition_by)
+    directory = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "")
+    left = base.select("*", directory.alias("_directory")).join(updates.select(*keys), keys, "left_semi")
+    old = {r[0]: unquote(r[1]) for r in left.groupBy(partition_by).agg(F.first("_directory")).collect()}
+    new = {r[0] for r in updates.select(partition_by).distinct().collect()}
+    touched = list({**old, **dict.fromkeys(new)})
     if not touched:
         return []
-    col = F.col(partition_by)
     in_touched = col.isin(*[v for v in touched if v is not None])
     if any(v is None for v in touched):
-        in_touched = in_touched | col.isNull()
-    affected = base.filter(in_touched)
-    merged = upsert(affected, updates, keys).select(*base.columns)
+        in_touched = F.coalesce(in_touched, F.lit(False)) | col.isNull()
+    merged = upsert(base.filter(in_touched), updates, keys).select(*base.columns)
+    left_with_rows = {r[0] for r in merged.select(partition_by).distinct().collect()}
     overwrite_partitions(merged, path, partition_by)
+    for value in touched:
+        if value not in left_with_rows:
+            empty = spark.createDataFrame([], base.drop(partition_by).schema)
+            empty.write.mode("overwrite").parquet(old[value])
     return touched

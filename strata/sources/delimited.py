@@ -35,11 +35,15 @@ def read_delimited(spark: SparkSession, path: str, table: str, *, header: bool =
     ``header`` is a parameter because real TPC-H ``.tbl`` files have none (and
     a trailing delimiter, whose empty extra field PERMISSIVE mode drops).
     ``columns`` restricts the schema to a leading subset of the declared
-    columns for files that carry only those; ``schema`` overrides the
+    columns for files that carry only those; with a header, a file that has other
+    or more columns is then refused rather than cut.  ``schema`` overrides the
     declared schema entirely (other raw tables).
     """
+    reader = spark.read
+    if header and columns is not None:
+        reader = reader.option("enforceSchema", "false")
     return (
-        spark.read
+        reader
         .option("header", "true" if header else "false")
         .option("sep", sep)
         .option("mode", mode)

@@ -31,8 +31,24 @@ def sample_run(spark, tmp_path_factory):
     from strata.plans.layers import LayerJob
     root = str(tmp_path_factory.mktemp("warehouse"))
     job = LayerJob(source=DATA, root=root, source_format="text", register=True)
-    job.run(spark)
-    return job
+    return job.run(spark)
+
+
+# Every order with each of its lines, summed: what the gold tables must equal.
+DAILY = """
+    WITH pairs AS (SELECT * FROM {o} INNER JOIN {l} ON l_orderkey = o_orderkey)
+    SELECT o_orderdate AS order_date, order_year, order_month, sum(revenue) AS total_revenue,
+           count(l_orderkey) AS line_count, count(DISTINCT o_orderkey) AS order_count
+    FROM pairs GROUP BY o_orderdate, order_year, order_month"""
+CUSTOMERS = """
+    WITH pairs AS (SELECT * FROM {o} INNER JOIN {l} ON l_orderkey = o_orderkey)
+    SELECT o_custkey AS customer_key, sum(revenue) AS total_revenue, count(DISTINCT o_orderkey) AS order_count,
+           min(o_orderdate) AS first_order_date, max(o_orderdate) AS last_order_date
+    FROM pairs GROUP BY o_custkey"""
+
+
+def plain_sql(spark, text, orders, lineitem):
+    return spark.sql(text, o=orders, l=lineitem)
 
 
 def rows(df, *cols):

@@ -1,4 +1,4 @@
-"""The command line drives the job and the upkeep steps."""
+"""The command line drives the job and the upkeep steps, and prints every row."""
 
 from __future__ import annotations
 
@@ -6,27 +6,20 @@ import json
 
 from conftest import DATA
 from strata.__main__ import main
-from strata.sinks import versions as V
+from strata.sinks import tables as T
 
 
 def test_cli_run_and_upkeep(spark, tmp_path, capsys):
     root = str(tmp_path / "wh")
     assert main(["run", "--source", DATA, "--root", root, "--format", "text",
-                 "--attempts", "1"]) == 0
+                 "--attempts", "1", "--bronze-tasks", "3"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert {(x["phase"], x["table_name"]): x["row_count"] for x in lines}[
-        ("gold", "top_customers")] == 10
-    assert main(["run", "--source", DATA, "--root", root, "--format", "text"]) == 0
-    assert main(["rollback", "--root", root, "--layer", "gold", "--table", "top_customers",
-                 "--version", "1"]) == 0
-    assert V.snapshot(spark, root, "gold", "top_customers")["operation"] == "rollback"
-    assert main(["compact", "--root", root, "--layer", "silver", "--table", "orders"]) == 0
-    assert V.snapshot(spark, root, "silver", "orders")["operation"] == "compact"
-    assert main(["history", "--root", root]) == 0
-    assert main(["expire", "--root", root, "--layer", "silver", "--table", "orders",
-                 "--older-than", "2999-01-01T00:00:00", "--retain-last", "1",
-                 "--delete"]) == 0
-    assert main(["orphans", "--root", root, "--layer", "silver", "--table", "orders",
-                 "--older-than", "2999-01-01T00:00:00", "--delete"]) == 0
-    # versions 1 and 2 expired; the current (compacted) one still reads
-    assert V.read_version(spark, root, "silver", "orders").count() == 10
+        ("gold", "top_customers")] == 10 and len(lines) == 6
+    assert main(["compact", "--root", root, "--layer", "silver", "--table", "orders",
+                 "--partition-by", "order_year"]) == 0
+    capsys.readouterr()
+    assert T.read_current(spark, root, "silver", "orders").count() == 10
+    assert main(["copy", "--root", root, "--to", str(tmp_path / "copy")]) == 0
+    copied = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert len(copied) == 6 and all(x["same_rows"] for x in copied)

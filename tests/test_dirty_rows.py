@@ -49,8 +49,8 @@ def test_key_gate_counts(spark):
 
 def test_tbl_without_header_keeps_first_row(spark, tmp_path):
     path = tmp_path / "orders.tbl"
-    path.write_text("1|370|O|172799.49|1996-01-02|5-LOW|clerk|0|c|\n"
-                    "2|781|O|38426.09|1996-12-01|1-URGENT|clerk|0|c|\n")
+    path.write_text("1|11|P|100.25|2001-03-04|low|someone|0|c|\n"
+                    "2|12|F|7.50|2002-05-06|high|someone|0|c|\n")
     df = read_delimited(spark, str(path), "orders", header=False)
     assert df.count() == 2
     assert sorted(r["o_orderkey"] for r in df.collect()) == [1, 2]
@@ -67,21 +67,20 @@ def test_clean_accepts_typed_parquet(spark):
 
 def test_job_reads_tbl_files(spark, tmp_path):
     from strata.plans.layers import LayerJob
-    from strata.sinks import versions as V
     raw = tmp_path / "raw"
     raw.mkdir()
     (raw / "orders.tbl").write_text(
-        "1|370|O|172799.49|1996-01-02|5-LOW|Clerk#1|0|c|\n"
-        "2|781|O|38426.09|1996-12-01|1-URGENT|Clerk#2|0|c|\n")
+        "1|11|P|100.25|2001-03-04|low|someone|0|c|\n"
+        "2|12|F|7.50|2002-05-06|high|someone|0|c|\n")
     (raw / "lineitem.tbl").write_text(
-        "1|1552|93|1|17|24710.35|0.04|0.02|N|O|1996-03-13|1996-02-12|1996-03-22|D|T|c|\n"
-        "2|1061|62|1|38|34850.28|0.00|0.05|N|O|1997-01-28|1997-01-14|1997-02-02|D|T|c|\n")
+        "1|5|6|1|3|90.00|0.10|0.01|A|F|2001-04-01|2001-04-02|2001-04-03|none|air|c|\n"
+        "2|7|8|1|1|8.00|0.25|0.00|R|O|2002-06-01|2002-06-02|2002-06-03|none|sea|c|\n")
     job = LayerJob(source=str(raw), root=str(tmp_path / "wh"), source_format="text",
                    header=False, suffix=".tbl")
     job.run(spark)
-    daily = V.read_version(spark, job.root, "gold", "revenue_by_order_date")
-    assert daily.count() == 2
-    assert job.metrics.summary()["silver.lineitem"]["row_count"] == 2
+    daily = job.read(spark, "gold", "revenue_by_order_date")
+    assert sorted(r["total_revenue"] for r in daily.collect()) == [Decimal("6.0000"), Decimal("81.0000")]
+    assert job.row_count("silver", "lineitem") == 2
 
 
 def test_raw_rows_without_header(spark, tmp_path):

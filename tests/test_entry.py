@@ -10,8 +10,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from strata.plans.oracles import ORACLES
+from strata.plans.registry import QUERIES
 
-ALL = sorted(entry.queries())
+ALL = sorted(QUERIES)
 
 
 def test_entry_runs(spark):
@@ -22,7 +24,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def _norm(rows):

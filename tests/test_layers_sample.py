@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from conftest import rows
 from strata.operators import analyst, checks
 from strata.schemas import REVENUE_BY_ORDER_DATE, TOP_CUSTOMERS
-from strata.sinks import versions as V
+from strata.sinks import tables as T
 
 
 def _t(job, spark, layer, table):
-    return V.read_version(spark, job.root, layer, table)
+    return job.read(spark, layer, table)
 
 
 class TestBronze:
@@ -43,13 +43,9 @@ class TestSilver:
         assert types["_ingested_at"] == "timestamp"
 
     def test_partitioned_by_year(self, spark, sample_run):
-        snap = V.snapshot(spark, sample_run.root, "silver", "orders")
-        assert snap["partition_by"] == "order_year"
-        files = V.list_files(spark, V.data_path(sample_run.root, "silver", "orders",
-                                                snap["data_version"]))
-        years = {r[0] for r in files.select(
-            F.regexp_extract("path", r"order_year=(\d+)", 1)).collect()}
-        assert years == {"1992", "1993", "1994", "1995", "1996", "1998"}
+        import os
+        folders = {d for d in os.listdir(sample_run.paths["silver", "orders"]) if "=" in d}
+        assert folders == {f"order_year={y}" for y in (1992, 1993, 1994, 1995, 1996, 1998)}
 
     def test_lineitem_revenue_golden(self, spark, sample_run):
         li = _t(sample_run, spark, "silver", "lineitem")
@@ -134,12 +130,9 @@ class TestSQLQueries:
         assert 1 <= len(got) <= 10
 
     def test_run_metrics(self, spark, sample_run):
-        m = sample_run.metrics.summary()
-        assert m["bronze.orders"]["row_count"] == 10
-        assert m["bronze.lineitem"]["row_count"] == 13
-        assert m["gold.revenue_by_order_date"]["row_count"] == 10
-        assert m["gold.top_customers"]["row_count"] == 10
-        frame = sample_run.metrics.to_frame(spark)
+        assert [sample_run.row_count("bronze", t) for t in ("orders", "lineitem")] == [10, 13]
+        assert [sample_run.row_count("gold", t) for t in ("revenue_by_order_date", "top_customers")] == [10, 10]
+        frame = sample_run.metrics(spark)
         assert frame.count() == 6 and set(frame.columns) == {
             "phase", "table_name", "row_count", "duration_s"}
 
@@ -152,19 +145,17 @@ class TestSQLQueries:
 
 def test_rerun_gives_identical_tables(spark, tmp_path):
     """Running the whole job twice yields the same rows in every table
-    (apart from the audit timestamp), as new versions of each table."""
+    (apart from the audit timestamp), each in a directory of its own."""
     from conftest import DATA
     from strata.plans.layers import LayerJob
     root = str(tmp_path)
-    for _ in range(2):
-        LayerJob(source=DATA, root=root, source_format="text").run(spark)
-    for layer, table in [("bronze", "orders"), ("bronze", "lineitem"), ("silver", "orders"),
-                         ("silver", "lineitem"), ("gold", "revenue_by_order_date"),
-                         ("gold", "top_customers")]:
-        a = V.read_version(spark, root, layer, table, 1).drop("_ingested_at")
-        b = V.read_version(spark, root, layer, table, 2).drop("_ingested_at")
+    one, two = (LayerJob(source=DATA, root=root, source_format="text").run(spark) for _ in range(2))
+    assert len(one.paths) == 6 and not set(one.paths.values()) & set(two.paths.values())
+    for key in one.paths:
+        a, b = (job.read(spark, *key).drop("_ingested_at") for job in (one, two))
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        assert T.current_path(spark, root, *key).endswith(two.paths[key].split("/")[-1])
 
 
 def test_bronze_matches_raw_lines(spark, sample_run):
@@ -177,39 +168,62 @@ def test_bronze_matches_raw_lines(spark, sample_run):
         assert (r["raw_rows"], r["bronze_rows"], r["equal"]) == (n, n, True)
 
 
-def test_step_retry_commits_once(spark, tmp_path, monkeypatch):
+def test_a_failed_try_is_repeated(spark, tmp_path, monkeypatch):
     from conftest import DATA
     from strata.plans.layers import LayerJob
-    calls = {"n": 0}
-    real = V.publish
+    tries, real = [], T.publish
 
     def flaky(*args, **kwargs):
-        calls["n"] += 1
-        if calls["n"] == 1:
-            raise OSError("transient storage error")
+        tries.append(args[3])
+        if len(tries) == 1:
+            raise OSError("storage is away")
         return real(*args, **kwargs)
 
-    monkeypatch.setattr(V, "publish", flaky)
+    monkeypatch.setattr(T, "publish", flaky)
     job = LayerJob(source=DATA, root=str(tmp_path), source_format="text", attempts=3,
                    retry_delay_s=0.0, tables=("orders",))
     job.bronze(spark)
-    assert calls["n"] == 2
-    assert V.latest_version(spark, job.root, "bronze", "orders") == 1
-    assert job.metrics.summary()["bronze.orders"]["row_count"] == 10
+    assert tries == ["orders", "orders"]
+    assert len(T.written(spark, job.root, "bronze", "orders")) == 1
+    assert job.row_count("bronze", "orders") == 10
+
+
+def test_an_unfinished_directory_is_not_read(spark, tmp_path):
+    import os
+    root = str(tmp_path)
+    spark.range(3).write.parquet(f"{root}/l/t/data-20990101T000000000000-dead")
+    os.remove(f"{root}/l/t/data-20990101T000000000000-dead/_SUCCESS")
+    with pytest.raises(ValueError):
+        T.current_path(spark, root, "l", "t")
+    done = T.publish(spark, root, "l", "t", spark.range(5))
+    assert done.row_count == 5 and T.read_current(spark, root, "l", "t").count() == 5
 
 
-def test_gold_clears_dead_staging(spark, tmp_path):
+def test_gold_removes_its_own_staging(spark, tmp_path):
     import os
 
     from conftest import DATA
     from strata.plans.layers import LayerJob
     root = str(tmp_path)
-    dead = os.path.join(root, "staging", "order_facts-dead")
-    os.makedirs(dead)
-    open(os.path.join(dead, "part-0.parquet"), "w").close()
+    other = os.path.join(root, "staging", "someone-elses")
+    os.makedirs(other)
     LayerJob(source=DATA, root=root, source_format="text").run(spark)
-    assert not os.path.exists(os.path.join(root, "staging")) or \
-        os.listdir(os.path.join(root, "staging")) == []
+    assert os.listdir(os.path.join(root, "staging")) == ["someone-elses"]
+
+
+def test_sortedness_check_finds_disorder(spark):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([5, 50, 1, 99])], "k long, v long").coalesce(1)
+    checks.assert_check(checks.sorted_desc(df, "v", "k"), checked_rows=4, out_of_order=2)
+    ties = spark.createDataFrame([(2, 9), (1, 9), (3, None), (4, 1)], "k long, v long").coalesce(1)
+    checks.assert_check(checks.sorted_desc(ties, "v", "k"), checked_rows=4, out_of_order=2)
+    checks.assert_check(checks.sorted_desc(df.limit(0), "v", "k"), checked_rows=0, out_of_order=0)
+
+
+def test_the_report_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(checks, "MAX_REPORT", 3)
+    df = spark.createDataFrame([(i, -i) for i in range(4)], "k long, v long")
+    with pytest.raises(Exception, match="more than 3 rows"):
+        checks.sorted_desc(df, "v", "k").collect()
 
 
 def test_top_n_complete_detects_a_wrong_report(spark, sample_run):
@@ -222,14 +236,53 @@ def test_top_n_complete_detects_a_wrong_report(spark, sample_run):
     assert r["missed"] == 7
 
 
-def test_acceptance_report(spark, sample_run):
+SAMPLE_MONEY = {"orders": ("o_totalprice",), "lineitem": ("l_quantity", "l_extendedprice", "l_discount")}
+
+
+def _acceptance(spark, job, counts=None, money=None):
     from strata.plans.acceptance import acceptance
-    got = {r.check_name: r.passed for r in
-           acceptance(spark, sample_run, {"orders": 10, "lineitem": 13}).collect()}
+    return {r.check_name: r.passed for r in
+            acceptance(spark, job, counts or {"orders": 10, "lineitem": 13}, money or SAMPLE_MONEY).collect()}
+
+
+def test_acceptance_report(spark, sample_run):
+    got = _acceptance(spark, sample_run)
     assert len(got) == 6 and all(got.values())
-    bad = {r.check_name: r.passed for r in
-           acceptance(spark, sample_run, {"orders": 11, "lineitem": 13}).collect()}
-    assert bad["bronze_rows_match_source"] is False
+    assert not _acceptance(spark, sample_run, {"orders": 11, "lineitem": 13})["bronze_rows_match_source"]
+
+
+@pytest.mark.parametrize("spoil, check", [
+    (("bronze", "orders", lambda df: df.limit(9), None), "bronze_rows_match_source"),
+    (("silver", "orders", lambda df: df.withColumn("o_totalprice", F.col("o_totalprice").cast("double")), "order_year"),
+     "silver_money_is_decimal_15_2"),
+    (("silver", "lineitem", lambda df: df.drop("l_discount"), "ship_year"), "silver_money_is_decimal_15_2"),
+    (("silver", "orders", lambda df: df, None), "silver_partitioned_by_year"),
+    (("silver", "lineitem", lambda df: df.withColumn("l_orderkey", F.lit(None).cast("long")), "ship_year"), "silver_no_null_keys"),
+    (("gold", "revenue_by_order_date", lambda df: df.withColumn("total_revenue", -F.col("total_revenue")), None),
+     "gold_revenue_positive"),
+])
+def test_a_spoiled_table_fails_its_check(spark, sample_run, tmp_path, spoil, check):
+    import copy
+    layer, table, change, partition_by = spoil
+    job = copy.copy(sample_run)
+    done = T.publish(spark, str(tmp_path), layer, table, change(sample_run.read(spark, layer, table)), partition_by)
+    job.paths = sample_run.paths | {(layer, table): done.path}
+    assert [c for c, ok in _acceptance(spark, job).items() if not ok] == [check]
+
+
+def test_teardown_deletes_only_this_runs_data(spark, tmp_path):
+    import os
+
+    from conftest import DATA
+    from strata.plans.layers import LayerJob
+    root = str(tmp_path / "a root with 'marks")
+    first, second = (LayerJob(source=DATA, root=root, source_format="text", register=True).run(spark) for _ in range(2))
+    assert spark.table("silver.orders").count() == 10
+    second.drop_tables(spark, with_data=True)
+    assert not spark.catalog.tableExists("silver.orders")
+    assert not any(os.path.exists(p) for p in second.paths.values())
+    assert first.read(spark, "silver", "orders").count() == 10
+    assert all(os.path.exists(p) for p in first.paths.values())
 
 
 def test_sequential_and_concurrent_runs_agree(spark, tmp_path):
@@ -241,8 +294,7 @@ def test_sequential_and_concurrent_runs_agree(spark, tmp_path):
     b.run(spark)
     for layer, table in [("silver", "lineitem"), ("gold", "revenue_by_order_date"),
                          ("gold", "top_customers")]:
-        x = V.read_version(spark, a.root, layer, table).drop("_ingested_at")
-        y = V.read_version(spark, b.root, layer, table).drop("_ingested_at")
+        x, y = (job.read(spark, layer, table).drop("_ingested_at") for job in (a, b))
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
-    assert {k: v["row_count"] for k, v in a.metrics.summary().items()} == \
-        {k: v["row_count"] for k, v in b.metrics.summary().items()}
+    counted = lambda job: {(r["phase"], r["table_name"], r["row_count"]) for r in job.stored}
+    assert counted(a) == counted(b)

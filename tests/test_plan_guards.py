@@ -6,16 +6,16 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from strata.plans.registry import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_joins_or_python(spark, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     found = [op for op in FORBIDDEN if op in plan]
     assert not found, f"{name}: {found}"

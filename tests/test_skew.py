@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import CUSTOMERS, DAILY, SF_SMALL, plain_sql
 from strata.operators import gold
 from strata.plans.sources import clean_tables
 
@@ -49,7 +49,7 @@ def test_copied_order_key_collapses_before_exchange(spark):
         daily = gold.revenue_by_order_date(gold.order_facts(hot_orders, lineitem))
         reads = _exchange_reads(daily)
         assert reads and max(reads) < n + 64           # never the n // 2 copies
-        direct = gold.revenue_by_order_date_direct(hot_orders, lineitem)
+        direct = plain_sql(spark, DAILY, hot_orders, lineitem)
         assert daily.exceptAll(direct).count() == 0 and direct.exceptAll(daily).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -64,7 +64,7 @@ def test_hot_order_in_lineitem_collapses_before_exchange(spark):
         top = gold.top_customers(gold.order_facts(orders, hot_lines))
         reads = _exchange_reads(top)
         assert reads and max(reads) < m                # lines never cross one by one
-        direct = gold.top_customers_direct(orders, hot_lines)
+        direct = plain_sql(spark, CUSTOMERS, orders, hot_lines)
         assert top.exceptAll(direct).count() == 0 and direct.exceptAll(top).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

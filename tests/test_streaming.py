@@ -33,3 +33,35 @@ def test_incremental_ingest(spark, tmp_path):
     s = spark.read.parquet(silver)
     assert dict(s.dtypes)["o_totalprice"] == "decimal(15,2)"
     assert s.count() == orders.count()
+
+
+def _lines(tmp_path, name, keys, days_old=0):
+    import os
+    import time
+    path = tmp_path / "raw" / name
+    path.parent.mkdir(exist_ok=True)
+    path.write_text("o_orderkey|o_custkey\n" + "".join(f"{k}|1\n" for k in keys))
+    stamp = time.time() - days_old * 86_400
+    os.utime(path, (stamp, stamp))
+
+
+def test_an_old_file_that_arrives_late_is_ingested(spark, tmp_path):
+    raw, bronze, ck = (str(tmp_path / d) for d in ("raw", "bronze", "ck"))
+    _lines(tmp_path, "new.csv", [1])
+    cols = ["o_orderkey", "o_custkey"]
+    assert ingest_new_files(spark, raw, "orders", bronze, ck, columns=cols) == 1
+    _lines(tmp_path, "late.csv", [2], days_old=30)
+    assert ingest_new_files(spark, raw, "orders", bronze, ck, columns=cols) == 1
+    assert sorted(r[0] for r in spark.read.parquet(bronze).select("o_orderkey").collect()) == [1, 2]
+
+
+def test_rows_are_counted_beyond_the_kept_progress(spark, tmp_path):
+    raw, bronze, ck = (str(tmp_path / d) for d in ("raw", "bronze", "ck"))
+    for i in range(6):
+        _lines(tmp_path, f"{i}.csv", [i], days_old=6 - i)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        n = ingest_new_files(spark, raw, "orders", bronze, ck, columns=["o_orderkey", "o_custkey"], max_files_per_trigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert n == 6

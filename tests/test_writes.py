@@ -1,12 +1,10 @@
-"""Write-side guards: spreading under-split inputs and rebalanced
-partitioned writes."""
+"""Write-side guards: rebalanced partitioned writes, wider files than declared."""
 
 from __future__ import annotations
 
 import os
 
 from conftest import SF_SMALL
-from strata.plans.layers import spread
 from strata.plans.sources import clean_tables
 from strata.sinks.writes import write_table
 
@@ -15,14 +13,6 @@ def _files(path):
     return sum(1 for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
 
 
-def test_spread_only_under_split_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.read.parquet(f"{SF_SMALL}/orders.parquet").coalesce(1)
-    assert spread(spark, one).rdd.getNumPartitions() == cores
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(spark, many) is many
-
-
 def test_rebalanced_partitioned_write(spark, tmp_path):
     orders = clean_tables(spark, SF_SMALL)[0].repartition(8)
     years = orders.select("order_year").distinct().count()
@@ -33,12 +23,37 @@ def test_rebalanced_partitioned_write(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "rebal")).count() == orders.count()
 
 
-def test_rebalance_skipped_without_adaptive_execution(spark, tmp_path):
-    orders = clean_tables(spark, SF_SMALL)[0].repartition(4)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        write_table(orders, str(tmp_path / "t"), partition_by="order_year", rebalance=True)
-        # a plain map-side write: each of the 4 tasks writes its own files
-        assert _files(tmp_path / "t") > orders.select("order_year").distinct().count()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_a_file_wider_than_declared_is_refused(spark, tmp_path):
+    import pytest
+
+    from strata.sources.delimited import read_delimited
+    path = tmp_path / "orders.csv"
+    path.write_text("o_orderkey|o_custkey|o_orderstatus\n1|2|F\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(path), "orders", columns=["o_orderkey", "o_custkey"]).collect()
+    assert read_delimited(spark, str(path), "orders", columns=["o_orderkey", "o_custkey", "o_orderstatus"]).count() == 1
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters():
+    import pytest
+
+    from strata.session import ensure_checkpoint_dir
+
+    class Nothing:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Nothing()
+
+    class Session:
+        sparkContext, conf = Context(), Nothing()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
