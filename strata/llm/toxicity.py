@@ -3,8 +3,8 @@
 Kernel: two words are alike by the three-letter subsequences they share, each
 occurrence weighted by DECAY to the length it spans (at most SPAN characters), so
 that gaps and inserted characters cost little; normalised to 1 for equal words.
-Words are what white space parts, but a run of single characters counts as one
-word ("s t u p i d").
+Words are what white space parts, without the marks in them; a run of single
+characters counts as one word ("s t u p i d").
 
 Nystroem: a word's features are its kernel values with LANDMARKS words, whitened
 by the landmarks' own kernel matrix.  A linear support vector machine on them is a
@@ -54,16 +54,17 @@ SURE_SIGN, SURE_TEXTS = 20.0, 10
 CACHE_WORDS = 400_000
 LOWEST = -4.0               # margin of a text without words
 
-SPACED = re.compile(r"(?<!\S)\S(?:\s\S(?!\S))+")
-SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
+SPACED = re.compile(r"(?<!\S)\S(?:[^\S\n]\S(?!\S))+")
+SPACES, MARKS = re.compile(r"\s"), re.compile(r"[^\w\s]|_")
+SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 #: Distances of the second and third character, and the weight of what they span.
 GAPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
 
 def words_of(sentence: str) -> list[str]:
-    joined = SPACED.sub(lambda m: re.sub(r"\s", "", m[0]), sentence.lower())
-    return joined.split()
+    joined = SPACED.sub(lambda m: SPACES.sub("", m[0]), sentence.lower())
+    return MARKS.sub("", joined).split()
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -196,7 +197,7 @@ def fit(texts: list[tuple[str, int]]) -> Machine | None:
     if len({y for _, y in texts}) < 2:
         return None
     rng = np.random.default_rng(11)
-    cut = [([words_of(s) for s in SENTENCE.findall(t)], y) for t, y in texts]
+    cut = [([words_of(s) for s in SENTENCE.split(t)], y) for t, y in texts]
     # A word counts once after each different word, so that copies of a text, and
     # near copies, don't make all of its words look common.
     pairs: list[set] = [set(), set()]
@@ -261,8 +262,7 @@ def text_margins(model: Machine, texts: list[str | None]) -> np.ndarray:
     if _memory["key"] != model.key or len(_memory["words"]) > CACHE_WORDS:
         _memory.update(key=model.key, words={})
     known = _memory["words"]
-    # Sentences only part words that white space parts as well, so a text's largest
-    # margin is that of its words.
+    # Every word of a text is one of its sentences', so its largest margin is theirs.
     lists = [words_of(t) if t else [] for t in texts]
     new = list({w for ws in lists for w in ws if w not in known})
     known.update(zip(new, model.margins(new).tolist()) if new else ())
