@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +33,34 @@ def ready(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, path) if p)
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Collects the paths of the tables that ``cut`` writes meanwhile."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes[:] = [s for s in _scopes if s is not paths]
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back:
     lineage ends there and every executor sees the files."""
     spark = df.sparkSession
     path = work_root(spark, label)
+    for scope in _scopes:
+        scope.append(path)
     cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(cleanup)
     spark.conf.set(cleanup, "true")  # the written table needs no shuffle files any more

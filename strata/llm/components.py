@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import cut, remove, scratch
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,7 +35,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Undirected edges (a long, b long) -> (id, component) for every id that has
     an edge to another; component is the smallest id reachable.  Null ends and
     loops link nothing."""
-    edges = cut(edges.where("a <> b").select("a", "b").distinct(), label)
+    with scratch() as before:
+        edges = cut(edges.where("a <> b").select("a", "b").distinct(), label)
     seen = None
     while True:
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(
@@ -43,6 +44,9 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         if state == seen or state["n"] == 0:
             break
         seen = state
-        edges = cut(_star(_star(edges, large=True), large=False), label)
+        with scratch() as made:
+            edges = cut(_star(_star(edges, large=True), large=False), label)
+        remove(edges.sparkSession, before)
+        before = made
     return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
