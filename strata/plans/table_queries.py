@@ -181,10 +181,10 @@ def compaction_in_place(spark, sf_dir):
     write_table(clean_tables(spark, sf_dir)[1].repartition(64), path, partition_by="ship_year")
     before = upkeep.partition_files(spark, path, "ship_year").collect()
     upkeep.compact_partitions(spark, path, "ship_year")
-    files = spark.createDataFrame([(r["value"], r["files"]) for r in before], "ship_year int, files_before long")
-    after = upkeep.partition_files(spark, path, "ship_year").select(F.col("value").alias("ship_year"), "files")
-    fewer = files.join(after, files["ship_year"].eqNullSafe(after["ship_year"])).select(
-        files["ship_year"], (F.col("files") < F.col("files_before")).alias("fewer_files"))
+    files = spark.createDataFrame([(r["value"], r["files"]) for r in before], "value string, files_before long")
+    after = upkeep.partition_files(spark, path, "ship_year").select(F.col("value").alias("v"), "files")
+    fewer = files.join(after, files["value"].eqNullSafe(after["v"])).select(
+        F.col("value").cast("int").alias("ship_year"), (F.col("files") < F.col("files_before")).alias("fewer_files"))
     rows = spark.read.parquet(path).groupBy(F.col("ship_year").alias("y")).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("l_orderkey").alias("key_sum"), F.sum("revenue").alias("revenue"))
     return rows.join(fewer, rows["y"].eqNullSafe(fewer["ship_year"])).drop("y")

@@ -6,9 +6,12 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from strata.sinks import tables as T
-from strata.sinks.writes import checksum, overwrite_partitions, refuse_duplicate_keys, upsert
+from strata.sinks.writes import (
+    checksum, overwrite_partitions, read_typed, refuse_duplicate_keys, upsert,
+)
 
 SMALL_FILE_BYTES = 64 * 1024 * 1024      # a partition whose files average less is compacted
 TARGET_FILE_BYTES = 128 * 1024 * 1024    # size of a compacted file
@@ -19,8 +22,9 @@ MAX_TASKS = 2000                         # output files of one compaction job
 
 def partition_files(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
     """(partition value, files, bytes) of every partition, from the files that its
-    rows lie in.  The value has the column's type; only file metadata is read."""
-    files = spark.read.parquet(path).select(
+    rows lie in.  The value is text, as the directory has it; only file metadata is
+    read."""
+    files = read_typed(spark, path, partition_by, StringType()).select(
         F.col(f"`{partition_by}`").alias("value"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("size")).groupBy("value", "file").agg(F.first("size").alias("size"))
     return files.groupBy("value").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
@@ -38,7 +42,7 @@ def compact_partitions(spark: SparkSession, path: str, partition_by: str, *,
     the table.  Rows go to files by a hash of the row: one value however hot spreads
     over its partition's files, and a repeated task sends every row where it went
     before.  Each job replaces its directories when it commits.  Returns the
-    rewritten partition values.
+    rewritten partition values, as text.
     """
     small = partition_files(spark, path, partition_by).where(
         (F.col("files") > 1) & (F.col("bytes") / F.col("files") < small_file_bytes))
@@ -58,7 +62,7 @@ def compact_partitions(spark: SparkSession, path: str, partition_by: str, *,
 
 
 def _rewrite(spark: SparkSession, path: str, partition_by: str, job: list) -> None:
-    df = spark.read.parquet(path)
+    df = read_typed(spark, path, partition_by, StringType())
     col = F.col(f"`{partition_by}`")
     mine = lambda v: col.isNull() if v is None else col == F.lit(v)
     wanted, files, before = F.lit(False), F.lit(None).cast("int"), 0

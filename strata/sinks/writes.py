@@ -16,6 +16,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None = None,
@@ -47,6 +48,15 @@ def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None =
     writer.parquet(path)
 
 
+def read_typed(spark, path: str, column: str, data_type: DataType) -> DataFrame:
+    """The table at ``path`` with partition column ``column`` read as ``data_type``.
+    Spark guesses a partition column's type from its directories' names, so that text
+    such as 01 would be read as the number 1, and written back elsewhere."""
+    fields = [StructField(f.name, data_type if f.name == column else f.dataType, True)
+              for f in spark.read.parquet(path).schema.fields]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str | list[str]) -> None:
     """Replace only the partitions present in ``df``; all others are kept.
 
@@ -122,7 +132,9 @@ def upsert_partitions(spark, path: str, updates: DataFrame, key: str | list[str]
     """
     keys = [key] if isinstance(key, str) else list(key)
     refuse_duplicate_keys(updates, keys)
-    base = spark.read.parquet(path)
+    if partition_by not in updates.columns:
+        raise ValueError(f"updates have no column {partition_by}")
+    base = read_typed(spark, path, partition_by, updates.schema[partition_by].dataType)
     col = F.col(partition_by)
     directory = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "")
     left = base.select("*", directory.alias("_directory")).join(updates.select(*keys), keys, "left_semi")
