@@ -5,19 +5,21 @@
    one 64-bit key for each band of ROWS minima.
 2. Documents with the same set collapse to the smallest id before anything is
    grouped by band.
-3. Candidates come from bands that share a key: every member against the
-   bucket's smallest id.  Their similarity is estimated from the packed planes by
-   bit counts, corrected for chance collisions, and unlikely ones go.
-4. The likeliest candidate of each document, then the others between different
+3. Only buckets that hold several sets go on.  In each, every member is paired with
+   one hub: the member that meets most others over all bands, which for a group of
+   edited copies is the text they were made from.  The similarity of a pair is
+   estimated from the packed planes by bit counts, corrected for chance collisions,
+   and unlikely pairs go.
+4. The likeliest pair of each document, then its others between different
    components, are confirmed on the full sets of both texts.
 5. What is left are buckets that still hold several components: their members are
    compared across components only.  A bucket with very many components is first
    split by agreement in a second band (a pair similar enough agrees there too,
    with the same tiny loss), so that no big group is paired in full.
 
-With 64 bands of 6 minima a pair at the threshold of 0.75 is missed with
-probability 4e-6, closer pairs with less; the estimate's margin is five standard
-deviations.
+With 44 bands of 5 minima a pair at the threshold of 0.75 is missed with
+probability 7e-6, closer pairs with less; the estimate from 1024 minima has a
+margin of 4.5 standard deviations (3e-6).
 
 Defined results: texts that are null, empty or without words have no shingles and
 link to nothing.  A text of fewer than five words is one shingle.  doc_id is a
@@ -41,12 +43,12 @@ from strata.llm.common import cut, mix64, ready
 from strata.llm.components import components
 
 SHINGLE = 5
-BANDS, ROWS = 64, 6
-K = BANDS * ROWS
+BANDS, ROWS = 44, 5
+K = 1024                    # minima, of which bands use the first BANDS * ROWS
 B_BITS = 2
 WORDS64 = K // 64
 NEED, OF = 75, 100          # similarity of at least NEED / OF
-MARGIN = 0.135              # five standard deviations of the estimate at 0.75
+MARGIN = 0.073              # 4.5 standard deviations of the estimate at 0.75
 HOT_COMPONENTS = 200        # a bucket with more is split by a second band
 MAX_SPLITS = 3
 
@@ -82,14 +84,14 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     mul, add, _ = _family()
     low = np.full(K, 2**32 - 1, np.uint32)
     x = (hashes >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(x), 1024):
-        np.minimum(low, (x[at:at + 1024, None] * mul + add).min(axis=0), out=low)
+    for at in range(0, len(x), 256):
+        np.minimum(low, (x[at:at + 256, None] * mul + add).min(axis=0), out=low)
     return low
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
     _, _, c = _family()
-    rows = low.reshape(BANDS, ROWS).astype(np.uint64)
+    rows = low[:BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
     return mix64(mix64((rows * c).sum(axis=1, dtype=np.uint64)) + np.arange(BANDS, dtype=np.uint64))
 
 
@@ -163,12 +165,9 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.loc[keep, ["a", "b"]]
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough.  The texts concerned are
-    fetched once; a text that many pairs share stays one row of its side."""
-    need = pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = cut(docs.select("doc_id", "text").join(need, "doc_id", "left_semi"), "near-texts")
+def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs whose full shingle sets are similar enough.  A text that many pairs
+    share stays one row of its side."""
     joined = pairs.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(
         texts.toDF("b", "text_b"), "b")
     return joined.mapInPandas(_confirm, "a long, b long")
@@ -185,22 +184,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "sets")
 
     keys = reps.select("rep", F.explode("bands").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("last > hub")
-    stars = (keys.join(hubs.select("key", "hub"), "key").where("rep <> hub")
-             .select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct())
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = cut(keys.join(sizes, "key"), "members")
+    need = members.select(F.col("rep").alias("doc_id")).distinct()
+    # A merge join at every size: the texts are dealt out once, whatever their number.
+    texts = cut(docs.select("doc_id", "text").join(need.hint("merge"), "doc_id", "left_semi"), "near-texts")
+
+    met = members.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("met"))
+    ranked = members.join(met, "rep").select("key", "rep", F.struct("met", (-F.col("rep")).alias("first")).alias("rank"))
+    hubs = ranked.groupBy("key").agg(F.max_by("rep", "rank").alias("hub"))
+    stars = members.join(hubs, "key").where("rep <> hub").select(
+        F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     found = cut(likely(stars, reps), "candidates")
 
     first = found.groupBy("a").agg(F.max_by("b", F.struct("est", -F.col("b"))).alias("b"))
-    links = cut(confirm(first, docs), "links")
+    links = cut(confirm(first, texts), "links")
     comps = cut(components(links), "components")
 
     # Candidates between components that the first round left apart.
     rest = _across(found.join(first, ["a", "b"], "left_anti").select("a", "b"), comps)
-    crossed = _cross_component(keys, comps, reps)
-    more = cut(likely(crossed.join(first, ["a", "b"], "left_anti"), reps).select("a", "b")
-               .unionByName(rest).distinct(), "crossed")
+    crossed = _cross_component(members.select("key", "rep"), comps, reps)
+    crossed = crossed.join(first, ["a", "b"], "left_anti").join(
+        first.toDF("b", "a"), ["a", "b"], "left_anti")
+    more = cut(likely(crossed, reps).select("a", "b").unionByName(rest).distinct(), "crossed")
     if not more.isEmpty():
-        links = links.unionByName(cut(confirm(more, docs), "links"))
+        links = links.unionByName(cut(confirm(more, texts), "links"))
         comps = cut(components(links), "components")
 
     sets = reps.select("set_hi", "set_lo", "rep").join(
