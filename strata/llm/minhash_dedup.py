@@ -12,10 +12,11 @@
    and unlikely pairs go.
 4. The likeliest pair of each document, then its others between different
    components, are confirmed on the full sets of both texts.
-5. What is left are buckets that still hold several components: their members are
-   compared across components only.  A bucket with very many components is first
-   split by agreement in a second band (a pair similar enough agrees there too,
-   with the same tiny loss), so that no big group is paired in full.
+5. What is left are buckets that still hold several components.  Their members are
+   compared across components by their packed signatures, inside the task that has
+   the bucket; only likely pairs leave it, each from the first band it shares.  A
+   bucket with very many members is first split by agreement in a second band (a
+   pair similar enough agrees there too, with the same tiny loss).
 
 With 44 bands of 5 minima a pair at the threshold of 0.75 is missed with
 probability 7e-6, closer pairs with less; the estimate from 1024 minima has a
@@ -39,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, mix64, ready
+from strata.llm.common import cut, mix64, ready, remove, scratch
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -49,7 +50,7 @@ B_BITS = 2
 WORDS64 = K // 64
 NEED, OF = 75, 100          # similarity of at least NEED / OF
 MARGIN = 0.073              # 4.5 standard deviations of the estimate at 0.75
-HOT_COMPONENTS = 200        # a bucket with more is split by a second band
+HOT_MEMBERS = 20_000        # a bucket with more is split by a second band
 MAX_SPLITS = 3
 
 
@@ -173,16 +174,8 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInPandas(_confirm, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, ..) -> (doc_id, n_shingles, component_id, kept), one row per row."""
-    rows = cut(sketch(docs), "sketch")
-    reps = cut(
-        rows.where("n_shingles > 0 and doc_id is not null")
-        .groupBy("set_hi", "set_lo")
-        .agg(F.min(F.struct("doc_id", "bands", "planes")).alias("m"))
-        .select("set_hi", "set_lo", F.col("m.doc_id").alias("rep"), "m.bands", "m.planes"),
-        "sets")
-
+def _linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id, component) of the representatives that are linked to another."""
     keys = reps.select("rep", F.explode("bands").alias("key"))
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = cut(keys.join(sizes, "key"), "members")
@@ -203,13 +196,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # Candidates between components that the first round left apart.
     rest = _across(found.join(first, ["a", "b"], "left_anti").select("a", "b"), comps)
+    tried = first.unionByName(first.toDF("b", "a"))
     crossed = _cross_component(members.select("key", "rep"), comps, reps)
-    crossed = crossed.join(first, ["a", "b"], "left_anti").join(
-        first.toDF("b", "a"), ["a", "b"], "left_anti")
-    more = cut(likely(crossed, reps).select("a", "b").unionByName(rest).distinct(), "crossed")
-    if not more.isEmpty():
-        links = links.unionByName(cut(confirm(more, texts), "links"))
-        comps = cut(components(links), "components")
+    more = cut(crossed.unionByName(rest).distinct().join(tried, ["a", "b"], "left_anti"), "crossed")
+    if more.isEmpty():
+        return comps
+    return components(links.unionByName(cut(confirm(more, texts), "links")))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, ..) -> (doc_id, n_shingles, component_id, kept), one row per row."""
+    rows = cut(sketch(docs), "sketch")
+    reps = cut(
+        rows.where("n_shingles > 0 and doc_id is not null")
+        .groupBy("set_hi", "set_lo")
+        .agg(F.min(F.struct("doc_id", "bands", "planes")).alias("m"))
+        .select("set_hi", "set_lo", F.col("m.doc_id").alias("rep"), "m.bands", "m.planes"),
+        "sets")
+
+    # Everything between is scratch once the components are a table.
+    with scratch() as made:
+        comps = cut(_linked(docs, reps), "components")
+    remove(docs.sparkSession, made[:-1])
 
     sets = reps.select("set_hi", "set_lo", "rep").join(
         comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
@@ -232,26 +240,80 @@ def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
             .where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
 
 
-def _several(members: DataFrame) -> DataFrame:
-    """Keys whose members are of more than one component, with their number."""
-    return (members.groupBy("key", "component").agg(F.lit(1).alias("one"))
-            .groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-
+def _likely_pairs(key: int, ids: np.ndarray, component: np.ndarray, bands: np.ndarray,
+                  planes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a bucket's members in different components whose estimate may reach
+    the threshold.  Where ``key`` is a band of theirs, only pairs that share none
+    before it, so that a pair leaves from one bucket."""
+    order = np.lexsort((ids, component))
+    ids, component, bands, planes = ids[order], component[order], bands[order], planes[order]
+    chance = 2.0**-B_BITS
+    most = int(K * (1 - (NEED / OF - MARGIN) * (1 - chance) - chance))     # positions that may differ
+    found = []
+    for at in range(0, len(ids), 64):
+        one = planes[at:at + 64]
+        # Rows lie by component: nothing up to the block's first component's end is new.
+        rest = slice(int(np.searchsorted(component, component[at], side="right")), None)
+        differ = np.zeros((len(one), len(ids[rest])), np.uint16)
+        for w in range(WORDS64):
+            any_bit = np.zeros(differ.shape, np.uint64)
+            for p in range(B_BITS):
+                word = planes[:, p * WORDS64 + w]
+                any_bit |= word[at:at + 64, None] ^ word[None, rest]
+            differ += np.bitwise_count(any_bit)
+        x, y = np.nonzero((differ <= most) & (component[at:at + 64, None] < component[None, rest]))
+        found.append((x + at, y + rest.start))
+    a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in zip(*found))
+    same = bands[a] == bands[b]
+    earliest = np.where(same.any(axis=1), bands[a, same.argmax(axis=1)], key) if len(a) else np.empty(0, np.int64)
+    keep = (earliest == key) | ~(bands[a] == key).any(axis=1)
+    return np.maximum(ids[a], ids[b])[keep], np.minimum(ids[a], ids[b])[keep]
+
+
+def _across_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by key: a bucket at a time, of at most HOT_MEMBERS rows."""
+    held: list[pd.DataFrame] = []
+
+    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
+        key = rows["key"].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        ids, component = rows["rep"].to_numpy(), rows["component"].to_numpy()
+        bands = np.stack(rows["bands"])
+        planes = np.stack(rows["planes"]).view(np.uint64)
+        out = [_likely_pairs(int(key[i]), ids[i:j], component[i:j], bands[i:j], planes[i:j])
+               for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(key)])]
+        a, b = (np.concatenate(v) for v in zip(*out))
+        return pd.DataFrame({"a": a, "b": b})
 
-def _cross_component(keys: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a > b) that share a bucket but no component yet."""
-    members, out = _labelled(keys, comps), None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        last = pdf["key"] == pdf["key"].iloc[-1]
+        if last.all() and (not held or held[0]["key"].iloc[-1] == pdf["key"].iloc[0]):
+            held.append(pdf)
+            continue
+        yield pairs(pd.concat([*held, pdf[~last]], ignore_index=True))
+        held = [pdf[last]]
+    if held:
+        yield pairs(pd.concat(held, ignore_index=True))
+
+
+def _cross_component(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
+    """Likely pairs (a > b) that share a bucket but no component yet."""
+    members, out = _labelled(members, comps), None
     for split in range(MAX_SPLITS + 1):
-        several = _several(members)
+        several = members.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+        ).where("low < high").select("key", "n")
         members = cut(members.join(several, "key"), "buckets")
-        here = members if split == MAX_SPLITS else members.where(F.col("n") <= HOT_COMPONENTS)
-        a, b = here.toDF("key", "a", "ca", "n"), here.select("key", "rep", "component").toDF("key", "b", "cb")
-        pairs = a.join(b, "key").where("ca <> cb and a > b").select("a", "b")
+        here = members if split == MAX_SPLITS else members.where(F.col("n") <= HOT_MEMBERS)
+        pairs = (here.select("key", "rep", "component").join(reps.select("rep", "bands", "planes"), "rep")
+                 .repartition("key").sortWithinPartitions("key").mapInPandas(_across_buckets, "a long, b long"))
         out = pairs if out is None else out.unionByName(pairs)
-        hot = members.where(F.col("n") > HOT_COMPONENTS)
+        hot = members.where(F.col("n") > HOT_MEMBERS)
         if split == MAX_SPLITS or hot.isEmpty():
             break
         others = reps.select("rep", F.explode("bands").alias("other"))
         members = hot.join(others, "rep").where("key <> other").select(
             F.xxhash64("key", "other").alias("key"), "rep", "component")
-    return out.distinct()
+    return out

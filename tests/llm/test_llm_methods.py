@@ -58,14 +58,36 @@ def brute_components(texts):
     return at
 
 
-@pytest.mark.parametrize("hot", [minhash_dedup.HOT_COMPONENTS, 3])
+@pytest.mark.parametrize("hot", [minhash_dedup.HOT_MEMBERS, 3])
 def test_near_duplicates(spark, monkeypatch, hot):
-    monkeypatch.setattr(minhash_dedup, "HOT_COMPONENTS", hot)
+    monkeypatch.setattr(minhash_dedup, "HOT_MEMBERS", hot)
     texts = edited_groups(random.Random(4))
     got = minhash_dedup.near_duplicates(docs_of(spark, texts)).orderBy("doc_id").collect()
     assert [r["component_id"] for r in got] == brute_components(texts)
 
 
+def test_pairs_of_a_bucket():
+    rng = random.Random(12)
+    texts = edited_groups(rng, groups=2, copies=40)
+    low = [minhash_dedup.minima(minhash_dedup.shingle_hashes(t)) for t in texts]
+    bands = np.stack([minhash_dedup.band_keys(x) for x in low]).view(np.int64)
+    planes = np.stack([minhash_dedup.packed(x) for x in low]).view(np.uint64)
+    component = np.array([rng.randrange(30) for _ in texts])
+    least = minhash_dedup.NEED / minhash_dedup.OF - minhash_dedup.MARGIN
+    found = Counter()
+    for key in np.unique(bands):
+        own = np.flatnonzero((bands == key).any(axis=1))
+        a, b = minhash_dedup._likely_pairs(int(key), own, component[own], bands[own], planes[own])
+        found.update(zip(a.tolist(), b.tolist()))
+    want = set()
+    for b, a in itertools.combinations(range(len(texts)), 2):
+        differ = np.bitwise_count(np.bitwise_or(*np.split(planes[a] ^ planes[b], 2))).sum()
+        estimate = (1 - differ / minhash_dedup.K - 0.25) / 0.75
+        if component[a] != component[b] and (bands[a] == bands[b]).any() and estimate >= least:
+            want.add((a, b))
+    assert set(found) == want and set(found.values()) == {1}
+
+
 def test_estimate_is_near_the_similarity(spark):
     rng = random.Random(1)
     base = [rng.choice(VOCABULARY) for _ in range(400)]
