@@ -20,6 +20,7 @@ by name.  Rows repeat as they come; ids may be null; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -48,15 +49,28 @@ CACHE_WORDS, ROUND_WORDS = 400_000, 400_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
+#: Buckets of feature names seen by this process.
+_buckets: dict[str, int] = {}
+
+
+def _bucket(name: str) -> int:
+    if len(_buckets) >= CACHE_WORDS:
+        _buckets.clear()
+    found = _buckets[name] = zlib.crc32(name.encode()) % BUCKETS
+    return found
+
+
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
     n = len(word)
+    edged = f"<{word}>"
     names = ["p" + word[:k] for k in range(1, min(4, n) + 1)]
     names += ["s" + word[-k:] for k in range(1, min(4, n) + 1)]
-    edged = f"<{word}>"
-    names += ["g" + edged[i:i + k] for k in (2, 3) for i in range(len(edged) - k + 1)]
+    names += map("".join, zip(edged, edged[1:]))
+    names += map("".join, zip(edged, edged[1:], edged[2:]))
     if word in lexicon:
         names.append(f"x{lexicon[word]}")
-    return [zlib.crc32(x.encode()) % BUCKETS for x in names]
+    found = list(map(_buckets.get, names))
+    return found if None not in found else [_bucket(x) if f is None else f for x, f in zip(names, found)]
 
 
 def packed(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,9 +123,11 @@ class Field:
     lexicon: dict[str, int]
     key: int = 0
 
-    def emission(self, word: str) -> np.ndarray:
-        s = self.weights[features(word, self.lexicon)].sum(axis=0)
-        return np.exp(s - s.max())
+    def emissions(self, words: list[str]) -> np.ndarray:
+        listed = [features(w, self.lexicon) for w in words]
+        starts = np.cumsum([0, *map(len, listed[:-1])])
+        s = np.add.reduceat(self.weights[np.fromiter(itertools.chain.from_iterable(listed), np.int64)], starts, axis=0)
+        return np.exp(s - s.max(axis=1, keepdims=True))
 
 
 def fit(texts: list[tuple[str, str]]) -> Field | None:
@@ -189,19 +205,19 @@ _memory: dict = {"key": None, "words": {}, "rows": None}
 def _scores(model: Field, words: list[str]) -> np.ndarray:
     m = _memory
     if m["key"] != model.key or len(m["words"]) > CACHE_WORDS:
-        m.update(key=model.key, words={}, rows=np.empty((1024, len(model.labels))))
+        m.update(key=model.key, words={}, rows=np.empty((0, len(model.labels))))
     known = m["words"]
     ids = list(map(known.get, words))
     if None in ids:
-        for i, w in enumerate(words):
-            if ids[i] is None and (found := known.get(w)) is None:
-                found = known[w] = len(known)
-                if found >= len(m["rows"]):
-                    m["rows"] = np.concatenate([m["rows"], np.empty_like(m["rows"])])
-                m["rows"][found] = model.emission(w)
-                ids[i] = found
-            elif ids[i] is None:
-                ids[i] = found
+        new = list(dict.fromkeys(w for w, i in zip(words, ids) if i is None))
+        at = len(known)
+        known.update(zip(new, range(at, at + len(new))))
+        if len(known) > len(m["rows"]):
+            more = np.empty((max(len(known), 2 * len(m["rows"])), len(model.labels)))
+            more[:at] = m["rows"][:at]
+            m["rows"] = more
+        m["rows"][at:len(known)] = model.emissions(new)
+        ids = list(map(known.__getitem__, words))
     return m["rows"][np.array(ids, np.int64)]
 
 
@@ -217,7 +233,7 @@ def label_chains(model: Field, chains: list[list[str]]) -> list[np.ndarray]:
             total += len(chains[order[at]])
             at += 1
         lengths = np.array([len(chains[i]) for i in part])
-        emit = np.concatenate([_scores(model, chains[i]) for i in part])
+        emit = _scores(model, [w for i in part for w in chains[i]])
         p = forward_backward(emit, np.exp(model.move), np.exp(model.start), lengths)
         for i, x in zip(part, np.split(p, np.cumsum(lengths)[:-1])):
             out[i] = x
