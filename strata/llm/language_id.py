@@ -44,7 +44,9 @@ BUCKETS = 1 << 16
 LEXICON = 20_000
 UNKNOWN = "und"
 #: Words whose label scores a worker remembers, and words labelled at once.
-CACHE_WORDS, ROUND_WORDS = 400_000, 400_000
+CACHE_WORDS, ROUND_WORDS = 150_000, 200_000
+#: Feature names whose buckets it remembers.
+CACHE_NAMES = 300_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -54,7 +56,7 @@ _buckets: dict[str, int] = {}
 
 
 def _bucket(name: str) -> int:
-    if len(_buckets) >= CACHE_WORDS:
+    if len(_buckets) >= CACHE_NAMES:
         _buckets.clear()
     found = _buckets[name] = zlib.crc32(name.encode()) % BUCKETS
     return found

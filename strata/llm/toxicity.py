@@ -51,7 +51,7 @@ TRAIN_ROWS, TRAIN_CHARS = 3000, 10_000
 ROUNDS = 3
 #: A word so many times commoner in toxic texts, and so often there, is no clean one.
 SURE_SIGN, SURE_TEXTS = 20.0, 10
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 LOWEST = -4.0               # margin of a text without words
 
 SPACED = re.compile(r"(?<!\S)\S(?:[^\S\n]\S(?!\S))+")
