@@ -97,8 +97,10 @@ def band_keys(low: np.ndarray) -> np.ndarray:
 
 
 def packed(low: np.ndarray) -> np.ndarray:
-    """B_BITS planes of K bits each."""
-    planes = [np.packbits(((low >> np.uint32(b)) & np.uint32(1)).astype(np.uint8)).view(np.int64)
+    """B_BITS planes of K bits each.  The minima are mixed first: the low bits of
+    x * mul + add depend on those of x only, and would agree in all places or none."""
+    mixed = mix64(low)
+    planes = [np.packbits(((mixed >> np.uint64(b)) & np.uint64(1)).astype(np.uint8)).view(np.int64)
               for b in range(B_BITS)]
     return np.concatenate(planes)
 

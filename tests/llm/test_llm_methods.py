@@ -88,6 +88,19 @@ def test_pairs_of_a_bucket():
     assert set(found) == want and set(found.values()) == {1}
 
 
+def test_short_texts_at_the_threshold(spark):
+    """Pairs of 3 to 16 shingles at exactly 0.75."""
+    texts = []
+    for i in range(240):
+        both = (3, 6, 9, 12)[i % 4]
+        words = [f"p{i}w{j}" for j in range(both + both // 3 + 4)]
+        texts += [" ".join(words[:both + 4]), " ".join(words)]
+    want = brute_components(texts)
+    assert want == [i - i % 2 for i in range(len(texts))]
+    got = minhash_dedup.near_duplicates(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in got] == want
+
+
 def test_estimate_is_near_the_similarity(spark):
     rng = random.Random(1)
     base = [rng.choice(VOCABULARY) for _ in range(400)]
