@@ -12,11 +12,13 @@
    and unlikely pairs go.
 4. The likeliest pair of each document, then its others between different
    components, are confirmed on the full sets of both texts.
-5. What is left are buckets that still hold several components.  Their members are
-   compared across components by their packed signatures, inside the task that has
-   the bucket; only likely pairs leave it, each from the first band it shares.  A
-   bucket with very many members is first split by agreement in a second band (a
-   pair similar enough agrees there too, with the same tiny loss).
+5. What is left are buckets that still hold several components.  A bucket is cut into
+   blocks of bounded rows and shingles, and each two blocks of it (and each block by
+   itself) are a group of their own.  A group's members are compared across
+   components by their packed signatures, 64 rows at a time, each pair in the first
+   band it shares.  What leaves are the members that have a likely partner, not the
+   pairs; with their texts dealt out to the same groups, likely pairs are confirmed
+   there on full sets, and only links that join what the group hasn't joined yet leave.
 
 With 44 bands of 5 minima a pair at the threshold of 0.75 is missed with
 probability 7e-6, closer pairs with less; the estimate from 1024 minima has a
@@ -50,8 +52,9 @@ B_BITS = 2
 WORDS64 = K // 64
 NEED, OF = 75, 100          # similarity of at least NEED / OF
 MARGIN = 0.073              # 4.5 standard deviations of the estimate at 0.75
-HOT_MEMBERS = 20_000        # a bucket with more is split by a second band
-MAX_SPLITS = 3
+HOT_MEMBERS = 4096          # a bucket with more, or with more shingles than
+HOT_SHINGLES = 4_000_000    # these, is cut into blocks of about so many
+GROUP = ("key", "i", "j")   # a bucket and two of its blocks
 
 
 @lru_cache(maxsize=1)
@@ -178,7 +181,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(id, component) of the representatives that are linked to another."""
-    keys = reps.select("rep", F.explode("bands").alias("key"))
+    keys = reps.select("rep", "n_shingles", F.explode("bands").alias("key"))
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = cut(keys.join(sizes, "key"), "members")
     need = members.select(F.col("rep").alias("doc_id")).distinct()
@@ -199,11 +202,11 @@ def _linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
     # Candidates between components that the first round left apart.
     rest = _across(found.join(first, ["a", "b"], "left_anti").select("a", "b"), comps)
     tried = first.unionByName(first.toDF("b", "a"))
-    crossed = _cross_component(members.select("key", "rep"), comps, reps)
-    more = cut(crossed.unionByName(rest).distinct().join(tried, ["a", "b"], "left_anti"), "crossed")
+    rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
+    more = cut(_cross_component(members, comps, reps, texts).unionByName(confirm(rest, texts)), "links")
     if more.isEmpty():
         return comps
-    return components(links.unionByName(cut(confirm(more, texts), "links")))
+    return components(links.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -212,8 +215,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = cut(
         rows.where("n_shingles > 0 and doc_id is not null")
         .groupBy("set_hi", "set_lo")
-        .agg(F.min(F.struct("doc_id", "bands", "planes")).alias("m"))
-        .select("set_hi", "set_lo", F.col("m.doc_id").alias("rep"), "m.bands", "m.planes"),
+        .agg(F.min(F.struct("doc_id", "n_shingles", "bands", "planes")).alias("m"))
+        .select("set_hi", "set_lo", F.col("m.doc_id").alias("rep"), "m.n_shingles", "m.bands", "m.planes"),
         "sets")
 
     # Everything between is scratch once the components are a table.
@@ -233,7 +236,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
     return members.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component"))
+        "key", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
 
 
 def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -242,80 +245,143 @@ def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
             .where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
 
 
-def _likely_pairs(key: int, ids: np.ndarray, component: np.ndarray, bands: np.ndarray,
-                  planes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a bucket's members in different components whose estimate may reach
-    the threshold.  Where ``key`` is a band of theirs, only pairs that share none
-    before it, so that a pair leaves from one bucket."""
-    order = np.lexsort((ids, component))
-    ids, component, bands, planes = ids[order], component[order], bands[order], planes[order]
+def _likely_chunks(key: int, component: np.ndarray, bands: np.ndarray, planes: np.ndarray,
+                   left: np.ndarray, right: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows, one of ``left`` and one of ``right`` (both of ``left`` if that is
+    None), in different components, whose estimate may reach the threshold; 64 rows
+    of ``left`` at a time.  Where ``key`` is a band of theirs, only pairs that share
+    none before it, so that a pair leaves from one bucket."""
     chance = 2.0**-B_BITS
     most = int(K * (1 - (NEED / OF - MARGIN) * (1 - chance) - chance))     # positions that may differ
-    found = []
-    for at in range(0, len(ids), 64):
-        one = planes[at:at + 64]
+    left = left[np.argsort(component[left], kind="stable")]
+    others = left if right is None else right
+    far, far_component = np.ascontiguousarray(planes[others].T), component[others]
+    place = (bands == key).argmax(axis=1)                                  # 0 where it is none of theirs
+    by_band = np.ascontiguousarray(bands.T)
+    for at in range(0, len(left), 64):
+        rows = left[at:at + 64]
+        own = component[rows]
         # Rows lie by component: nothing up to the block's first component's end is new.
-        rest = slice(int(np.searchsorted(component, component[at], side="right")), None)
-        differ = np.zeros((len(one), len(ids[rest])), np.uint16)
+        start = int(np.searchsorted(far_component, own[0], side="right")) if right is None else 0
+        differ = np.zeros((len(rows), len(others) - start), np.uint16)
         for w in range(WORDS64):
             any_bit = np.zeros(differ.shape, np.uint64)
             for p in range(B_BITS):
-                word = planes[:, p * WORDS64 + w]
-                any_bit |= word[at:at + 64, None] ^ word[None, rest]
+                any_bit |= planes[rows, p * WORDS64 + w][:, None] ^ far[p * WORDS64 + w, start:]
             differ += np.bitwise_count(any_bit)
-        x, y = np.nonzero((differ <= most) & (component[at:at + 64, None] < component[None, rest]))
-        found.append((x + at, y + rest.start))
-    a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in zip(*found))
-    same = bands[a] == bands[b]
-    earliest = np.where(same.any(axis=1), bands[a, same.argmax(axis=1)], key) if len(a) else np.empty(0, np.int64)
-    keep = (earliest == key) | ~(bands[a] == key).any(axis=1)
-    return np.maximum(ids[a], ids[b])[keep], np.minimum(ids[a], ids[b])[keep]
+        apart = np.less if right is None else np.not_equal
+        x, y = np.nonzero((differ <= most) & apart(own[:, None], far_component[start:]))
+        a, b = rows[x], others[y + start]
+        until = np.minimum(place[a], place[b])
+        for t in range(int(until.max(initial=0))):
+            new = (by_band[t, a] != by_band[t, b]) | (t >= until)
+            a, b, until = a[new], b[new], until[new]
+        if len(a):
+            yield a, b
+
+
+def _likely_pairs(key: int, ids: np.ndarray, component: np.ndarray, bands: np.ndarray,
+                  planes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All likely pairs of a bucket's members at once, as ids."""
+    found = [(np.maximum(ids[a], ids[b]), np.minimum(ids[a], ids[b]))
+             for a, b in _likely_chunks(key, component, bands, planes, np.arange(len(ids)), None)]
+    return tuple(np.concatenate(v) for v in zip(*found)) if found else (np.empty(0, np.int64),) * 2
 
 
-def _across_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by key: a bucket at a time, of at most HOT_MEMBERS rows."""
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[tuple[slice, tuple]]]]:
+    """Rows sorted by (key, i, j), in tables of whole groups, each with the place of
+    every group and its arguments of _likely_chunks."""
     held: list[pd.DataFrame] = []
 
-    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
-        key = rows["key"].to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        ids, component = rows["rep"].to_numpy(), rows["component"].to_numpy()
-        bands = np.stack(rows["bands"])
+    def whole() -> tuple[pd.DataFrame, list[tuple[slice, tuple]]]:
+        rows = pd.concat(held, ignore_index=True)
+        at, block = rows[list(GROUP)].to_numpy(), rows["block"].to_numpy()
+        component, bands = rows["component"].to_numpy(), np.stack(rows["bands"])
         planes = np.stack(rows["planes"]).view(np.uint64)
-        out = [_likely_pairs(int(key[i]), ids[i:j], component[i:j], bands[i:j], planes[i:j])
-               for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(key)])]
-        a, b = (np.concatenate(v) for v in zip(*out))
-        return pd.DataFrame({"a": a, "b": b})
+        edges = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(rows)]
+        groups = []
+        for a, z in zip(edges, edges[1:]):
+            (key, i, j), own = at[a].tolist(), slice(a, z)
+            groups.append((own, (key, component[own], bands[own], planes[own], np.flatnonzero(block[own] == i),
+                                 None if i == j else np.flatnonzero(block[own] == j))))
+        return rows, groups
 
     for pdf in batches:
         if not len(pdf):
             continue
-        last = pdf["key"] == pdf["key"].iloc[-1]
-        if last.all() and (not held or held[0]["key"].iloc[-1] == pdf["key"].iloc[0]):
+        last = (pdf[list(GROUP)] == pdf[list(GROUP)].iloc[-1]).all(axis=1)
+        if last.all() and (not held or (held[-1][list(GROUP)].iloc[-1] == pdf[list(GROUP)].iloc[0]).all()):
             held.append(pdf)
             continue
-        yield pairs(pd.concat([*held, pdf[~last]], ignore_index=True))
+        held.append(pdf[~last])
+        yield whole()
         held = [pdf[last]]
     if held:
-        yield pairs(pd.concat(held, ignore_index=True))
-
-
-def _cross_component(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
-    """Likely pairs (a > b) that share a bucket but no component yet."""
-    members, out = _labelled(members, comps), None
-    for split in range(MAX_SPLITS + 1):
-        several = members.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low < high").select("key", "n")
-        members = cut(members.join(several, "key"), "buckets")
-        here = members if split == MAX_SPLITS else members.where(F.col("n") <= HOT_MEMBERS)
-        pairs = (here.select("key", "rep", "component").join(reps.select("rep", "bands", "planes"), "rep")
-                 .repartition("key").sortWithinPartitions("key").mapInPandas(_across_buckets, "a long, b long"))
-        out = pairs if out is None else out.unionByName(pairs)
-        hot = members.where(F.col("n") > HOT_MEMBERS)
-        if split == MAX_SPLITS or hot.isEmpty():
-            break
-        others = reps.select("rep", F.explode("bands").alias("other"))
-        members = hot.join(others, "rep").where("key <> other").select(
-            F.xxhash64("key", "other").alias("key"), "rep", "component")
-    return out
+        yield whole()
+
+
+def _partnered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The members of each group that have a likely partner there."""
+    for rows, groups in _groups(batches):
+        hit = np.zeros(len(rows), bool)
+        for own, sides in groups:
+            for a, b in _likely_chunks(*sides):
+                hit[own.start + a] = hit[own.start + b] = True
+        yield rows.loc[hit, [*GROUP, "block", "rep", "component"]]
+
+
+def _top(root: dict[int, int], c: int) -> int:
+    while (up := root.get(c, c)) != c:
+        root[c] = root.get(up, up)
+        c = up
+    return c
+
+
+def _links_of_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Likely pairs of each group that are similar enough on full sets, without those
+    whose ends the group's links join already."""
+    for rows, groups in _groups(batches):
+        links: list[tuple[int, int]] = []
+        for own, sides in groups:
+            sets = [shingle_hashes(t) for t in rows["text"].iloc[own]]
+            sizes = np.array([len(x) for x in sets])
+            ids, component = rows["rep"].iloc[own].tolist(), sides[1].tolist()
+            root: dict[int, int] = {}
+            for a, b in _likely_chunks(*sides):
+                near = OF * np.minimum(sizes[a], sizes[b]) >= NEED * np.maximum(sizes[a], sizes[b])
+                for x, y in zip(a[near].tolist(), b[near].tolist()):
+                    p, q = _top(root, component[x]), _top(root, component[y])
+                    if p == q:
+                        continue
+                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    if both > 0 and OF * both >= NEED * (len(sets[x]) + len(sets[y]) - both):
+                        root[p] = q
+                        links.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+        yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """(key, rep, n_shingles, component) -> (key, i, j, block, rep, component): the
+    buckets of several components, each member once for each two blocks that its
+    own is one of (i <= j)."""
+    several = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
+    ).where("low < high").select("key", F.greatest(
+        F.ceil(F.col("n") / HOT_MEMBERS), F.ceil(F.col("size") / HOT_SHINGLES)).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("rep", F.lit(9)), F.col("blocks")).cast("int")
+    dealt = members.join(several, "key").select("key", "rep", "component", "blocks", block.alias("block"))
+    return dealt.select("key", "rep", "component", "block", F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component")
+
+
+def _cross_component(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a > b) of members that share a bucket but no component yet."""
+    grouped = lambda df: df.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    signed = reps.select("rep", "bands", "planes")
+    buckets = cut(_blocks(_labelled(members, comps)), "buckets")
+    near = cut(grouped(buckets.join(signed, "rep")).mapInPandas(
+        _partnered, "key long, i int, j int, block int, rep long, component long"), "partnered").distinct()
+    return grouped(near.join(signed, "rep").join(texts.toDF("rep", "text"), "rep")).mapInPandas(
+        _links_of_groups, "a long, b long")

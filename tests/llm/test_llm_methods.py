@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -88,6 +89,55 @@ def test_pairs_of_a_bucket():
     assert set(found) == want and set(found.values()) == {1}
 
 
+def template_texts(rng, n, shared=300, own=66):
+    """Texts of one template and words of their own: pairwise at about 0.70, not linked."""
+    base = [rng.choice(VOCABULARY) for _ in range(shared)]
+    return [" ".join(base + [f"t{i}w{j}" for j in range(own)]) for i in range(n)]
+
+
+def test_memory_of_a_hot_bucket():
+    texts = template_texts(random.Random(14), 900)
+    low = [minhash_dedup.minima(minhash_dedup.shingle_hashes(t)) for t in texts]
+    bands = np.stack([minhash_dedup.band_keys(x) for x in low]).view(np.int64)
+    planes = np.stack([minhash_dedup.packed(x) for x in low]).view(np.uint64)
+    keys, counts = np.unique(bands, return_counts=True)
+    key = int(keys[counts.argmax()])
+    own = np.flatnonzero((bands == key).any(axis=1))
+    tracemalloc.start()
+    try:
+        minhash_dedup._likely_pairs(key, own, own, bands[own], planes[own])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    pairs = len(own) * (len(own) - 1) // 2
+    assert len(own) > 200 and peak < 150 * pairs
+
+
+def test_template_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "HOT_MEMBERS", 20)
+    rng = random.Random(15)
+    texts = template_texts(rng, 120)
+    for i in range(0, 120, 30):   # four of them have a near copy
+        words = texts[i].split()
+        texts.append(" ".join([*words[:-2], "other", words[-1]]))
+    docs = docs_of(spark, texts)
+    got = minhash_dedup.near_duplicates(docs).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in got] == brute_components(texts) and got[120]["component_id"] == 0
+
+    rows = minhash_dedup.sketch(docs).selectExpr("doc_id as rep", "n_shingles", "explode(bands) as key").selectExpr(
+        "key", "rep", "n_shingles", "rep as component").cache()
+    sizes = {r["key"]: r["count"] for r in rows.groupBy("key").count().where("count > 1").collect()}
+    groups: dict = {}
+    for r in minhash_dedup._blocks(rows).collect():
+        groups.setdefault((r["key"], r["i"], r["j"]), []).append((r["block"], r["rep"]))
+    met = Counter()
+    for (key, i, j), held in groups.items():
+        met.update((key, *sorted((x, y))) for a, x in held for b, y in held
+                   if (a, b) == (i, j) and (x < y if i == j else True))
+    assert max(sizes.values()) > 60 and max(map(len, groups.values())) <= 4 * 20
+    assert set(met.values()) == {1} and len(met) == sum(n * (n - 1) // 2 for n in sizes.values())
+
+
 def test_short_texts_at_the_threshold(spark):
     """Pairs of 3 to 16 shingles at exactly 0.75."""
     texts = []
