@@ -7,7 +7,8 @@ DataFrame functions only.
   the pages are allowed by rules are trusted seeds, those blocked likewise are
   blocked ones.  Trust runs from trusted seeds along links, distrust from blocked
   seeds against them, each as a personalised PageRank in which every seed starts
-  with 1.  A host whose distrust exceeds its trust by BLOCK_AT or more is blocked.
+  with 1, run until no rank can still change by LEFT.  A host whose distrust exceeds
+  its trust by BLOCK_AT or more is blocked.
 * Edges are links to other hosts in pages (counted once for each pair of hosts
   before anything is shuffled further), and a host and the domain right above it,
   both ways, as one party runs them (never a top-level domain).
@@ -39,8 +40,11 @@ RULES = (
 )
 SEED_SHARE = 0.5
 BLOCK_AT = 0.1
-#: Share of a host's rank that it hands on each round, and rounds.
-DAMPING, ROUNDS, CUT_EVERY = 0.85, 10, 5
+#: Share of a host's rank that it hands on each round, and rounds: ROUNDS at least,
+#: and more, CUT_EVERY at a time, until all ranks together change by less than LEFT
+#: in whatever rounds could follow.
+DAMPING, ROUNDS, CUT_EVERY = 0.85, 50, 5
+LEFT = 0.001
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]*)"""
@@ -99,12 +103,22 @@ def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
         seeds.where("blocked").select(F.lit("distrust").alias("kind"), "host"))
     start = cut(start.select("kind", "host", F.lit(1 - DAMPING).alias("rank")), "seeds")
     rank = start.withColumn("rank", F.lit(1.0))
-    for i in range(ROUNDS):
-        moved = rank.join(ways.withColumnRenamed("src", "host"), ["kind", "host"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share")).alias("rank"))
-        rank = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if i % CUT_EVERY == CUT_EVERY - 1:
-            rank = cut(rank, "ranks")
+    # A change of c over CUT_EVERY rounds is one of c * still at most over the next,
+    # and so on: the shares of a host sum to DAMPING.
+    done, left, still = 0, LEFT, DAMPING**CUT_EVERY
+    while done < ROUNDS or left >= LEFT:
+        before = rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("old"))
+        for _ in range(CUT_EVERY):
+            moved = rank.join(ways.withColumnRenamed("src", "host"), ["kind", "host"]).select(
+                "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share")).alias("rank"))
+            rank = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        done += CUT_EVERY
+        rank = cut(rank.withColumn("old", F.lit(0.0)).unionByName(before).groupBy("kind", "host").agg(
+            F.sum("rank").alias("rank"), F.sum("old").alias("old")), "ranks")
+        if done >= ROUNDS:
+            change = rank.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0
+            left = change * still / (1 - still)
+        rank = rank.drop("old")
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
     return rank.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
 

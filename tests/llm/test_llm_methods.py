@@ -385,6 +385,29 @@ def test_ranks(spark):
         assert all(abs(got.get(h, (0, 0))[side] - rank[h]) < 1e-9 for h in hosts)
 
 
+def test_ranks_converge(spark):
+    """A blocked seed with three siblings, a chain of links to a blocked host, and many
+    seeds whose ranks meet at one host."""
+    family = [e for i in range(4) for e in ((f"s{i}.f.x", "f.x", 1.0), ("f.x", f"s{i}.f.x", 1.0))]
+    chain = [(f"h{i + 1}.x", f"h{i}.x", 1.0) for i in range(15)]
+    crowd = [e for i in range(40) for e in (("hub.y", f"c{i}.y", 1.0), (f"c{i}.y", "hub.y", 1.0))]
+    edges = family + chain + crowd
+    blocked = ["s0.f.x", "h0.x", *(f"c{i}.y" for i in range(40))]
+    got = {r["host"]: r["distrust"] for r in url_filter.propagate(
+        spark.createDataFrame(edges, "src string, dst string, weight double"),
+        spark.createDataFrame([(h, False, True) for h in blocked], "host string, trusted boolean, blocked boolean")).collect()}
+    hosts = sorted({h for s, d, _ in edges for h in (s, d)})
+    at = {h: i for i, h in enumerate(hosts)}
+    move = np.zeros((len(hosts), len(hosts)))
+    for s, d, w in edges:
+        move[at[s], at[d]] += w
+    move /= np.maximum(move.sum(axis=0), 1e-300)
+    start = np.array([h in blocked for h in hosts]) * (1 - url_filter.DAMPING)
+    want = np.linalg.solve(np.eye(len(hosts)) - url_filter.DAMPING * move, start)
+    assert max(abs(got.get(h, 0.0) - want[at[h]]) for h in hosts) < url_filter.LEFT
+    assert got["s1.f.x"] < url_filter.BLOCK_AT and got["h10.x"] < got["h9.x"] < url_filter.BLOCK_AT
+
+
 def test_links_carry_verdicts(spark):
     page = lambda i, url, *to: (i, url, "".join(f'<a href="https://{t}/x">t</a>' for t in to))
     pages = spark.createDataFrame([
