@@ -16,6 +16,7 @@ from strata.llm import (
     minhash_dedup,
     quality,
     sentencepiece_codec,
+    simhash_dedup,
     suffix_dedup,
     toxicity,
     url_filter,
@@ -91,3 +92,8 @@ def op9_quality(spark, sf_dir):
 @query
 def op10_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.round_trip_digests(read(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+@query
+def op13_simhash_dedup(spark, sf_dir):
+    return simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
