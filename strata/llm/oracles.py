@@ -149,3 +149,26 @@ FROM found LEFT JOIN scores USING (host)
 
 
 ORACLES["op3_url_filter"] = _url_filter()
+
+
+ORACLES["op11_shared_ranking"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")},
+    '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents
+), totals AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs WHERE len(w) > 0),
+counts AS (
+  SELECT d, doc_id, n, t, count(*) AS tf FROM (SELECT d, doc_id, len(w) AS n, unnest(w) AS t FROM docs) GROUP BY ALL
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM counts, totals GROUP BY t
+), wanted AS (
+  SELECT item_id, t, count(*) AS times FROM (
+    SELECT item_id, unnest(list_filter(string_split_regex({LOWER.format("coalesce(text, '')")},
+      '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')) AS t FROM benchmark WHERE item_id IS NOT NULL) GROUP BY ALL
+), scores AS (
+  SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM counts JOIN wanted USING (t) JOIN weights USING (t), totals WHERE doc_id IS NOT NULL GROUP BY item_id, d, doc_id
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""

@@ -16,8 +16,10 @@ from strata.llm import (
     minhash_dedup,
     quality,
     sentencepiece_codec,
+    shared_ranking,
     simhash_dedup,
     suffix_dedup,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -27,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(fn: Query) -> Query:
@@ -94,6 +97,16 @@ def op10_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.round_trip_digests(read(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+@query
+def op11_shared_ranking(spark, sf_dir):
+    return shared_ranking.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), 10)
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.digests(read(spark, sf_dir, "documents"), BYTE_JSON, PIECE_MODEL)
+
+
 @query
 def op13_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))

@@ -1,0 +1,144 @@
+"""Cross-tokenizer alignment against a version that compares every two tokens."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+import sentencepiece
+from conftest import SF_SMALL
+from tokenizers import Tokenizer
+
+from strata.llm import token_alignment
+from strata.llm.common import read
+from strata.llm.queries import BYTE_JSON, PIECE_MODEL, QUERIES
+
+TEXTS = ["plain words stand here", "  two  spaces\tand tabs \n", "lines\nof text\n\nand more\r\nend", "naïve café — ÉTÉ 中文字 \U0001f600‍",
+         "don't we'll <|endoftext|> </s> <unk> <0x41>", "x" * 500, "a b　c\x1cd\x85e", "\n", " ", "\x00 null \x7f", "1234567890 3.14",
+         "under▁score", "mixed ▁ mark", "é composed", "�﻿ bom"]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(BYTE_JSON)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+
+
+@pytest.fixture(scope="module")
+def aligner():
+    with open(BYTE_JSON, encoding="utf-8") as a, open(PIECE_MODEL, "rb") as b:
+        return token_alignment.Aligner(a.read(), b.read())
+
+
+def plain(libraries, text):
+    """(groups, links as pairs of ids, tokens of A, tokens of B) of a whole text, or None."""
+    a, b = libraries
+    raw = (" " + text).encode()
+    ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    alphabet = token_alignment.byte_alphabet()
+    spelt = ([bytes(alphabet[c] for c in a.id_to_token(i)) for i in ids_a],
+             [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ids_b])
+    if any(b"".join(s) != raw for s in spelt):
+        return None
+    spans = []
+    for tokens in spelt:
+        at, own = 0, []
+        for t in tokens:
+            own.append((at, at + len(t)))
+            at += len(t)
+        spans.append(own)
+    links = [(i, j) for i, (p, q) in enumerate(spans[0]) for j, (r, s) in enumerate(spans[1]) if p < s and r < q]
+    ends = sorted({q for _, q in spans[0]} & {q for _, q in spans[1]})
+    groups, low = [], 0
+    for e in ends:
+        pick = lambda ids, own: ",".join(str(i) for i, (p, q) in zip(ids, own) if low <= p and q <= e)  # noqa: E731,B023
+        groups.append(pick(ids_a, spans[0]) + "|" + pick(ids_b, spans[1]))
+        low = e
+    return ";".join(groups), [(ids_a[i], ids_b[j]) for i, j in links], len(ids_a), len(ids_b)
+
+
+def test_galloping_finds_common_ends():
+    rng = random.Random(2)
+    for _ in range(300):
+        few = sorted(rng.sample(range(1, 400), rng.randrange(0, 30)))
+        many = sorted(rng.sample(range(1, 400), rng.randrange(0, 200)))
+        assert token_alignment.common_ends(few, many) == [(i, many.index(x)) for i, x in enumerate(few) if x in many]
+
+
+def test_whole_texts(libraries, aligner):
+    """Stretches put together give what the libraries and all pairs give on whole texts."""
+    assert aligner.breaks
+    rng = random.Random(4)
+    texts = TEXTS + ["".join(rng.choice("ab é中\n \t.'1▁"[:k]) for _ in range(rng.randrange(1, 40))) for k in (6, 11, 12) * 60]
+    for _ in range(2):                                     # the second time from what is remembered
+        for text, found in zip(texts, aligner.of(texts)):
+            want = plain(libraries, text)
+            assert (found is None) == (want is None), text
+            if found is not None:
+                links = Counter((p >> 32, p & 0xFFFFFFFF) for s in found for p in token_alignment.np.frombuffer(s[1], "int64").tolist())
+                assert ";".join(s[0] for s in found) == want[0] and links == Counter(want[1])
+                assert (sum(s[2] for s in found), sum(s[3] for s in found)) == want[2:]
+
+
+def test_files_that_do_not_break_run_over_whole_texts(libraries, aligner, monkeypatch):
+    monkeypatch.setattr(aligner, "breaks", False)
+    for text, found in zip(TEXTS, aligner.of(TEXTS)):
+        want = plain(libraries, text)
+        assert (found is None) == (want is None) and (found is None or found[0][0] == want[0] and len(found) == 1)
+
+
+def test_few_remembered_stretches_change_nothing(aligner, monkeypatch):
+    want = list(aligner.of(TEXTS))
+    monkeypatch.setattr(aligner, "cache", 3)
+    assert [f for t in TEXTS for f in aligner.of([t])] == want and list(aligner.of(TEXTS)) == want
+
+
+def brute(libraries, rows):
+    found = [(i, plain(libraries, t) if t else None) for i, t in rows]
+    count = Counter(p for _, f in found if f for p in f[1])
+    highest: dict = {}
+    for (_, b), n in count.items():
+        highest[b] = max(highest.get(b, 0), n)
+    out = []
+    for i, f in found:
+        if f is None:
+            out.append((i, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        told, links, n_a, n_b = f
+        out.append((i, n_a, n_b, told.count(";") + 1, len(links), sum(count[p] == highest[p[1]] for p in links),
+                    sum(count[p] for p in links), hashlib.sha256(told.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_query(spark, libraries):
+    rows = [(r["doc_id"], r["text"]) for r in read(spark, SF_SMALL, "documents").collect()]
+    short = [(i, t) for i, t in rows if len(t or "") < 3000]
+    assert len(short) > len(rows) / 2
+    docs = spark.createDataFrame(short, "doc_id long, text string")
+    got = token_alignment.digests(docs, BYTE_JSON, PIECE_MODEL)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(libraries, short)
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert QUERIES["op12_token_alignment"](spark, SF_SMALL).where("n_groups > 0").count() == sum(bool(t) for _, t in rows)
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_edges(spark, libraries, broadcast):
+    """Nulls, repeats, unspelt and long texts; the counts joined with and without a broadcast."""
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3]), (None, TEXTS[0]), (None, None), (90, ""), (91, None)]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, a int, row long, groups long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        assert sorted(map(tuple, token_alignment.digests(docs, BYTE_JSON, PIECE_MODEL).collect()), key=repr) == brute(libraries, rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert token_alignment.digests(docs.limit(0), BYTE_JSON, PIECE_MODEL).collect() == []
+
+
+def test_long_text(aligner):
+    text = " ".join(f"word{i % 997}" for i in range(200_000)) + "y" * 20_000
+    found, = aligner.of([text])
+    assert b"".join(aligner.a_bytes[int(i)] for s in found for g in s[0].split(";") for i in g.split("|")[0].split(",")) == (" " + text).encode()
