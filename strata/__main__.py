@@ -31,9 +31,6 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--suffix", default=".csv", help="raw file suffix, e.g. .tbl")
     run.add_argument("--register", action="store_true",
                      help="register bronze/silver/gold tables in the catalog")
-    run.add_argument("--attempts", type=int, default=3, help="tries per table step")
-    run.add_argument("--retry-delay", type=float, default=5.0, help="seconds between tries")
-
     run.add_argument("--bronze-tasks", type=int, help="deal raw rows out to so many tasks")
 
     compact = sub.add_parser("compact", help="rewrite partitions of small files")
@@ -53,8 +50,7 @@ def main(argv: list[str] | None = None) -> int:
         from strata.plans.layers import LayerJob
         job = LayerJob(source=args.source, root=args.root, source_format=args.format,
                        header=not args.no_header, sep=args.sep, suffix=args.suffix,
-                       register=args.register, bronze_tasks=args.bronze_tasks,
-                       attempts=args.attempts, retry_delay_s=args.retry_delay)
+                       register=args.register, bronze_tasks=args.bronze_tasks)
         for row in job.run(spark).stored:
             print(json.dumps(row.asDict()))
     elif args.command == "compact":

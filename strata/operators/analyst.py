@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sinks.catalog import publish_view
+
 # Columns a restricted analyst may read per business table.
 PERSONA_COLUMNS = {
     "data_analyst": {"revenue_by_order_date": ("order_year", "total_revenue")},
@@ -83,6 +85,20 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame],
     return names
 
 
+def publish_persona_views(spark: SparkSession, persona: str, layer: str, views: str) -> list[str]:
+    """Persistent views ``<views>.<table>`` of what ``persona`` may read in ``layer``:
+    kept in the catalog for every later session, and following their tables when
+    these are re-pointed.  The database ``views`` must exist."""
+    if persona not in PERSONA_COLUMNS:
+        raise PermissionError(f"{persona} may read nothing")
+    names = []
+    for table, columns in PERSONA_COLUMNS[persona].items():
+        name = f"{views}.{table}"
+        publish_view(spark, name, f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM `{layer}`.`{table}`")
+        names.append(name)
+    return names
+
+
 YEARLY_REVENUE_SQL = """
 FROM {table}
 |> AGGREGATE sum(total_revenue) AS yearly_revenue, sum(order_count) AS yearly_orders GROUP BY order_year

@@ -53,8 +53,6 @@ class LayerJob:
     tables: tuple[str, ...] = SOURCE_TABLES
     register: bool = False
     audit: bool = True
-    attempts: int = 1
-    retry_delay_s: float = 5.0
     parallel: bool = True
     bronze_tasks: int | None = None
     #: One row for each table stored by this run, and where it was stored.
@@ -62,23 +60,16 @@ class LayerJob:
     paths: dict[tuple[str, str], str] = field(default_factory=dict)
     #: The order of columns in which each path was written.
     columns: dict[str, list[str]] = field(default_factory=dict)
+    #: The databases that this run made.
+    made: set[str] = field(default_factory=set)
 
     # -- storing -------------------------------------------------------------
     def _store(self, spark, layer, table, df) -> None:
-        """Store one table.  A failed try leaves an unfinished directory that nobody
-        reads, so trying again can't duplicate or half-apply anything."""
+        """Store one table.  A failed write leaves an unfinished directory that nobody
+        reads, so whoever runs the job again duplicates or half-applies nothing."""
         partition_by = PARTITION_COLUMNS.get((layer, table))
         began = time.monotonic()
-        for left in reversed(range(max(1, self.attempts))):
-            try:
-                done = T.publish(spark, self.root, layer, table, df, partition_by,
-                                 rebalance=partition_by is not None)
-            except Exception:  # noqa: BLE001 - whatever made the try fail
-                if not left:
-                    raise
-                time.sleep(self.retry_delay_s)
-            else:
-                break
+        done = T.publish(spark, self.root, layer, table, df, partition_by, rebalance=partition_by is not None)
         self.paths[layer, table] = done.path
         self.columns[done.path] = df.columns
         seconds = round(time.monotonic() - began, 3)
@@ -98,7 +89,8 @@ class LayerJob:
 
     def _declare(self, spark, layer, table) -> None:
         path = self.paths[layer, table]
-        catalog.create_layer(spark, layer, T.table_path(self.root, layer, "").rstrip("/"))
+        if catalog.create_layer(spark, layer, f"{self.root.rstrip('/')}/_catalog"):
+            self.made.add(layer)
         catalog.declare_table(spark, f"{layer}.{table}", spark.read.parquet(path).schema, path,
                               PARTITION_COLUMNS.get((layer, table)))
 
@@ -108,15 +100,15 @@ class LayerJob:
             self._declare(spark, layer, table)
 
     def drop_tables(self, spark: SparkSession, with_data: bool = False) -> None:
-        """Take this run's tables and their (then empty) databases out of the catalog;
-        ``with_data`` also deletes the directories this run wrote."""
+        """Take this run's tables out of the catalog, where the names still point at
+        them, and the databases that it made, once they hold nothing; ``with_data``
+        also deletes the directories this run wrote."""
         for (layer, table), path in self.paths.items():
-            catalog.drop_table(spark, f"{layer}.{table}")
+            if catalog.points_at(spark, f"{layer}.{table}", path):
+                catalog.drop_table(spark, f"{layer}.{table}")
             if with_data:
                 T.remove_own(spark, path)
-        for layer in {layer for layer, _ in self.paths}:
-            if catalog.is_empty(spark, layer):
-                catalog.drop_layer(spark, layer)
+        self.made = {layer for layer in self.made if not catalog.drop_layer(spark, layer)}
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         """A table as this run stored it, or else its current content."""

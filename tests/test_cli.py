@@ -12,7 +12,7 @@ from strata.sinks import tables as T
 def test_cli_run_and_upkeep(spark, tmp_path, capsys):
     root = str(tmp_path / "wh")
     assert main(["run", "--source", DATA, "--root", root, "--format", "text",
-                 "--attempts", "1", "--bronze-tasks", "3"]) == 0
+                 "--bronze-tasks", "3"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert {(x["phase"], x["table_name"]): x["row_count"] for x in lines}[
         ("gold", "top_customers")] == 10 and len(lines) == 6

@@ -168,26 +168,6 @@ def test_bronze_matches_raw_lines(spark, sample_run):
         assert (r["raw_rows"], r["bronze_rows"], r["equal"]) == (n, n, True)
 
 
-def test_a_failed_try_is_repeated(spark, tmp_path, monkeypatch):
-    from conftest import DATA
-    from strata.plans.layers import LayerJob
-    tries, real = [], T.publish
-
-    def flaky(*args, **kwargs):
-        tries.append(args[3])
-        if len(tries) == 1:
-            raise OSError("storage is away")
-        return real(*args, **kwargs)
-
-    monkeypatch.setattr(T, "publish", flaky)
-    job = LayerJob(source=DATA, root=str(tmp_path), source_format="text", attempts=3,
-                   retry_delay_s=0.0, tables=("orders",))
-    job.bronze(spark)
-    assert tries == ["orders", "orders"]
-    assert len(T.written(spark, job.root, "bronze", "orders")) == 1
-    assert job.row_count("bronze", "orders") == 10
-
-
 def test_an_unfinished_directory_is_not_read(spark, tmp_path):
     import os
     root = str(tmp_path)
@@ -270,19 +250,54 @@ def test_a_spoiled_table_fails_its_check(spark, sample_run, tmp_path, spoil, che
     assert [c for c, ok in _acceptance(spark, job).items() if not ok] == [check]
 
 
-def test_teardown_deletes_only_this_runs_data(spark, tmp_path):
+def _all_files(*jobs):
     import os
+    return {os.path.join(at, f) for job in jobs for p in job.paths.values() for at, _, files in os.walk(p) for f in files}
+
 
+def test_teardown_deletes_only_this_runs_data(spark, tmp_path):
     from conftest import DATA
     from strata.plans.layers import LayerJob
     root = str(tmp_path / "a root with 'marks")
     first, second = (LayerJob(source=DATA, root=root, source_format="text", register=True).run(spark) for _ in range(2))
+    before = _all_files(first)
     assert spark.table("silver.orders").count() == 10
     second.drop_tables(spark, with_data=True)
     assert not spark.catalog.tableExists("silver.orders")
-    assert not any(os.path.exists(p) for p in second.paths.values())
+    assert not _all_files(second) and _all_files(first) == before
     assert first.read(spark, "silver", "orders").count() == 10
-    assert all(os.path.exists(p) for p in first.paths.values())
+
+
+@pytest.mark.parametrize("with_data", [False, True])
+def test_teardown_leaves_other_roots_alone(spark, tmp_path, with_data):
+    """Whoever made the databases, and wherever the names point by now."""
+    from conftest import DATA
+    from strata.plans.layers import LayerJob
+    a, b = (LayerJob(source=DATA, root=str(tmp_path / r), source_format="text", register=True).run(spark) for r in "ab")
+    files, own = _all_files(a), _all_files(b)
+    b.drop_tables(spark, with_data=with_data)
+    assert _all_files(a) == files and _all_files(b) == (set() if with_data else own)
+    assert not spark.catalog.tableExists("gold.top_customers")
+    a.register_tables(spark)
+    assert spark.table("gold.top_customers").count() == 10
+    b.drop_tables(spark)                                    # the names are not b's any more
+    assert spark.table("gold.top_customers").count() == 10
+    a.drop_tables(spark, with_data=with_data)
+    assert _all_files(a) == (set() if with_data else files) and _all_files(b) == (set() if with_data else own)
+
+
+def test_a_database_of_this_run_goes_when_it_holds_nothing(spark, tmp_path):
+    """The only run of its databases: they go, its files stay unless asked for."""
+    from conftest import DATA
+    from strata.plans.layers import LayerJob
+    from strata.sinks import catalog
+    for layer in ("bronze", "silver", "gold"):
+        catalog.drop_layer(spark, layer, cascade=True)      # only names go, which others declare anew
+    job = LayerJob(source=DATA, root=str(tmp_path / "only"), source_format="text", register=True).run(spark)
+    files, made = _all_files(job), set(job.made)
+    job.drop_tables(spark, with_data=False)
+    assert _all_files(job) == files and len(files) > 6
+    assert made and not job.made and not any(spark.catalog.databaseExists(layer) for layer in made)
 
 
 def test_sequential_and_concurrent_runs_agree(spark, tmp_path):
