@@ -7,21 +7,21 @@
    of them differs by at most one bit.  Each segment is indexed under its one-wildcard
    variants: the segment with one bit left out, for every bit (64 rows a fingerprint).
    Two segments at most one bit apart have a variant in common.
-3. Variants are counted by value before anything meets: only values that hold two
-   fingerprints go on, and where the wildcard isn't the segment's first bit, only those
-   that hold both values of the left-out bit (equal segments meet at the first bit
-   already).
-4. Fingerprints that share a variant meet in a task, by equality of the variant, and
-   their whole codes are compared.  A row that is linked leaves the search at once, so
-   that a group of n near copies gives n - 1 links, not all its pairs.
-5. A variant with more than HOT_ROWS fingerprints is dealt into blocks.  First each block
-   is searched by itself; then, where a variant's blocks still hold several components,
-   each two blocks are searched across components.  No pair is left out.
-6. The links' connected components are labelled with their smallest doc_id.
-
-The index costs 64 rows of 16 bytes for each distinct fingerprint.  A random pair shares a
-variant with probability 64 / 2**20, so comparisons grow with the square of the distinct
-fingerprints at a rate of 1 in 16,000; one is a machine operation on one word.
+3. Fingerprints that share a variant meet in a task, by equality of the variant, and
+   their whole codes are compared there.  What leaves is links only: a row that is linked
+   leaves the search at once, so that a large group of n near copies gives n - 1 links,
+   not all its pairs.  Equal segments meet under each of their variants, and are linked
+   under the first.
+4. Variants are counted before that, and one with more than HOT_ROWS fingerprints is dealt
+   into blocks.  First each block is searched by itself; then, where a variant's blocks
+   still hold several components, each two blocks are searched across components.  No
+   pair is left out.
+5. The links' connected components are labelled with their smallest doc_id.
+
+The index costs 64 rows of 20 bytes for each distinct fingerprint, in two shuffles.  Two
+unrelated fingerprints share a variant with probability 64 / 2**20, so comparisons grow
+with the square of the distinct fingerprints at a rate of 1 in 16,000; each is one machine
+operation on a word inside a task, and leaves no row.
 
 Defined results: texts that are null, empty or without words have fingerprint zero, which
 links like any other; fewer than four words are one shingle.  Repeated rows all come back.
@@ -51,6 +51,8 @@ DISTANCE = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Fingerprints of one variant that one task compares with each other.
 HOT_ROWS = 4096
+#: Fingerprints whose variants one task makes.
+CODES_A_TASK = 50_000
 #: Variants of at most so many rows are compared all together, by shifts.
 SMALL = 16
 #: Hashes turned into bits, and rows compared with others, by one round of array work.
@@ -93,31 +95,34 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 # -- deletion variants ---------------------------------------------------------
 
-def _variant(segment: int, bit: int) -> tuple[Column, Column]:
-    """A segment's value without one bit, marked with both places, and that bit."""
+def _variant(segment: int, bit: int) -> Column:
+    """A segment's value without one bit, marked with both places."""
     offset, width = SEGMENTS[segment]
-    value = F.shiftrightunsigned("fp", offset).bitwiseAND(F.lit((1 << width) - 1))
-    mark = F.lit((segment << 5 | bit) << 22)
-    return (value.bitwiseAND(F.lit(~(1 << bit))).bitwiseOR(mark),
-            F.shiftright(value, bit).bitwiseAND(F.lit(1)).cast("boolean"))
+    kept = (1 << width) - 1 & ~(1 << bit)
+    return F.shiftrightunsigned("fp", offset).bitwiseAND(F.lit(kept)).bitwiseOR(F.lit((segment << 5 | bit) << 22))
 
 
 def variants(codes: DataFrame) -> DataFrame:
-    """(fp) -> (key, bit, fp): every one-wildcard variant of every segment.  ``bit`` is
-    what the wildcard stands for."""
-    every = [F.struct(key.alias("key"), bit.alias("bit")) for key, bit in (
-        _variant(s, b) for s, (_, width) in enumerate(SEGMENTS) for b in range(width))]
-    return codes.select("fp", F.explode(F.array(*every)).alias("v")).select("v.key", "v.bit", "fp")
+    """(fp) -> (key, fp): every one-wildcard variant of every segment."""
+    return codes.select(F.explode(F.array(*[
+        _variant(s, b) for s, (_, width) in enumerate(SEGMENTS) for b in range(width)])).alias("key"), "fp")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """(key, blocks) of the variants under which two fingerprints can meet for the first
-    time, with the number of blocks that they are dealt into."""
-    first_bit = F.shiftright("key", 22).bitwiseAND(F.lit(31)) == 0
-    found = rows.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("bit").alias("low"), F.max("bit").alias("high"))
-    return found.where((F.col("n") > 1) & (first_bit | (F.col("low") != F.col("high")))).select(
-        "key", F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("blocks"))
+def _hot(rows: DataFrame) -> DataFrame:
+    """(key, blocks) of the variants that are dealt into blocks.  There is at most one
+    for each HOT_ROWS rows; Spark measures the table before it broadcasts it."""
+    return cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select(
+        "key", F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("blocks")), "hot-variants")
+
+
+def _block() -> Column:
+    return F.pmod(F.xxhash64("fp", F.lit(9)), F.col("blocks")).cast("int")
+
+
+def _dealt_out(codes: DataFrame) -> DataFrame:
+    """The same rows in parts whose variants are worth a task each."""
+    parts = max(codes.sparkSession.sparkContext.defaultParallelism, -(-codes.count() // CODES_A_TASK))
+    return codes.repartition(parts, "fp")
 
 
 # -- equality join and verification ---------------------------------------------
@@ -177,21 +182,31 @@ def _by_shifts(codes: np.ndarray, edges: np.ndarray) -> Iterator[tuple[np.ndarra
         yield at[near], at[near] + shift
 
 
+def _first_met(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether codes a and b of a variant differ in the bit left out, or meet under their
+    segment's first bit, where equal segments meet too."""
+    place = key >> 22
+    bit = place & 31
+    offset = np.array([o for o, _ in SEGMENTS], np.int64)[place >> 5]
+    return (bit == 0) | ((a ^ b) >> (offset + bit).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
 def _links(by: list[str], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links between the fingerprints of each group.  Rows may bring a component, beyond
     which links are looked for."""
     for rows, edges in _runs(batches, by):
         if not len(rows):
             continue
-        fp = rows["fp"].to_numpy()
+        fp, key = rows["fp"].to_numpy(), rows["key"].to_numpy()
         codes = fp.view(np.uint64)
         component = rows["component"].to_numpy() if "component" in rows else fp
         found = list(_by_shifts(codes, edges))
-        for a, z in zip(edges, edges[1:]):
-            if z - a > SMALL:
-                found += [(a + x, a + y) for x, y in spanning_links(codes[a:z], component[a:z])]
+        for at in np.flatnonzero(np.diff(edges) > SMALL):
+            own = slice(edges[at], edges[at + 1])
+            found += [(own.start + x, own.start + y) for x, y in spanning_links(codes[own], component[own])]
         a, b = (np.concatenate(v) for v in zip(*found))
-        yield pd.DataFrame({"a": fp[a], "b": fp[b]})
+        new = _first_met(key[a], codes[a], codes[b])
+        yield pd.DataFrame({"a": fp[a[new]], "b": fp[b[new]]})
 
 
 def _linked_in_groups(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -215,16 +230,15 @@ def _across_blocks(hot: DataFrame, comps: DataFrame) -> DataFrame:
 def linked_codes(codes: DataFrame) -> DataFrame:
     """Distinct (fp) -> (id, component): the components, by their smallest code, of the
     codes that are within DISTANCE of another."""
-    rows = variants(codes)
-    members = rows.select("key", "fp").join(_shared(rows), "key")
-    block = F.pmod(F.xxhash64("fp", F.lit(9)), F.col("blocks")).cast("int")
-    members = cut(members.select("key", "fp", "blocks", block.alias("block")), "variants")
-    links = cut(_linked_in_groups(members.select("key", "block", "fp"), ["key", "block"]), "links")
-    hot = members.where("blocks > 1")
+    rows = variants(_dealt_out(codes))
+    hot = _hot(rows)
+    placed = rows.join(hot, "key", "left").select("key", F.coalesce(_block(), F.lit(0)).alias("block"), "fp")
+    links = cut(_linked_in_groups(placed, ["key", "block"]), "links")
     if hot.isEmpty():
         return components(links)
     comps = cut(components(links), "components")
-    return components(links.unionByName(_across_blocks(hot, comps)))
+    members = rows.join(hot, "key").select("key", "fp", "blocks", _block().alias("block"))
+    return components(links.unionByName(_across_blocks(members, comps)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
