@@ -136,6 +136,16 @@ UPDATES = f"""(SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus,
         o_orderpriority, order_year, order_month
    FROM {SO} b WHERE o_orderkey % 10 = 1)"""
 
+# Orders and lines after the change set of the incremental gold queries.
+CHANGED_ORDERS = f"""(SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 7 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+        CASE WHEN o_orderkey % 10 = 3 THEN o_orderdate + 400 ELSE o_orderdate END AS o_orderdate
+   FROM {SO} a WHERE o_orderkey % 10 <> 5
+ UNION ALL SELECT o_orderkey + 1000000000, o_custkey, o_orderdate FROM {SO} b WHERE o_orderkey % 10 = 1)"""
+
+CHANGED_LINES = f"""(SELECT l_orderkey, CAST(CASE WHEN l_orderkey % 10 = 9 THEN revenue + 1 ELSE revenue END AS DECIMAL(32,4)) AS revenue
+   FROM {SL} a WHERE l_orderkey % 10 <> 5
+ UNION ALL SELECT l_orderkey + 1000000000, CAST(revenue * 2 AS DECIMAL(32,4)) FROM {SL} b WHERE l_orderkey % 10 = 1)"""
+
 ORDERS_TEXT = """SELECT o_orderkey, o_custkey, o_orderstatus,
         CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
         strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders"""
@@ -246,5 +256,12 @@ ORACLES.update({
                    (ORDER BY total_revenue DESC NULLS LAST, customer_key ASC NULLS LAST) AS prev
                  FROM {TOP10} t) x WHERE prev < total_revenue) = 0""",
     "copy_tables": COPY_CHECK,
+    "incremental_daily_revenue": f"""SELECT o_orderdate AS order_date, CAST(year(o_orderdate) AS INTEGER) AS order_year,
+        CAST(month(o_orderdate) AS INTEGER) AS order_month, SUM(revenue) AS total_revenue, COUNT(l_orderkey) AS line_count,
+        COUNT(DISTINCT o_orderkey) AS order_count
+        FROM {CHANGED_ORDERS} o JOIN {CHANGED_LINES} l ON o_orderkey = l_orderkey GROUP BY o_orderdate""",
+    "incremental_top_customers": f"""SELECT o_custkey AS customer_key, SUM(revenue) AS total_revenue,
+        COUNT(DISTINCT o_orderkey) AS order_count, MIN(o_orderdate) AS first_order_date, MAX(o_orderdate) AS last_order_date
+        FROM {CHANGED_ORDERS} o JOIN {CHANGED_LINES} l ON o_orderkey = l_orderkey GROUP BY o_custkey""",
 
 })

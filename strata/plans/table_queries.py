@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import analyst, checks, evolution, silver
+from strata.plans import maintenance
 from strata.plans.fixtures import write_clean_text, write_dirty_lineitem, write_dirty_orders
 from strata.plans.layers import LayerJob
 from strata.plans.registry import query
 from strata.plans.sources import clean_tables, gold_tables
-from strata.schemas import KEY_COLUMNS, MONEY, PARTITION_COLUMNS
+from strata.schemas import KEY_COLUMNS, MONEY, PARTITION_COLUMNS, REVENUE
 from strata.session import work_root
 from strata.sinks import catalog, upkeep
 from strata.sinks import tables as T
@@ -326,6 +327,46 @@ def stored_top_10_customers(spark, sf_dir):
                         LIMIT 10""")
 
 
+# -- gold by changes ----------------------------------------------------------
+
+def _gold_changes(orders, lineitem) -> maintenance.Changes:
+    """By the last digit of the order key: 1 a copy under a new key comes in, with lines at
+    twice the revenue; 3 moves by 400 days; 5 goes; 7 goes to the next customer; the lines of 9
+    bring one more."""
+    k, line_key = F.col("o_orderkey") % 10, F.col("l_orderkey") % 10
+    day = F.when(k == 3, F.date_add("o_orderdate", 400)).otherwise(F.col("o_orderdate"))
+    changed = orders.where(k.isin(3, 7)).withColumns({
+        "o_custkey": F.when(k == 7, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")), "o_orderdate": day,
+        "order_year": F.year(day), "order_month": F.month(day)})
+    added = orders.where(k == 1).withColumn("o_orderkey", F.col("o_orderkey") + F.lit(NEW_KEY_OFFSET))
+    new_lines = lineitem.where(line_key == 1).withColumns({
+        "l_orderkey": F.col("l_orderkey") + F.lit(NEW_KEY_OFFSET), "revenue": (F.col("revenue") * 2).cast(REVENUE)})
+    dearer = lineitem.where(line_key == 9).withColumn("revenue", (F.col("revenue") + 1).cast(REVENUE))
+    return maintenance.Changes(orders=changed.unionByName(added), lines=new_lines.unionByName(dearer),
+                               deleted=orders.where(k == 5).select("o_orderkey"))
+
+
+def _maintained(spark, sf_dir, table) -> DataFrame:
+    root = work_root(spark, "maintained")
+    orders, lineitem = clean_tables(spark, sf_dir)
+    maintenance.build(spark, root, orders, lineitem)
+    maintenance.apply(spark, root, _gold_changes(orders, lineitem))
+    return maintenance.read(spark, root, table)
+
+
+@query
+def incremental_daily_revenue(spark, sf_dir):
+    """Daily revenue after new, moved, deleted and re-lined orders, only the touched days
+    of which are computed again."""
+    return _maintained(spark, sf_dir, "revenue_by_order_date")
+
+
+@query
+def incremental_top_customers(spark, sf_dir):
+    """Customer spend after the same changes."""
+    return _maintained(spark, sf_dir, "top_customers")
+
+
 # -- incremental ingest -------------------------------------------------------
 
 def _age(spark, folder: str, days: int) -> None:

@@ -12,9 +12,10 @@ staged and only the touched directories are replaced when the job commits.
 
 from __future__ import annotations
 
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
@@ -82,15 +83,18 @@ def upsert(base: DataFrame, updates: DataFrame, key: str | list[str]) -> DataFra
     since nothing downstream needs the key partitioning.  Updates that repeat a key
     make the result ambiguous: ``refuse_duplicate_keys`` before writing.
     """
-    types = dict(base.dtypes)
-    if dict(updates.dtypes) != types:
-        odd = sorted(set(types.items()) ^ set(dict(updates.dtypes).items()))
-        raise ValueError(f"updates differ from the table in {odd}")
+    refuse_other_columns(base, updates)
     keys = [key] if isinstance(key, str) else list(key)
     kept = base.join(updates.select(*keys), keys, "left_anti").select(*base.columns)
     return kept.unionByName(updates)
 
 
+def refuse_other_columns(base: DataFrame, updates: DataFrame) -> None:
+    odd = sorted(set(base.dtypes) ^ set(updates.dtypes))
+    if odd:
+        raise ValueError(f"updates differ from the table in {odd}")
+
+
 def refuse_duplicate_keys(df: DataFrame, key: str | list[str]) -> None:
     if not duplicate_keys(df, key).isEmpty():
         raise ValueError(f"updates repeat a value of {key}")
@@ -109,44 +113,40 @@ def checksum(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(h).alias("row_hash_sum"))
 
 
-def upsert_partitions(spark, path: str, updates: DataFrame, key: str | list[str],
-                      partition_by: str) -> list:
-    """Keyed upsert into a plain partitioned table, rewriting only the
-    partitions it touches (MERGE by partition).
-
-    Touched partitions are those holding a row whose key is updated (an order
-    whose year changes leaves its old partition) and those receiving an
-    update.  Their values are collected first (one value per partition
-    directory at most, a bound set by the table's layout, not its size) and
-    become a literal filter, so only those directories are read, merged and
-    written back with dynamic partition overwrite, which stages the output and
-    replaces just those directories when the job commits.  A partition that loses
-    all its rows is no part of that output: it is then overwritten with an empty
-    one of its own.  Everything else is left untouched on disk.  Returns the
-    touched partition values.
-
-    Updates that repeat a key, or differ from the table's columns, raise before
-    anything is written.  A job that fails before its commit changes nothing;
-    run again after a later failure, it finds the emptied partitions' old rows
-    still updated elsewhere and empties them then.
-    """
+def is_in(column, values) -> Column:
+    """Null-safe ``column`` IN ``values``, as literals that prune partitions."""
+    some = [v for v in values if v is not None]
+    found = column.isin(*some) if some else F.lit(False)
+    return F.coalesce(found, F.lit(False)) | column.isNull() if len(some) < len(values) else found
+
+
+def by_key(left: DataFrame, keyed: DataFrame, key: str | list[str], how: str) -> DataFrame:
+    """Rows of ``left`` whose key is in ``keyed`` (``left_semi``) or isn't (``left_anti``).
+    NULL is a key like others."""
     keys = [key] if isinstance(key, str) else list(key)
-    refuse_duplicate_keys(updates, keys)
-    if partition_by not in updates.columns:
-        raise ValueError(f"updates have no column {partition_by}")
-    base = read_typed(spark, path, partition_by, updates.schema[partition_by].dataType)
-    col = F.col(partition_by)
+    right = keyed.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    return left.join(right, reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys]), how)
+
+
+def replace_keys(spark, path: str, gone: DataFrame, rows: DataFrame, key: str | list[str], partition_by: str) -> list:
+    """Every row of the partitioned table at ``path`` whose key is in ``gone`` goes (a
+    NULL key is one like others), and ``rows`` come in.  Only the partitions that lose or
+    receive a row are read and written back, by one dynamic partition overwrite; the
+    others' files stay as they are.  A partition that loses all its rows is no part of
+    that and is then overwritten with an empty one.  Returns the touched partition values,
+    which are all that reaches the driver (one for each directory at most).
+    """
+    base = read_typed(spark, path, partition_by, rows.schema[partition_by].dataType)
     directory = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "")
-    left = base.select("*", directory.alias("_directory")).join(updates.select(*keys), keys, "left_semi")
-    old = {r[0]: unquote(r[1]) for r in left.groupBy(partition_by).agg(F.first("_directory")).collect()}
-    new = {r[0] for r in updates.select(partition_by).distinct().collect()}
+    left = base.select("*", directory.alias("_directory"))
+    old = {r[0]: unquote(r[1]) for r in by_key(left, gone, key, "left_semi").groupBy(partition_by).agg(
+        F.first("_directory")).collect()}
+    new = {r[0] for r in rows.select(partition_by).distinct().collect()}
     touched = list({**old, **dict.fromkeys(new)})
     if not touched:
         return []
-    in_touched = col.isin(*[v for v in touched if v is not None])
-    if any(v is None for v in touched):
-        in_touched = F.coalesce(in_touched, F.lit(False)) | col.isNull()
-    merged = upsert(base.filter(in_touched), updates, keys).select(*base.columns)
+    kept = by_key(base.filter(is_in(F.col(partition_by), touched)), gone, key, "left_anti")
+    merged = kept.unionByName(rows.select(*base.columns))
     left_with_rows = {r[0] for r in merged.select(partition_by).distinct().collect()}
     overwrite_partitions(merged, path, partition_by)
     for value in touched:
@@ -154,3 +154,26 @@ def upsert_partitions(spark, path: str, updates: DataFrame, key: str | list[str]
             empty = spark.createDataFrame([], base.drop(partition_by).schema)
             empty.write.mode("overwrite").parquet(old[value])
     return touched
+
+
+def upsert_partitions(spark, path: str, updates: DataFrame, key: str | list[str],
+                      partition_by: str) -> list:
+    """Keyed upsert into a plain partitioned table, rewriting only the
+    partitions it touches (MERGE by partition): those holding a row whose key is
+    updated (an order whose year changes leaves its old partition) and those
+    receiving an update.  See ``replace_keys``.  Returns the touched partition values.
+
+    Updates that repeat a key, hold a NULL one, or differ from the table's columns raise
+    before anything is written.  A job that fails before its commit changes nothing;
+    run again after a later failure, it finds the emptied partitions' old rows
+    still updated elsewhere and empties them then.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    refuse_duplicate_keys(updates, keys)
+    if partition_by not in updates.columns:
+        raise ValueError(f"updates have no column {partition_by}")
+    if not updates.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).isEmpty():
+        raise ValueError(f"updates hold a NULL in {keys}")
+    base = read_typed(spark, path, partition_by, updates.schema[partition_by].dataType)
+    refuse_other_columns(base, updates)
+    return replace_keys(spark, path, updates, updates, keys, partition_by)
