@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import asdict
 
 from pyspark.sql import SparkSession
 
@@ -33,9 +34,10 @@ def _parser() -> argparse.ArgumentParser:
                      help="register bronze/silver/gold tables in the catalog")
     run.add_argument("--bronze-tasks", type=int, help="deal raw rows out to so many tasks")
 
-    compact = sub.add_parser("compact", help="rewrite partitions of small files")
-    for name in ("root", "layer", "table", "partition-by"):
+    compact = sub.add_parser("compact", help="pack a table's small files into larger ones")
+    for name in ("root", "layer", "table"):
         compact.add_argument(f"--{name}", required=True)
+    compact.add_argument("--partition-by")
 
     copy = sub.add_parser("copy", help="copy every table to another root and compare")
     copy.add_argument("--root", required=True)
@@ -56,8 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "compact":
         from strata.sinks import tables, upkeep
         path = tables.current_path(spark, args.root, args.layer, args.table)
-        for value in upkeep.compact_partitions(spark, path, args.partition_by):
-            print(json.dumps({args.partition_by: value}, default=str))
+        for packed in upkeep.compact(spark, path, args.partition_by):
+            print(json.dumps(asdict(packed)))
     elif args.command == "copy":
         from strata.schemas import PARTITION_COLUMNS
         from strata.sinks import upkeep

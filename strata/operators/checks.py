@@ -59,30 +59,53 @@ def revenue_positive(daily: DataFrame) -> DataFrame:
     )
 
 
-#: Rows of a report that one task may put in order.
-MAX_REPORT = 100_000
+#: Neighbouring rows that one window of the sortedness check holds.
+BLOCK_ROWS = 65_536
+
+
+def _wrong_way(value, tie, next_value, next_tie):
+    """Whether the first row should stand after the second: a smaller value (NULL
+    smallest) before a larger one, or on equal values a larger ``tie`` first."""
+    return ((value < next_value) | (value.isNull() & next_value.isNotNull())
+            | (value.eqNullSafe(next_value) & F.coalesce(tie > next_tie, F.lit(False))))
+
+
+def _chained(rows: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Rows (.., order, n, wrong, first, last) in sequence become one for each ``group``:
+    its first and last row, and the pairs of neighbours that stand the wrong way round."""
+    before = F.lag("last").over(Window.partitionBy(*group).orderBy(order))
+    joint = F.coalesce(_wrong_way(before["v"], before["t"], F.col("first.v"), F.col("first.t")) & before.isNotNull(), F.lit(False))
+    return rows.withColumn("joint", joint.cast("long")).groupBy(*group).agg(
+        F.sum("n").alias("n"), F.sum(F.col("wrong") + F.col("joint")).alias("wrong"),
+        F.min_by("first", order).alias("first"), F.max_by("last", order).alias("last"))
 
 
 def sorted_desc(report: DataFrame, value: str, tie: str) -> DataFrame:
-    """(checked_rows, out_of_order): neighbours of a report, in the order in which it
-    returns its rows, that should stand the other way round: a smaller value (NULL
-    smallest) before a larger one, or on equal values a larger ``tie`` before a
-    smaller.
-
-    Rows are numbered as they come, and compared along these numbers; nothing is
-    sorted by the value.  A report is a bounded result: one of more than MAX_REPORT
-    rows fails.
+    """(checked_rows, out_of_order): neighbours of a report or table, in the order in which
+    it returns its rows, that should stand the other way round.
+
+    Rows are numbered as they come, by task and place, and never sorted by the value.
+    Neighbours are compared in blocks of BLOCK_ROWS, a task's blocks are then chained by
+    their first and last rows, and last the tasks by theirs: one row a task is all that
+    comes together, whatever the size of the table.
     """
-    along = Window.orderBy("_at")
-    v, before = F.col(value), F.lag(value).over(along)
-    t, tie_before = F.col(tie), F.lag(tie).over(along)
-    numbered = report.withColumn("_at", F.monotonically_increasing_id())
-    wrong = (before < v) | (before.isNull() & v.isNotNull()) | (before.eqNullSafe(v) & (tie_before > t))
-    marked = numbered.withColumn("_wrong", wrong & (F.row_number().over(along) > 1))
-    n = F.count(F.lit(1))
-    too_many = F.raise_error(F.lit(f"a report of more than {MAX_REPORT} rows")).cast("bigint")
-    return marked.agg(F.when(n > MAX_REPORT, too_many).otherwise(n).alias("checked_rows"),
-                      F.count_if("_wrong").alias("out_of_order"))
+    at = F.col("_at")
+    numbered = report.select(F.col(value).alias("v"), F.col(tie).alias("t"), F.monotonically_increasing_id().alias("_at")).select(
+        "v", "t", "_at", F.shiftright(at, 33).alias("_task"),
+        F.floor(at.bitwiseAND(F.lit(2**33 - 1)) / BLOCK_ROWS).alias("_block"))
+    own = ["_task", "_block"]
+    row = F.struct("v", "t")
+    before = F.lag(row).over(Window.partitionBy(*own).orderBy("_at"))
+    wrong = F.coalesce(_wrong_way(before["v"], before["t"], F.col("v"), F.col("t")) & before.isNotNull(), F.lit(False))
+    blocks = numbered.withColumn("wrong", wrong.cast("long")).groupBy(*own).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("wrong").alias("wrong"),
+        F.min_by(row, "_at").alias("first"), F.max_by(row, "_at").alias("last"))
+    tasks = _chained(blocks, ["_task"], "_block")
+    ends = F.sort_array(F.collect_list(F.struct("_task", "first", "last")))
+    pairs = lambda e: F.zip_with(F.slice(e, 1, F.greatest(F.size(e) - 1, F.lit(0))), F.slice(e, 2, F.size(e)), lambda x, y: F.coalesce(
+        _wrong_way(x["last"]["v"], x["last"]["t"], y["first"]["v"], y["first"]["t"]), F.lit(False)))
+    whole = tasks.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("checked_rows"), F.coalesce(F.sum("wrong"), F.lit(0)).alias("inside"), ends.alias("ends"))
+    return whole.select("checked_rows", (F.col("inside") + F.size(F.filter(pairs(F.col("ends")), lambda w: w))).cast("long").alias("out_of_order"))
 
 
 def top_n_complete(full: DataFrame, report: DataFrame, value: str, key: str) -> DataFrame:

@@ -212,6 +212,10 @@ ORACLES.update({
               WHERE NOT EXISTS (SELECT 1 FROM {UPDATES} u WHERE u.o_orderkey = s.o_orderkey)
               UNION ALL SELECT * FROM {UPDATES} u2) merged""",
     "compaction_same_rows": f"SELECT * FROM {SL} s",
+    "compaction_packs_small_files": f"""SELECT order_year, order_month, COUNT(*) AS row_count,
+        CAST(SUM(o_orderkey) AS BIGINT) AS key_sum, CAST(SUM(o_totalprice) AS DECIMAL(25,2)) AS price_sum,
+        TRUE AS large_files_kept, TRUE AS fewer_files
+        FROM {SO} s GROUP BY order_year, order_month""",
     "compaction_in_place": f"""SELECT ship_year, COUNT(*) AS row_count, CAST(SUM(l_orderkey) AS BIGINT) AS key_sum,
         SUM(revenue) AS revenue, TRUE AS fewer_files FROM {SL} s GROUP BY ship_year""",
     "schema_add_column": f"SELECT *, CAST(NULL AS VARCHAR) AS o_note FROM {SO} s",
@@ -256,6 +260,26 @@ ORACLES.update({
                    (ORDER BY total_revenue DESC NULLS LAST, customer_key ASC NULLS LAST) AS prev
                  FROM {TOP10} t) x WHERE prev < total_revenue) = 0""",
     "copy_tables": COPY_CHECK,
+    "clustered_top_customers": f"SELECT * FROM {C} c",
+    "clustered_top_10_customers": f"SELECT * FROM {TOP10} t",
+    "clustered_days_of_a_quarter": f"""SELECT * FROM {R} r
+        WHERE order_date BETWEEN DATE '1995-01-01' AND DATE '1995-03-31'""",
+    "mixed_schema_files": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+        o_orderpriority AS order_priority, order_year, CAST(order_month AS BIGINT) AS order_month,
+        CASE WHEN o_orderkey % 2 = 1 THEN 'n' || CAST(o_orderkey AS VARCHAR) END AS o_note FROM {SO} s""",
+    "raw_accepted": f"""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 11 = 5 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+        d.o_totalprice, d.o_orderdate, CASE WHEN o_orderkey % 11 = 5 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+        CAST(year(d.o_orderdate) AS INTEGER) AS order_year, CAST(month(d.o_orderdate) AS INTEGER) AS order_month
+        FROM {DIRTY} d JOIN (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders) o USING (o_orderkey, o_custkey)
+        WHERE o_orderkey % 11 = 5 OR (d.o_totalprice IS NOT NULL AND d.o_orderdate IS NOT NULL)""",
+    "raw_rejected": """SELECT raw_key, fields, reasons FROM (
+        SELECT CASE WHEN k % 7 = 0 THEN 'x' ELSE '' END || CAST(k AS VARCHAR) AS raw_key,
+          CAST(CASE WHEN k % 11 = 5 THEN 2 WHEN k % 11 = 6 THEN 7 ELSE 6 END AS INTEGER) AS fields,
+          concat_ws(',', CASE WHEN k % 7 = 0 THEN 'bad_key' END,
+            CASE WHEN k % 11 <> 5 AND k % 5 IN (0, 3) THEN 'bad_money' END,
+            CASE WHEN k % 11 <> 5 AND (k % 5 = 4 OR (k % 5 = 1 AND (month(d) < 10 OR day(d) < 10))) THEN 'bad_date' END) AS reasons
+        FROM (SELECT o_orderkey AS k, o_orderdate AS d FROM orders) o) x WHERE reasons <> ''""",
+    "colocated_daily_revenue": f"SELECT * FROM {R} r",
     "incremental_daily_revenue": f"""SELECT o_orderdate AS order_date, CAST(year(o_orderdate) AS INTEGER) AS order_year,
         CAST(month(o_orderdate) AS INTEGER) AS order_month, SUM(revenue) AS total_revenue, COUNT(l_orderkey) AS line_count,
         COUNT(DISTINCT o_orderkey) AS order_count

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators import analyst, checks, evolution, silver
+from strata.operators import analyst, checks, evolution, gold, silver
 from strata.plans import maintenance
 from strata.plans.fixtures import write_clean_text, write_dirty_lineitem, write_dirty_orders
 from strata.plans.layers import LayerJob
@@ -23,8 +23,12 @@ from strata.schemas import KEY_COLUMNS, MONEY, PARTITION_COLUMNS, REVENUE
 from strata.session import work_root
 from strata.sinks import catalog, upkeep
 from strata.sinks import tables as T
+from strata.sinks.clustered import first_rows, write_clustered
+from strata.sinks.colocated import store_colocated
 from strata.sinks.writes import overwrite_partitions, upsert_partitions, write_table
+from strata.sources.bound import read_bound
 from strata.sources.delimited import as_raw_text, read_delimited, write_delimited
+from strata.sources.rejects import split_raw
 from strata.sources.tables import read_parquet_table
 from strata.streaming import clean_new_rows, ingest_new_files
 
@@ -181,7 +185,7 @@ def compaction_in_place(spark, sf_dir):
     path = f"{work_root(spark, 'compact-in-place')}/silver/lineitem"
     write_table(clean_tables(spark, sf_dir)[1].repartition(64), path, partition_by="ship_year")
     before = upkeep.partition_files(spark, path, "ship_year").collect()
-    upkeep.compact_partitions(spark, path, "ship_year")
+    upkeep.compact(spark, path, "ship_year")
     files = spark.createDataFrame([(r["value"], r["files"]) for r in before], "value string, files_before long")
     after = upkeep.partition_files(spark, path, "ship_year").select(F.col("value").alias("v"), "files")
     fewer = files.join(after, files["value"].eqNullSafe(after["v"])).select(
@@ -191,13 +195,32 @@ def compaction_in_place(spark, sf_dir):
     return rows.join(fewer, rows["y"].eqNullSafe(fewer["ship_year"])).drop("y")
 
 
+@query
+def compaction_packs_small_files(spark, sf_dir):
+    """An unpartitioned table of one large file and many small ones: after compaction the
+    large one has its name still, and there are fewer files.  Rows by month, and these
+    two facts."""
+    path = f"{work_root(spark, 'packed')}/silver/orders"
+    orders = clean_tables(spark, sf_dir)[0]
+    write_table(orders.where("order_year <> 1995").coalesce(1), path)
+    large = upkeep.table_files(spark, path).select("file", "size").collect()
+    write_table(orders.where("order_year = 1995").repartition(24), path, mode="append")
+    before = upkeep.table_files(spark, path).count()
+    upkeep.compact(spark, path, small_file_bytes=min(r["size"] for r in large))
+    after = upkeep.table_files(spark, path)
+    kept = after.where(F.col("file").isin([r["file"] for r in large])).count() == len(large)
+    return spark.read.parquet(path).groupBy("order_year", "order_month").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum"), F.sum("o_totalprice").alias("price_sum")).select(
+        "*", F.lit(kept).alias("large_files_kept"), F.lit(after.count() < before).alias("fewer_files"))
+
+
 @query
 def compaction_same_rows(spark, sf_dir):
     """Every row of a compacted table."""
     path = f"{work_root(spark, 'compact')}/silver/lineitem"
     lineitem = clean_tables(spark, sf_dir)[1]
     write_table(lineitem.repartition(16), path, partition_by="ship_year")
-    upkeep.compact_partitions(spark, path, "ship_year")
+    upkeep.compact(spark, path, "ship_year")
     return spark.read.parquet(path).select(lineitem.columns)
 
 
@@ -327,6 +350,82 @@ def stored_top_10_customers(spark, sf_dir):
                         LIMIT 10""")
 
 
+# -- stored order, mixed files, rejects, co-location --------------------------
+
+CLUSTER_FILES = 8
+BY_SPENT = [("total_revenue", "desc"), ("customer_key", "asc")]
+
+
+def _clustered_customers(spark, sf_dir) -> str:
+    path = f"{work_root(spark, 'clustered')}/gold/top_customers"
+    write_clustered(gold_tables(spark, sf_dir)["top_customers"], path, BY_SPENT, CLUSTER_FILES)
+    return path
+
+
+@query
+def clustered_top_customers(spark, sf_dir):
+    """The customer table stored in its order, read back whole."""
+    return spark.read.parquet(_clustered_customers(spark, sf_dir))
+
+
+@query
+def clustered_top_10_customers(spark, sf_dir):
+    """The first ten rows of the stored order, from the first files only."""
+    return first_rows(spark, _clustered_customers(spark, sf_dir), BY_SPENT, 10).select(
+        "customer_key", "total_revenue", "order_count")
+
+
+@query
+def clustered_days_of_a_quarter(spark, sf_dir):
+    """Daily revenue stored in date order; a date range is pushed to the files."""
+    path = f"{work_root(spark, 'clustered')}/gold/revenue_by_order_date"
+    write_clustered(gold_tables(spark, sf_dir)["revenue_by_order_date"], path, [("order_date", "asc")], CLUSTER_FILES)
+    return spark.read.parquet(path).where("order_date BETWEEN DATE '1995-01-01' AND DATE '1995-03-31'")
+
+
+@query
+def mixed_schema_files(spark, sf_dir):
+    """One directory of old files (month as int, priority under its old name, no note)
+    and new ones (month as bigint, renamed priority, a note), read by the new schema."""
+    path = f"{work_root(spark, 'mixed')}/silver/orders"
+    orders = clean_tables(spark, sf_dir)[0]
+    old, new = (orders.where(F.col("o_orderkey") % 2 == n) for n in (0, 1))
+    write_table(old, path)
+    newer = (new.withColumn("order_month", F.col("order_month").cast("bigint"))
+             .withColumnRenamed("o_orderpriority", "order_priority")
+             .withColumn("o_note", F.concat(F.lit("n"), F.col("o_orderkey").cast("string"))))
+    write_table(newer, path, mode="append")
+    return read_bound(spark, path, newer.schema, former={"order_priority": ["o_orderpriority"]})
+
+
+def _split_orders(spark, sf_dir):
+    root = work_root(spark, "split")
+    columns = write_dirty_orders(spark, sf_dir, f"{root}/orders.tbl")
+    return split_raw(spark, f"{root}/orders.tbl", "orders", f"{root}/split/orders", header=False, columns=columns)
+
+
+@query
+def raw_accepted(spark, sf_dir):
+    """Lines of the spoiled orders that hold nothing unreadable, cleaned."""
+    accepted, _ = _split_orders(spark, sf_dir)
+    return silver.clean_orders(accepted, audit=False)
+
+
+@query
+def raw_rejected(spark, sf_dir):
+    """The other lines, by their raw key, with the reasons and what the line holds."""
+    _, rejected = _split_orders(spark, sf_dir)
+    return rejected.select(F.split_part("line", F.lit("|"), F.lit(1)).alias("raw_key"),
+                           (F.size(F.split("line", "[|]")) - 1).alias("fields"), F.array_join("reasons", ",").alias("reasons"))
+
+
+@query
+def colocated_daily_revenue(spark, sf_dir):
+    """Daily revenue from bucketed orders and lines, frequent order keys apart."""
+    stored = store_colocated(spark, *clean_tables(spark, sf_dir), "strata_colocated", work_root(spark, "colocated"))
+    return gold.revenue_by_order_date(stored.facts(spark, gold.DATE_FACTS))
+
+
 # -- gold by changes ----------------------------------------------------------
 
 def _gold_changes(orders, lineitem) -> maintenance.Changes:

@@ -2,80 +2,145 @@
 
 from __future__ import annotations
 
-import math
+import uuid
+from collections import Counter
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from strata.sinks import tables as T
-from strata.sinks.writes import (
-    checksum, overwrite_partitions, read_typed, refuse_duplicate_keys, upsert,
-)
+from strata.sinks.writes import checksum, read_typed, refuse_duplicate_keys, upsert, write_table
 
-SMALL_FILE_BYTES = 64 * 1024 * 1024      # a partition whose files average less is compacted
-TARGET_FILE_BYTES = 128 * 1024 * 1024    # size of a compacted file
-MAX_TASKS = 2000                         # output files of one compaction job
+SMALL_FILE_BYTES = 64 * 1024 * 1024      # a smaller file is packed together with others
+TARGET_FILE_BYTES = 128 * 1024 * 1024    # most bytes of files that are packed into one
+MAX_FILES = 20_000                       # small files that one job packs
+STAGING = "_compaction-"                 # hidden from readers, as all names with _ are
+PLAN = "_plan"
 
 
 # -- compaction ---------------------------------------------------------------
 
-def partition_files(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
-    """(partition value, files, bytes) of every partition, from the files that its
-    rows lie in.  The value is text, as the directory has it; only file metadata is
-    read."""
-    files = read_typed(spark, path, partition_by, StringType()).select(
-        F.col(f"`{partition_by}`").alias("value"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_size").alias("size")).groupBy("value", "file").agg(F.first("size").alias("size"))
-    return files.groupBy("value").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
-
-
-def compact_partitions(spark: SparkSession, path: str, partition_by: str, *,
-                       small_file_bytes: int = SMALL_FILE_BYTES,
-                       target_file_bytes: int = TARGET_FILE_BYTES,
-                       max_tasks: int = MAX_TASKS) -> list:
-    """Compact a partitioned table in place, rewriting only partitions of more than
-    one file whose files average under ``small_file_bytes``.
-
-    Partitions are taken together into jobs of at most ``max_tasks`` output files (a
-    larger partition is a job of its own), so the width of a job doesn't grow with
-    the table.  Rows go to files by a hash of the row: one value however hot spreads
-    over its partition's files, and a repeated task sends every row where it went
-    before.  Each job replaces its directories when it commits.  Returns the
-    rewritten partition values, as text.
+@dataclass(frozen=True)
+class Packed:
+    """One rewritten partition (None: the table has none): its files before, and after."""
+    value: str | None
+    files_before: int
+    files_after: int
+
+
+def table_files(spark: SparkSession, path: str, partition_by: str | None = None) -> DataFrame:
+    """(value, file, size) of every file that rows lie in; ``value`` is the partition's,
+    as text, as the directory has it.  Only file metadata is read."""
+    rows = read_typed(spark, path, partition_by, StringType()) if partition_by else spark.read.parquet(path)
+    value = F.col(f"`{partition_by}`") if partition_by else F.lit(None).cast("string")
+    return rows.select(value.alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).groupBy(
+        "value", "file").agg(F.first("size").alias("size"))
+
+
+def partition_files(spark: SparkSession, path: str, partition_by: str | None = None) -> DataFrame:
+    """(value, files, bytes) of every partition."""
+    return table_files(spark, path, partition_by).groupBy("value").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+
+
+def first_fit(sizes: dict[str, int], room: int) -> list[list[str]]:
+    """Files in bins of at most ``room`` bytes: the largest first, each into the first bin
+    that has room for it."""
+    bins: list[list[str]] = []
+    left: list[int] = []
+    first_open = 0
+    least = min(sizes.values(), default=0)
+    for file, size in sorted(sizes.items(), key=lambda f: (-f[1], f[0])):
+        while first_open < len(left) and left[first_open] < least:
+            first_open += 1                       # no file fits there any more
+        at = next((i for i in range(first_open, len(left)) if left[i] >= size), len(bins))
+        if at == len(bins):
+            bins.append([])
+            left.append(room)
+        bins[at].append(file)
+        left[at] -= size
+    return bins
+
+
+def compact(spark: SparkSession, path: str, partition_by: str | None = None, *,
+            small_file_bytes: int = SMALL_FILE_BYTES, target_file_bytes: int = TARGET_FILE_BYTES,
+            max_files: int = MAX_FILES) -> list[Packed]:
+    """Pack a table's small files into larger ones, in place; partitioned or not.
+
+    Files under ``small_file_bytes`` are packed, first fit, into bins of
+    ``target_file_bytes`` within their partition.  A bin becomes one file, written by one
+    task from the bin's files alone; larger files, and a small one that no other fits
+    with, are neither read nor renamed.  A job packs at most ``max_files``, whose names
+    and sizes are all that reaches the driver; there are as many jobs as it takes.
+
+    New files are written to a hidden folder first, together with a list of the files that
+    they stand for.  Then they are moved to their places and the old ones deleted.  A run
+    that dies before the list is complete has changed nothing; one that dies later is
+    finished by the next ``compact`` of the table, before anything else.  Between the two
+    steps a reader that lists the table may see rows twice: compact when nobody reads.
     """
-    small = partition_files(spark, path, partition_by).where(
-        (F.col("files") > 1) & (F.col("bytes") / F.col("files") < small_file_bytes))
-    chosen = [(r["value"], max(1, math.ceil(r["bytes"] / target_file_bytes)))
-              for r in small.collect()]                        # one row per small partition
-    jobs: list[list] = []
-    width = max_tasks
-    for value, n in sorted(chosen, key=lambda c: c[1]):
-        if width + n > max_tasks:
-            jobs.append([])
-            width = 0
-        jobs[-1].append((value, n))
-        width += n
-    for job in jobs:
-        _rewrite(spark, path, partition_by, job)
-    return [value for value, _ in chosen]
-
-
-def _rewrite(spark: SparkSession, path: str, partition_by: str, job: list) -> None:
-    df = read_typed(spark, path, partition_by, StringType())
-    col = F.col(f"`{partition_by}`")
-    mine = lambda v: col.isNull() if v is None else col == F.lit(v)
-    wanted, files, before = F.lit(False), F.lit(None).cast("int"), 0
-    for value, n in job:
-        wanted = wanted | mine(value)
-        # Output task of each row: the partition's first, and a share by the row's hash.
-        share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n)).cast("int")
-        files = F.when(mine(value), F.lit(before) + share).otherwise(files)
-        before += n
-    name = "_task"
-    out = (df.where(wanted).withColumn(name, files).repartitionByRange(before, name)
-           .drop(name).select(*[F.col(f"`{c}`") for c in df.columns]))
-    overwrite_partitions(out, path, partition_by)
+    finish_compaction(spark, path)
+    done: list[Packed] = []
+    while True:
+        packed = _pack_once(spark, path, partition_by, small_file_bytes, target_file_bytes, max_files)
+        done += packed
+        if not packed:
+            return done
+
+
+def _pack_once(spark, path, partition_by, small_file_bytes, target_file_bytes, max_files) -> list[Packed]:
+    files = table_files(spark, path, partition_by).where(F.col("size") < small_file_bytes)
+    several = files.groupBy(F.col("value").alias("v")).agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least")).where("n > 1")
+    # A file that doesn't even fit with its partition's smallest stays where it is.
+    fitting = files.join(several, files["value"].eqNullSafe(several["v"])).where(F.col("size") + F.col("least") <= target_file_bytes)
+    chosen: dict = {}
+    for r in fitting.select("value", "file", "size").orderBy("value", "size", "file").limit(max_files).collect():
+        chosen.setdefault(r["value"], {})[r["file"]] = r["size"]
+    bins = [(value, own) for value, sizes in chosen.items() for own in first_fit(sizes, target_file_bytes) if len(own) > 1]
+    if not bins:
+        return []
+    staging = f"{path.rstrip('/')}/{STAGING}{uuid.uuid4().hex[:12]}"
+    number = spark.createDataFrame([(f, i) for i, (_, own) in enumerate(bins) for f in own], "file string, bin int")
+    rows = read_typed(spark, path, partition_by, StringType()) if partition_by else spark.read.parquet(path)
+    own = spark.read.schema(rows.schema).option("basePath", path).parquet(*[unquote(f) for _, files in bins for f in files])
+    columns = [F.col(f"`{c}`") for c in own.columns]
+    # At most max_files rows are broadcast; a bin's number is its task's.
+    dealt = own.select(*columns, F.col("_metadata.file_path").alias("file")).join(F.broadcast(number), "file")
+    write_table(dealt.repartitionById(len(bins), "bin").select(*columns), staging, partition_by, mode="error")
+    spark.createDataFrame([(f,) for _, files in bins for f in files], "file string").coalesce(1).write.text(f"{staging}/{PLAN}")
+    finish_compaction(spark, path)
+    before, after = Counter(), Counter(value for value, _ in bins)
+    for value, files in bins:
+        before[value] += len(files)
+    return [Packed(value, before[value], after[value]) for value in after]
+
+
+def finish_compaction(spark: SparkSession, path: str) -> None:
+    """Bring every compaction whose list is complete to its end: move its files into
+    place, then delete those that they stand for.  Each step may be repeated."""
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = jvm.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return
+    for folder in [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith(STAGING)]:
+        plan = jvm.Path(folder, PLAN)
+        if not fs.exists(jvm.Path(plan, "_SUCCESS")):
+            continue
+        root, found = folder.toString(), fs.listFiles(folder, True)
+        while found.hasNext():
+            new = found.next().getPath()
+            inside = new.toString()[len(root) + 1:]
+            if inside.endswith(".parquet"):
+                place = jvm.Path(at, inside)
+                fs.mkdirs(place.getParent())
+                fs.rename(new, place)
+        for r in spark.read.text(plan.toString()).collect():          # at most max_files names
+            fs.delete(jvm.Path(unquote(r["value"])), False)
+        fs.delete(folder, True)
 
 
 # -- upsert -------------------------------------------------------------------

@@ -199,11 +199,28 @@ def test_sortedness_check_finds_disorder(spark):
     checks.assert_check(checks.sorted_desc(df.limit(0), "v", "k"), checked_rows=0, out_of_order=0)
 
 
-def test_the_report_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(checks, "MAX_REPORT", 3)
-    df = spark.createDataFrame([(i, -i) for i in range(4)], "k long, v long")
-    with pytest.raises(Exception, match="more than 3 rows"):
-        checks.sorted_desc(df, "v", "k").collect()
+@pytest.mark.parametrize("block", [65_536, 7])
+def test_sortedness_over_many_tasks(spark, monkeypatch, block):
+    """Violations inside blocks, between blocks and between tasks, some of them empty."""
+    monkeypatch.setattr(checks, "BLOCK_ROWS", block)
+    table = spark.range(0, 5000, numPartitions=6).select((-F.col("id")).alias("v"), F.col("id").alias("k")).where(
+        "k < 800 OR k > 2600")                                       # one task has no row
+    checks.assert_check(checks.sorted_desc(table, "v", "k"), checked_rows=800 + 2399, out_of_order=0)
+    swapped = F.when(F.col("k") == 100, -102).when(F.col("k") == 833, 10**6).when(F.col("k").isin(2601, 4166), None).otherwise(F.col("v"))
+    spoiled = table.withColumn("v", swapped)
+    values = [(r["v"], r["k"]) for r in spoiled.collect()]
+    key = lambda v: -10**9 if v is None else v
+    want = sum(key(a) < key(b) or (a == b and x > y) for (a, x), (b, y) in zip(values, values[1:]))
+    assert want >= 3
+    checks.assert_check(checks.sorted_desc(spoiled, "v", "k"), checked_rows=len(values), out_of_order=want)
+    last_first = spark.range(0, 90, numPartitions=9).select(F.col("id").alias("v"), F.col("id").alias("k"))
+    checks.assert_check(checks.sorted_desc(last_first, "v", "k"), checked_rows=90, out_of_order=89)
+
+
+def test_sortedness_needs_no_single_task(spark):
+    plan = checks.sorted_desc(spark.range(100).withColumn("v", -F.col("id")), "v", "id")._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_task" in line.split("windowspecdefinition(")[1] for line in windows)
 
 
 def test_top_n_complete_detects_a_wrong_report(spark, sample_run):

@@ -85,30 +85,85 @@ def test_compaction_shrinks_every_small_partition(spark, tmp_path, value_type, v
     write_table(df.repartition(8), path, "p")
     folders = [d for d in os.listdir(path) if "=" in d]
     assert all(len(_files(os.path.join(path, d))) > 1 for d in folders)
-    done = upkeep.compact_partitions(spark, path, "p", max_tasks=2)
-    assert set(done) == {None if v is None else str(v) for v in values}
+    done = upkeep.compact(spark, path, "p", max_files=10)
+    assert {d.value for d in done} == {None if v is None else str(v) for v in values}
     assert [len(_files(os.path.join(path, d))) for d in folders] == [1] * 4
+    assert not [d for d in os.listdir(path) if d.startswith("_comp")]
     stored = spark.read.schema(f"k long, p {value_type}").parquet(path).select("k", "p")
     assert _rows(stored) == sorted(rows, key=repr)
 
 
-def test_large_files_are_left_alone(spark, tmp_path, orders):
+def test_bins_are_packed_first_fit():
+    bins = upkeep.first_fit({"a": 60, "b": 50, "c": 40, "d": 30, "e": 20, "f": 5}, 100)
+    assert bins == [["a", "c"], ["b", "d", "e"], ["f"]]
+    assert upkeep.first_fit({}, 10) == []
+    sizes = {f"f{i:03}": 1 + i * 37 % 63 for i in range(500)}
+    bins = upkeep.first_fit(sizes, 128)
+    assert sorted(f for own in bins for f in own) == sorted(sizes) and all(sum(sizes[f] for f in own) <= 128 for own in bins)
+    assert len(bins) <= 1.05 * sum(sizes.values()) / 128 + 1
+
+
+@pytest.mark.parametrize("partition_by", [None, "order_year"])
+def test_large_files_keep_their_names(spark, tmp_path, orders, partition_by):
+    """A table of large and small files: only small ones are packed, and only with others."""
+    path = str(tmp_path / "a table" / "t")
+    write_table(orders.filter("order_year <= 1996").coalesce(1), path, partition_by)
+    big = {r["file"]: r["size"] for r in upkeep.table_files(spark, path, partition_by).collect()}
+    for year in (1995, 1996):
+        write_table(orders.filter(f"order_year = {year}").repartition(5), path, partition_by, mode="append")
+    write_table(orders.filter("order_year = 1997").coalesce(1), path, partition_by, mode="append")
+    both = orders.filter("order_year <= 1997").unionByName(orders.filter("order_year IN (1995, 1996)"))
+    before = {r["file"] for r in upkeep.table_files(spark, path, partition_by).collect()}
+    limit = min(big.values())
+    small = {r["file"] for r in upkeep.table_files(spark, path, partition_by).where(F.col("size") < limit).collect()}
+    assert len(small) >= 10 and not small & set(big)
+    done = upkeep.compact(spark, path, partition_by, small_file_bytes=limit, target_file_bytes=10 * limit)
+    after = {r["file"] for r in upkeep.table_files(spark, path, partition_by).collect()}
+    assert set(big) <= after and len(after) < len(before)
+    assert sum(d.files_before for d in done) == len(before - after) and sum(d.files_after for d in done) == len(after - before)
+    stored = spark.read.parquet(path)
+    assert _rows(stored.select(orders.columns)) == _rows(both)
+    assert upkeep.compact(spark, path, partition_by, small_file_bytes=limit, target_file_bytes=10 * limit) == []
+
+
+def test_files_that_fit_with_no_other_stay(spark, tmp_path):
     path = str(tmp_path / "t")
-    write_table(orders.filter("order_year = 1996").coalesce(1), path, "order_year")
-    write_table(orders.filter("order_year <> 1996").repartition(6), path, "order_year", mode="append")
-    kept = _files(f"{path}/order_year=1996")
-    done = upkeep.compact_partitions(spark, path, "order_year")
-    assert "1996" not in done and _files(f"{path}/order_year=1996") == kept
-    assert upkeep.compact_partitions(spark, path, "order_year") == []
-    assert spark.read.parquet(path).count() == orders.count()
+    write_table(spark.range(20_000).select("id", F.lit(1).alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("s")).repartition(6), path, "p")
+    sizes = [r["size"] for r in upkeep.table_files(spark, path, "p").collect()]
+    assert upkeep.compact(spark, path, "p", target_file_bytes=int(1.5 * max(sizes))) == []
+    assert [(d.files_before, d.files_after) for d in upkeep.compact(spark, path, "p", target_file_bytes=int(2.1 * max(sizes)))] == [(6, 3)]
+    assert len(_files(f"{path}/p=1")) == 3
+    assert spark.read.parquet(path).select("id").distinct().count() == spark.read.parquet(path).count() == 20_000
 
 
-def test_a_hot_partition_gets_several_files(spark, tmp_path):
+@pytest.mark.parametrize("dies", ["while writing", "before the list", "while moving"])
+def test_a_compaction_that_died(spark, tmp_path, monkeypatch, orders, dies):
     path = str(tmp_path / "t")
-    write_table(spark.range(20_000).select("id", F.lit(1).alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("s")).repartition(6), path, "p")
-    upkeep.compact_partitions(spark, path, "p", target_file_bytes=400_000)
-    assert 2 <= len(_files(f"{path}/p=1")) <= 5
-    assert spark.read.parquet(path).select("id").distinct().count() == 20_000
+    write_table(orders.repartition(6), path, "order_year")
+    real = upkeep.finish_compaction
+    calls = []
+
+    def lost(*args, **kwargs):
+        calls.append(1)
+        if len(calls) > 1:
+            raise OSError("the driver is lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(upkeep, "finish_compaction", lost)
+    with pytest.raises(OSError):
+        upkeep.compact(spark, path, "order_year")
+    monkeypatch.setattr(upkeep, "finish_compaction", real)
+    staging, = [d for d in os.listdir(path) if d.startswith(upkeep.STAGING)]
+    assert _rows(spark.read.parquet(path).select(orders.columns)) == _rows(orders)      # hidden from readers
+    if dies == "while moving":                          # some new files are in place, all old ones too
+        year = next(d for d in os.listdir(f"{path}/{staging}") if "=" in d)
+        for f in _files(f"{path}/{staging}/{year}"):
+            os.rename(f"{path}/{staging}/{year}/{f}", f"{path}/{year}/{f}")
+    elif dies == "before the list":
+        os.remove(f"{path}/{staging}/{upkeep.PLAN}/_SUCCESS")
+    upkeep.compact(spark, path, "order_year")
+    assert _rows(spark.read.parquet(path).select(orders.columns)) == _rows(orders)
+    assert all(len(_files(f"{path}/{d}")) == 1 for d in os.listdir(path) if "=" in d)
 
 
 # -- schema steps -------------------------------------------------------------
