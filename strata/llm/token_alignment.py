@@ -9,9 +9,9 @@
 3. Inside a group, the rank of a token's start and end among the other side's ends gives
    the range of tokens that it overlaps: the links.
 4. Links are counted by pair of ids over the whole corpus, each document's own equal links
-   being summed first.  Documents' links then meet the counts in a join; Spark broadcasts
-   the counts only where it has measured them as small, and merges both sides by pair
-   otherwise.
+   being summed first.  Documents' links then meet the counts, which are a table of their
+   own, in a join: Spark broadcasts it while it is smaller than its threshold, and merges
+   both sides by pair otherwise.
 
 Both vocabularies break before a lone space or line end between two other characters,
 where the loaded files confirm it; there a text is cut into stretches, and a worker
@@ -27,12 +27,12 @@ not read.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache, partial
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -57,46 +57,61 @@ def byte_alphabet() -> dict[str, int]:
 
 # -- the intersection ------------------------------------------------------------
 
-def common_ends(few: list[int], many: list[int]) -> list[tuple[int, int]]:
-    """Places (i, j) with few[i] == many[j], of two rising lists."""
-    out, low, size = [], 0, len(many)
-    for i, end in enumerate(few):
-        high, step = low, 1
-        while high < size and many[high] < end:
-            low, high, step = high + 1, high + step, 2 * step
-        low = bisect_left(many, end, low, min(high, size))
-        if low == size:
-            break
-        if many[low] == end:
-            out.append((i, low))
-            low += 1
-    return out
-
-
-def groups_of(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int]]:
-    """(a from, a to, b from, b to) of the groups between common ends."""
-    if len(ends_a) <= len(ends_b):
-        common = common_ends(ends_a, ends_b)
-    else:
-        common = [(i, j) for j, i in common_ends(ends_b, ends_a)]
-    out, a, b = [], 0, 0
-    for i, j in common:
-        out.append((a, i + 1, b, j + 1))
-        a, b = i + 1, j + 1
-    return out
-
-
-def links_of(group: tuple[int, int, int, int], ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
-    """Places (i, j) of the group's tokens that share bytes."""
-    a, a_to, b, b_to = group
-    if a_to - a == 1 or b_to - b == 1:
-        return [(i, j) for i in range(a, a_to) for j in range(b, b_to)]
-    out = []
-    for i in range(a, a_to):
-        start = ends_a[i - 1] if i else 0
-        first = bisect_right(ends_b, start, b, b_to)
-        out += [(i, j) for j in range(first, bisect_left(ends_b, ends_a[i], first, b_to) + 1)]
-    return out
+def gallop(few: np.ndarray, many: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """How many of the rising ``many`` are smaller than each of ``few``, of which at least
+    ``low`` are: steps that double from there, then binary search in the last step.  All
+    of ``few`` take their next step together."""
+    low, high = low.copy(), low.copy()
+    step = np.ones_like(low)
+    todo = np.flatnonzero(high < len(many))
+    while len(todo):
+        todo = todo[many[high[todo]] < few[todo]]
+        low[todo] = high[todo] + 1
+        high[todo] += step[todo]
+        step[todo] *= 2
+        todo = todo[high[todo] < len(many)]
+    high = np.minimum(high, len(many))
+    todo = np.flatnonzero(low < high)
+    while len(todo):
+        middle = (low[todo] + high[todo]) // 2
+        smaller = many[middle] < few[todo]
+        low[todo[smaller]] = middle[smaller] + 1
+        high[todo[~smaller]] = middle[~smaller]
+        todo = todo[low[todo] < high[todo]]
+    return low
+
+
+@dataclass
+class Aligned:
+    """Groups and links of tokens whose ends are given.  ``common_few``, ``common_many``:
+    which tokens end where one of the other side ends too, that is, end a group.
+    ``first``, ``last``: the other side's tokens that each driving token overlaps."""
+    common_few: np.ndarray
+    common_many: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+
+def intersect(few: np.ndarray, many: np.ndarray, low: np.ndarray) -> Aligned:
+    """The shorter side ``few`` drives.  A token's rank is that of its end; from the rank
+    of the token before and its own follow the tokens that share bytes with it."""
+    rank = gallop(few, many, low)
+    common = np.zeros(len(few), bool)
+    inside = rank < len(many)
+    common[inside] = many[rank[inside]] == few[inside]
+    other = np.zeros(len(many), bool)
+    other[rank[common]] = True
+    first = np.concatenate([[0], rank[:-1] + common[:-1]]).astype(np.int64)
+    return Aligned(common, other, first, rank)
+
+
+def _spread(counts: np.ndarray) -> np.ndarray:
+    """0, 1, .. within each of ``counts`` rows."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _starts(counts: np.ndarray) -> np.ndarray:
+    return np.cumsum(counts) - counts
 
 
 # -- tokenizers ------------------------------------------------------------------
@@ -123,6 +138,9 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i, p in enumerate(pieces)]
         ab = self.a.pre_tokenizer.pre_tokenize_str(" ab cd\nef") if self.a.pre_tokenizer else []
+        self.a_size, self.b_size = (np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes))
+        most = max(len(self.a_bytes), len(self.b_bytes))
+        self.told = {mark: np.array([f"{i}{mark}" for i in range(most)], object) for mark in ",|;"}
         self.breaks = (
             self.a.normalizer is None and [at for _, at in ab] == [(0, 3), (3, 6), (6, 7), (7, 9)]
             and self.b.normalize(" a  ① ") == SPACE * 2 + "a" + SPACE * 2 + "①" + SPACE
@@ -145,25 +163,59 @@ class Aligner:
 
     def learn(self, names: list[str]) -> dict[str, tuple | None]:
         full = [n if n[0] in " \n" else " " + n for n in names]
-        tokens_a = [e.ids for e in self.a.encode_batch(full, add_special_tokens=False)]
+        tokens_a = [e.ids for e in self.a.encode_batch_fast(full, add_special_tokens=False)]
         tokens_b = self.b.encode([f[1:] if f[0] == " " else f for f in full], num_threads=1)
-        out = {}
-        for name, text, a, b in zip(names, full, tokens_a, tokens_b):
-            if text[0] == "\n":
-                b = b[1:]            # the space that B puts in front
-            out[name] = self.aligned(text.encode(), a, b)
+        tokens_b = [b[1:] if f[0] == "\n" else b for f, b in zip(full, tokens_b)]  # not the space that B puts in front
+        out: dict[str, tuple | None] = dict.fromkeys(names)
+        raw = [f.encode() for f in full]
+        spelt = self._spelt(raw, tokens_a, tokens_b)
+        # The shorter list drives: stretches with fewer tokens of A, and the others.
+        for a_drives in (True, False):
+            own = [i for i in spelt if (len(tokens_a[i]) <= len(tokens_b[i])) == a_drives]
+            if own:
+                found = self._aligned([tokens_a[i] for i in own], [tokens_b[i] for i in own], a_drives)
+                out.update(zip([names[i] for i in own], found))
         return out
 
-    def aligned(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
-        spelt_a, spelt_b = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(spelt_a) != raw or b"".join(spelt_b) != raw:
-            return None
-        ends_a, ends_b = list(accumulate(map(len, spelt_a))), list(accumulate(map(len, spelt_b)))
-        told, links = [], []
-        for group in groups_of(ends_a, ends_b):
-            told.append(",".join(map(str, a[group[0]:group[1]])) + "|" + ",".join(map(str, b[group[2]:group[3]])))
-            links += [a[i] << 32 | b[j] for i, j in links_of(group, ends_a, ends_b)]
-        return ";".join(told), np.array(links, np.int64).tobytes(), len(a), len(b)
+    def _spelt(self, raw: list[bytes], tokens_a: list[list[int]], tokens_b: list[list[int]]) -> list[int]:
+        """The stretches that both sides' tokens spell."""
+        sides = ((self.a_bytes, tokens_a), (self.b_bytes, tokens_b))
+        spell = lambda table, tokens: b"".join(map(table.__getitem__, tokens))
+        size = list(map(len, raw))
+        if all(spell(table, itertools.chain.from_iterable(tokens)) == b"".join(raw)
+               and [sum(map(len, map(table.__getitem__, t))) for t in tokens] == size for table, tokens in sides):
+            return list(range(len(raw)))
+        return [i for i, r in enumerate(raw) if all(spell(table, tokens[i]) == r for table, tokens in sides)]
+
+    def _aligned(self, tokens_a: list[list[int]], tokens_b: list[list[int]], a_drives: bool) -> Iterator[tuple]:
+        """Groups as text, links and numbers of tokens of each stretch.  Laid end to end,
+        the stretches are one text; each ends a group, so none reaches into the next."""
+        flat = lambda tokens: np.fromiter(itertools.chain.from_iterable(tokens), np.int64)
+        a, b = flat(tokens_a), flat(tokens_b)
+        n_a, n_b = (np.fromiter(map(len, t), np.int64, len(t)) for t in (tokens_a, tokens_b))
+        ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        if a_drives:
+            found = intersect(ends_a, ends_b, np.repeat(_starts(n_b), n_a))
+            common_a, common_b, few, n_few = found.common_few, found.common_many, a, n_a
+        else:
+            found = intersect(ends_b, ends_a, np.repeat(_starts(n_a), n_b))
+            common_a, common_b, few, n_few = found.common_many, found.common_few, b, n_b
+        width = found.last - found.first + 1
+        other = (b if a_drives else a)[np.repeat(found.first, width) + _spread(width)]
+        driver = np.repeat(few, width)
+        links = (driver << 32 | other) if a_drives else (other << 32 | driver)
+        reach = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(n_few)])].tolist()
+
+        # A group's A tokens, then its B tokens: "a1,a2|b1;".
+        of_a, of_b = np.cumsum(common_a) - common_a, np.cumsum(common_b) - common_b
+        size_a, size_b = np.bincount(of_a), np.bincount(of_b)
+        told = np.empty(len(a) + len(b), object)
+        told[np.arange(len(a)) + _starts(size_b)[of_a]] = np.where(common_a, self.told["|"][a], self.told[","][a])
+        told[np.arange(len(b)) + np.cumsum(size_a)[of_b]] = np.where(common_b, self.told[";"][b], self.told[","][b])
+        told, at = told.tolist(), 0
+        for k, (x, y) in enumerate(zip(n_a.tolist(), n_b.tolist())):
+            yield "".join(told[at:at + x + y])[:-1], links[reach[k]:reach[k + 1]].tobytes(), x, y
+            at += x + y
 
     def of(self, texts: list[str]) -> Iterator[list[tuple] | None]:
         """The stretches' results of each text, None where the tokens don't spell it."""
@@ -238,7 +290,9 @@ def pair_counts(links: DataFrame) -> DataFrame:
     other pair of its b occurs more often."""
     counts = cut(links.groupBy("a", "b").agg(F.sum("times").alias("count")), "pair-counts")
     highest = counts.groupBy("b").agg(F.max("count").alias("highest"))
-    return counts.join(highest, "b").select("a", "b", "count", (F.col("count") == F.col("highest")).alias("best"))
+    # A table, so that Spark knows how large it is before it joins the links.
+    return cut(counts.join(highest, "b").select(
+        "a", "b", "count", (F.col("count") == F.col("highest")).alias("best")), "pairs")
 
 
 def digests(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
