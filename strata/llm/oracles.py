@@ -101,7 +101,13 @@ FROM texts
 """
 
 
-def _url_filter(rounds: int = 10, damping: float = 0.85, block_at: float = 0.1) -> str:
+# Ranks as ever more rounds leave them: what is in transit after 100 is 0.85 ** 100.
+PUBLIC = ("[^.]*|(ac|co|com|edu|gob|gouv|gov|ltd|mil|ne|net|nom|or|org|plc|sch)[.][a-z]{2}|appspot[.]com|azurewebsites[.]net|"
+          "blogspot[.]com|cloudfront[.]net|fly[.]dev|github[.]io|gitlab[.]io|herokuapp[.]com|netlify[.]app|pages[.]dev|"
+          "readthedocs[.]io|vercel[.]app|web[.]app|wordpress[.]com|workers[.]dev")
+
+
+def _url_filter(rounds: int = 100, damping: float = 0.85, block_at: float = 0.1) -> str:
     ranks = "".join(f"""
 , r{i + 1} AS MATERIALIZED (
   SELECT kind, host, sum(rank) AS rank FROM (
@@ -124,7 +130,8 @@ seeds AS (
   SELECT DISTINCT array_to_string(l[i:], '.') AS d FROM (
     SELECT l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT DISTINCT string_split(host, '.') AS l FROM located WHERE host <> ''))
 ), chain AS (
-  SELECT * FROM (SELECT d AS src, substr(d, instr(d, '.') + 1) AS dst FROM domains) WHERE instr(dst, '.') > 1
+  SELECT * FROM (SELECT d AS src, substr(d, instr(d, '.') + 1) AS dst FROM domains)
+  WHERE NOT regexp_full_match(src, '{PUBLIC}') AND NOT regexp_full_match(dst, '{PUBLIC}') AND NOT prefix(dst, '.')
 ), links AS (
   SELECT src, dst, count(*)::DOUBLE AS weight FROM (
     SELECT host AS src, {LOWER.format("h")} AS dst FROM (SELECT host, unnest(regexp_extract_all(html,

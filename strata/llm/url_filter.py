@@ -11,17 +11,20 @@ DataFrame functions only.
   its trust by BLOCK_AT or more is blocked.
 * Edges are links to other hosts in pages (counted once for each pair of hosts
   before anything is shuffled further), and a host and the domain right above it,
-  both ways, as one party runs them (never a top-level domain).
+  both ways, as one party runs them.  They end at the domain that a party can
+  register: names under a public suffix (PUBLIC_SUFFIX, such as ``uk``, ``co.uk`` or
+  ``github.io``) are parties of their own.
 
 Ranks move by joins and sums over (host, host) rows; a host with very many links
 is split by adaptive skew joins, and sums combine before the shuffle.  Every few
-rounds the ranks become a table in the shared checkpoint folder.
+rounds the ranks become a table in the shared checkpoint folder, and the one before
+goes.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
 fits no rule and has no links.  Null html has no links.  Repeated rows each get
 their verdict; equal rules count once, and an equally long one of another text
-wins by the order of the text.  Empty tables give none.  Other columns are not
-read.
+wins by the order of the text.  Urls and pages of any length are read whole.  Empty
+tables give none.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import cut, remove, scratch
 
 #: (host, path, verdict)
 RULES = (
@@ -46,6 +49,15 @@ BLOCK_AT = 0.1
 DAMPING, ROUNDS, CUT_EVERY = 0.85, 50, 5
 LEFT = 0.001
 
+# Labels under which a country's names are registered (with any top-level
+# domain of two letters), and domains whose owners let others run hosts under them.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gouv", "gov", "ltd", "mil", "ne", "net", "nom", "or", "org", "plc", "sch")
+HOSTING = ("appspot.com", "azurewebsites.net", "blogspot.com", "cloudfront.net", "fly.dev", "github.io", "gitlab.io",
+           "herokuapp.com", "netlify.app", "pages.dev", "readthedocs.io", "vercel.app", "web.app", "wordpress.com", "workers.dev")
+#: Pattern of whole domains under which unrelated parties have their names.
+PUBLIC_SUFFIX = (r"^([^.]*|(" + "|".join(SECOND_LEVEL) + r")[.][a-z]{2}|"
+                 + "|".join(h.replace(".", "[.]") for h in HOSTING) + ")$")
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]*)"""
 
@@ -86,7 +98,8 @@ def edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     targets = F.transform(F.regexp_extract_all("html", F.lit(LINK), 1), lambda h: F.translate(h, UPPER, LOWER))
     links = pages.where("host <> ''").select(F.col("host").alias("src"), F.explode(targets).alias("dst"))
     chain = hosts.where("host <> ''").select(F.explode(domains_of(F.col("host"))).alias("src")).distinct().select(
-        "src", F.expr("substring(src, instr(src, '.') + 1)").alias("dst")).where(F.instr("dst", ".") > 1)
+        "src", F.expr("substring(src, instr(src, '.') + 1)").alias("dst")).where(
+        ~F.col("src").rlike(PUBLIC_SUFFIX) & ~F.col("dst").rlike(PUBLIC_SUFFIX) & ~F.startswith("dst", F.lit(".")))
     back = chain.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     return (links.unionByName(chain).unionByName(back).where("src <> dst and dst <> ''")
             .groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight")))
@@ -106,6 +119,7 @@ def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
     # A change of c over CUT_EVERY rounds is one of c * still at most over the next,
     # and so on: the shares of a host sum to DAMPING.
     done, left, still = 0, LEFT, DAMPING**CUT_EVERY
+    made: list[str] = []
     while done < ROUNDS or left >= LEFT:
         before = rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("old"))
         for _ in range(CUT_EVERY):
@@ -113,8 +127,11 @@ def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
                 "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share")).alias("rank"))
             rank = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         done += CUT_EVERY
-        rank = cut(rank.withColumn("old", F.lit(0.0)).unionByName(before).groupBy("kind", "host").agg(
-            F.sum("rank").alias("rank"), F.sum("old").alias("old")), "ranks")
+        with scratch() as now:
+            rank = cut(rank.withColumn("old", F.lit(0.0)).unionByName(before).groupBy("kind", "host").agg(
+                F.sum("rank").alias("rank"), F.sum("old").alias("old")), "ranks")
+        remove(links.sparkSession, made)
+        made = now
         if done >= ROUNDS:
             change = rank.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0
             left = change * still / (1 - still)
@@ -124,7 +141,7 @@ def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
-    """(page_id, url, html) -> (page_id, host, path, rule, verdict, trust, distrust)."""
+    """(page_id, url, html) -> (page_id, host, path, rule, verdict)."""
     located = pages.select("page_id", "html", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     hosts = cut(located.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "hosts")
     fitting = cut(host_rules(hosts, rules), "host-rules")
@@ -133,7 +150,9 @@ def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     share = lambda v: F.avg(F.when(F.col("won.verdict") == v, 1.0).otherwise(0.0))
     seeds = found.where("host <> ''").groupBy("host").agg(
         (share("allow") >= SEED_SHARE).alias("trusted"), (share("block") >= SEED_SHARE).alias("blocked"))
-    scores = propagate(edges(located, hosts), seeds)
+    with scratch() as made:
+        scores = cut(propagate(edges(located, hosts), seeds), "host-scores")
+    remove(pages.sparkSession, made[:-1])
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     judged = found.join(scores, "host", "left")
     method = F.when(distrust - trust >= BLOCK_AT, "block").otherwise("allow")

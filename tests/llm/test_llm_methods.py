@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 import tracemalloc
 from collections import Counter
 
@@ -239,6 +240,38 @@ def test_short_and_long_items(spark):
         assert (row["n_words"], row["n_hit"], row["n_items"]) == (len(words), len(hit), len(found))
 
 
+@pytest.mark.parametrize("chunk", [4096, 5])
+def test_repetitive_texts(spark, monkeypatch, chunk):
+    """Windows that begin at every place, in both texts, and spans over chunk borders."""
+    monkeypatch.setattr(decontamination, "CHUNK", chunk)
+    texts = ["a " * 300, "a b " * 90, "a b c " * 40 + "x " + "a " * 12, "x y " * 3, "b " * 13 + "q " * 500]
+    items = ["a " * 50, "b a " * 20, "a " * 13, "x y x", "b", "q " * 12]
+    got = decontamination.contamination(docs_of(spark, texts), spark.createDataFrame(
+        list(enumerate(items)), "item_id long, text string")).orderBy("doc_id").collect()
+    for text, row in zip(texts, got):
+        words, hit, found = text.split(), set(), set()
+        for i, item in enumerate(items):
+            own = item.split()
+            n = min(13, len(own))
+            windows = {tuple(own[s:s + n]) for s in range(len(own) - n + 1)}
+            for at in range(len(words) - n + 1):
+                if tuple(words[at:at + n]) in windows:
+                    hit.update(range(at, at + n))
+                    found.add(i)
+        assert (row["n_words"], row["n_hit"], row["n_items"]) == (len(words), len(hit), len(found))
+
+
+def test_one_word_a_hundred_thousand_times(spark):
+    """Time and rows grow with the texts, not with the product of their repeats."""
+    texts = ["a " * 100_000, "a b " * 50_000, "c " * 100_000]
+    items = ["a " * 300, "b a " * 150]
+    began = time.monotonic()
+    got = decontamination.contamination(docs_of(spark, texts), spark.createDataFrame(
+        list(enumerate(items)), "item_id long, text string")).orderBy("doc_id").collect()
+    assert [(r["n_words"], r["n_hit"], r["n_items"]) for r in got] == [(100_000, 100_000, 1), (100_000, 100_000, 1), (100_000, 0, 0)]
+    assert time.monotonic() - began < 60
+
+
 def test_pieces_like_the_library():
     sp, own = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL), Codec(PIECE_MODEL, cache_words=50)
     rng = random.Random(7)
@@ -311,6 +344,90 @@ def test_insults_with_gaps():
     assert sum(score(sentence()) >= 0.5 for _ in range(100)) <= 2 and score("") < 0.5
 
 
+def test_ranking_has_no_gradient_left():
+    """The weights are where the penalised loss of all pairs can't fall: its gradient is
+    zero there by plain sums over the pairs, and moving off raises it."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((60, 3))
+    label = (x @ [1.0, -2.0, 0.5] + rng.standard_normal(60) > 0).astype(int)
+    model = quality.fit(x, label)
+    z = np.clip((x - x.mean(axis=0)) / (x.std(axis=0) + 1e-6), -8, 8)
+    again = np.random.default_rng(5)
+    good, poor = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    pairs = list(zip(again.choice(good, quality.PAIRS), again.choice(poor, quality.PAIRS)))
+    d = np.array([z[a] - z[b] for a, b in pairs])
+
+    def loss(w):
+        return np.log1p(np.exp(-(d @ w))).mean() + quality.PENALTY / 2 * (w @ w)
+
+    slope = sum(-v / (1 + np.exp(v @ model.weights)) for v in d) / len(d) + quality.PENALTY * model.weights
+    assert np.abs(slope).max() < 1e-8
+    assert all(loss(model.weights) < loss(model.weights + step) for step in 0.05 * rng.standard_normal((20, 3)))
+
+
+def test_a_preference_is_learned_as_often_as_it_is_held():
+    """One feature, two kinds of text: the odds of the model are those of the pairs."""
+    x = np.array([[0.0]] * 30 + [[1.0]] * 10 + [[0.0]] * 10 + [[1.0]] * 30)
+    label = np.array([0] * 40 + [1] * 40)
+    model = quality.fit(x, label)
+    gap = 1 / model.scale[0] * model.weights[0]            # strength of 1 over 0
+    wins = 30 * 30 / (30 * 30 + 10 * 10)                  # of the pairs that differ, those that prefer 1
+    assert abs(1 / (1 + np.exp(-gap)) - wins) < 0.02
+
+
+def test_nystroem_features_are_the_kernel():
+    """With every word a landmark, products of the whitened features are the plain kernel,
+    and a machine's table gives the same margins as sums of kernel values."""
+    words = ["stupid", "stoopid", "s1upid", "table", "chair", "idiot", "window", "idi0t"]
+
+    def plain(a, b):
+        def vector(w):
+            out = Counter()
+            code = toxicity._codes([w])[0]
+            for i, j, k in itertools.combinations(range(len(w)), 3):
+                if k - i < toxicity.SPAN:
+                    out[code[i], code[j], code[k]] += toxicity.DECAY ** (k - i + 1)
+            return out
+        x, y = vector(a), vector(b)
+        dot = lambda p, q: sum(v * q[t] for t, v in p.items())
+        return dot(x, y) / np.sqrt(dot(x, x) * dot(y, y))
+
+    want = np.array([[plain(a, b) for b in words] for a in words])
+    own = toxicity.kernel(words, words)
+    assert np.allclose(own, want)
+    value, vector = np.linalg.eigh(own)
+    good = value > 1e-6 * value.max()
+    features = own @ vector[:, good] / np.sqrt(value[good])
+    assert np.allclose(features @ features.T, want, atol=1e-5)
+    alpha = np.linspace(-1, 1, len(words))
+    machine = toxicity.Machine(toxicity._table(words, alpha), 0.25, 1.0, 0.0)
+    assert np.allclose(machine.margins(words), want @ alpha + 0.25)
+
+
+def test_machine_is_a_squared_hinge_minimum():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((80, 4))
+    y = np.where(x @ [1.0, -1.0, 0.5, 0.0] + 0.3 + 0.4 * rng.standard_normal(80) > 0, 1.0, -1.0)
+    cost = np.full(80, 1 / 80)
+    w, b = toxicity.hinge(x, y, cost)
+    loss = lambda w, b: (cost * np.maximum(0, 1 - y * (x @ w + b)) ** 2).sum() + 5e-5 * (w @ w)
+    least = loss(w, b)
+    assert all(least <= loss(w + s[:4], b + s[4]) + 1e-9 for s in 0.02 * rng.standard_normal((60, 5)))
+
+
+def test_long_runs_are_scored_in_windows():
+    run = "ab" * 400 + "stupid" + "cd" * 400
+    windows = toxicity.words_of(f"{run} short")
+    assert windows[-1] == "short" and all(len(w) <= toxicity.RUN for w in windows)
+    assert "".join(w[:toxicity.RUN // 2] for w in windows[:-1]) + windows[-2][toxicity.RUN // 2:] == run
+    assert any("stupid" in w for w in windows[:-1])
+    tracemalloc.start()
+    machine = toxicity.Machine(np.zeros(toxicity.ALPHABET**3), 0.5, 1.0, 0.0)
+    assert toxicity.text_margins(machine, ["x1" * 500_000])[0] == 0.5
+    assert tracemalloc.get_traced_memory()[1] < 400e6
+    tracemalloc.stop()
+
+
 def test_ranking_threshold():
     rng = np.random.default_rng(2)
     label = (np.arange(400) % 5 > 0).astype(int)
@@ -408,6 +525,27 @@ def test_ranks_converge(spark):
     assert got["s1.f.x"] < url_filter.BLOCK_AT and got["h10.x"] < got["h9.x"] < url_filter.BLOCK_AT
 
 
+def test_names_under_a_public_suffix_are_parties_of_their_own(spark):
+    """Ten hosts under co.uk (and github.io) with three blocked by rule: none of the others
+    is; under one registered domain they are."""
+    rules = (("h0.", "/", "block"), ("h1.", "/", "block"), ("h2.", "/", "block"))
+    for domain, blocked in (("co.uk", 0), ("github.io", 0), ("one-party.co.uk", 7), ("party.info", 7)):
+        pages = spark.createDataFrame([(i, f"http://h{i}.{domain}/p", None) for i in range(10)], "page_id long, url string, html string")
+        got = url_filter.verdicts(pages, tuple((h + domain, p, v) for h, p, v in rules)).collect()
+        assert sum(r["verdict"] == "block" for r in got if r["rule"] is None) == blocked, domain
+
+
+def test_only_what_is_read_is_left(spark):
+    import os
+
+    from strata.session import ensure_checkpoint_dir
+    folder = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "strata")
+    before = set(os.listdir(folder))
+    pages = spark.createDataFrame([(1, "http://a.b.net/x", "<a href=//c.org>"), (2, "http://c.org/fr/", None)], "page_id long, url string, html string")
+    assert url_filter.verdicts(pages).count() == 2
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} <= {"hosts", "host-rules", "host-scores"}
+
+
 def test_links_carry_verdicts(spark):
     page = lambda i, url, *to: (i, url, "".join(f'<a href="https://{t}/x">t</a>' for t in to))
     pages = spark.createDataFrame([
