@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.session import work_root
@@ -107,10 +108,53 @@ def let(value, body):
 
 
 def bounded_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
-    """About ``rows`` rows of ``df``, by a hash of ``key``: for fitting a model on a
+    """At most ``rows`` rows of ``df``, by a hash of ``key``: for fitting a model on a
     sample of stated size, never for results."""
     total = df.count()
     if total <= rows:
         return df
     share = F.pmod(F.xxhash64(*key), F.lit(2**32))
-    return df.where(share < int(rows / total * 2**32)).limit(2 * rows)
+    near = df.where(share < int(min(1.0, 1.2 * rows / total) * 2**32))
+    return near.orderBy(share, *key).limit(rows)
+
+
+#: Texts looked at for each one wanted, so that short ones can be preferred.
+SPARE = 2
+
+
+def labelled_sample(docs: DataFrame, known: DataFrame, rows: int, least: int = 0, chars: int | None = None) -> DataFrame:
+    """(text, label) rows to fit a model on: about ``rows`` texts, as many of each label
+    and at least ``least``, by a hash of the id.
+
+    ``docs`` are (doc_id, text, ..), ``known`` (doc_id, label).  Labels are counted and
+    chosen without the texts; the ids chosen, a bounded number, then pick their rows in
+    one read of the documents.  With ``chars``, longer texts are taken, as a piece of
+    that size at a place by their hash, only where a label has too few shorter ones.
+    """
+    known = known.where("label is not null")
+    share = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(2**32))
+    counted = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    each = max(least, -(-rows // max(1, len(counted))))
+    below = F.lit(0)
+    for label, n in counted.items():
+        below = F.when(F.col("label") == F.lit(label), F.lit(int(min(1.0, SPARE * each / n) * 2**32))).otherwise(below)
+    if "label" in docs.columns:                     # the documents carry it themselves
+        picked = docs.where(share < below).select("doc_id", "text", "label", share.alias("share"))
+    else:
+        chosen = known.where(share < below).select("doc_id", "label", share.alias("share")).distinct().orderBy(
+            "share", "doc_id", "label").limit(2 * SPARE * each * max(1, len(counted)))
+        picked = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", "share")
+    size, text = F.length("text"), F.col("text")
+    long = F.lit(False) if chars is None else size > chars
+    if chars is not None:
+        start = F.pmod(F.xxhash64("text"), F.greatest(size - chars + 1, F.lit(1))).cast("int") + 1
+        text = F.when(long, F.substring("text", start, F.lit(chars))).otherwise(text)
+    taken = picked.where("text is not null").select("label", "share", long.alias("long"), text.alias("text"))
+    own = Window.partitionBy("label").orderBy("long", "share", "text")
+    return taken.withColumn("n", F.row_number().over(own)).where(F.col("n") <= each).select("text", "label")
+
+
+def labelled_pieces(docs: DataFrame, known: DataFrame, rows: int, least: int, chars: int) -> list[tuple[str, Any]]:
+    """The pairs of ``labelled_sample`` on the driver: at most ``rows`` (or ``least`` for
+    each label) times ``chars`` characters."""
+    return [(r["text"], r["label"]) for r in labelled_sample(docs, known, rows, least, chars).collect()]

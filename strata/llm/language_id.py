@@ -8,14 +8,18 @@ probabilities over the whole chain, so that a passage in another language shows
 one; the text's language is the one with most probability, averaged over words.
 
 The field is fitted on the driver by stochastic gradients of the log-likelihood
-(expected less observed features, by the same forward-backward) on a sample of at
-most TRAIN_ROWS labelled texts of at most TRAIN_CHARS characters.  Chains are
-pieces of texts of several languages put together, so that the transitions see
-switches.  Labelling itself reads every text whole, in one pass without a shuffle.
+(expected less observed features, by the same forward-backward) on a sample of about
+TRAIN_ROWS labelled texts, alike for all labels and LEAST_ROWS of each at least; of a
+text longer than TRAIN_CHARS characters a piece of that size is taken where a label has
+too few others.  Chains are pieces of texts of several languages put together, so that
+the transitions see switches.  Labelling itself reads every text whole, in one pass
+without a shuffle; a text of any length is one chain.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0.
-Without any labelled text to learn from, all are.  Ties go to the first language
-by name.  Rows repeat as they come; ids may be null; other columns are not read.
+Without any labelled text to learn from, all are, and a filter by language
+(``accepted``) raises ``ValueError`` instead of dropping every row.  Ties go to the
+first language by name.  Rows repeat as they come; ids may be null; an empty table gives
+no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from __future__ import annotations
 import itertools
 import re
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -34,9 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_sample, bucket_of, ready
+from strata.llm.common import bucket_of, labelled_pieces, ready
 
 TRAIN_ROWS = 2000
+LEAST_ROWS = 100            # of each label, however many there are
 TRAIN_CHARS = 10_000
 EPOCHS = 3
 CHAIN = 200                 # words of a training chain
@@ -139,28 +144,34 @@ def fit(texts: list[tuple[str, str]]) -> Field | None:
         return None
     index = {x: i for i, x in enumerate(labels)}
     rng = np.random.default_rng(7)
-    docs = [(WORD.findall(t.lower()), index[y]) for t, y in sorted(texts)]
-    docs = [d for d in docs if d[0]]
-    counts: dict[str, Counter] = {}
+    # Texts become word numbers at once: a word is one string however often it occurs.
+    vocabulary: dict[str, int] = {}
+    docs = [(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in WORD.findall(t.lower())], np.int32), index[y])
+            for t, y in sorted(texts)]
+    docs = [d for d in docs if len(d[0])]
+    words = list(vocabulary)
+    counts = np.zeros((len(words), len(labels)), np.int32)
     for ws, y in docs:
-        for w in set(ws):
-            counts.setdefault(w, Counter())[y] += 1
-    often = sorted(((sum(c.values()), w) for w, c in counts.items()), reverse=True)
-    lexicon = {w: counts[w].most_common(1)[0][0] for n, w in often[:LEXICON]
-               if n > 2 and counts[w].most_common(1)[0][1] >= 0.9 * n}
+        counts[np.unique(ws), y] += 1
+    total = counts.sum(axis=1)
+    often = sorted(range(len(words)), key=lambda i: (total[i], words[i]), reverse=True)[:LEXICON]
+    lexicon = {words[i]: int(counts[i].argmax()) for i in often if total[i] > 2 and counts[i].max() >= 0.9 * total[i]}
 
     # Chains: every third of the pieces is cut in two and dealt out, so chains switch.
     pieces = [(ws[i:i + CHAIN], y) for ws, y in docs for i in range(0, len(ws), CHAIN)]
     halves = [(part, y) for k, (ws, y) in enumerate(pieces) if k % 3 == 0
-              for part in (ws[:len(ws) // 2], ws[len(ws) // 2:]) if part]
+              for part in (ws[:len(ws) // 2], ws[len(ws) // 2:]) if len(part)]
     order = rng.permutation(len(halves))
     chains = [[p] for k, p in enumerate(pieces) if k % 3]
     chains += [[halves[i] for i in order[k:k + 3]] for k in range(0, len(order), 3)]
 
-    vocabulary = {w: i for i, w in enumerate(sorted(counts))}
-    listed = [features(w, lexicon) for w in vocabulary]
-    sizes = np.fromiter(map(len, listed), np.int64, len(listed))
-    flat = np.fromiter((f for fs in listed for f in fs), np.int64, int(sizes.sum()))
+    flat, sizes = array("I"), np.empty(len(words), np.int64)
+    for i, w in enumerate(words):
+        own = features(w, lexicon)
+        sizes[i] = len(own)
+        flat.extend(own)
+    _buckets.clear()
+    flat = np.frombuffer(flat, np.uint32)
     ends = np.cumsum(sizes)
     k = len(labels)
     model = Field(labels, np.zeros((BUCKETS, k)), np.eye(k), np.zeros(k), lexicon)
@@ -170,8 +181,8 @@ def fit(texts: list[tuple[str, str]]) -> Field | None:
         for part in np.array_split(deal, max(1, len(chains) // 256)):
             own = sorted((chains[i] for i in part), key=lambda c: -sum(len(ws) for ws, _ in c))
             lengths = np.array([sum(len(ws) for ws, _ in c) for c in own])
-            ids = np.array([vocabulary[w] for c in own for ws, _ in c for w in ws])
-            truth = np.array([y for c in own for ws, y in c for _ in ws])
+            ids = np.concatenate([ws for c in own for ws, _ in c])
+            truth = np.repeat([y for c in own for _, y in c], [len(ws) for c in own for ws, _ in c])
             used, local = np.unique(ids, return_inverse=True)
             n = sizes[used]
             at = np.repeat(ends[used] - n, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
@@ -265,9 +276,8 @@ def _label(model: Field | None, batches: Iterator[pd.DataFrame]) -> Iterator[pd.
 
 def train(labelled: DataFrame) -> Field | None:
     """A field from (doc_id, text, lang) rows; see the module's text for the sample."""
-    usable = labelled.where("lang is not null and text is not null").where(F.length("text") <= TRAIN_CHARS)
-    rows = bounded_sample(usable.select("doc_id", "text", "lang"), TRAIN_ROWS, "doc_id", "text").collect()
-    return fit([(r["text"], r["lang"]) for r in rows])
+    usable = labelled.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").alias("label"))
+    return fit(labelled_pieces(usable, usable.select("doc_id", "label"), TRAIN_ROWS, LEAST_ROWS, TRAIN_CHARS))
 
 
 def identify(docs: DataFrame, model: Field | None) -> DataFrame:
@@ -289,6 +299,10 @@ def accepted(docs: DataFrame, model: Field | None, least: float) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is known with a
     score of at least ``least``."""
     ready(docs.sparkSession)
+    if model is None:
+        if docs.isEmpty():
+            return docs
+        raise ValueError("no labelled text to learn languages from: every row would be dropped")
     return docs.mapInArrow(partial(_accept, model, least), docs.schema)
 
 

@@ -28,7 +28,8 @@ Defined results: texts that are null, empty or without words have no shingles an
 link to nothing.  A text of fewer than five words is one shingle.  doc_id is a
 document's identity: repeated rows all come back, each with its own set size,
 and share one component.  A row with a null doc_id links to nothing, has a null
-component and is kept.  Other columns are not read.
+component and is kept.  Texts of any length are hashed whole; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -12,20 +12,21 @@ weighted sum of kernel values, which is a weighted sum over the word's
 subsequences: one table lookup for each.
 
 Training: labels are those of whole texts, cut into sentences.  Every word of a
-clean text is clean; in a toxic text the sentences with the strongest signs are
-the toxic ones, and these words their witnesses (found first by how often words
-occur in toxic and in clean texts, then by the machine itself).  Clean words that
-the machine takes for toxic join its training in each round.  A text's margin is
-the largest of its sentences', a sentence's the largest of its words'; a logistic
-curve fitted on training texts turns it into a score.
-
-Fitting uses at most TRAIN_ROWS texts of each label, of at most TRAIN_CHARS
-characters, on the driver; scoring reads every text whole in one pass without a
-shuffle.
+clean text is clean; in a toxic text the words with the strongest signs are the
+witnesses (found first by how often words occur in toxic and in clean texts, then by
+the machine itself).  Clean words that the machine takes for toxic join its training in
+each round.  A text's margin is the largest of its words'; a logistic curve fitted on
+training texts turns it into a score.  Insults are words, however stretched, gapped or
+spaced out: one that is only offensive as several words together is not seen.
+
+Fitting uses at most TRAIN_ROWS texts of each label on the driver; of a text longer than
+TRAIN_CHARS characters a piece of that size is taken where a label has too few others.
+Scoring reads every text whole in one pass without a shuffle; unbroken runs longer than
+RUN characters are scored in overlapping windows.
 
 Defined results: a null or empty text, or one without a word, has the lowest score
 there is.  Without training texts of both labels every score is 0.  Rows repeat as
-they come; ids may be null; other columns are not read.
+they come; ids may be null; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_sample, bucket_of, ready
+from strata.llm.common import bucket_of, labelled_pieces, ready
 
 DECAY, SPAN = 0.6, 7
 ALPHABET = 64
@@ -52,6 +53,7 @@ ROUNDS = 3
 #: A word so many times commoner in toxic texts, and so often there, is no clean one.
 SURE_SIGN, SURE_TEXTS = 20.0, 10
 CACHE_WORDS = 200_000
+RUN = 48                    # characters of a window of a long run, half of it shared
 LOWEST = -4.0               # margin of a text without words
 
 SPACED = re.compile(r"(?<!\S)\S(?:[^\S\n]\S(?!\S))+")
@@ -63,8 +65,13 @@ GAPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
 
 def words_of(sentence: str) -> list[str]:
+    """Its words; of one longer than RUN characters, overlapping windows of that size, so
+    that an insult inside a long run is not thinned out, and memory stays bounded."""
     joined = SPACED.sub(lambda m: SPACES.sub("", m[0]), sentence.lower())
-    return MARKS.sub("", joined).split()
+    words = MARKS.sub("", joined).split()
+    if max(map(len, words), default=0) <= RUN:
+        return words
+    return [w[i:i + RUN] for w in words for i in range(0, max(1, len(w) - RUN // 2), RUN // 2)]
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -258,11 +265,10 @@ _memory: dict = {"key": None, "words": {}}
 
 
 def text_margins(model: Machine, texts: list[str | None]) -> np.ndarray:
-    """The largest margin over each text's sentences, and over their words."""
+    """The largest margin over each text's words."""
     if _memory["key"] != model.key or len(_memory["words"]) > CACHE_WORDS:
         _memory.update(key=model.key, words={})
     known = _memory["words"]
-    # Every word of a text is one of its sentences', so its largest margin is theirs.
     lists = [words_of(t) if t else [] for t in texts]
     new = list({w for ws in lists for w in ws if w not in known})
     known.update(zip(new, model.margins(new).tolist()) if new else ())
@@ -277,12 +283,9 @@ def _score(model: Machine | None, batches: Iterator[pd.DataFrame]) -> Iterator[p
             yield pd.DataFrame({"doc_id": part["doc_id"].array, "score": score})
 
 
-def train(labelled: DataFrame) -> Machine | None:
-    """A machine from (doc_id, text, toxic) rows; see the module's text for the sample."""
-    usable = labelled.where("toxic is not null and text is not null").where(F.length("text") <= TRAIN_CHARS)
-    rows = [r for y in (0, 1) for r in bounded_sample(
-        usable.where(F.col("toxic") == y).select("doc_id", "text", "toxic"), TRAIN_ROWS, "doc_id", "text").collect()]
-    return fit([(r["text"], r["toxic"]) for r in rows])
+def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
+    """A machine from (doc_id, text) and (doc_id, label); see the module's text for the sample."""
+    return fit(labelled_pieces(docs, labels.where("label in (0, 1)"), 2 * TRAIN_ROWS, 0, TRAIN_CHARS))
 
 
 def score(docs: DataFrame, model: Machine | None) -> DataFrame:
@@ -295,14 +298,9 @@ def held_out(column: str = "doc_id"):
     return F.coalesce(bucket_of(column, 5) == 0, F.lit(False))
 
 
-def learnable(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, label) of labelled documents that aren't held out."""
-    known = labels.select("doc_id", label).where(~held_out()).distinct()
-    return docs.select("doc_id", "text").where(~held_out()).join(known, "doc_id")
-
-
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    model = train(learnable(docs, labels, "toxic"))
+    known = labels.where(~held_out()).select("doc_id", F.col("toxic").alias("label"))
+    model = train(docs.select("doc_id", "text"), known)
     return score(docs, model).select(
         "doc_id", held_out().alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import (
@@ -95,6 +96,49 @@ def test_pipeline_on_edge_rows(spark, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path)).count() == len(kept)
 
 
+def test_pipeline_without_documents_or_labels(spark, tmp_path):
+    """No rows give none; rows without any label to learn from raise, and aren't dropped."""
+    documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    bench(spark, []).write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    unlabelled = documents(spark, [(1, SAME, None), (2, LONG, None)])
+    with pytest.raises(ValueError, match="no labelled text"):
+        corpus_pipeline.STAGES[0][1](spark, unlabelled, str(tmp_path))
+    assert {r["lang_pred"] for r in language_id.predictions(unlabelled).collect()} == {"und"}
+
+
+def test_labels_found_in_long_texts_only(spark, monkeypatch):
+    """A label whose texts are all long is learned from pieces; a rare one is sampled as
+    often as others."""
+    monkeypatch.setattr(language_id, "TRAIN_CHARS", 400)
+    monkeypatch.setattr(language_id, "TRAIN_ROWS", 40)
+    monkeypatch.setattr(language_id, "LEAST_ROWS", 10)
+    word = lambda letters, n: " ".join("".join(letters[(i * 7 + k * (i % 5 + 1)) % len(letters)] for k in range(3 + i % 4)) for i in range(n))
+    rows = [(i, word("abcde", 30 + i % 9), "aa") for i in range(400)] + [(1000 + i, word("vwxyz", 400), "zz") for i in range(8)]
+    docs = documents(spark, rows)
+    assert all(len(t) > 400 for i, t, x in rows if x == "zz")
+    model = language_id.train(docs)
+    assert model.labels == ["aa", "zz"]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs, model).collect()}
+    assert got == {i: x for i, _, x in rows}
+
+
+def test_one_id_with_different_texts(spark):
+    """Rows of one doc_id are each other's earlier text by no rule; each keeps its own bytes."""
+    other = "quite another text of more than a hundred bytes, which is found nowhere else in this small table of a few rows"
+    rows = [(1, SAME, "en"), (1, other, "en"), (2, SAME + " " + other, "en")]
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.report(documents(spark, rows)).collect())
+    assert [g for g in got if g[0] == 1] == sorted([(1, len(SAME), 0), (1, len(other), 0)])
+    assert got[-1] == (2, len(SAME) + 1 + len(other), len(SAME) + len(other))
+
+
+def test_a_very_long_conversation(spark):
+    turns = spark.range(20_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("turn "), F.col("id").cast("string")).alias("text"))
+    r, = chat_format.digests(chat_format.format_chats(chat_format.turn_events(turns))).collect()
+    assert (r["conv_id"], r["n_turns"]) == (1, 20_000) and r["loss_chars"] == sum(len(f"turn {i}") for i in range(1, 20_000, 2))
+
+
 def test_pages_and_chats(spark):
     pages = spark.createDataFrame([
         (1, "HTTP://A.Example.NET/en/x?y", None, "h"), (1, "HTTP://A.Example.NET/en/x?y", None, "h"), (None, None, "<a href=//b.org>", "h"),
