@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from typing import Any
 
@@ -72,6 +74,27 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What workers remember between tasks, by operator, and how to forget it.
+_remembered: dict[str, Callable[[], Any]] = {}
+
+
+def remembers(operator: str, forget: Callable[[], Any]) -> None:
+    _remembered[operator] = forget
+
+
+def alone(operator: str | None = None) -> None:
+    """Called as a task begins: a worker that served other operators before gives back what
+    it remembers for them, so that a pipeline's stages don't pile up in one process."""
+    others = [forget for name, forget in _remembered.items() if name != operator]
+    for forget in others:
+        forget()
+    if others:
+        gc.collect()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+
+
 def by_bytes(items: Iterable, size=len, limit: int = BATCH_BYTES) -> Iterator[list]:
     """Consecutive items in lists of about ``limit`` bytes, at least one each."""
     part, total = [], 0

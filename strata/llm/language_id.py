@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bucket_of, labelled_pieces, ready
+from strata.llm.common import alone, bucket_of, labelled_pieces, ready, remembers
 
 TRAIN_ROWS = 2000
 LEAST_ROWS = 100            # of each label, however many there are
@@ -215,6 +215,14 @@ def fit(texts: list[tuple[str, str]]) -> Field | None:
 _memory: dict = {"key": None, "words": {}, "rows": None}
 
 
+def _forget() -> None:
+    _buckets.clear()
+    _memory.update(key=None, words={}, rows=None)
+
+
+remembers("language_id", _forget)
+
+
 def _scores(model: Field, words: list[str]) -> np.ndarray:
     m = _memory
     if m["key"] != model.key or len(m["words"]) > CACHE_WORDS:
@@ -266,6 +274,7 @@ def judge(model: Field | None, texts: list[str | None]) -> list[tuple[str, float
 
 
 def _label(model: Field | None, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    alone("language_id")
     for pdf in batches:
         for at in range(0, len(pdf), 2000):
             part = pdf.iloc[at:at + 2000]
@@ -288,6 +297,7 @@ def identify(docs: DataFrame, model: Field | None) -> DataFrame:
 
 
 def _accept(model: Field, least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    alone("language_id")
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, mix64, ready, remove, scratch
+from strata.llm.common import alone, cut, mix64, ready, remove, scratch
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -114,6 +114,7 @@ SKETCH = ("doc_id long, n_shingles long, set_hi long, set_lo long, "
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    alone()
     for pdf in batches:
         for at in range(0, len(pdf), 512):
             part, rows = pdf.iloc[at:at + 512], []
@@ -160,6 +161,7 @@ def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    alone()
     known: tuple = (None, None)
     for pdf in batches:
         keep = []
@@ -323,6 +325,7 @@ def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, lis
 
 def _partnered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The members of each group that have a likely partner there."""
+    alone()
     for rows, groups in _groups(batches):
         hit = np.zeros(len(rows), bool)
         for own, sides in groups:
@@ -341,6 +344,7 @@ def _top(root: dict[int, int], c: int) -> int:
 def _links_of_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Likely pairs of each group that are similar enough on full sets, without those
     whose ends the group's links join already."""
+    alone()
     for rows, groups in _groups(batches):
         links: list[tuple[int, int]] = []
         for own, sides in groups:

@@ -37,7 +37,7 @@ import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from strata.llm.common import ready
+from strata.llm.common import alone, ready, remembers
 
 SPACE = "▁"
 #: Words in each of a worker's two generations of remembered words.
@@ -211,13 +211,18 @@ def codec(model_file: str) -> Codec:
     return Codec(model_file)
 
 
+remembers("sentencepiece", codec.cache_clear)
+
+
 def _encode(model_file: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    alone("sentencepiece")
     c = codec(model_file)
     for pdf in batches:
         yield pdf[["doc_id"]].assign(ids=[c.encode(t or "") for t in pdf["text"]])
 
 
 def _decode(model_file: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    alone("sentencepiece")
     c = codec(model_file)
     for pdf in batches:
         yield pdf[["doc_id"]].assign(text=[c.decode(list(i) if i is not None else []) for i in pdf["ids"]])
@@ -238,6 +243,7 @@ def decode(tokens: DataFrame, model_file: str) -> DataFrame:
 
 
 def _digests(model_file: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    alone("sentencepiece")
     c = codec(model_file)
     for pdf in batches:
         rows = []

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import by_bytes, cut, mix64, ready
+from strata.llm.common import alone, by_bytes, cut, mix64, ready
 from strata.llm.suffix_sort import deep_shallow
 
 LENGTH = 100
@@ -108,6 +108,7 @@ def _pack(first, n, off):
 
 
 def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    alone()
     for pdf in batches:
         pairs = ((i, t.encode()) for i, t in zip(pdf["doc_id"].tolist(), pdf["text"]) if t)
         for part in by_bytes(pairs, size=lambda p: len(p[1])):

@@ -40,7 +40,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import by_bytes, cut, ready
+from strata.llm.common import alone, by_bytes, cut, ready, remembers
 
 SPACE = "▁"
 #: Stretches in each of a worker's two generations, and the longest that is remembered.
@@ -238,6 +238,9 @@ def aligner(a_json: str, b_model: bytes) -> Aligner:
     return Aligner(a_json, b_model)
 
 
+remembers("token_alignment", aligner.cache_clear)
+
+
 # -- Spark -----------------------------------------------------------------------
 
 ALIGNED = ("doc_id long, n_a long, n_b long, groups string, n_links long, "
@@ -264,6 +267,7 @@ def _rows(ids: pa.Array, found: list[list[tuple] | None]) -> pa.RecordBatch:
 
 
 def _align(a_json: Broadcast, b_model: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    alone("token_alignment")
     own = aligner(a_json.value, b_model.value)
     for batch in batches:
         texts = batch.column("text").to_pylist()

@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bucket_of, labelled_pieces, ready
+from strata.llm.common import bucket_of, labelled_pieces, ready, remembers
 
 DECAY, SPAN = 0.6, 7
 ALPHABET = 64
@@ -262,6 +262,7 @@ def fit(texts: list[tuple[str, int]]) -> Machine | None:
 
 
 _memory: dict = {"key": None, "words": {}}
+remembers("toxicity", lambda: _memory.update(key=None, words={}))
 
 
 def text_margins(model: Machine, texts: list[str | None]) -> np.ndarray:
