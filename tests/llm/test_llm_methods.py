@@ -303,6 +303,15 @@ def test_forward_backward():
             at += n
 
 
+def test_tasks_forget_what_other_operators_remember():
+    field = language_id.fit([("aaa bab aba", "aa"), ("xyx yyx xxy", "xx")] * 5)
+    first = language_id.judge(field, ["aba yyx"])
+    assert language_id._memory["words"] and language_id._buckets
+    assert list(minhash_dedup._sketch(iter([]))) == []
+    assert not language_id._memory["words"] and not language_id._buckets
+    assert language_id.judge(field, ["aba yyx"]) == first
+
+
 def test_code_switching():
     rng = random.Random(8)
     tongues = {"xx": ["ka", "ko", "ki", "ku"], "yy": ["le", "lo", "la", "lu"]}
