@@ -57,3 +57,32 @@ def test_scratch_needs_a_shared_folder_off_local_masters():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_partitioned_writes_keep_files_open_instead_of_sorting(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from strata.sinks.writes import overwrite_partitions
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before, real = spark.conf.get(name), DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: (seen.append(int(spark.conf.get(name))), real(w, *a, **k)))
+    rows = spark.range(200).selectExpr("id", "id % 40 AS part")     # more values than open files
+    write_table(rows, str(tmp_path / "t"), partition_by="part")
+    overwrite_partitions(rows.where("part = 3 AND id < 100"), str(tmp_path / "t"), "part")
+    assert len(seen) == 2 and min(seen) > 0 and spark.conf.get(name) == before
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 198
+
+
+def test_the_clean_layer_is_stored_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from strata.plans import layers
+    real, seen = layers.T.publish, {}
+
+    def publish(spark, root, layer, table, df, partition_by=None, rebalance=False):
+        seen[layer, table] = rebalance
+        return real(spark, root, layer, table, df, partition_by, rebalance)
+
+    monkeypatch.setattr(layers.T, "publish", publish)
+    job = layers.LayerJob(source=SF_SMALL, root=str(tmp_path / "wh")).run(spark)
+    assert not seen["silver", "orders"] and not seen["silver", "lineitem"]
+    assert seen["gold", "revenue_by_order_date"]
+    assert job.read(spark, "silver", "lineitem").count() == clean_tables(spark, SF_SMALL)[1].count()
