@@ -120,45 +120,45 @@ class Scratch:
         T.remove_own(self.spark, self.folder)
 
 
-def _facts_after(old: DataFrame, changes: Changes) -> DataFrame:
-    """The facts of the changed keys once the change is made."""
-    gone = changes.deleted.select(KEY)
-    lines_of = changes.lines.select(F.col("l_orderkey").alias(KEY))
+def _facts_after(old: DataFrame, copies: DataFrame, totals: DataFrame, gone: DataFrame) -> DataFrame:
+    """The facts of the changed keys once the change is made: ``copies`` and ``totals`` of
+    the orders and lines that come, after the keys that are ``gone``."""
     orders = old.where("copies IS NOT NULL").select(*gold.FACT_COLUMNS, "copies")
-    orders = by_key(orders, gone.unionByName(changes.orders.select(KEY)), KEY, "left_anti")
-    totals = old.where("line_count IS NOT NULL").groupBy(KEY).agg(
+    orders = by_key(orders, gone.unionByName(copies.select(KEY)), KEY, "left_anti")
+    before = old.where("line_count IS NOT NULL").groupBy(KEY).agg(
         F.first("line_revenue").alias("revenue"), F.first("line_count").alias("line_count"))
-    totals = by_key(totals, gone.unionByName(lines_of), KEY, "left_anti")
-    return joined_facts(orders.unionByName(gold.order_copies(changes.orders)),
-                        totals.unionByName(gold.line_totals(changes.lines)))
+    before = by_key(before, gone.unionByName(totals.select(KEY)), KEY, "left_anti")
+    return joined_facts(orders.unionByName(copies), before.unionByName(totals))
 
 
 def apply(spark: SparkSession, root: str, changes: Changes) -> Applied:
-    """Bring the three tables up to date with ``changes``."""
+    """Bring the three tables up to date with ``changes``, which are read once each."""
     scratch = Scratch(spark)
-    keys = scratch.keep(
-        changes.orders.select(KEY).unionByName(changes.lines.select(F.col("l_orderkey").alias(KEY)))
-        .unionByName(changes.deleted.select(KEY)).where(F.col(KEY).isNotNull()).distinct(), "changed-keys")
+    copies = scratch.keep(gold.order_copies(changes.orders), "copies")
+    totals = scratch.keep(gold.line_totals(changes.lines), "totals")
+    gone = scratch.keep(changes.deleted.select(KEY).distinct(), "deleted")
+    keys = scratch.keep(copies.select(KEY).unionByName(totals.select(KEY)).unionByName(gone)
+                        .where(F.col(KEY).isNotNull()).distinct(), "changed-keys")
     facts = spark.read.parquet(_path(root, "order_facts"))
-    old = scratch.keep(by_key(facts, keys, KEY, "left_semi"), "facts-before")
-    new = scratch.keep(_facts_after(old, changes), "facts-after")
+    old = scratch.keep(by_key(facts, keys, KEY, "left_semi", unique=True), "facts-before")
+    new = scratch.keep(_facts_after(old, copies, totals, gone), "facts-after")
     touched = whole(old.unionByName(new))
     dates = scratch.keep(touched.select(
         F.col("o_orderdate").alias("order_date"), F.year("o_orderdate").alias("order_year")).distinct(), "touched-dates")
     customers = scratch.keep(touched.select(F.col("o_custkey").alias("customer_key")).distinct(), "touched-customers")
 
-    after = by_key(facts, keys, KEY, "left_anti").select(new.columns).unionByName(new)
+    after = by_key(facts, keys, KEY, "left_anti", unique=True).select(new.columns).unionByName(new)
     years = [r[0] for r in dates.select("order_year").distinct().collect()]
     of_dates = by_key(after.where(is_in(F.col("order_year"), years)),
-                      dates.withColumnRenamed("order_date", "o_orderdate"), "o_orderdate", "left_semi")
-    of_customers = by_key(after, customers.withColumnRenamed("customer_key", "o_custkey"), "o_custkey", "left_semi")
+                      dates.withColumnRenamed("order_date", "o_orderdate"), "o_orderdate", "left_semi", unique=True)
+    of_customers = by_key(after, customers.withColumnRenamed("customer_key", "o_custkey"), "o_custkey", "left_semi", unique=True)
     daily = scratch.keep(gold.revenue_by_order_date(whole(of_dates)), "daily")
     spent = scratch.keep(_customers(of_customers), "customers")
 
     rewritten = {}
-    for table, gone, rows, key in (
+    for table, replaced, rows, key in (
             ("revenue_by_order_date", dates, daily, "order_date"), ("top_customers", customers, spent, "customer_key"),
             ("order_facts", keys, new, KEY)):
-        rewritten[table] = replace_keys(spark, _path(root, table), gone, rows, key, LAYOUT[table])
+        rewritten[table] = replace_keys(spark, _path(root, table), replaced, rows, key, LAYOUT[table], True)
     scratch.remove()
     return Applied(rewritten)

@@ -132,3 +132,19 @@ def test_daily_groups_are_looked_for_in_their_years(spark, root):
     plan = facts._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "order_year" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert {r[0] for r in facts.select("order_year").distinct().collect()} == {1995, None}
+
+
+def test_changes_are_read_once(spark, root):
+    """Neither the lines nor the orders of a change set are read again for each table."""
+    step = STEPS["new orders and lines, and the half that waited"]
+    seen = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    o, l = orders(spark, step[0]), lines(spark, step[1])  # noqa: E741
+    maintenance.apply(spark, root, Changes(o.mapInPandas(pass_on, ORDER), l.mapInPandas(pass_on, LINE), keys(spark)))
+    assert seen.value == len(step[0]) + len(step[1])
+    _same(spark, root, *changed(BASE_ORDERS, BASE_LINES, step))
