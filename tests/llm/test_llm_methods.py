@@ -437,6 +437,35 @@ def test_long_runs_are_scored_in_windows():
     tracemalloc.stop()
 
 
+def test_ranking_of_all_labelled_texts(spark):
+    """The distributed fit is the minimum over all pairs of a good and a poor text, each
+    labelled text counts, and the threshold is the plain quantile."""
+    rng, n = np.random.default_rng(4), len(quality.FEATURES)
+    x = rng.standard_normal((300, n))
+    label = (x @ rng.standard_normal(n) + 2 * rng.standard_normal(300) > -1).astype(int)
+    known = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, None)], "doc_id long, x array<double>")
+    labels = spark.createDataFrame([*enumerate(label.tolist()), (900, 1), (901, 0), (None, 1)], "doc_id long, label int")
+    model = quality.train(known, labels)
+    z = np.clip((x - x.mean(axis=0)) / (x.std(axis=0) + 1e-6), -8, 8)
+    d = (z[label == 1][:, None, :] - z[label == 0][None, :, :]).reshape(-1, n)
+    slope = -(d / (1 + np.exp(d @ model.weights))[:, None]).mean(axis=0) + quality.PENALTY * model.weights
+    assert np.abs(slope).max() < 1e-3
+    s = model.strength(x)
+    assert abs(model.threshold - np.quantile(s, (label == 0).mean(), method="midpoint")) < 1e-9
+    got = dict(quality.score(known, model).collect())
+    assert all(abs(got[i] - v) < 1e-9 for i, v in enumerate(model.score(x)))
+    assert abs(got[900] - model.score(np.zeros((1, n)))[0]) < 1e-9
+    assert quality.train(known, labels.where("label = 1")) is None
+
+
+def test_order_statistics(spark):
+    rng = np.random.default_rng(6)
+    values = np.concatenate([rng.standard_normal(500), np.full(400, 0.25), [1e12, -1e-300]])
+    df = spark.createDataFrame([(float(v),) for v in values], "s double")
+    for k in (0, 1, 250, 600, 900, 901):
+        assert quality.order_statistic(df, k) == np.sort(values)[k]
+
+
 def test_ranking_threshold():
     rng = np.random.default_rng(2)
     label = (np.arange(400) % 5 > 0).astype(int)
