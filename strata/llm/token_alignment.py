@@ -43,8 +43,10 @@ from pyspark.sql import functions as F
 from strata.llm.common import alone, by_bytes, cut, ready, remembers
 
 SPACE = "▁"
-#: Stretches in each of a worker's two generations, and the longest that is remembered.
-CACHE_STRETCHES, CACHE_CHARS = 120_000, 64
+#: Stretches that a worker remembers, and the longest of them.
+CACHE_STRETCHES, CACHE_CHARS = 240_000, 64
+#: New stretches that A reads laid end to end.
+TOGETHER = 50
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -116,10 +118,47 @@ def _starts(counts: np.ndarray) -> np.ndarray:
 
 # -- tokenizers ------------------------------------------------------------------
 
+def _flat(tokens: list[list[int]]) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(tokens), np.int64)
+
+
+def _lengths(items: list) -> np.ndarray:
+    return np.fromiter(map(len, items), np.int64, len(items))
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sums of the first ``counts[0]`` values, of the next ``counts[1]``, .."""
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[np.concatenate([[0], np.cumsum(counts)])])
+
+
+def _pick(values: np.ndarray, counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The values of some ``rows``, of which each has ``counts`` values, laid end to end."""
+    own = counts[rows]
+    return values[np.repeat(_starts(counts)[rows], own) + _spread(own)]
+
+
+@dataclass
+class Stretches:
+    """Results of stretches: for each its groups as text (empty where the tokens don't
+    spell it), its numbers of tokens of A, of B and of links, and, laid end to end, the
+    links as a << 32 | b."""
+    groups: list[str]
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_links: np.ndarray
+    links: np.ndarray
+
+    def rows(self, rows: np.ndarray) -> Stretches:
+        return Stretches(list(map(self.groups.__getitem__, rows.tolist())), self.n_a[rows], self.n_b[rows],
+                         self.n_links[rows], _pick(self.links, self.n_links, rows))
+
+    def __add__(self, other: Stretches) -> Stretches:
+        return Stretches(self.groups + other.groups, *(np.concatenate(two) for two in (
+            (self.n_a, other.n_a), (self.n_b, other.n_b), (self.n_links, other.n_links), (self.links, other.links))))
+
+
 class Aligner:
-    """Both tokenizers, with the stretches that were met lately: for each its groups as
-    text, its links as bytes of a << 32 | b, and its numbers of tokens.  None: the tokens
-    don't spell it."""
+    """Both tokenizers, with the stretches that were met lately."""
 
     def __init__(self, a_json: str, b_model: bytes, cache: int = CACHE_STRETCHES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -138,16 +177,18 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i, p in enumerate(pieces)]
         ab = self.a.pre_tokenizer.pre_tokenize_str(" ab cd\nef") if self.a.pre_tokenizer else []
-        self.a_size, self.b_size = (np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_size, self.b_size = _lengths(self.a_bytes), _lengths(self.b_bytes)
         most = max(len(self.a_bytes), len(self.b_bytes))
-        self.told = {mark: np.array([f"{i}{mark}" for i in range(most)], object) for mark in ",|;"}
+        self.told = {mark: np.array([f"{i}{mark}" for i in range(most)], object) for mark in ",|;\n"}
         self.breaks = (
             self.a.normalizer is None and [at for _, at in ab] == [(0, 3), (3, 6), (6, 7), (7, 9)]
             and self.b.normalize(" a  ① ") == SPACE * 2 + "a" + SPACE * 2 + "①" + SPACE
             and not any(re.search(f"[^{SPACE}]{SPACE}|\\n", p) for p in pieces))
         self.cache = cache
-        self.young: dict[str, tuple | None] = {}
-        self.old: dict[str, tuple | None] = {}
+        # The remembered stretches by their places in ``known``, and the call that met each last.
+        self.place: dict[str, int] = {}
+        none = np.empty(0, np.int64)
+        self.known, self.met, self.call = Stretches([], none, none, none, none), none, 0
 
     #: Before a lone space or line end between two other characters.
     BREAK = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -161,38 +202,58 @@ class Aligner:
             return text.replace("\n", " \n").split(" ")
         return [p[1:] if p[0] == " " and p[1] not in " \n" else p for p in self.BREAK.split(" " + text)]
 
-    def learn(self, names: list[str]) -> dict[str, tuple | None]:
+    def learn(self, names: list[str]) -> Stretches:
         full = [n if n[0] in " \n" else " " + n for n in names]
-        tokens_a = [e.ids for e in self.a.encode_batch_fast(full, add_special_tokens=False)]
+        raw = [f.encode() for f in full]
+        a, n_a = self._tokens_a(full, _lengths(raw))
         tokens_b = self.b.encode([f[1:] if f[0] == " " else f for f in full], num_threads=1)
         tokens_b = [b[1:] if f[0] == "\n" else b for f, b in zip(full, tokens_b)]  # not the space that B puts in front
-        out: dict[str, tuple | None] = dict.fromkeys(names)
-        raw = [f.encode() for f in full]
-        spelt = self._spelt(raw, tokens_a, tokens_b)
+        b, n_b = _flat(tokens_b), _lengths(tokens_b)
+        spelt = self._spelt(raw, ((self.a_bytes, self.a_size, a, n_a), (self.b_bytes, self.b_size, b, n_b)))
         # The shorter list drives: stretches with fewer tokens of A, and the others.
+        rows, found = [np.flatnonzero(~spelt)], []
+        none = np.zeros(len(rows[0]), np.int64)
+        found.append(Stretches([""] * len(none), none, none, none, none[:0]))
         for a_drives in (True, False):
-            own = [i for i in spelt if (len(tokens_a[i]) <= len(tokens_b[i])) == a_drives]
-            if own:
-                found = self._aligned([tokens_a[i] for i in own], [tokens_b[i] for i in own], a_drives)
-                out.update(zip([names[i] for i in own], found))
-        return out
-
-    def _spelt(self, raw: list[bytes], tokens_a: list[list[int]], tokens_b: list[list[int]]) -> list[int]:
-        """The stretches that both sides' tokens spell."""
-        sides = ((self.a_bytes, tokens_a), (self.b_bytes, tokens_b))
-        spell = lambda table, tokens: b"".join(map(table.__getitem__, tokens))
-        size = list(map(len, raw))
-        if all(spell(table, itertools.chain.from_iterable(tokens)) == b"".join(raw)
-               and [sum(map(len, map(table.__getitem__, t))) for t in tokens] == size for table, tokens in sides):
-            return list(range(len(raw)))
-        return [i for i, r in enumerate(raw) if all(spell(table, tokens[i]) == r for table, tokens in sides)]
-
-    def _aligned(self, tokens_a: list[list[int]], tokens_b: list[list[int]], a_drives: bool) -> Iterator[tuple]:
-        """Groups as text, links and numbers of tokens of each stretch.  Laid end to end,
-        the stretches are one text; each ends a group, so none reaches into the next."""
-        flat = lambda tokens: np.fromiter(itertools.chain.from_iterable(tokens), np.int64)
-        a, b = flat(tokens_a), flat(tokens_b)
-        n_a, n_b = (np.fromiter(map(len, t), np.int64, len(t)) for t in (tokens_a, tokens_b))
+            own = np.flatnonzero(spelt & ((n_a <= n_b) == a_drives))
+            if len(own):
+                rows.append(own)
+                found.append(self._aligned(_pick(a, n_a, own), n_a[own], _pick(b, n_b, own), n_b[own], a_drives))
+        return sum(found[1:], found[0]).rows(np.argsort(np.concatenate(rows)))
+
+    def _tokens_a(self, full: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A's tokens of all stretches, and their numbers in each.  A reads stretches laid
+        end to end where a break is between them, as it costs less than one by one."""
+        encode = lambda texts: [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        if self.breaks:
+            apart = np.array([f[-1].isspace() or f[1].isspace() for f in full], bool)
+            begins = np.arange(len(full)) % TOGETHER == 0
+            begins[1:] |= apart[1:] | apart[:-1]
+            at = [*np.flatnonzero(begins).tolist(), len(full)]
+            a = _flat(encode(["".join(full[x:y]) for x, y in zip(at, at[1:])]))
+            ends, wanted = np.cumsum(self.a_size[a]), np.cumsum(size)
+            last = np.searchsorted(ends, wanted)
+            if len(a) and ends[-1] == wanted[-1] and (ends[last] == wanted).all():
+                return a, np.diff(last, prepend=-1)
+        tokens = encode(full)
+        return _flat(tokens), _lengths(tokens)
+
+    def _spelt(self, raw: list[bytes], sides: tuple) -> np.ndarray:
+        """Whether both sides' tokens spell each stretch."""
+        good = np.ones(len(raw), bool)
+        for _, sizes, tokens, n in sides:
+            good &= _sums(sizes[tokens], n) == _lengths(raw)
+        for table, _, tokens, n in sides:
+            spell = lambda own: b"".join(map(table.__getitem__, own.tolist()))  # noqa: B023, E731
+            if spell(tokens[np.repeat(good, n)]) != b"".join(itertools.compress(raw, good)):
+                at = _starts(n)
+                for k in np.flatnonzero(good).tolist():
+                    good[k] = spell(tokens[at[k]:at[k] + n[k]]) == raw[k]
+        return good
+
+    def _aligned(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, a_drives: bool) -> Stretches:
+        """Groups and links of stretches with ``n_a`` and ``n_b`` of the tokens.  Laid end
+        to end, the stretches are one text; each ends a group, so none reaches into the next."""
         ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         if a_drives:
             found = intersect(ends_a, ends_b, np.repeat(_starts(n_b), n_a))
@@ -204,32 +265,60 @@ class Aligner:
         other = (b if a_drives else a)[np.repeat(found.first, width) + _spread(width)]
         driver = np.repeat(few, width)
         links = (driver << 32 | other) if a_drives else (other << 32 | driver)
-        reach = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(n_few)])].tolist()
 
-        # A group's A tokens, then its B tokens: "a1,a2|b1;".
+        # A group's A tokens, then its B tokens: "a1,a2|b1;", or a line end where its stretch ends.
         of_a, of_b = np.cumsum(common_a) - common_a, np.cumsum(common_b) - common_b
         size_a, size_b = np.bincount(of_a), np.bincount(of_b)
         told = np.empty(len(a) + len(b), object)
         told[np.arange(len(a)) + _starts(size_b)[of_a]] = np.where(common_a, self.told["|"][a], self.told[","][a])
-        told[np.arange(len(b)) + np.cumsum(size_a)[of_b]] = np.where(common_b, self.told[";"][b], self.told[","][b])
-        told, at = told.tolist(), 0
-        for k, (x, y) in enumerate(zip(n_a.tolist(), n_b.tolist())):
-            yield "".join(told[at:at + x + y])[:-1], links[reach[k]:reach[k + 1]].tobytes(), x, y
-            at += x + y
+        place_b = np.arange(len(b)) + np.cumsum(size_a)[of_b]
+        told[place_b] = np.where(common_b, self.told[";"][b], self.told[","][b])
+        last = np.cumsum(n_b) - 1
+        told[place_b[last]] = self.told["\n"][b[last]]
+        return Stretches("".join(told.tolist()).split("\n")[:-1], n_a, n_b, _sums(width, n_few), links)
+
+    def read(self, texts: list[str]) -> tuple[Stretches, np.ndarray]:
+        """The stretches' results, text by text, and the number of stretches in each.  A
+        text that the tokens don't spell has none, as an empty one."""
+        names = [self.stretches(t) if t else [] for t in texts]
+        flat, n = list(itertools.chain.from_iterable(names)), _lengths(names)
+        new = [s for s in dict.fromkeys(flat) if s not in self.place]
+        short = [s for s in new if len(s) <= CACHE_CHARS]
+        kept = len(self.place) + len(short)
+        for own in (short, [s for s in new if len(s) > CACHE_CHARS]):
+            if own:
+                self.place.update(zip(own, range(len(self.place), len(self.place) + len(own))))
+                self.known += self.learn(own)
+        place = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        self.call += 1
+        self.met = np.concatenate([self.met, np.zeros(len(self.place) - len(self.met), np.int64)])
+        self.met[place] = self.call
+        spelt = _sums(self.known.n_a[place] == 0, n) == 0
+        found = self.known.rows(place[np.repeat(spelt, n)]), np.where(spelt, n, 0)
+        self._forget(kept)
+        return found
+
+    def _forget(self, kept: int) -> None:
+        """All but the first ``kept`` stretches, the short ones; where these are too many,
+        all but the half of the cache that was met last."""
+        rows = np.arange(kept)
+        if kept > self.cache:
+            rows = np.sort(np.argsort(-self.met[:kept], kind="stable")[:self.cache // 2])
+        if len(rows) < len(self.place):
+            names = list(self.place)
+            self.place = {names[k]: i for i, k in enumerate(rows.tolist())}
+            self.known, self.met = self.known.rows(rows), self.met[rows]
 
     def of(self, texts: list[str]) -> Iterator[list[tuple] | None]:
-        """The stretches' results of each text, None where the tokens don't spell it."""
-        names = [self.stretches(t) if t else [] for t in texts]
-        # What this call reads stays known, whatever the generations do meanwhile.
-        known = {n: self.young[n] if n in self.young else self.old.get(n, self) for n in set().union(*names)}
-        new = [n for n, found in known.items() if found is self]
-        known |= self.learn(new)
-        if len(self.young) + len(known) > self.cache:
-            self.old, self.young = self.young, {}
-        self.young |= {n: found for n, found in known.items() if len(n) <= CACHE_CHARS}
-        for own in names:
-            found = list(map(known.__getitem__, own))
-            yield None if None in found else found
+        """The stretches' results of each text: groups, links as bytes, numbers of tokens.
+        None where the tokens don't spell it."""
+        found, n = self.read(texts)
+        reach, at = np.concatenate([[0], np.cumsum(found.n_links)]).tolist(), 0
+        n_a, n_b = found.n_a.tolist(), found.n_b.tolist()
+        for text, own in zip(texts, n.tolist()):
+            yield None if text and not own else [
+                (found.groups[k], found.links[reach[k]:reach[k + 1]].tobytes(), n_a[k], n_b[k]) for k in range(at, at + own)]
+            at += own
 
 
 @lru_cache(maxsize=2)
@@ -247,22 +336,20 @@ ALIGNED = ("doc_id long, n_a long, n_b long, groups string, n_links long, "
            "a array<int>, b array<int>, times array<int>")
 
 
-def _rows(ids: pa.Array, found: list[list[tuple] | None]) -> pa.RecordBatch:
-    pairs, times, sizes, linked = [], [], [0], []
-    for own in found:
-        links = np.frombuffer(b"".join(s[1] for s in own or ()), np.int64)
-        distinct, n = np.unique(links, return_counts=True)
-        pairs.append(distinct)
-        times.append(n)
-        sizes.append(len(distinct))
-        linked.append(len(links))
-    every, offsets = np.concatenate(pairs), np.cumsum(sizes).astype(np.int32)
+def _rows(ids: pa.Array, found: Stretches, n: np.ndarray) -> pa.RecordBatch:
+    """One row for each text, of which each has ``n`` of the stretches."""
+    n_links, at = _sums(found.n_links, n), [0, *np.cumsum(n).tolist()]
+    # A text's distinct links: numbers that hold the text's place and both ids.
+    a, b = found.links >> 32, found.links & 0xFFFFFFFF
+    most_a, most_b = int(a.max(initial=0)) + 1, int(b.max(initial=0)) + 1
+    distinct, times = np.unique((np.repeat(np.arange(len(n)), n_links) * most_a + a) * most_b + b, return_counts=True)
+    row, pair = np.divmod(distinct, most_a * most_b)
+    offsets = pa.array(np.searchsorted(row, np.arange(len(n) + 1)).astype(np.int32))
     listed = lambda v: pa.ListArray.from_arrays(offsets, pa.array(v.astype(np.int32)))
     return pa.RecordBatch.from_arrays([
-        ids, pa.array([sum(s[2] for s in own or ()) for own in found], pa.int64()),
-        pa.array([sum(s[3] for s in own or ()) for own in found], pa.int64()),
-        pa.array([";".join([s[0] for s in own or ()]) for own in found], pa.string()), pa.array(linked, pa.int64()),
-        listed(every >> 32), listed(every & 0xFFFFFFFF), listed(np.concatenate(times))],
+        ids, pa.array(_sums(found.n_a, n)), pa.array(_sums(found.n_b, n)),
+        pa.array([";".join(found.groups[x:y]) for x, y in zip(at, at[1:])], pa.string()), pa.array(n_links),
+        listed(pair // most_b), listed(pair % most_b), listed(times)],
         names=["doc_id", "n_a", "n_b", "groups", "n_links", "a", "b", "times"])
 
 
@@ -274,7 +361,7 @@ def _align(a_json: Broadcast, b_model: Broadcast, batches: Iterator[pa.RecordBat
         ids = batch.column("doc_id").cast(pa.int64())
         at = 0
         for part in by_bytes(texts, size=lambda t: len(t or "")):
-            yield _rows(ids[at:at + len(part)], list(own.of(part)))
+            yield _rows(ids[at:at + len(part)], *own.read(part))
             at += len(part)
 
 

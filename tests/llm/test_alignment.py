@@ -145,3 +145,34 @@ def test_long_text(aligner):
     text = " ".join(f"word{i % 997}" for i in range(200_000)) + "y" * 20_000
     found, = aligner.of([text])
     assert b"".join(aligner.a_bytes[int(i)] for s in found for g in s[0].split(";") for i in g.split("|")[0].split(",")) == (" " + text).encode()
+
+
+def test_new_stretches_are_read_together(aligner, monkeypatch):
+    """A reads many new stretches at a time, B's spaces and odd ends among them, and only short ones are kept."""
+    class Counting:
+        def __init__(self, a):
+            self.a, self.texts = a, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.a.encode_batch_fast(texts, **options)
+
+    a, names = aligner.a, [f"w{i}q" if i % 100 else f"\nline{i}" for i in range(1, 5000)] + [" \tx", "y  ", "▁", "long" * 40]
+    alone = [next(iter(aligner.of([n]))) for n in (n if n[0] != "\n" else "a" + n for n in names)]
+    monkeypatch.setattr(aligner, "a", counting := Counting(a))
+    monkeypatch.setattr(aligner, "place", {})
+    monkeypatch.setattr(aligner, "known", aligner.known.rows(np.empty(0, int)))
+    monkeypatch.setattr(aligner, "met", aligner.met[:0])
+    found = aligner.learn(names)
+    assert counting.texts < len(names) / 10
+    for k, (name, own) in enumerate(zip(names, alone)):
+        told = found.groups[k]
+        if own is None:
+            assert told == "" and found.n_a[k] == 0 and name == "▁"
+        elif name[0] == "\n":
+            assert told == own[-1][0]
+        elif name[0] != " ":
+            assert told == ";".join(s[0] for s in own)
+    text = "".join(" " + n if n[0] not in " \n" else n for n in names if n != "▁")[1:]
+    assert list(aligner.of([text])) != [None]
+    assert "long" * 40 not in aligner.place and len(aligner.place) > 4000
