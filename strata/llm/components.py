@@ -12,7 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, remove, scratch
+from strata.llm.common import cut, few_files, remove, scratch
+
+#: Edges in a stored file.
+EACH = 200_000
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,12 +34,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, label: str = "components", rows: int | None = None) -> DataFrame:
     """Undirected edges (a long, b long) -> (id, component) for every id that has
     an edge to another; component is the smallest id reachable.  Null ends and
-    loops link nothing."""
+    loops link nothing.  ``rows``: at most so many edges, where the caller knows."""
     with scratch() as before:
-        edges = cut(edges.where("a <> b").select("a", "b").distinct(), label)
+        edges = edges.where("a <> b").select("a", "b").distinct()
+        edges = cut(edges if rows is None else few_files(edges, rows, EACH), label)
     seen = None
     while True:
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(
@@ -45,7 +49,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             break
         seen = state
         with scratch() as made:
-            edges = cut(_star(_star(edges, large=True), large=False), label)
+            # A large star has no more edges than before, a small one a further for each node.
+            edges = cut(few_files(_star(_star(edges, large=True), large=False), 2 * state["n"], EACH), label)
         remove(edges.sparkSession, before)
         before = made
     return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component")).unionByName(

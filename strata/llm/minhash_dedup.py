@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import alone, cut, mix64, ready, remove, scratch
+from strata.llm.common import alone, cut, few_files, mix64, ready, remove, scratch
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -55,6 +55,7 @@ NEED, OF = 75, 100          # similarity of at least NEED / OF
 MARGIN = 0.073              # 4.5 standard deviations of the estimate at 0.75
 HOT_MEMBERS = 4096          # a bucket with more, or with more shingles than
 HOT_SHINGLES = 4_000_000    # these, is cut into blocks of about so many
+WIDE, NARROW = 10_000, 200_000  # rows of a stored file, with texts or signatures and without
 GROUP = ("key", "i", "j")   # a bucket and two of its blocks
 
 
@@ -184,47 +185,47 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(id, component) of the representatives that are linked to another."""
+    n = reps.count()
     keys = reps.select("rep", "n_shingles", F.explode("bands").alias("key"))
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = cut(keys.join(sizes, "key"), "members")
+    members = cut(few_files(keys.join(sizes, "key"), n * BANDS, NARROW), "members")
     need = members.select(F.col("rep").alias("doc_id")).distinct()
     # A merge join at every size: the texts are dealt out once, whatever their number.
-    texts = cut(docs.select("doc_id", "text").join(need.hint("merge"), "doc_id", "left_semi"), "near-texts")
+    texts = cut(few_files(docs.select("doc_id", "text").join(need.hint("merge"), "doc_id", "left_semi"), n, WIDE), "near-texts")
 
     met = members.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("met"))
     ranked = members.join(met, "rep").select("key", "rep", F.struct("met", (-F.col("rep")).alias("first")).alias("rank"))
     hubs = ranked.groupBy("key").agg(F.max_by("rep", "rank").alias("hub"))
     stars = members.join(hubs, "key").where("rep <> hub").select(
         F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    found = cut(likely(stars, reps), "candidates")
+    found = cut(few_files(likely(stars, reps), n * BANDS, NARROW), "candidates")
 
     first = found.groupBy("a").agg(F.max_by("b", F.struct("est", -F.col("b"))).alias("b"))
-    links = cut(confirm(first, texts), "links")
-    comps = cut(components(links), "components")
+    links = cut(few_files(confirm(first, texts), n, WIDE), "links")
+    comps = cut(few_files(components(links, rows=n), n, NARROW), "components")
 
     # Candidates between components that the first round left apart.
     rest = _across(found.join(first, ["a", "b"], "left_anti").select("a", "b"), comps)
     tried = first.unionByName(first.toDF("b", "a"))
     rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
     more = cut(_cross_component(members, comps, reps, texts).unionByName(confirm(rest, texts)), "links")
-    if more.isEmpty():
-        return comps
-    return components(links.unionByName(more))
+    added = more.count()
+    return components(links.unionByName(more), rows=n + added) if added else comps
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, text, ..) -> (doc_id, n_shingles, component_id, kept), one row per row."""
     rows = cut(sketch(docs), "sketch")
-    reps = cut(
+    reps = cut(few_files(
         rows.where("n_shingles > 0 and doc_id is not null")
         .groupBy("set_hi", "set_lo")
         .agg(F.min(F.struct("doc_id", "n_shingles", "bands", "planes")).alias("m"))
         .select("set_hi", "set_lo", F.col("m.doc_id").alias("rep"), "m.n_shingles", "m.bands", "m.planes"),
-        "sets")
+        rows.count(), WIDE), "sets")
 
     # Everything between is scratch once the components are a table.
     with scratch() as made:
-        comps = cut(_linked(docs, reps), "components")
+        comps = cut(few_files(_linked(docs, reps), reps.count(), NARROW), "components")
     remove(docs.sparkSession, made[:-1])
 
     sets = reps.select("set_hi", "set_lo", "rep").join(
